@@ -42,4 +42,49 @@ def fold_prizes(arr: Column, year: str = "raceYear", prize: str = "prize") -> Co
                       F.struct(replaced.alias("out"), F.lit(True).alias("has")))
                 .otherwise(acc))
 
-    return F.coalesce(F.aggregate(arr, init, step, lambda acc: acc["out"]), empty)
+    return F.coalesce(F.aggregate(arr, init, step, lambda acc: acc["out"]), F.array())
+
+
+def fold_prize_rows(df, group_cols, order_col: str, year_col: str, prize_col: str,
+                    chunk: int = 1 << 16):
+    """Tabular form of the fold: one row per element in, one row per anchor out.
+
+    Columns out: ``group_cols``, ``order_col`` (the anchor's), ``year_col``,
+    ``prize_col`` (folded). The anchor of each element is the last anchor at
+    or before it, a segmented "running last". To keep a group that holds a
+    large share of all rows from landing in one task, the scan is chunked:
+
+    1. per (group, chunk of ``chunk`` consecutive order values): the last
+       anchor in the chunk (partial aggregation, skew-safe);
+    2. the carry into each chunk: running max over the much smaller chunk
+       table;
+    3. per element: running max within its own chunk (window partitions are
+       bounded by ``chunk`` rows), falling back to the carry;
+    4. appended prizes are string-aggregated per anchor in element order.
+    """
+    from pyspark.sql import Window
+
+    g = list(group_cols)
+    o, y, p = F.col(order_col), F.col(year_col), F.col(prize_col)
+    rows = df.select(*g, order_col, year_col, prize_col,
+                     F.floor(o / F.lit(chunk)).alias("_chunk"),
+                     F.when(y.isNotNull(), o).alias("_anchor"))
+    last_in_chunk = rows.groupBy(*g, "_chunk").agg(F.max("_anchor").alias("_last"))
+    carry_w = Window.partitionBy(*g).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    carry = last_in_chunk.select(*g, "_chunk", F.max("_last").over(carry_w).alias("_carry"))
+    in_chunk_w = Window.partitionBy(*g, "_chunk").orderBy(order_col) \
+                       .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    seg = rows.join(carry, [*g, "_chunk"], "left") \
+              .withColumn("_seg", F.coalesce(F.max("_anchor").over(in_chunk_w), F.col("_carry")))
+    tails = (seg.where(y.isNull() & F.col("_seg").isNotNull() & prize_truthy(p))
+             .groupBy(*g, "_seg")
+             .agg(F.sort_array(F.collect_list(F.struct(o.alias("o"), p.alias("p")))).alias("_t"))
+             .select(*g, F.col("_seg").alias(order_col),
+                     F.array_join(F.transform("_t", lambda e: e["p"]), PRIZE_SEPARATOR).alias("_tail")))
+    anchors = seg.where(y.isNotNull()).select(*g, order_col, year_col, p.alias("_p0"))
+    out = anchors.join(tails, [*g, order_col], "left")
+    folded = (F.when(F.col("_tail").isNull(), F.col("_p0"))
+              .when(prize_truthy(F.col("_p0")),
+                    F.concat(F.col("_p0"), F.lit(PRIZE_SEPARATOR), F.col("_tail")))
+              .otherwise(F.col("_tail")))
+    return out.select(*g, order_col, year_col, folded.alias(prize_col))
