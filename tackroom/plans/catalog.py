@@ -1,3 +1,3 @@
 """Importing this module registers every query."""
 
-from tackroom.plans import q_clean, q_reshape  # noqa: F401
+from tackroom.plans import q_clean, q_reshape, q_scoring  # noqa: F401

@@ -21,6 +21,7 @@ SESSION_DEFAULTS = {
     "spark.sql.variant.allowDuplicateKeys": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 
@@ -41,7 +42,7 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
         b = b.config(k, v)
     spark = b.getOrCreate()
     for k, v in SESSION_DEFAULTS.items():
-        if k != "spark.ui.enabled":
+        if k not in ("spark.ui.enabled", "spark.ui.showConsoleProgress"):
             spark.conf.set(k, v)
     spark.sparkContext.setLogLevel("ERROR")
     return spark
