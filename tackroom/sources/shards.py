@@ -9,7 +9,7 @@ Two layouts are read:
   ``shard=<name>`` folder per batch. The regex becomes a partition filter, so
   Spark skips non-matching folders without opening them.
 
-Every line gets an order key ``(shard, file, block_start, row)``: files sort by
+Every line gets an order key ``(shard, file_path, block_start, row)``: files sort by
 name (binary, so ``1001_to`` sorts before ``1_to``), splits of one file by
 their byte offset, and rows of one split by ``monotonically_increasing_id``,
 which counts up within a task. Together that is the (file, line) order of a
@@ -24,8 +24,9 @@ from pyspark.sql.utils import AnalysisException
 
 from tackroom.constants import CLEANED_SUFFIX, SHARD_NAME_GLOB, SHARD_NAME_PATTERN, SHARD_PREFIX
 
-ORDER_COLS = ["shard", "file_name", "block_start", "row_id"]
-LINE_SCHEMA = "shard string, file_name string, block_start long, row_id long, line string"
+ORDER_COLS = ["shard", "file_path", "block_start", "row_id"]
+LINE_SCHEMA = ("shard string, file_path string, block_start long, row_id long, line string, "
+               "file_name string")
 
 
 def _empty_lines(spark: SparkSession) -> DataFrame:
@@ -48,6 +49,7 @@ def read_shard_lines(spark: SparkSession, root: str, pattern: str = SHARD_NAME_P
     except AnalysisException:
         return _empty_lines(spark)
     meta = raw.select("*", F.col("_metadata.file_name").alias("file_name"),
+                      F.col("_metadata.file_path").alias("file_path"),
                       F.col("_metadata.file_block_start").alias("block_start"),
                       F.monotonically_increasing_id().alias("row_id"))
     if layout == "files":
@@ -56,10 +58,10 @@ def read_shard_lines(spark: SparkSession, root: str, pattern: str = SHARD_NAME_P
         meta = meta.where(F.col("shard").rlike(pattern))
     else:
         raise ValueError(layout)
-    lines = meta.select(*ORDER_COLS, F.col("value").alias("line"))
+    lines = meta.select(*ORDER_COLS, F.col("value").alias("line"), "file_name")
     if consumed is not None:
-        lines = lines.join(consumed.select("file_name").distinct(), "file_name", "left_anti") \
-                     .select(*ORDER_COLS, "line")
+        lines = lines.join(consumed.select("file_path").distinct(), "file_path", "left_anti") \
+                     .select(*ORDER_COLS, "line", "file_name")
     return lines
 
 
@@ -70,7 +72,7 @@ def discover_shards(lines: DataFrame) -> DataFrame:
 
 def merge_summary(lines: DataFrame, master_name: str) -> DataFrame:
     """``mergedCount`` and ``masterFile`` of one merge."""
-    return lines.agg(F.count_distinct("file_name").alias("merged_count"),
+    return lines.agg(F.count_distinct("file_path").alias("merged_count"),
                      F.count(F.lit(1)).alias("line_count")) \
                 .withColumn("master_file", F.lit(master_name))
 
@@ -82,7 +84,7 @@ def write_master(lines: DataFrame, out: str) -> None:
 
 def record_consumed(lines: DataFrame, ledger: str) -> None:
     """Append merged file names to the ledger, only after the master committed."""
-    lines.select("file_name").distinct().write.mode("append").parquet(ledger)
+    lines.select("file_path").distinct().write.mode("append").parquet(ledger)
 
 
 def read_consumed(spark: SparkSession, ledger: str) -> DataFrame | None:

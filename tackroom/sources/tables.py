@@ -76,9 +76,9 @@ def write_snapshot(df: DataFrame, root: str, yyyymmdd: str) -> None:
 
 
 def read_snapshot(spark: SparkSession, root: str, yyyymmdd: str) -> DataFrame:
-    """One day's snapshot; the date filter prunes partitions at listing time."""
-    return spark.read.option("basePath", root).parquet(root) \
-        .where(F.col("snapshot_date") == F.lit(yyyymmdd))
+    """One day's snapshot: only that partition folder is listed and read."""
+    df = spark.read.option("basePath", root).parquet(f"{root.rstrip('/')}/snapshot_date={yyyymmdd}")
+    return df.withColumn("snapshot_date", F.col("snapshot_date").cast("string"))
 
 
 def read_instances(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
