@@ -16,7 +16,7 @@ from tackroom.plans.registry import query, table
 
 
 def event_lines(spark, sf_dir):
-    e = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type")
+    e = table(spark, sf_dir, "events", spread=True).select("event_id", "user_id", "event_type")
     r = F.col("event_id") % 50
     eid = F.col("event_id").cast("string")
     body = F.concat(F.lit(',"user":'), F.col("user_id").cast("string"),
@@ -113,7 +113,7 @@ def clean_records(spark, sf_dir):
     return kept_lines(g).select("line_no", "line", "kclass", "knum", "kstr")
 
 
-@query("clean_report", "A2", sql=f"""
+CLEAN_REPORT_SQL = f"""
 SELECT CAST(count(*) AS BIGINT) AS total,
        CAST(count_if(rn = 1) AS BIGINT) AS kept,
        CAST(count_if(rn > 1) AS BIGINT) AS dupes,
@@ -121,7 +121,10 @@ SELECT CAST(count(*) AS BIGINT) AS total,
        CAST(count_if(status = 'blank') AS BIGINT) AS blank,
        CAST(count_if(status = 'missing_id') AS BIGINT) AS missing_id
 FROM ({RANKED_EVENTS_SQL})
-""")
+"""
+
+
+@query("clean_report", "A2", sql=CLEAN_REPORT_SQL)
 def clean_report_q(spark, sf_dir):
     return clean_report(clean(event_lines(spark, sf_dir), ["line_no"]))
 
@@ -146,7 +149,7 @@ SELECT event_id, json_valid(text) AS is_valid FROM (
   FROM events)
 """)
 def strict_json_reject(spark, sf_dir):
-    e = table(spark, sf_dir, "events").select("event_id", _props_text().alias("text"))
+    e = table(spark, sf_dir, "events", spread=True).select("event_id", _props_text().alias("text"))
     return e.select("event_id", strict_parse(F.col("text")).isNotNull().alias("is_valid"))
 
 
@@ -172,7 +175,7 @@ ORDER_LINES_SQL = """
 
 
 def order_lines(spark, sf_dir):
-    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    o = table(spark, sf_dir, "orders", spread=True).select("o_orderkey", "o_custkey")
     ck = F.col("o_custkey").cast("string")
     tail = F.concat(F.lit(',"o":'), F.col("o_orderkey").cast("string"), F.lit("}"))
     r = F.col("o_orderkey") % 3

@@ -9,11 +9,12 @@ from tackroom.operators.features import position_class
 from tackroom.operators.ml import score, train
 from tackroom.operators.scoring import class_probs, greedy_top_k, race_card
 from tackroom.plans.flows import merge_clean_upsert
-from tackroom.plans.q_io import RUN_TS, STAMP_MILLIS
+from tackroom.plans.q_io import MASTER_NAME, RUN_TS, STAMP_MILLIS
 from tackroom.plans.q_scoring import feature_rows_q
+from tackroom.plans.q_clean import CLEAN_REPORT_SQL
 from tackroom.plans.registry import query, table
 from tackroom.session import scratch_dir
-from tackroom.sources.shards import write_batch_shards, write_line_shards
+from tackroom.sources.shards import read_shard_lines, write_batch_shards, write_line_shards
 from tackroom.sources.tables import read_snapshot, read_target, write_snapshot
 from tackroom.streaming.incremental import incremental_shards, incremental_upsert, shard_stream
 
@@ -43,7 +44,8 @@ def incremental_shards_q(spark, sf_dir):
     write_batch_shards(table(spark, sf_dir, "events").select("event_id", "event_type", "value"),
                        root, "event_id", 0, 1000, STAMP_MILLIS)
     sink, ckpt = scratch_dir(spark, "stream-sink"), scratch_dir(spark, "stream-ckpt")
-    lines = shard_stream(spark, root, layout="partitioned", max_files=4,
+    # availableNow with no file cap: everything new is one micro-batch per run
+    lines = shard_stream(spark, root, layout="partitioned",
                          clean_source="archive", archive_dir=scratch_dir(spark, "stream-archive"))
     incremental_shards(lines, sink, ckpt)
     rec = spark.read.parquet(sink).select(F.from_json("line", "event_type string, value double").alias("r"))
@@ -63,11 +65,12 @@ def incremental_upsert_q(spark, sf_dir):
     target, ckpt = scratch_dir(spark, "upsert-target"), scratch_dir(spark, "upsert-ckpt")
     schema = "id long, user_id long, event_type string"
     write_batch_shards(ev, root, "id", 0, 1000, STAMP_MILLIS)
-    incremental_upsert(shard_stream(spark, root, layout="partitioned", max_files=5),
+    # one micro-batch per run: each batch rewrites the target once
+    incremental_upsert(shard_stream(spark, root, layout="partitioned"),
                        target, ckpt, schema, "id", RUN_TS)
     write_batch_shards(ev.withColumn("event_type", F.upper("event_type")), root, "id", 0, 1000,
                        STAMP_MILLIS + 1)
-    incremental_upsert(shard_stream(spark, root, layout="partitioned", max_files=5),
+    incremental_upsert(shard_stream(spark, root, layout="partitioned"),
                        target, ckpt, schema, "id", "2024-06-02 00:00:00")
     return read_target(spark, target).select("id", "user_id", "event_type")
 
@@ -126,3 +129,24 @@ def train_and_rank(spark, sf_dir):
                        "class_probs", "idx", ["l_orderkey"], 3)
     return card.join(top.withColumnRenamed("prob", "pick_prob"), ["l_orderkey", "idx"], "left") \
                .select("l_orderkey", "idx", F.round("win_prob", 6).alias("win_prob"), "rel_rank", "position")
+
+
+@query("clean_job_files", "E1 S3 S7 F2 F5", sql=CLEAN_REPORT_SQL)
+def clean_job_files(spark, sf_dir):
+    """The clean job on files: the defect lines of ``clean_records`` landed as
+    shards, merged into one physical master (S3), cleaned into a sibling
+    ``_cleaned_deduped_<ts>`` output (S7); returns the report (A2)."""
+    from tackroom.plans.flows import clean_job
+    from tackroom.plans.q_clean import event_lines
+    from tackroom.sources.shards import ORDER_COLS, cleaned_name, write_master
+
+    root = scratch_dir(spark, "e1")
+    write_line_shards(event_lines(spark, sf_dir), f"{root}/landing", "line_no", 0, 1000, STAMP_MILLIS)
+    merged = read_shard_lines(spark, f"{root}/landing", layout="partitioned")
+    master = f"{root}/{MASTER_NAME}"
+    write_master(merged, master)
+    lines = spark.read.text(master).select(
+        F.lit(MASTER_NAME).alias("shard"), F.col("_metadata.file_path").alias("file_path"),
+        F.col("_metadata.file_block_start").alias("block_start"),
+        F.monotonically_increasing_id().alias("row_id"), F.col("value").alias("line"))
+    return clean_job(lines, cleaned_name(master, "2024-06-01T00:00:00.000Z"), ORDER_COLS)

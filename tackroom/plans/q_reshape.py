@@ -81,7 +81,7 @@ def orders_with_races(spark, sf_dir):
     The array is built per order (a TPC-H order holds a handful of lines), and
     sorted by every element field so its order is deterministic.
     """
-    li = table(spark, sf_dir, "lineitem")
+    li = table(spark, sf_dir, "lineitem", spread=True)
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
     nested = li.groupBy(F.col("l_orderkey").alias("o_orderkey")) \
                .agg(F.sort_array(F.collect_list(raw_race())).alias("races_raw"))

@@ -29,5 +29,11 @@ def query(name: str, operators: str, sql: str | None = None):
     return deco
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
+    """A driver table. ``spread=True`` for inputs of CPU-heavy row work; see
+    :func:`tackroom.session.ensure_parallel`."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    if spread:
+        from tackroom.session import ensure_parallel
+        df = ensure_parallel(df)
+    return df

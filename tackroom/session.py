@@ -74,3 +74,17 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh, never-reused folder under the shared checkpoint root."""
     root = checkpoint_root(spark).rstrip("/")
     return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def ensure_parallel(df, min_partitions: int | None = None):
+    """Give CPU-heavy row work (JSON parsing, nested rebuilds) every core.
+
+    A scan of a few small files can come out as fewer splits than there are
+    cores; then a round-robin repartition spreads the rows. A large input
+    already has at least that many splits and passes through untouched, so
+    this never adds a shuffle at scale.
+    """
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
