@@ -93,7 +93,7 @@ SELECT o_orderkey, o_orderstatus,
   CASE WHEN l_orderkey IS NULL THEN NULL ELSE row_number() OVER (PARTITION BY o_orderkey ORDER BY
     l_linenumber, CAST(l_quantity AS INTEGER), l_partkey, l_tax, l_returnflag,
     CASE WHEN l_linestatus = 'O' THEN '' ELSE l_linestatus END,
-    CAST(l_quantity AS VARCHAR), CAST(l_discount AS VARCHAR), l_linestatus, l_suppkey) - 1 END AS pos,
+    CAST(l_quantity AS VARCHAR), CAST(l_discount AS VARCHAR), l_linestatus, l_suppkey) - 1 END::INTEGER AS pos,
   l_linenumber AS horseOrder, CAST(l_quantity AS INTEGER) AS horseFinalPlace,
   CAST(l_partkey AS VARCHAR) AS prizeAmount,
   CASE WHEN l_orderkey IS NULL OR l_returnflag = 'N' THEN NULL ELSE 'USD' END AS prizeCurrency,
@@ -143,7 +143,7 @@ YEARLY_SQL = """
 
 @query("map_career", "P8 J4", sql=f"""
 SELECT c_custkey,
-  CASE WHEN y IS NULL THEN NULL ELSE row_number() OVER (PARTITION BY c_custkey ORDER BY y) - 1 END AS pos,
+  CASE WHEN y IS NULL THEN NULL ELSE row_number() OVER (PARTITION BY c_custkey ORDER BY y) - 1 END::INTEGER AS pos,
   CAST(y AS INTEGER) AS raceYear, CASE WHEN y IS NULL THEN NULL ELSE '' END AS raceName,
   CAST(cents AS VARCHAR) AS prize, CASE WHEN y IS NULL THEN NULL ELSE '' END AS otherDetails,
   CAST(y - 1990 AS INTEGER) AS horseAge, CASE WHEN y IS NULL THEN NULL ELSE 'Y' END AS raceType,
