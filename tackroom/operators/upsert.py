@@ -37,14 +37,19 @@ def assert_unique_source(source: DataFrame, key: str, target: DataFrame | None =
 
 
 def upsert(target: DataFrame, source: DataFrame, key: str, run_ts: Column | str,
-           ts_col: str = "updated_at") -> DataFrame:
+           ts_col: str = "updated_at", buckets: int | None = None) -> DataFrame:
     """Matched rows replaced, source-only rows inserted, target-only kept.
 
     Every source row gets ``updated_at = run_ts`` (no change detection, so an
     identical row still moves its timestamp). Columns follow the target.
+    With ``buckets`` (the target's bucket count on ``key``) the source is
+    hash-partitioned to match, so against a bucketed target only the source
+    is shuffled and the result can be written bucketed without a reshuffle.
     """
     ts = F.lit(run_ts).cast("timestamp") if isinstance(run_ts, str) else run_ts
     src = source.withColumn(ts_col, ts)
+    if buckets:
+        src = src.repartition(int(buckets), key)
     cols = target.columns
     kept = target.join(src.select(key).where(F.col(key).isNotNull()), key, "left_anti")
     return kept.select(*cols).unionByName(src.select(*cols))

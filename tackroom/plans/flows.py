@@ -35,9 +35,11 @@ def clean_job(lines: DataFrame, out: str, order_cols: Sequence[str] = ORDER_COLS
 
 def merge_clean_upsert(spark: SparkSession, shards_root: str, target_root: str, schema: StructType | str,
                        key: str, run_ts: str, layout: str = "files", ledger: str | None = None,
-                       reshape: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+                       reshape: Callable[[DataFrame], DataFrame] | None = None,
+                       buckets: int | None = None) -> DataFrame:
     """New shards -> clean -> parse -> (reshape) -> unique check -> upsert ->
-    new target version -> ledger -> reconciliation row."""
+    new target version -> ledger -> reconciliation row. With ``buckets`` the
+    target is bucketed on ``key`` and each upsert shuffles only the new rows."""
     consumed = read_consumed(spark, ledger) if ledger else None
     lines = read_shard_lines(spark, shards_root, layout=layout, consumed=consumed)
     grouped_path = scratch_dir(spark, "flow-grouped")
@@ -46,14 +48,14 @@ def merge_clean_upsert(spark: SparkSession, shards_root: str, target_root: str,
     source = kept.select(F.from_json("line", schema).alias("r")).select("r.*")
     if reshape is not None:
         source = reshape(source)
-    before = read_target(spark, target_root)
+    before = read_target(spark, target_root, key=key, buckets=buckets)
     assert_unique_source(source, key)
     if before is None:
         after = source.withColumn("updated_at", F.lit(run_ts).cast("timestamp"))
         before = spark.createDataFrame([], after.schema)
     else:
-        after = upsert(before, source, key, run_ts)
-    write_target(after, target_root, key=key)
+        after = upsert(before, source, key, run_ts, buckets=buckets)
+    write_target(after, target_root, key=key, buckets=buckets)
     if ledger:
         record_consumed(lines, ledger)
-    return reconcile_counts(before, source, read_target(spark, target_root), key)
+    return reconcile_counts(before, source, read_target(spark, target_root, key=key, buckets=buckets), key)

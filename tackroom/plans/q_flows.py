@@ -106,9 +106,10 @@ def flow_merge_clean_upsert(spark, sf_dir):
     root = scratch_dir(spark, "flow-src")
     write_line_shards(flow_lines(spark, sf_dir), root, "event_id", 0, 1000, STAMP_MILLIS)
     target = scratch_dir(spark, "flow-target")
+    b = int(spark.conf.get("spark.sql.shuffle.partitions"))
     merge_clean_upsert(spark, root, target, "id long, user long, type string", "id", RUN_TS,
-                       layout="partitioned", ledger=scratch_dir(spark, "flow-ledger"))
-    return read_target(spark, target).select("id", "user", "type")
+                       layout="partitioned", ledger=scratch_dir(spark, "flow-ledger"), buckets=b)
+    return read_target(spark, target, key="id", buckets=b).select("id", "user", "type")
 
 
 @query("train_and_rank", "E3")

@@ -156,13 +156,17 @@ FROM orders
 
 
 def _run_upsert(spark, sf_dir):
+    """Target bucketed on the key: the upsert's anti-join reads it in place and
+    shuffles only the source."""
     root = scratch_dir(spark, "upsert")
+    b = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    k = "o_orderkey"
     target, source = _upsert_inputs(spark, sf_dir)
-    write_target(target, root, key="o_orderkey")
-    before = read_target(spark, root)
-    assert_unique_source(source, "o_orderkey")
-    write_target(upsert(before, source, "o_orderkey", RUN_TS), root, key="o_orderkey")
-    return before, source, read_target(spark, root)
+    write_target(target, root, key=k, buckets=b)
+    before = read_target(spark, root, key=k, buckets=b)
+    assert_unique_source(source, k)
+    write_target(upsert(before, source, k, RUN_TS, buckets=b), root, key=k, buckets=b)
+    return before, source, read_target(spark, root, key=k, buckets=b)
 
 
 @query("upsert_orders", "J2 J3 S9", sql=UPSERT_SQL)

@@ -40,26 +40,50 @@ def latest_version(spark: SparkSession, root: str) -> int | None:
     return best
 
 
-def read_target(spark: SparkSession, root: str, schema: StructType | str | None = None) -> DataFrame | None:
-    """The current version of the keyed table (S9); None when nothing is committed."""
+def _table_name(root: str, version: int) -> str:
+    import hashlib
+    return f"tackroom_target_{hashlib.md5(root.rstrip('/').encode()).hexdigest()[:12]}_v{version}"
+
+
+def read_target(spark: SparkSession, root: str, schema: StructType | str | None = None,
+                key: str | None = None, buckets: int | None = None) -> DataFrame | None:
+    """The current version of the keyed table (S9); None when nothing is committed.
+
+    With ``key`` and ``buckets`` the version is registered as a table bucketed
+    on the key (the bucket id is in each file name), so a join on the key reads
+    it in place: only the other side is shuffled.
+    """
     v = latest_version(spark, root)
     if v is None:
         return spark.createDataFrame([], schema) if schema is not None else None
-    return spark.read.parquet(f"{root.rstrip('/')}/v={v}")
+    path = f"{root.rstrip('/')}/v={v}"
+    if not (key and buckets):
+        return spark.read.parquet(path)
+    name = _table_name(root, v)
+    if not spark.catalog.tableExists(name):
+        ddl = spark.read.parquet(path).schema.toDDL()
+        spark.sql(f"CREATE TABLE IF NOT EXISTS `{name}` ({ddl}) USING parquet "
+                  f"CLUSTERED BY (`{key}`) SORTED BY (`{key}`) INTO {int(buckets)} BUCKETS LOCATION '{path}'")
+    return spark.table(name)
 
 
 def write_target(df: DataFrame, root: str, key: str | None = None, buckets: int | None = None) -> int:
     """Write a new version next to the one being read, never over it.
 
     Readers pick the highest version with a ``_SUCCESS`` marker, so the switch
-    is atomic and a failed write leaves the previous version current. When
-    ``key`` is given the data is hash-partitioned on it first, so later
-    upserts on the same key find rows of one key together.
+    is atomic and a failed write leaves the previous version current. With
+    ``key`` and ``buckets`` the version is bucketed on the key; rows arriving
+    already hash-partitioned the same way (as :func:`upsert` leaves them) are
+    written without another shuffle.
     """
     spark = df.sparkSession
     v = (latest_version(spark, root) or 0) + 1
-    out = df.repartition(buckets, key) if key and buckets else (df.repartition(key) if key else df)
-    out.write.mode("errorifexists").parquet(f"{root.rstrip('/')}/v={v}")
+    path = f"{root.rstrip('/')}/v={v}"
+    if key and buckets:
+        (df.write.mode("errorifexists").format("parquet").bucketBy(int(buckets), key).sortBy(key)
+         .option("path", path).saveAsTable(_table_name(root, v)))
+    else:
+        df.write.mode("errorifexists").parquet(path)
     return v
 
 

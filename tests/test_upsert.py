@@ -58,3 +58,25 @@ def test_versioned_target(spark, tmp_dir):
     before = read_target(spark, root)
     assert write_target(upsert(before, s, "id", RUN), root, key="id") == 2
     assert read_target(spark, root).count() == 5
+
+
+def test_bucketed_upsert_shuffles_only_source(spark, tmp_dir):
+    t, s = frames(spark)
+    root = f"{tmp_dir}/bucketed"
+    write_target(t, root, key="id", buckets=4)
+    before = read_target(spark, root, key="id", buckets=4)
+    out = upsert(before, s, "id", RUN, buckets=4)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    scan = [ln for ln in plan.splitlines() if "tackroom_target_" in ln]
+    assert scan and "Bucketed: true" in scan[0]
+    # exchanges only over the source scans (key-only for the join, full rows for the union)
+    assert plan.count("Exchange hashpartitioning") == 2
+    assert write_target(out, root, key="id", buckets=4) == 2
+    assert sorted((r.id or -1, r.v) for r in read_target(spark, root, key="id", buckets=4).collect()) == \
+        [(-1, "N"), (-1, "n"), (1, "a"), (2, "B"), (3, "C")]
