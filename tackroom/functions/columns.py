@@ -32,3 +32,12 @@ def prize_total(prize: Column) -> Column:
 
 def round6(c: Column) -> Column:
     return F.round(c, 6)
+
+
+def percent_text(p: Column) -> Column:
+    """Display text of a probability with one decimal, e.g. ``'12.3%'``.
+
+    Display only: Spark formats exact ties half-up, so compare the numeric
+    column, never this text.
+    """
+    return F.format_string("%.1f%%", p * 100)
