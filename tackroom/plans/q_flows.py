@@ -64,15 +64,16 @@ def incremental_upsert_q(spark, sf_dir):
     root = scratch_dir(spark, "upsert-src")
     target, ckpt = scratch_dir(spark, "upsert-target"), scratch_dir(spark, "upsert-ckpt")
     schema = "id long, user_id long, event_type string"
+    b = int(spark.conf.get("spark.sql.shuffle.partitions"))
     write_batch_shards(ev, root, "id", 0, 1000, STAMP_MILLIS)
-    # one micro-batch per run: each batch rewrites the target once
+    # one micro-batch per run; the bucketed target is read in place
     incremental_upsert(shard_stream(spark, root, layout="partitioned"),
-                       target, ckpt, schema, "id", RUN_TS)
+                       target, ckpt, schema, "id", RUN_TS, buckets=b)
     write_batch_shards(ev.withColumn("event_type", F.upper("event_type")), root, "id", 0, 1000,
                        STAMP_MILLIS + 1)
     incremental_upsert(shard_stream(spark, root, layout="partitioned"),
-                       target, ckpt, schema, "id", "2024-06-02 00:00:00")
-    return read_target(spark, target).select("id", "user_id", "event_type")
+                       target, ckpt, schema, "id", "2024-06-02 00:00:00", buckets=b)
+    return read_target(spark, target, key="id", buckets=b).select("id", "user_id", "event_type")
 
 
 def flow_lines(spark, sf_dir):

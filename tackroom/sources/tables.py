@@ -67,7 +67,8 @@ def read_target(spark: SparkSession, root: str, schema: StructType | str | None
     return spark.table(name)
 
 
-def write_target(df: DataFrame, root: str, key: str | None = None, buckets: int | None = None) -> int:
+def write_target(df: DataFrame, root: str, key: str | None = None, buckets: int | None = None,
+                 version: int | None = None) -> int:
     """Write a new version next to the one being read, never over it.
 
     Readers pick the highest version with a ``_SUCCESS`` marker, so the switch
@@ -77,8 +78,14 @@ def write_target(df: DataFrame, root: str, key: str | None = None, buckets: int
     written without another shuffle.
     """
     spark = df.sparkSession
-    v = (latest_version(spark, root) or 0) + 1
+    v = version if version is not None else (latest_version(spark, root) or 0) + 1
     path = f"{root.rstrip('/')}/v={v}"
+    fs, p = _fs(spark, path)
+    jvm = spark.sparkContext._jvm
+    if fs.exists(p):
+        if fs.exists(jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS")):
+            raise FileExistsError(f"version {v} is already committed under {root}")
+        fs.delete(p, True)  # leftovers of a failed attempt; no reader ever used them
     if key and buckets:
         (df.write.mode("errorifexists").format("parquet").bucketBy(int(buckets), key).sortBy(key)
          .option("path", path).saveAsTable(_table_name(root, v)))
