@@ -59,3 +59,24 @@ def merge_clean_upsert(spark: SparkSession, shards_root: str, target_root: str,
     if ledger:
         record_consumed(lines, ledger)
     return reconcile_counts(before, source, read_target(spark, target_root, key=key, buckets=buckets), key)
+
+
+def merge_job(spark: SparkSession, shards_root: str, out_dir: str, master_name: str,
+              layout: str = "files", ledger: str | None = None) -> DataFrame:
+    """Merge step: discover shards (S1), write the master in merge order (S3),
+    then record the consumed files (S4) and return the summary (S5).
+
+    With no matching shard the outcome is explicit: one row with
+    ``merged_count = 0`` and ``status = 'nothing_to_merge'``, and nothing is
+    written. The ledger is appended only after the master is committed.
+    """
+    from tackroom.sources.shards import merge_summary, write_master
+    consumed = read_consumed(spark, ledger) if ledger else None
+    lines = read_shard_lines(spark, shards_root, layout=layout, consumed=consumed)
+    if lines.select("file_path").isEmpty():
+        return spark.createDataFrame([(0, 0, None, "nothing_to_merge")],
+                                     "merged_count long, line_count long, master_file string, status string")
+    write_master(lines, f"{out_dir.rstrip('/')}/{master_name}")
+    if ledger:
+        record_consumed(lines, ledger)
+    return merge_summary(lines, master_name).withColumn("status", F.lit("merged"))

@@ -10,7 +10,7 @@ from tackroom.operators.reshape import (
     assemble_profiles, flatten_profile, flatten_races, map_career, map_races, unnest_elements,
 )
 from tackroom.plans.registry import query, table
-from tackroom.schemas import CAREER_FIELDS, RACE_FIELDS
+from tackroom.operators.features import race_rows
 
 
 def raw_profiles(spark, sf_dir):
@@ -241,3 +241,18 @@ def assemble_profiles_q(spark, sf_dir):
                   F.lit(200).alias("status"))
     return assemble_profiles(profile, career, races).select(
         "id", F.col("c_name").alias("name"), "n_orders", "total_price", "n_lines", "sum_qty")
+
+
+@query("race_context_rows", "X7 P6 P9", sql="""
+SELECT o_orderkey, l_returnflag AS race_group, l_returnflag || l_linestatus AS race_subtype,
+  'cat-' || CAST(l_suppkey AS VARCHAR) AS race_category, 'city-' || CAST(l_suppkey % 10 AS VARCHAR) AS city,
+  CASE WHEN l_orderkey IS NULL THEN NULL ELSE 'T' END AS track_type, l_linestatus AS weather,
+  l_discount AS temperature, l_quantity AS track_distance, l_tax AS jockey_weight,
+  CAST(l_quantity AS INTEGER) AS final_place
+FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey
+""")
+def race_context_rows(spark, sf_dir):
+    """One feature row per (order, race) with the race context renamed."""
+    df = orders_with_races(spark, sf_dir)
+    flat = df.select("o_orderkey", map_races(flatten_races(F.col("races_raw"))).alias("races"))
+    return race_rows(flat, ["o_orderkey"])

@@ -65,3 +65,18 @@ def test_names_and_percent(spark):
     assert cleaned_name("/b/master_x.ndjson", "2024-06-01T10:11:12.123Z") == \
         "/b/master_x_cleaned_deduped_2024-06-01T10_11_12_123Z"
     assert spark.range(1).select(percent_text(F.lit(0.4567)).alias("t")).first().t == "45.7%"
+
+
+def test_merge_job_nothing_then_merged(spark, tmp_dir):
+    from tackroom.plans.flows import merge_job
+    src, out, ledger = f"{tmp_dir}/src", f"{tmp_dir}/out", f"{tmp_dir}/ledger"
+    os.makedirs(src)
+    r = merge_job(spark, src, out, "m1", ledger=ledger).first()
+    assert r.merged_count == 0 and r.status == "nothing_to_merge"
+    for name, body in (("horse_data_1001_to_2000_1.ndjson", '{"id":2}'), ("horse_data_1_to_1000_1.ndjson", '{"id":1}')):
+        with open(f"{src}/{name}", "w") as f:
+            f.write(body)  # no final newline: lines must not glue
+    r = merge_job(spark, src, out, "m2", ledger=ledger).first()
+    assert (r.merged_count, r.line_count, r.status) == (2, 2, "merged")
+    assert [x.value for x in spark.read.text(f"{out}/m2").collect()] == ['{"id":2}', '{"id":1}']
+    assert merge_job(spark, src, out, "m3", ledger=ledger).first().status == "nothing_to_merge"
