@@ -125,7 +125,11 @@ def train_and_rank(spark, sf_dir):
     snap = read_snapshot(spark, root, "20240601")
     numeric = ["track_distance", "jockey_weight"]
     model = train(snap, ["jockey_weight_missing"], numeric, max_iter=20)
-    scored = score(snap, model, numeric, keep=["l_orderkey", "idx"])
+    # scores feed two rankings: write them once to the shared folder (cuts the
+    # lineage too, so a lost executor does not re-run the model)
+    scored_path = scratch_dir(spark, "scored")
+    score(snap, model, numeric, keep=["l_orderkey", "idx"]).write.parquet(scored_path)
+    scored = spark.read.parquet(scored_path)
     card = race_card(scored, "scores", "idx", ["l_orderkey"])
     top = greedy_top_k(scored.withColumn("class_probs", class_probs(F.col("scores"))),
                        "class_probs", "idx", ["l_orderkey"], 3)

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tackroom.functions.columns import prize_total
 from tackroom.functions.fold import fold_prize_rows, fold_prizes
 from tackroom.operators.reshape import (
     assemble_profiles, flatten_profile, flatten_races, map_career, map_races, unnest_elements,
