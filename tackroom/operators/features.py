@@ -49,11 +49,18 @@ def position_class(place: Column) -> Column:
             .alias(POSITION_LABEL)
 
 
+RACE_CONTEXT = {"raceGroup": "race_group", "raceSubtype": "race_subtype", "raceCategoryName": "race_category",
+                "cityName": "city", "trackTypeName": "track_type", "weather": "weather",
+                "temperature": "temperature", "trackDistance": "track_distance",
+                "jockeyWeight": "jockey_weight", "horseFinalPlace": "final_place"}
+
+
+def race_context(race: Column) -> list[Column]:
+    """X7 columns of one race element, renamed to feature names."""
+    return [race[k].alias(v) for k, v in RACE_CONTEXT.items()]
+
+
 def race_rows(df: DataFrame, keep: list[str], races: str = "races") -> DataFrame:
     """One row per (record, race) with the race context columns renamed."""
-    ren = {"raceGroup": "race_group", "raceSubtype": "race_subtype", "raceCategoryName": "race_category",
-           "cityName": "city", "trackTypeName": "track_type", "weather": "weather",
-           "temperature": "temperature", "trackDistance": "track_distance",
-           "jockeyWeight": "jockey_weight", "horseFinalPlace": "final_place"}
     e = df.select(*keep, F.explode_outer(races).alias("_r"))
-    return e.select(*keep, *[F.col(f"_r.{k}").alias(v) for k, v in ren.items()])
+    return e.select(*keep, *race_context(F.col("_r")))

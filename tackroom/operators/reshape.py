@@ -78,11 +78,14 @@ def _rule(x: Column, path: str, rule: str) -> Column:
     raise ValueError(rule)
 
 
+def map_struct(x: Column, mapping: Mapping[str, tuple[str, str]]) -> Column:
+    """Re-struct one element by ``mapping``."""
+    return F.struct(*[_rule(x, p, r).alias(name) for name, (p, r) in mapping.items()])
+
+
 def map_struct_array(arr: Column, mapping: Mapping[str, tuple[str, str]]) -> Column:
     """Re-struct every element by ``mapping``; a NULL array becomes ``[]``."""
-    def elem(x):
-        return F.struct(*[_rule(x, p, r).alias(name) for name, (p, r) in mapping.items()])
-    out = F.transform(arr, elem)
+    out = F.transform(arr, lambda x: map_struct(x, mapping))
     return F.coalesce(out, F.array())
 
 
@@ -102,6 +105,12 @@ def map_races(arr: Column) -> Column:
     return map_struct_array(arr, RACES_INGEST_MAPPING)
 
 
+def race_element(raw: Column) -> Column:
+    """P6 then P9 on a single raw race element (the tabular form of
+    ``map_races(flatten_races(arr))``)."""
+    return map_struct(map_struct(raw, RACES_MAPPING), RACES_INGEST_MAPPING)
+
+
 def flatten_profile(raw: DataFrame, career: str | None = "career_raw", races: str | None = "races_raw") -> DataFrame:
     """One raw profile row (nested API shape) to the flat record."""
     c = F.col

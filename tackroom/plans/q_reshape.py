@@ -6,10 +6,12 @@ from pyspark.sql import functions as F
 
 from tackroom.functions.fold import fold_prize_rows, fold_prizes
 from tackroom.operators.reshape import (
-    assemble_profiles, flatten_profile, flatten_races, map_career, map_races, unnest_elements,
+    assemble_profiles, flatten_profile, flatten_races, map_career, map_races, race_element, unnest_elements,
 )
 from tackroom.plans.registry import query, table
-from tackroom.operators.features import race_rows
+from tackroom.operators.features import race_context
+from tackroom.operators.skew import DEFAULT_MAX_NESTED, rank_in_group, split_by_group_size
+from tackroom.schemas import RACE_FIELDS
 
 
 def raw_profiles(spark, sf_dir):
@@ -74,17 +76,25 @@ def raw_race(prefix=""):
                  ).alias("race"))
 
 
-def orders_with_races(spark, sf_dir):
-    """Orders with their lines nested as raw race arrays.
+def order_race_rows(spark, sf_dir, max_nested=DEFAULT_MAX_NESTED):
+    """One row per (order, line): ``pos`` and the line as a mapped race element
+    (P6 then P9), plus one all-NULL row for an order without lines (J4 outer).
 
-    The array is built per order (a TPC-H order holds a handful of lines), and
-    sorted by every element field so its order is deterministic.
+    Orders of up to ``max_nested`` lines are nested (array sorted by every
+    element field), mapped with ``transform`` and unnested. A larger order is
+    never collected: its lines are mapped row by row with the same rules and
+    placed by an exact distributed rank under the same ordering.
     """
-    li = table(spark, sf_dir, "lineitem", spread=True)
+    li = table(spark, sf_dir, "lineitem", spread=True) \
+        .select(F.col("l_orderkey").alias("o_orderkey"), raw_race().alias("r"))
+    small, hot = split_by_group_size(li, ["o_orderkey"], max_nested)
+    nested = small.groupBy("o_orderkey").agg(F.sort_array(F.collect_list("r")).alias("races_raw"))
+    mapped = nested.select("o_orderkey", map_races(flatten_races(F.col("races_raw"))).alias("races"))
+    rows_small = mapped.select("o_orderkey", F.posexplode("races").alias("pos", "e"))
+    rows_hot = rank_in_group(hot, ["o_orderkey"], ["r"], name="pos") \
+        .select("o_orderkey", F.col("pos").cast("int").alias("pos"), race_element(F.col("r")).alias("e"))
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
-    nested = li.groupBy(F.col("l_orderkey").alias("o_orderkey")) \
-               .agg(F.sort_array(F.collect_list(raw_race())).alias("races_raw"))
-    return o.join(nested, "o_orderkey", "left")
+    return o.join(rows_small.unionByName(rows_hot), "o_orderkey", "left")
 
 
 RACES_SQL = """
@@ -106,11 +116,14 @@ FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey
 """
 
 
+def flatten_races_rows(spark, sf_dir, max_nested=DEFAULT_MAX_NESTED):
+    rows = order_race_rows(spark, sf_dir, max_nested)
+    return rows.select("o_orderkey", "o_orderstatus", "pos", *[F.col(f"e.{f}").alias(f) for f in RACE_FIELDS])
+
+
 @query("flatten_races", "P6 P9 J4 F7 F8", sql=RACES_SQL)
 def flatten_races_q(spark, sf_dir):
-    df = orders_with_races(spark, sf_dir)
-    flat = df.select("o_orderkey", "o_orderstatus", map_races(flatten_races(F.col("races_raw"))).alias("races"))
-    return unnest_elements(flat, "races", ["o_orderkey", "o_orderstatus"])
+    return flatten_races_rows(spark, sf_dir)
 
 
 def yearly_career(spark, sf_dir):
@@ -195,15 +208,24 @@ FROM anchors a LEFT JOIN tails USING (conv_id, seg)
 """
 
 
-@query("fold_career_nested", "P7 F4", sql=FOLD_SQL)
-def fold_career_nested(spark, sf_dir):
-    """Nested form: each conversation as one career array (a conversation is
-    a handful of turns), folded row-locally with ``aggregate``."""
+def fold_conversations(spark, sf_dir, max_nested=DEFAULT_MAX_NESTED):
+    """Nested form: each conversation as one career array folded row-locally
+    with ``aggregate``. A conversation above ``max_nested`` turns is not
+    collected; it goes through the tabular scan, which gives the same rows."""
     el = conversation_elements(spark, sf_dir)
-    arr = el.groupBy("conv_id").agg(F.sort_array(F.collect_list(
+    small, hot = split_by_group_size(el, ["conv_id"], max_nested)
+    arr = small.groupBy("conv_id").agg(F.sort_array(F.collect_list(
         F.struct("turn", "raceYear", "prize"))).alias("career"))
-    out = arr.select("conv_id", F.explode(fold_prizes(F.col("career"))).alias("e"))
-    return out.select("conv_id", F.col("e.turn").alias("anchor_turn"), "e.raceYear", "e.prize")
+    out = arr.select("conv_id", F.explode(fold_prizes(F.col("career"))).alias("e")) \
+             .select("conv_id", F.col("e.turn").alias("anchor_turn"), "e.raceYear", "e.prize")
+    big = fold_prize_rows(hot, ["conv_id"], "turn", "raceYear", "prize") \
+        .select("conv_id", F.col("turn").alias("anchor_turn"), "raceYear", "prize")
+    return out.unionByName(big)
+
+
+@query("fold_career_nested", "P7 F4", sql=FOLD_SQL)
+def fold_career_nested(spark, sf_dir):
+    return fold_conversations(spark, sf_dir)
 
 
 @query("fold_career_window", "P7 F4", sql=FOLD_SQL)
@@ -252,6 +274,5 @@ FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey
 """)
 def race_context_rows(spark, sf_dir):
     """One feature row per (order, race) with the race context renamed."""
-    df = orders_with_races(spark, sf_dir)
-    flat = df.select("o_orderkey", map_races(flatten_races(F.col("races_raw"))).alias("races"))
-    return race_rows(flat, ["o_orderkey"])
+    rows = order_race_rows(spark, sf_dir)
+    return rows.select("o_orderkey", *race_context(F.col("e")))

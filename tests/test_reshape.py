@@ -112,3 +112,30 @@ def test_unnest_keeps_empty(spark):
     df = spark.createDataFrame([(1, [(1,), (2,)]), (2, [])], "id int, a array<struct<x:int>>")
     out = sorted((r.id, r.pos, r.x) for r in unnest_elements(df, "a", ["id"]).collect())
     assert out == [(1, 0, 1), (1, 1, 2), (2, None, None)]
+
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.mark.skipif(not __import__("os").path.isdir(SF), reason="driver data absent")
+def test_hot_group_paths_agree(spark):
+    """Forcing every group through the non-collecting path gives the same rows."""
+    from tackroom.plans.q_reshape import flatten_races_rows, fold_conversations
+    for fn in (flatten_races_rows, fold_conversations):
+        nested = sorted(map(tuple, fn(spark, SF).collect()), key=repr)
+        tabular = sorted(map(tuple, fn(spark, SF, max_nested=0).collect()), key=repr)
+        mixed = sorted(map(tuple, fn(spark, SF, max_nested=3).collect()), key=repr)
+        assert nested == tabular == mixed and nested
+
+
+def test_rank_in_group_exact_with_hot_group(spark):
+    from tackroom.operators.skew import rank_in_group
+    rnd = random.Random(5)
+    rows = [(0 if rnd.random() < 0.4 else rnd.randint(1, 30), rnd.randint(0, 50), i) for i in range(4000)]
+    df = spark.createDataFrame(rows, "g int, o int, i int")
+    got = {(r.g, r.o, r.i): r._rank for r in rank_in_group(df, ["g"], ["o", "i"]).collect()}
+    by = {}
+    for g, o, i in rows:
+        by.setdefault(g, []).append((o, i))
+    exp = {(g, o, i): k for g, lst in by.items() for k, (o, i) in enumerate(sorted(lst))}
+    assert got == exp
