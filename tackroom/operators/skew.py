@@ -1,10 +1,11 @@
 """Hot-group handling: size-split routing and an exact rank within a group
 that never sends a whole group to one task.
 
-``with_group_size`` counts rows per group by partial aggregation and joins the
-count back (AQE splits a skewed join partition or broadcasts the small count
-table). Operators that build one nested value per group use it to route
-groups above a size bound to a tabular path that handles them exactly.
+``split_by_group_size`` counts rows per group by partial aggregation; only when
+some group exceeds the bound does it join the counts back (AQE splits a
+skewed join partition or broadcasts the small count table). Operators that
+build one nested value per group use it to route groups above a size bound
+to a tabular path that handles them exactly.
 
 ``rank_in_group`` gives each row its 0-based position within its group under
 ``order_cols``: rows are range-partitioned on (group, order) — so a hot group
@@ -29,8 +30,17 @@ def with_group_size(df: DataFrame, group_cols: Sequence[str], name: str = "_gsiz
 
 
 def split_by_group_size(df: DataFrame, group_cols: Sequence[str], max_rows: int = DEFAULT_MAX_NESTED):
-    """(small, hot): rows of groups with at most / more than ``max_rows`` rows."""
-    sized = with_group_size(df, group_cols)
+    """(small, hot): rows of groups with at most / more than ``max_rows`` rows.
+
+    The group sizes are counted first (partial aggregation) and probed for
+    one group above the bound, a single scalar read. Without a hot group the
+    input is returned whole as ``small`` and ``hot`` is None, so the common
+    case pays one counting pass and no join.
+    """
+    sizes = df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_gsize"))
+    if sizes.where(F.col("_gsize") > max_rows).limit(1).count() == 0:
+        return df, None
+    sized = df.join(sizes, list(group_cols), "inner")
     small = sized.where(F.col("_gsize") <= max_rows).drop("_gsize")
     hot = sized.where(F.col("_gsize") > max_rows).drop("_gsize")
     return small, hot

@@ -90,11 +90,12 @@ def order_race_rows(spark, sf_dir, max_nested=DEFAULT_MAX_NESTED):
     small, hot = split_by_group_size(li, ["o_orderkey"], max_nested)
     nested = small.groupBy("o_orderkey").agg(F.sort_array(F.collect_list("r")).alias("races_raw"))
     mapped = nested.select("o_orderkey", map_races(flatten_races(F.col("races_raw"))).alias("races"))
-    rows_small = mapped.select("o_orderkey", F.posexplode("races").alias("pos", "e"))
-    rows_hot = rank_in_group(hot, ["o_orderkey"], ["r"], name="pos") \
-        .select("o_orderkey", F.col("pos").cast("int").alias("pos"), race_element(F.col("r")).alias("e"))
+    rows = mapped.select("o_orderkey", F.posexplode("races").alias("pos", "e"))
+    if hot is not None:
+        rows = rows.unionByName(rank_in_group(hot, ["o_orderkey"], ["r"], name="pos").select(
+            "o_orderkey", F.col("pos").cast("int").alias("pos"), race_element(F.col("r")).alias("e")))
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
-    return o.join(rows_small.unionByName(rows_hot), "o_orderkey", "left")
+    return o.join(rows, "o_orderkey", "left")
 
 
 RACES_SQL = """
@@ -218,6 +219,8 @@ def fold_conversations(spark, sf_dir, max_nested=DEFAULT_MAX_NESTED):
         F.struct("turn", "raceYear", "prize"))).alias("career"))
     out = arr.select("conv_id", F.explode(fold_prizes(F.col("career"))).alias("e")) \
              .select("conv_id", F.col("e.turn").alias("anchor_turn"), "e.raceYear", "e.prize")
+    if hot is None:
+        return out
     big = fold_prize_rows(hot, ["conv_id"], "turn", "raceYear", "prize") \
         .select("conv_id", F.col("turn").alias("anchor_turn"), "raceYear", "prize")
     return out.unionByName(big)
