@@ -13,6 +13,8 @@ from pyspark.sql import SparkSession
 # into a broadcast only when the measured shuffle output is small.
 SESSION_DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
+    # ANSI casts: an uncastable distance or temperature fails the ingest
+    "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",

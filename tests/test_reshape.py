@@ -139,3 +139,41 @@ def test_rank_in_group_exact_with_hot_group(spark):
         by.setdefault(g, []).append((o, i))
     exp = {(g, o, i): k for g, lst in by.items() for k, (o, i) in enumerate(sorted(lst))}
     assert got == exp
+
+
+def test_landed_responses_to_records(spark):
+    """J1 + P4 + P6 + P7 on the API response shapes (invented rows)."""
+    from pyspark.sql import types as T
+    prof = spark.createDataFrame([
+        {"id": 10, "name": "Alpha", "sex": "MARE", "color": {"polishName": "gniada"}, "mother": {"id": 3, "name": "Ma"},
+         "father": None, "trainer": {"lastName": "Kow"}, "breed": "X", "breeders": [{"name": "Br"}],
+         "raceOwners": [], "dateOfBirth": "2019-01-02"},
+        {"id": 11, "name": "Beta", "sex": "STALLION", "color": None, "mother": None, "father": None, "trainer": None,
+         "breed": None, "breeders": None, "raceOwners": None, "dateOfBirth": None},
+    ], RAW_PROFILE_SCHEMA).withColumn("status", F.lit(200))
+    career_t = "array<struct<raceYear:int,prize:string,horseAge:int,raceType:string,raceCount:int,raceWonCount:int,racePrizeCount:int>>"
+    career = spark.createDataFrame([
+        (10, 200, [(None, "5", None, None, None, None, None), (2021, "100", 2, "flat", 3, 1, 2),
+                   (None, "50", None, None, None, None, None)]),
+        (11, 500, None),
+    ], f"id long, status int, career_raw {career_t}")
+    race_t = ("array<struct<order:int,place:int,prize:string,jockeyWeight:double,"
+              "jockey:struct<firstName:string,lastName:string>,"
+              "race:struct<trackDistance:string,temperature:string,weather:string,group:string,subType:string,"
+              "currency:struct<code:string>,category:struct<name:string>,city:struct<name:string>,"
+              "trackType:struct<name:string>>>>")
+    races = spark.createDataFrame([
+        (10, 200, [(1, 2, "700", None, ("", "Nowak"), ("2400", "12.5", "sun", "G", "S", ("",), ("C",), None, ("turf",)))]),
+        (11, 200, None),
+    ], f"id long, status int, races_raw {race_t}")
+    joined = assemble_profiles(prof, career, races)
+    recs = {r.id: r for r in flatten_profile(joined).collect()}
+    assert set(recs) == {10}  # id 11 had a failed career response
+    r = recs[10]
+    assert (r.color, r.mother, r.motherId, r.father, r.trainer, r.breeder, r.owner) == \
+        ("gniada", "Ma", 3, None, "Kow", "Br", None)
+    assert [(c.raceYear, c.prize) for c in r.career] == [(2021, "100 + 50")]
+    race = r.races[0]
+    assert (race.horseOrder, race.prizeAmount, race.prizeCurrency, race.jockeyFirstName, race.jockeyLastName) == \
+        (1, "700", None, None, "Nowak")
+    assert (race.trackDistance, race.cityName, race.trackTypeName) == ("2400", None, "turf")
