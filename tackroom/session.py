@@ -27,6 +27,20 @@ SESSION_DEFAULTS = {
 }
 
 
+# Suggested additions for a large cluster (100 TB of NDJSON, ~1000 executors).
+# Splits of 256 MB keep a task's JSON parse a few seconds long; the initial
+# shuffle width is generous and AQE coalesces it toward 256 MB partitions, or
+# splits a partition 3x the median (and over 512 MB) when a join key is hot.
+CLUSTER_SETTINGS = {
+    "spark.sql.files.maxPartitionBytes": str(256 << 20),
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 << 20),
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 << 20),
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
+    "spark.sql.parquet.compression.codec": "zstd",
+}
+
+
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
               app_name: str = "tackroom", extra: dict | None = None) -> SparkSession:
     """Build (or reuse) a session with the defaults above.
