@@ -57,35 +57,44 @@ def incremental_shards(lines: DataFrame, sink: str, checkpoint: str) -> None:
     q.awaitTermination()
 
 
+def upsert_batch(batch: DataFrame, batch_id: int, target_root: str, schema: StructType | str, key: str,
+                 run_ts: str, transform=None, buckets: int | None = None) -> bool:
+    """One micro-batch of T2; returns False when it is a replay and was skipped.
+
+    Batch ``b`` writes version ``b + 1``; if that version (or a later one) is
+    already committed the batch was applied before and nothing happens.
+    """
+    from tackroom.sources.tables import latest_version, read_target, write_target
+
+    spark = batch.sparkSession
+    version = batch_id + 1
+    current = latest_version(spark, target_root)
+    if current is not None and current >= version:
+        return False
+    ordered = batch.withColumn("row_id", F.monotonically_increasing_id())
+    kept = kept_lines(clean(ordered, ORDER_COLS))
+    rec = kept.select(F.from_json("line", schema).alias("r")).select("r.*")
+    if transform is not None:
+        rec = transform(rec)
+    if current is None:
+        merged = rec.withColumn("updated_at", F.lit(run_ts).cast("timestamp"))
+    else:
+        before = read_target(spark, target_root, key=key, buckets=buckets)
+        merged = upsert(before, rec, key, run_ts, buckets=buckets)
+    write_target(merged, target_root, key=key, buckets=buckets, version=version)
+    return True
+
+
 def incremental_upsert(lines: DataFrame, target_root: str, checkpoint: str, schema: StructType | str,
                        key: str, run_ts: str, transform=None, buckets: int | None = None) -> None:
     """Each micro-batch is cleaned (first wins inside the batch), parsed with
     ``schema``, optionally reshaped by ``transform`` and upserted into the
-    versioned target; later batches replace earlier rows of the same key.
-
-    Batch ``b`` writes version ``b + 1``; a batch whose version (or a later
-    one) is already committed is a replay and is skipped. With ``buckets`` the
-    target is bucketed on ``key``, so each batch shuffles only its own rows.
+    versioned target (:func:`upsert_batch`); later batches replace earlier rows
+    of the same key. With ``buckets`` the target is bucketed on ``key``, so
+    each batch shuffles only its own rows.
     """
-    from tackroom.sources.tables import latest_version, read_target, write_target
-
     def run(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        version = batch_id + 1
-        current = latest_version(spark, target_root)
-        if current is not None and current >= version:
-            return  # replay of a committed batch
-        ordered = batch.withColumn("row_id", F.monotonically_increasing_id())
-        kept = kept_lines(clean(ordered, ORDER_COLS))
-        rec = kept.select(F.from_json("line", schema).alias("r")).select("r.*")
-        if transform is not None:
-            rec = transform(rec)
-        if current is None:
-            merged = rec.withColumn("updated_at", F.lit(run_ts).cast("timestamp"))
-        else:
-            before = read_target(spark, target_root, key=key, buckets=buckets)
-            merged = upsert(before, rec, key, run_ts, buckets=buckets)
-        write_target(merged, target_root, key=key, buckets=buckets, version=version)
+        upsert_batch(batch, batch_id, target_root, schema, key, run_ts, transform, buckets)
 
     q = (lines.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
