@@ -15,7 +15,7 @@ from tackroom.plans.q_clean import CLEAN_REPORT_SQL
 from tackroom.plans.registry import query, table
 from tackroom.session import scratch_dir
 from tackroom.sources.shards import read_shard_lines, write_batch_shards, write_line_shards
-from tackroom.sources.tables import read_snapshot, read_target, write_snapshot
+from tackroom.sources.tables import read_ranged, read_snapshot, read_target, write_snapshot
 from tackroom.streaming.incremental import incremental_shards, incremental_upsert, shard_stream
 
 
@@ -59,21 +59,22 @@ WHERE event_id <> 0  -- an id of 0 is falsy: the clean step drops it as id-less
 """)
 def incremental_upsert_q(spark, sf_dir):
     """Two landings of ``events``; the second repeats every id with the type
-    upper-cased. Each run consumes only its own new shards and upserts them."""
+    upper-cased. Each run consumes only its own new shards and upserts them
+    into a target partitioned by id range (1,000 ids, the landing batch), so
+    a run reads and rewrites only the ranges its shards touch."""
     ev = table(spark, sf_dir, "events").select(F.col("event_id").alias("id"), "user_id", "event_type")
     root = scratch_dir(spark, "upsert-src")
     target, ckpt = scratch_dir(spark, "upsert-target"), scratch_dir(spark, "upsert-ckpt")
     schema = "id long, user_id long, event_type string"
-    b = int(spark.conf.get("spark.sql.shuffle.partitions"))
     write_batch_shards(ev, root, "id", 0, 1000, STAMP_MILLIS)
-    # one micro-batch per run; the bucketed target is read in place
+    # one micro-batch per run
     incremental_upsert(shard_stream(spark, root, layout="partitioned"),
-                       target, ckpt, schema, "id", RUN_TS, buckets=b)
+                       target, ckpt, schema, "id", RUN_TS, range_width=1000)
     write_batch_shards(ev.withColumn("event_type", F.upper("event_type")), root, "id", 0, 1000,
                        STAMP_MILLIS + 1)
     incremental_upsert(shard_stream(spark, root, layout="partitioned"),
-                       target, ckpt, schema, "id", "2024-06-02 00:00:00", buckets=b)
-    return read_target(spark, target, key="id", buckets=b).select("id", "user_id", "event_type")
+                       target, ckpt, schema, "id", "2024-06-02 00:00:00", range_width=1000)
+    return read_ranged(spark, target).select("id", "user_id", "event_type")
 
 
 def flow_lines(spark, sf_dir):

@@ -85,16 +85,46 @@ def upsert_batch(batch: DataFrame, batch_id: int, target_root: str, schema: Stru
     return True
 
 
+def upsert_batch_ranged(batch: DataFrame, batch_id: int, target_root: str, schema: StructType | str, key: str,
+                        run_ts: str, width: int, transform=None) -> bool:
+    """One micro-batch of T2 on a range-partitioned target: only the key
+    ranges in the batch are read and rewritten. A ledger of applied batch ids
+    (appended after the data commit) makes a replay a no-op."""
+    from tackroom.session import scratch_dir
+    from tackroom.sources.tables import _fs, upsert_ranged
+
+    spark = batch.sparkSession
+    ledger = f"{target_root.rstrip('/')}_batches"
+    fs, p = _fs(spark, f"{ledger}/batch_id={batch_id}")
+    if fs.exists(p):
+        return False
+    ordered = batch.withColumn("row_id", F.monotonically_increasing_id())
+    rec = kept_lines(clean(ordered, ORDER_COLS)).select(F.from_json("line", schema).alias("r")).select("r.*")
+    if transform is not None:
+        rec = transform(rec)
+    upsert_ranged(rec, target_root, key, run_ts, width, scratch_dir(spark, "ranged-merge"))
+    spark.range(1).select(F.lit(batch_id).alias("batch_id"), F.lit(run_ts).alias("run_ts")) \
+        .write.mode("append").partitionBy("batch_id").parquet(ledger)
+    return True
+
+
 def incremental_upsert(lines: DataFrame, target_root: str, checkpoint: str, schema: StructType | str,
-                       key: str, run_ts: str, transform=None, buckets: int | None = None) -> None:
+                       key: str, run_ts: str, transform=None, buckets: int | None = None,
+                       range_width: int | None = None) -> None:
     """Each micro-batch is cleaned (first wins inside the batch), parsed with
-    ``schema``, optionally reshaped by ``transform`` and upserted into the
-    versioned target (:func:`upsert_batch`); later batches replace earlier rows
-    of the same key. With ``buckets`` the target is bucketed on ``key``, so
-    each batch shuffles only its own rows.
+    ``schema``, optionally reshaped by ``transform`` and upserted; later
+    batches replace earlier rows of the same key.
+
+    ``range_width`` selects the range-partitioned target (each batch rewrites
+    only the key ranges it touches, :func:`upsert_batch_ranged`); otherwise
+    the target is versioned (:func:`upsert_batch`), bucketed on ``key`` when
+    ``buckets`` is given.
     """
     def run(batch: DataFrame, batch_id: int) -> None:
-        upsert_batch(batch, batch_id, target_root, schema, key, run_ts, transform, buckets)
+        if range_width:
+            upsert_batch_ranged(batch, batch_id, target_root, schema, key, run_ts, range_width, transform)
+        else:
+            upsert_batch(batch, batch_id, target_root, schema, key, run_ts, transform, buckets)
 
     q = (lines.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())

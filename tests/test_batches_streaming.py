@@ -81,3 +81,33 @@ def test_upsert_batch_replay_is_skipped(spark, tmp_dir):
     assert not upsert_batch(b0, 0, tgt, "id long, v string", "id", "2024-01-03 00:00:00", buckets=2)
     out = sorted((r.id, r.v) for r in read_target(spark, tgt, key="id", buckets=2).collect())
     assert out == [(1, "a"), (2, "B")]
+
+
+def test_ranged_upsert_rewrites_only_touched_ranges(spark, tmp_dir):
+    import os as _os
+    from tackroom.sources.tables import read_ranged, upsert_ranged
+    root = f"{tmp_dir}/ranged"
+    base = spark.createDataFrame([(i, f"v{i}") for i in range(0, 30)] + [(None, "n")], "id long, v string")
+    upsert_ranged(base, root, "id", "2024-01-01 00:00:00", 10, f"{tmp_dir}/s1")
+    stamp = {d: _os.path.getmtime(f"{root}/{d}") for d in _os.listdir(root) if d.startswith("_range=")}
+    delta = spark.createDataFrame([(12, "X"), (15, "Y"), (35, "Z")], "id long, v string")
+    upsert_ranged(delta, root, "id", "2024-01-02 00:00:00", 10, f"{tmp_dir}/s2")
+    out = {r.id: r.v for r in read_ranged(spark, root).collect()}
+    assert out[12] == "X" and out[15] == "Y" and out[35] == "Z" and out[11] == "v11" and out[None] == "n"
+    assert len(out) == 32
+    after = {d: _os.path.getmtime(f"{root}/{d}") for d in _os.listdir(root) if d.startswith("_range=")}
+    assert after["_range=0"] == stamp["_range=0"] and after["_range=2"] == stamp["_range=2"]  # untouched
+    assert "_range=3" in after  # new range inserted
+
+
+def test_ranged_streaming_replay(spark, tmp_dir):
+    from tackroom.streaming.incremental import upsert_batch_ranged
+    from tackroom.sources.tables import read_ranged
+    cols = "shard string, file_path string, block_start long, line string, file_name string"
+    b0 = spark.createDataFrame([("s", "f", 0, '{"id":1,"v":"a"}', "f"), ("s", "f", 0, '{"id":21,"v":"b"}', "f")], cols)
+    b1 = spark.createDataFrame([("s", "g", 0, '{"id":21,"v":"B"}', "g")], cols)
+    tgt = f"{tmp_dir}/t"
+    assert upsert_batch_ranged(b0, 0, tgt, "id long, v string", "id", "2024-01-01 00:00:00", 10)
+    assert upsert_batch_ranged(b1, 1, tgt, "id long, v string", "id", "2024-01-02 00:00:00", 10)
+    assert not upsert_batch_ranged(b0, 0, tgt, "id long, v string", "id", "2024-01-03 00:00:00", 10)
+    assert sorted((r.id, r.v) for r in read_ranged(spark, tgt).collect()) == [(1, "a"), (21, "B")]
