@@ -36,10 +36,12 @@ def clean_job(lines: DataFrame, out: str, order_cols: Sequence[str] = ORDER_COLS
 def merge_clean_upsert(spark: SparkSession, shards_root: str, target_root: str, schema: StructType | str,
                        key: str, run_ts: str, layout: str = "files", ledger: str | None = None,
                        reshape: Callable[[DataFrame], DataFrame] | None = None,
-                       buckets: int | None = None) -> DataFrame:
+                       buckets: int | None = None, range_width: int | None = None) -> DataFrame:
     """New shards -> clean -> parse -> (reshape) -> unique check -> upsert ->
     new target version -> ledger -> reconciliation row. With ``buckets`` the
-    target is bucketed on ``key`` and each upsert shuffles only the new rows."""
+    target is bucketed on ``key`` and each upsert shuffles only the new rows;
+    with ``range_width`` it is partitioned by key range and a run rewrites
+    only the ranges it touches (see ``upsert_ranged``)."""
     consumed = read_consumed(spark, ledger) if ledger else None
     lines = read_shard_lines(spark, shards_root, layout=layout, consumed=consumed)
     grouped_path = scratch_dir(spark, "flow-grouped")
@@ -48,6 +50,8 @@ def merge_clean_upsert(spark: SparkSession, shards_root: str, target_root: str,
     source = kept.select(F.from_json("line", schema).alias("r")).select("r.*")
     if reshape is not None:
         source = reshape(source)
+    if range_width:
+        return _merge_ranged(spark, lines, source, target_root, key, run_ts, range_width, ledger)
     before = read_target(spark, target_root, key=key, buckets=buckets)
     assert_unique_source(source, key)
     if before is None:
@@ -61,6 +65,23 @@ def merge_clean_upsert(spark: SparkSession, shards_root: str, target_root: str,
     return reconcile_counts(before, source, read_target(spark, target_root, key=key, buckets=buckets), key)
 
 
+def _merge_ranged(spark, lines, source, target_root, key, run_ts, width, ledger):
+    from tackroom.sources.tables import RANGE_COL, read_ranged, upsert_ranged
+    assert_unique_source(source, key)
+    before_path = scratch_dir(spark, "flow-before-keys")
+    current = read_ranged(spark, target_root)
+    if current is not None:  # keys before the run, for the reconciliation row
+        current.select(key).write.parquet(before_path)
+        before = spark.read.parquet(before_path)
+    else:
+        before = spark.createDataFrame([], source.select(key).schema)
+    upsert_ranged(source, target_root, key, run_ts, width, scratch_dir(spark, "flow-ranged"))
+    if ledger:
+        record_consumed(lines, ledger)
+    after = read_ranged(spark, target_root).drop(RANGE_COL)
+    return reconcile_counts(before, source, after, key)
+
+
 def merge_job(spark: SparkSession, shards_root: str, out_dir: str, master_name: str,
               layout: str = "files", ledger: str | None = None) -> DataFrame:
     """Merge step: discover shards (S1), write the master in merge order (S3),

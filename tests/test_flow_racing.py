@@ -65,3 +65,18 @@ def test_uncastable_distance_fails(spark, tmp_dir):
     with pytest.raises(Exception):
         merge_clean_upsert(spark, src, f"{tmp_dir}/t", STAGING_SCHEMA, "id", "2024-01-01 00:00:00",
                            reshape=reshape)
+
+
+def test_profiles_flow_ranged(spark, tmp_dir):
+    from tackroom.sources.tables import read_ranged
+    src, target, ledger = f"{tmp_dir}/src", f"{tmp_dir}/target", f"{tmp_dir}/ledger"
+    os.makedirs(src)
+    write(f"{src}/horse_data_1_to_1000_1.ndjson", [json.dumps(profile(1, "A")), json.dumps(profile(2, "B"))])
+    rep = merge_clean_upsert(spark, src, target, STAGING_SCHEMA, "id", "2024-01-01 00:00:00",
+                             ledger=ledger, reshape=reshape, range_width=1000).first()
+    assert (rep.rows_before, rep.rows_after, rep.balanced) == (0, 2, True)
+    write(f"{src}/horse_data_1001_to_2000_2.ndjson", [json.dumps(profile(2, "B2")), json.dumps(profile(1500, "C"))])
+    rep = merge_clean_upsert(spark, src, target, STAGING_SCHEMA, "id", "2024-01-02 00:00:00",
+                             ledger=ledger, reshape=reshape, range_width=1000).first()
+    assert (rep.rows_before, rep.rows_matched, rep.rows_after, rep.balanced) == (2, 1, 3, True)
+    assert sorted((r.id, r.name) for r in read_ranged(spark, target).collect()) == [(1, "A"), (2, "B2"), (1500, "C")]
