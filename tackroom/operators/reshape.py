@@ -27,6 +27,7 @@ def _path(x: Column, path: str) -> Column:
 # How each field is derived: (source path, rule). Rules: "pass" keeps the
 # value, "falsy" applies ``x || null``, "string"/"double" cast (ANSI: a bad
 # value fails the job), "const:<text>" is a constant.
+# --- fixed values: response paths and record field names, in record order ---
 RACES_MAPPING: Mapping[str, tuple[str, str]] = {
     "horseOrder": ("order", "pass"),
     "horseFinalPlace": ("place", "pass"),
@@ -63,6 +64,7 @@ RACES_INGEST_MAPPING: Mapping[str, tuple[str, str]] = {
     "trackDistance": ("trackDistance", "double"),
     "temperature": ("temperature", "double"),
 }
+# --- end fixed values --------------------------------------------------------
 
 
 def _rule(x: Column, path: str, rule: str) -> Column:
