@@ -138,6 +138,13 @@ def key_range(key: F.Column, width: int) -> F.Column:
     return F.floor(key / F.lit(width)).cast("long")
 
 
+def _by_range(df: DataFrame, key: str, null_salt: int = 64) -> DataFrame:
+    """One write task per key range (so one file per range); rows with a NULL
+    key, which always insert and share one range, are spread by a row hash."""
+    salt = F.when(F.col(key).isNull(), F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(null_salt)))
+    return df.repartition(F.col(RANGE_COL), salt.otherwise(F.lit(0)))
+
+
 def read_ranged(spark: SparkSession, root: str) -> DataFrame | None:
     fs, p = _fs(spark, root)
     if not fs.exists(p):
@@ -165,8 +172,8 @@ def upsert_ranged(source: DataFrame, root: str, key: str, run_ts: str, width: in
     src = source.withColumn(RANGE_COL, key_range(F.col(key), width))
     current = read_ranged(spark, root)
     if current is None:  # first load: nothing is read, so write in place
-        (src.withColumn("updated_at", F.lit(run_ts).cast("timestamp")).write.mode("errorifexists")
-         .partitionBy(RANGE_COL).parquet(root))
+        first = src.withColumn("updated_at", F.lit(run_ts).cast("timestamp"))
+        _by_range(first, key).write.mode("errorifexists").partitionBy(RANGE_COL).parquet(root)
         return
     else:
         touched = [r[0] for r in src.select(RANGE_COL).distinct().limit(max_listed_ranges + 1).collect()]
@@ -177,6 +184,6 @@ def upsert_ranged(source: DataFrame, root: str, key: str, run_ts: str, width: in
                 cond = cond | F.col(RANGE_COL).isNull()
             current = current.where(cond)
         merged = upsert(current, src, key, run_ts)
-    merged.write.mode("errorifexists").parquet(scratch)
+    _by_range(merged, key).write.mode("errorifexists").parquet(scratch)
     (spark.read.parquet(scratch).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(RANGE_COL).parquet(root))
