@@ -83,9 +83,10 @@ def _merge_ranged(spark, lines, source, target_root, key, run_ts, width, ledger)
 
 
 def merge_job(spark: SparkSession, shards_root: str, out_dir: str, master_name: str,
-              layout: str = "files", ledger: str | None = None) -> DataFrame:
+              layout: str = "files", ledger: str | None = None, remove_merged: bool = False) -> DataFrame:
     """Merge step: discover shards (S1), write the master in merge order (S3),
-    then record the consumed files (S4) and return the summary (S5).
+    then record the consumed files in the ledger and, with ``remove_merged``,
+    delete them (S4), and return the summary (S5).
 
     With no matching shard the outcome is explicit: one row with
     ``merged_count = 0`` and ``status = 'nothing_to_merge'``, and nothing is
@@ -97,7 +98,13 @@ def merge_job(spark: SparkSession, shards_root: str, out_dir: str, master_name:
     if lines.select("file_path").isEmpty():
         return spark.createDataFrame([(0, 0, None, "nothing_to_merge")],
                                      "merged_count long, line_count long, master_file string, status string")
-    write_master(lines, f"{out_dir.rstrip('/')}/{master_name}")
+    master = f"{out_dir.rstrip('/')}/{master_name}"
+    write_master(lines, master)
+    # one summary row, taken now: once shards are removed the listing is gone
+    summary = merge_summary(lines, master_name).withColumn("status", F.lit("merged")).collect()
     if ledger:
         record_consumed(lines, ledger)
-    return merge_summary(lines, master_name).withColumn("status", F.lit("merged"))
+    if remove_merged:
+        from tackroom.sources.shards import retire_files
+        retire_files(spark, lines)
+    return spark.createDataFrame(summary, "merged_count long, line_count long, master_file string, status string")

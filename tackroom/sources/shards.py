@@ -87,6 +87,29 @@ def record_consumed(lines: DataFrame, ledger: str) -> None:
     lines.select("file_path").distinct().write.mode("append").parquet(ledger)
 
 
+def retire_files(spark: SparkSession, lines: DataFrame) -> list[str]:
+    """Delete the merged shard files (S4), only ever called after the master is
+    committed. A file that cannot be removed is reported, not raised: the
+    ledger already keeps it out of the next merge. Returns the failures.
+
+    The list of paths is one row per file (not per line), so it is small.
+    """
+    import logging
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    failed = []
+    for row in lines.select("file_path").distinct().collect():
+        path = jvm.org.apache.hadoop.fs.Path(row.file_path)
+        try:
+            if not path.getFileSystem(conf).delete(path, False):
+                failed.append(row.file_path)
+        except Exception:  # noqa: BLE001 - a failed removal is a warning
+            failed.append(row.file_path)
+    for f in failed:
+        logging.getLogger("tackroom").warning("could not remove merged shard %s", f)
+    return failed
+
+
 def read_consumed(spark: SparkSession, ledger: str) -> DataFrame | None:
     try:
         return spark.read.parquet(ledger)

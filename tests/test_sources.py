@@ -80,3 +80,19 @@ def test_merge_job_nothing_then_merged(spark, tmp_dir):
     assert (r.merged_count, r.line_count, r.status) == (2, 2, "merged")
     assert [x.value for x in spark.read.text(f"{out}/m2").collect()] == ['{"id":2}', '{"id":1}']
     assert merge_job(spark, src, out, "m3", ledger=ledger).first().status == "nothing_to_merge"
+
+
+def test_merge_job_removes_after_commit(spark, tmp_dir):
+    from tackroom.plans.flows import merge_job
+    src, out = f"{tmp_dir}/src", f"{tmp_dir}/out"
+    os.makedirs(src)
+    for name in ("horse_data_1_to_2_1.ndjson", "horse_data_3_to_4_1.ndjson"):
+        with open(f"{src}/{name}", "w") as f:
+            f.write('{"id":1}\n')
+    with open(f"{src}/keep_me.txt", "w") as f:
+        f.write("x")
+    r = merge_job(spark, src, out, "m", remove_merged=True).first()
+    assert (r.merged_count, r.line_count, r.status) == (2, 2, "merged")
+    assert sorted(os.listdir(src)) == ["keep_me.txt"]
+    assert spark.read.text(f"{out}/m").count() == 2
+    assert merge_job(spark, src, out, "m2").first().status == "nothing_to_merge"
