@@ -10,9 +10,18 @@ from tackroom.constants import POSITION_LABEL, POSITION_OTHER
 from tackroom.functions.columns import prize_total
 
 
-def career_totals(df: DataFrame, career: str = "career") -> DataFrame:
-    """X1-X3, row-local over the career array (no shuffle)."""
-    arr = F.col(career)
+def career_totals(df: DataFrame, career: str = "career", as_of_year: Column | int | None = None,
+                  year: str = "raceYear") -> DataFrame:
+    """X1-X3, row-local over the career array (no shuffle).
+
+    ``as_of_year`` (a literal or a per-row column, e.g. the year of the race
+    being predicted) keeps only career years before it, so the history does
+    not include the outcome it is used to predict.
+    """
+    arr = F.coalesce(F.col(career), F.array())  # no career: no races
+    if as_of_year is not None:
+        cut = as_of_year if isinstance(as_of_year, Column) else F.lit(as_of_year)
+        arr = F.filter(arr, lambda e: e[year] < cut)
 
     def total(field: str) -> Column:
         return F.aggregate(arr, F.lit(0).cast("long"), lambda acc, e: acc + F.coalesce(e[field], F.lit(0)).cast("long"))
@@ -26,9 +35,16 @@ def career_totals(df: DataFrame, career: str = "career") -> DataFrame:
     return out.withColumn("career_win_rate", rate).withColumn("career_prize", prize)
 
 
-def trainer_stats(rows: DataFrame, trainer: str, win: Column) -> DataFrame:
+def trainer_stats(rows: DataFrame, trainer: str, win: Column, when: Column | None = None,
+                  as_of: Column | str | None = None) -> DataFrame:
     """Per trainer, how many rows (``trainer_freq``) and the share won
-    (``trainer_win_rate``). Partial aggregation keeps a busy trainer cheap."""
+    (``trainer_win_rate``). Partial aggregation keeps a busy trainer cheap.
+    With ``as_of`` only rows whose ``when`` is before it are counted."""
+    if as_of is not None:
+        if when is None:
+            raise ValueError("as_of needs the event time column 'when'")
+        cut = as_of if isinstance(as_of, Column) else F.lit(as_of).cast("timestamp")
+        rows = rows.where(when < cut)
     return rows.groupBy(trainer).agg(F.count(F.lit(1)).alias("trainer_freq"),
                                      F.avg(win.cast("double")).alias("trainer_win_rate"))
 
