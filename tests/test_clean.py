@@ -138,3 +138,14 @@ def test_order_invariant_under_small_splits(spark, tmp_dir):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
     assert base == small
     assert all('"n":%d}' % int(k) in line for k, line in base)
+
+
+def test_rescraped_range_older_wins_unless_keep_last(spark, tmp_dir):
+    _write(tmp_dir, "horse_data_1_to_1000_1700000000000.ndjson", '{"id":1,"v":"old"}\n')
+    _write(tmp_dir, "horse_data_1_to_1000_1800000000000.ndjson", '{"id":1,"v":"new"}\n')
+    from tackroom.sources.shards import ORDER_COLS
+    lines = read_shard_lines(spark, tmp_dir)
+    first = kept_lines(clean(lines, ORDER_COLS)).collect()
+    last = kept_lines(clean(lines, ORDER_COLS, keep="last")).collect()
+    assert [r.line for r in first] == ['{"id":1,"v":"old"}']
+    assert [r.line for r in last] == ['{"id":1,"v":"new"}']
