@@ -96,3 +96,20 @@ def test_merge_job_removes_after_commit(spark, tmp_dir):
     assert sorted(os.listdir(src)) == ["keep_me.txt"]
     assert spark.read.text(f"{out}/m").count() == 2
     assert merge_job(spark, src, out, "m2").first().status == "nothing_to_merge"
+
+
+def test_request_value_cases(spark, tmp_dir):
+    from tackroom.operators.scoring import cast_numeric_fields, cast_string_fields
+    from tackroom.constants import NUMERIC_FIELDS, STRING_FIELDS
+    inst = [
+        {"horse_id": "41", "temperature": "10", "track_distance": "2400.5", "weather": "pochmurno z przejaśnieniami"},
+        {"horse_id": "42", "temperature": "ciepło", "track_distance": None, "weather": "słońce"},
+        {"horse_id": "43", "weather": "deszcz"},  # absent numeric fields
+    ]
+    _dump(f"{tmp_dir}/req/r.json", {"instances": inst})
+    req = read_instances(spark, f"{tmp_dir}/req",
+                         "instances array<struct<horse_id:string,temperature:string,track_distance:string,weather:string>>")
+    out = cast_numeric_fields(cast_string_fields(req, STRING_FIELDS), NUMERIC_FIELDS).orderBy("idx").collect()
+    assert [(r.temperature, r.temperature_raw) for r in out] == [(10.0, None), (None, "ciepło"), (None, None)]
+    assert [r.track_distance for r in out] == [2400.5, None, None]
+    assert out[0].weather == "pochmurno z przejaśnieniami" and out[1].horse_id == "42"
