@@ -53,7 +53,7 @@ def incremental_shards_q(spark, sf_dir):
                                            F.round(F.sum("r.value"), 2).alias("total_value"))
 
 
-@query("incremental_upsert", "T2 J2", sql="""
+@query("incremental_upsert", "T2 J2 F13", sql="""
 SELECT event_id AS id, user_id, upper(event_type) AS event_type FROM events
 WHERE event_id <> 0  -- an id of 0 is falsy: the clean step drops it as id-less
 """)

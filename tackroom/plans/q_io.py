@@ -169,7 +169,7 @@ def _run_upsert(spark, sf_dir):
     return before, source, read_target(spark, root, key=k, buckets=b)
 
 
-@query("upsert_orders", "J2 J3 S9", sql=UPSERT_SQL)
+@query("upsert_orders", "J2 J3 S9 F13", sql=UPSERT_SQL)
 def upsert_orders(spark, sf_dir):
     _, _, after = _run_upsert(spark, sf_dir)
     return after.select("o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus",
