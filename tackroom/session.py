@@ -52,6 +52,9 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     if master:
         b = b.master(master)
         b = b.config("spark.driver.memory", os.environ.get("TACKROOM_DRIVER_MEM", "16g"))
+        # one local JVM: list shard folders on the driver instead of launching a
+        # distributed listing job (on a cluster the default parallel listing stays)
+        b = b.config("spark.sql.sources.parallelPartitionDiscovery.threshold", "4096")
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for k, v in {**SESSION_DEFAULTS, **(extra or {})}.items():

@@ -169,21 +169,24 @@ def upsert_ranged(source: DataFrame, root: str, key: str, run_ts: str, width: in
     from tackroom.operators.upsert import upsert
 
     spark = source.sparkSession
-    src = source.withColumn(RANGE_COL, key_range(F.col(key), width))
+    # the source feeds both the touched-range list and the merge: write it once
+    # (this also cuts its lineage, so a lost executor does not redo the parse)
+    source.withColumn(RANGE_COL, key_range(F.col(key), width)).write.mode("errorifexists") \
+        .parquet(f"{scratch}/source")
+    src = spark.read.parquet(f"{scratch}/source")
     current = read_ranged(spark, root)
     if current is None:  # first load: nothing is read, so write in place
         first = src.withColumn("updated_at", F.lit(run_ts).cast("timestamp"))
         _by_range(first, key).write.mode("errorifexists").partitionBy(RANGE_COL).parquet(root)
         return
-    else:
-        touched = [r[0] for r in src.select(RANGE_COL).distinct().limit(max_listed_ranges + 1).collect()]
-        if len(touched) <= max_listed_ranges:
-            known = [t for t in touched if t is not None]
-            cond = F.col(RANGE_COL).isin(known)
-            if len(known) < len(touched):
-                cond = cond | F.col(RANGE_COL).isNull()
-            current = current.where(cond)
-        merged = upsert(current, src, key, run_ts)
-    _by_range(merged, key).write.mode("errorifexists").parquet(scratch)
-    (spark.read.parquet(scratch).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    touched = [r[0] for r in src.select(RANGE_COL).distinct().limit(max_listed_ranges + 1).collect()]
+    if len(touched) <= max_listed_ranges:
+        known = [t for t in touched if t is not None]
+        cond = F.col(RANGE_COL).isin(known)
+        if len(known) < len(touched):
+            cond = cond | F.col(RANGE_COL).isNull()
+        current = current.where(cond)
+    merged = upsert(current, src, key, run_ts)
+    _by_range(merged, key).write.mode("errorifexists").parquet(f"{scratch}/merged")
+    (spark.read.parquet(f"{scratch}/merged").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(RANGE_COL).parquet(root))
