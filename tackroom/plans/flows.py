@@ -18,7 +18,7 @@ from tackroom.sources.tables import read_target, write_target
 
 
 def clean_job(lines: DataFrame, out: str, order_cols: Sequence[str] = ORDER_COLS,
-              keep: str = "first") -> DataFrame:
+              keep: str = "first", ordered: bool = True) -> DataFrame:
     """Clean lines into ``out`` (text) and return the report.
 
     The grouped table is written once to the shared folder; the cleaned text
@@ -29,7 +29,7 @@ def clean_job(lines: DataFrame, out: str, order_cols: Sequence[str] = ORDER_COLS
     grouped_path = scratch_dir(spark, "clean-grouped")
     clean(lines, order_cols, keep=keep).write.mode("errorifexists").parquet(grouped_path)
     grouped = spark.read.parquet(grouped_path)
-    write_cleaned(kept_lines(grouped), out, order_cols)
+    write_cleaned(kept_lines(grouped), out, order_cols, ordered)
     return clean_report(grouped)
 
 

@@ -163,6 +163,12 @@ def cleaned_name(master_path: str, run_ts_iso: str) -> str:
     return f"{base}{CLEANED_SUFFIX}{stamp}"
 
 
-def write_cleaned(kept: DataFrame, out: str, order_cols=ORDER_COLS) -> None:
-    """Kept source lines, in first-seen order, as text."""
-    kept.orderBy(*order_cols).select("line").write.mode("errorifexists").text(out)
+def write_cleaned(kept: DataFrame, out: str, order_cols=ORDER_COLS, ordered: bool = True) -> None:
+    """Kept source lines as text (S7), in first-seen order by default (a
+    range-partitioned sort). ``ordered=False`` skips the total sort when the
+    consumer does not need the order; each file is still sorted within."""
+    if ordered:
+        kept = kept.orderBy(*order_cols)
+    else:
+        kept = kept.sortWithinPartitions(*order_cols)
+    kept.select("line").write.mode("errorifexists").text(out)
