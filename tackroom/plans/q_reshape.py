@@ -240,7 +240,7 @@ def fold_career_window(spark, sf_dir):
 
 
 @query("assemble_profiles", "J1", sql="""
-WITH prof AS (SELECT c_custkey AS id, c_name AS name FROM customer WHERE c_custkey % 17 <> 0),
+WITH prof AS (SELECT c_custkey AS id, c_name AS name FROM customer WHERE c_acctbal IS NULL OR c_acctbal >= 0),
 car AS (SELECT o_custkey AS id, count(*) AS n_orders, round(sum(o_totalprice), 2) AS total_price
         FROM orders GROUP BY 1),
 rac AS (SELECT o_custkey AS id, count(*) AS n_lines, round(sum(l_quantity), 2) AS sum_qty
@@ -248,14 +248,15 @@ rac AS (SELECT o_custkey AS id, count(*) AS n_lines, round(sum(l_quantity), 2) A
 SELECT id, name, n_orders, total_price, n_lines, sum_qty FROM prof JOIN car USING (id) JOIN rac USING (id)
 """)
 def assemble_profiles_q(spark, sf_dir):
-    """Three landed per-id responses. Profile: every customer, status 404 for
-    every 17th; career and races: per-customer aggregates (partial
-    aggregation, so a customer with a huge history costs no single task)."""
+    """Three landed per-id responses. Profile: every customer, answered 404
+    when its account balance is negative; career and races: per-customer
+    aggregates (partial aggregation, so a customer with a huge history costs
+    no single task)."""
     c = table(spark, sf_dir, "customer")
     o = table(spark, sf_dir, "orders")
     li = table(spark, sf_dir, "lineitem")
     profile = c.select(F.col("c_custkey").alias("id"), "c_name",
-                       F.when(F.col("c_custkey") % 17 == 0, F.lit(404)).otherwise(F.lit(200)).alias("status"))
+                       F.when(F.col("c_acctbal") < 0, F.lit(404)).otherwise(F.lit(200)).alias("status"))
     career = o.groupBy(F.col("o_custkey").alias("id")).agg(
         F.count(F.lit(1)).alias("n_orders"), F.round(F.sum("o_totalprice"), 2).alias("total_price"),
         F.lit(200).alias("status"))
