@@ -99,6 +99,7 @@ SELECT id, "user", type FROM (
     event_type AS type, event_id,
     row_number() OVER (PARTITION BY CASE WHEN event_id % 20 = 13 THEN event_id - 12 ELSE event_id END
                        ORDER BY event_id) AS rn
+  -- these three residues were rendered blank, malformed and id-less: the clean step drops exactly them
   FROM events WHERE event_id % 20 NOT IN (3, 7, 11))
 WHERE rn = 1 AND id <> 0  -- an id of 0 is falsy: dropped as id-less
 """)

@@ -146,6 +146,7 @@ def _upsert_inputs(spark, sf_dir):
 
 
 UPSERT_SQL = """
+-- every order appears once: the modulus only says whether it came from the target, the source or both
 SELECT o_orderkey, o_custkey,
   CASE WHEN o_orderkey % 3 <> 0 AND o_orderkey % 2 = 0 THEN o_totalprice * 2 ELSE o_totalprice END AS o_totalprice,
   o_orderstatus,
