@@ -49,12 +49,29 @@ def prepare_numeric(df: DataFrame, numeric: Sequence[str]) -> DataFrame:
 
 
 def train(snapshot: DataFrame, categorical: Sequence[str], numeric: Sequence[str],
-          label: str = POSITION_LABEL, model: str = "lr", dry_run: bool = False, **kw):
-    """M5: fit on a snapshot; ``dry_run`` only describes what would be trained."""
+          label: str = POSITION_LABEL, model: str = "lr", dry_run: bool = False,
+          holdout: float = 0.2, seed: int = 7, **kw):
+    """M5: fit on a snapshot; ``dry_run`` only describes what would be trained.
+
+    ``model="auto"`` follows the ROC-AUC objective: logistic regression and a
+    random forest are fitted on a seeded split, the one with the higher macro
+    one-vs-rest AUC on the held-out rows wins and is refitted on all rows.
+    """
     if dry_run:
         return (f"[DRY RUN] would train {model} on {len(categorical)} categorical and "
                 f"{len(numeric)} numeric features, label {label}")
-    return build_pipeline(categorical, numeric, label, model, **kw).fit(prepare_numeric(snapshot, numeric))
+    data = prepare_numeric(snapshot, numeric)
+    if model != "auto":
+        return build_pipeline(categorical, numeric, label, model, **kw).fit(data)
+    fit_part, held = data.randomSplit([1 - holdout, holdout], seed=seed)
+    scores = {}
+    for kind in ("lr", "rf"):
+        opts = {k: v for k, v in kw.items() if kind == "lr" or k != "max_iter"}
+        m = build_pipeline(categorical, numeric, label, kind, seed=seed, **opts).fit(fit_part)
+        scores[kind] = macro_auc(score(held, m, numeric, keep=[label]), label)
+    best = max(scores, key=lambda k: (scores[k] if scores[k] == scores[k] else -1.0))
+    opts = {k: v for k, v in kw.items() if best == "lr" or k != "max_iter"}
+    return build_pipeline(categorical, numeric, label, best, seed=seed, **opts).fit(data)
 
 
 def _label_order(model: PipelineModel) -> list[str]:

@@ -27,7 +27,7 @@ def train_score(spark, sf_dir):
     feats = [F.element_at("embedding", i + 1).cast("double").alias(f"f{i}") for i in range(8)]
     df = e.select("vec_id", *feats, position_class(F.col("label")))
     numeric = [f"f{i}" for i in range(8)]
-    model = train(df, [], numeric, max_iter=30)
+    model = train(df, [], numeric, model="auto", max_iter=30)  # ROC-AUC objective picks lr or rf
     out = score(df, model, numeric, keep=["vec_id", "position_class"])
     probs = class_probs(F.col("scores"))
     return out.select("vec_id", "position_class", F.round(probs["1"], 6).alias("win_prob"),

@@ -19,3 +19,11 @@ def test_train_score_label_order(spark):
     assert abs(r.scores[0] + r.scores[1] + r.scores[7] - 1.0) < 1e-9
     auc = macro_auc(out)
     assert 0.5 <= auc <= 1.0
+
+
+def test_auto_picks_by_auc(spark):
+    rows = [(float(i % 5), float((i * 7) % 3), ["1", "2", "other"][(i % 5) % 3]) for i in range(400)]
+    df = spark.createDataFrame(rows, "x double, y double, position_class string")
+    model = train(df, [], ["x", "y"], model="auto", max_iter=20)
+    out = score(df, model, ["x", "y"], keep=["position_class"])
+    assert macro_auc(out) > 0.9  # the label is a function of x: the winner separates it
