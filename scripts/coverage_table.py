@@ -69,7 +69,7 @@ IMPL = {
     "M2": ("operators.scoring.win_place_top3", "test_scoring::test_class_probs_and_cumulative"),
     "M3": ("operators.scoring.race_card (+ greedy_top_k)", "test_entry (race_card parity)"),
     "M4": ("operators.ml.score (fixed label order)", "test_ml::test_train_score_label_order"),
-    "M5": ("operators.ml.train (dry run), macro_auc", "test_ml::test_train_score_label_order"),
+    "M5": ("operators.ml.train (dry run; model='auto' picks by held-out macro AUC), macro_auc", "test_ml::test_train_score_label_order, test_auto_picks_by_auc"),
     "X1": ("operators.features.career_totals", "test_features::test_career_totals_and_as_of"),
     "X2": ("operators.features.career_totals", "test_features::test_career_totals_and_as_of"),
     "X3": ("operators.features.career_totals, functions.columns.prize_total", "test_features::test_career_totals_and_as_of"),
