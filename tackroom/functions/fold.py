@@ -9,7 +9,7 @@ Rules, element by element in array order:
    dropped; a NULL array folds to an empty one.
 
 ``fold_prizes`` is the nested form: one ``aggregate`` higher-order function
-per record, so it is row-local (no shuffle) and code-generated.
+per record, so it is row-local (no shuffle) and runs in the JVM.
 """
 
 from __future__ import annotations

@@ -2,7 +2,7 @@
 
 Everything here is row-local: nested arrays are rebuilt with ``transform`` /
 ``aggregate`` inside the row, never by exploding and re-grouping, so these
-operators add no shuffle and stay in whole-stage code generation.
+operators add no shuffle and run inside the scan's stage in the JVM.
 """
 
 from __future__ import annotations
