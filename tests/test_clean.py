@@ -149,3 +149,12 @@ def test_rescraped_range_older_wins_unless_keep_last(spark, tmp_dir):
     last = kept_lines(clean(lines, ORDER_COLS, keep="last")).collect()
     assert [r.line for r in first] == ['{"id":1,"v":"old"}']
     assert [r.line for r in last] == ['{"id":1,"v":"new"}']
+
+
+def test_parse_is_not_inlined_into_classification(spark):
+    g = clean(lines_df(spark, [c[0] for c in CASES]), ["line_no"])
+    plan = g._jdf.queryExecution().executedPlan().toString()
+    nodes = [ln for ln in plan.splitlines() if "parseJson" in ln]
+    # one projection computes the variant (array wrapper used 3x, object wrapper 1x);
+    # status and key read that column instead of parsing again
+    assert len(nodes) == 1 and nodes[0].count("parseJson") == 4, nodes
