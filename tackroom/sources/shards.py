@@ -125,7 +125,7 @@ def shard_file_name(lo: F.Column, hi: F.Column, stamp_millis: int,
 
 
 def write_batch_shards(df: DataFrame, out: str, key: str, start: int, size: int,
-                       stamp_millis: int, prefix: str = SHARD_PREFIX, mode: str = "append") -> DataFrame:
+                       stamp_millis: int, prefix: str = SHARD_PREFIX) -> DataFrame:
     """One NDJSON shard per id batch (S6); nulls are written, not omitted.
 
     Batch ``b`` covers ids ``start + (b-1)*size .. start + b*size - 1``. Rows are
@@ -137,21 +137,21 @@ def write_batch_shards(df: DataFrame, out: str, key: str, start: int, size: int,
     lo = F.lit(start) + b * F.lit(size)
     hi = lo + F.lit(size - 1)
     tagged = df.withColumn("shard", shard_file_name(lo, hi, stamp_millis, prefix))
-    # append: landing new shards next to earlier ones never touches them
-    (tagged.repartition("shard").write.mode(mode)
+    # dynamic overwrite: a landing replaces exactly its own shard folders, so
+    # a retried landing does not duplicate lines and other shards stay as they are
+    (tagged.repartition("shard").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .option("ignoreNullFields", "false").partitionBy("shard").json(out))
     return tagged
 
 
 def write_line_shards(lines: DataFrame, out: str, key: str, start: int, size: int,
-                      stamp_millis: int, line_col: str = "line", prefix: str = SHARD_PREFIX,
-                      mode: str = "append") -> None:
+                      stamp_millis: int, line_col: str = "line", prefix: str = SHARD_PREFIX) -> None:
     """Raw text lines (already serialised) as one shard per key batch, in key order."""
     b = F.floor((F.col(key) - F.lit(start)) / F.lit(size))
     lo = F.lit(start) + b * F.lit(size)
     tagged = lines.select(key, line_col, shard_file_name(lo, lo + F.lit(size - 1), stamp_millis, prefix).alias("shard"))
     (tagged.repartition("shard").sortWithinPartitions("shard", key).select("shard", line_col)
-     .write.mode(mode).partitionBy("shard").text(out))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("shard").text(out))
 
 
 def cleaned_name(master_path: str, run_ts_iso: str) -> str:

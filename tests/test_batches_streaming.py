@@ -38,6 +38,10 @@ def test_write_and_read_batch_shards(spark, tmp_dir):
     assert '"x":null' in lines.first().line  # nulls are written, not omitted
     s = merge_summary(lines, "m").first()
     assert s.merged_count == 3 and s.line_count == 250
+    write_batch_shards(df, tmp_dir, "k", 0, 100, 42)  # a retried landing replaces, never duplicates
+    write_batch_shards(df.where("k < 100"), tmp_dir, "k", 0, 100, 43)  # a new stamp adds a shard
+    again = read_shard_lines(spark, tmp_dir, layout="partitioned")
+    assert again.count() == 350 and again.select("shard").distinct().count() == 4
 
 
 def test_incremental_consumes_only_new(spark, tmp_dir):
