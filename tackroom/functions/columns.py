@@ -41,3 +41,15 @@ def percent_text(p: Column) -> Column:
     column, never this text.
     """
     return F.format_string("%.1f%%", p * 100)
+
+
+GROUP_KEY = "_gk"
+
+
+def with_group_key(df, cols):
+    """Add ``_gk = struct(cols...)``: one non-NULL key column in which a NULL
+    group value is an ordinary value (struct equality treats NULL fields as
+    equal). Grouping, windows and joins on it are plain equi-operations, so a
+    NULL group stays one group without NULL-safe join rewrites, and the
+    partitioning on ``_gk`` is reused by every later step."""
+    return df.withColumn(GROUP_KEY, F.struct(*[F.col(c) for c in cols]))

@@ -64,27 +64,30 @@ def fold_prize_rows(df, group_cols, order_col: str, year_col: str, prize_col: st
     """
     from pyspark.sql import Window
 
-    g = list(group_cols)
+    from tackroom.functions.columns import GROUP_KEY, with_group_key
+
+    k = GROUP_KEY  # one struct key: a NULL group is one group, joins stay plain equi-joins
     o, y, p = F.col(order_col), F.col(year_col), F.col(prize_col)
-    rows = df.select(*g, order_col, year_col, prize_col,
-                     F.floor(o / F.lit(chunk)).alias("_chunk"),
-                     F.when(y.isNotNull(), o).alias("_anchor"))
-    last_in_chunk = rows.groupBy(*g, "_chunk").agg(F.max("_anchor").alias("_last"))
-    carry_w = Window.partitionBy(*g).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    carry = last_in_chunk.select(*g, "_chunk", F.max("_last").over(carry_w).alias("_carry"))
-    in_chunk_w = Window.partitionBy(*g, "_chunk").orderBy(order_col) \
+    rows = with_group_key(df, group_cols).select(
+        k, order_col, year_col, prize_col, F.floor(o / F.lit(chunk)).alias("_chunk"),
+        F.when(y.isNotNull(), o).alias("_anchor"))
+    last_in_chunk = rows.groupBy(k, "_chunk").agg(F.max("_anchor").alias("_last"))
+    carry_w = Window.partitionBy(k).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    carry = last_in_chunk.select(k, "_chunk", F.max("_last").over(carry_w).alias("_carry"))
+    in_chunk_w = Window.partitionBy(k, "_chunk").orderBy(order_col) \
                        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    seg = rows.join(carry, [*g, "_chunk"], "left") \
+    seg = rows.join(carry, [k, "_chunk"], "left") \
               .withColumn("_seg", F.coalesce(F.max("_anchor").over(in_chunk_w), F.col("_carry")))
     tails = (seg.where(y.isNull() & F.col("_seg").isNotNull() & prize_truthy(p))
-             .groupBy(*g, "_seg")
+             .groupBy(k, "_seg")
              .agg(F.sort_array(F.collect_list(F.struct(o.alias("o"), p.alias("p")))).alias("_t"))
-             .select(*g, F.col("_seg").alias(order_col),
+             .select(k, F.col("_seg").alias(order_col),
                      F.array_join(F.transform("_t", lambda e: e["p"]), PRIZE_SEPARATOR).alias("_tail")))
-    anchors = seg.where(y.isNotNull()).select(*g, order_col, year_col, p.alias("_p0"))
-    out = anchors.join(tails, [*g, order_col], "left")
+    anchors = seg.where(y.isNotNull()).select(k, order_col, year_col, p.alias("_p0"))
+    out = anchors.join(tails, [k, order_col], "left")
     folded = (F.when(F.col("_tail").isNull(), F.col("_p0"))
               .when(prize_truthy(F.col("_p0")),
                     F.concat(F.col("_p0"), F.lit(PRIZE_SEPARATOR), F.col("_tail")))
               .otherwise(F.col("_tail")))
+    g = [F.col(f"{k}.{c}").alias(c) for c in group_cols]
     return out.select(*g, order_col, year_col, folded.alias(prize_col))

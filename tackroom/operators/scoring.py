@@ -17,13 +17,12 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tackroom.constants import CLASS_LABELS, DEFAULT_TOP_K, RANK_ALL_EQUAL, RANK_MAX, RANK_MIN
+from tackroom.functions.columns import GROUP_KEY, with_group_key
 
 
 def _groups(df: DataFrame, group: Sequence[str]):
-    """Group columns; an ungrouped call ranks the whole input as one group."""
-    if group:
-        return list(group), df, False
-    return ["_all"], df.withColumn("_all", F.lit(0)), True
+    """The group key column; an ungrouped call ranks the whole input as one group."""
+    return [GROUP_KEY], with_group_key(df, list(group)), not group
 
 
 def cast_string_fields(df: DataFrame, fields: Sequence[str]) -> DataFrame:
@@ -85,7 +84,7 @@ def relative_rank(df: DataFrame, prob: str, group: Sequence[str] = ()) -> DataFr
     span = F.col("_mx") - F.col("_mn")
     scaled = F.lit(RANK_MIN) + (p - F.col("_mn")) * F.lit(RANK_MAX - RANK_MIN) / span
     rank = F.when(span == 0, F.lit(RANK_ALL_EQUAL)).otherwise(F.bround(scaled, 0).cast("int"))
-    return j.withColumn("rel_rank", rank).drop("_mn", "_mx", *(["_all"] if whole else []))
+    return j.withColumn("rel_rank", rank).drop("_mn", "_mx", GROUP_KEY)
 
 
 def greedy_top_k(df: DataFrame, probs: str, idx: str, group: Sequence[str] = (),
@@ -124,8 +123,8 @@ def greedy_top_k(df: DataFrame, probs: str, idx: str, group: Sequence[str] = (),
     steps = F.sequence(F.lit(1), F.least(F.lit(k), F.col("_n").cast("int")))
     picks = F.aggregate(steps, init, step, lambda acc: acc["picks"])
     out = per_group.select(*g, F.inline(picks))
-    keep = [c for c in g if c != "_all"]
-    return out.select(*keep, "position", F.col("idx").alias(idx), "prob")
+    return out.select(*[F.col(f"{GROUP_KEY}.{c}").alias(c) for c in group],
+                      "position", F.col("idx").alias(idx), "prob")
 
 
 def race_card(df: DataFrame, scores: str, idx: str, group: Sequence[str] = ()) -> DataFrame:

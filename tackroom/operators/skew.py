@@ -21,12 +21,15 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tackroom.functions.columns import GROUP_KEY, with_group_key
+
 DEFAULT_MAX_NESTED = 100_000
 
 
 def with_group_size(df: DataFrame, group_cols: Sequence[str], name: str = "_gsize") -> DataFrame:
-    sizes = df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias(name))
-    return df.join(sizes, list(group_cols), "inner")
+    keyed = with_group_key(df, group_cols)
+    sizes = keyed.groupBy(GROUP_KEY).agg(F.count(F.lit(1)).alias(name))
+    return keyed.join(sizes, GROUP_KEY, "inner").drop(GROUP_KEY)
 
 
 def split_by_group_size(df: DataFrame, group_cols: Sequence[str], max_rows: int = DEFAULT_MAX_NESTED):
@@ -37,10 +40,11 @@ def split_by_group_size(df: DataFrame, group_cols: Sequence[str], max_rows: int
     input is returned whole as ``small`` and ``hot`` is None, so the common
     case pays one counting pass and no join.
     """
-    sizes = df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_gsize"))
+    keyed = with_group_key(df, group_cols)
+    sizes = keyed.groupBy(GROUP_KEY).agg(F.count(F.lit(1)).alias("_gsize"))
     if sizes.where(F.col("_gsize") > max_rows).limit(1).count() == 0:
         return df, None
-    sized = df.join(sizes, list(group_cols), "inner")
+    sized = keyed.join(sizes, GROUP_KEY, "inner").drop(GROUP_KEY)
     small = sized.where(F.col("_gsize") <= max_rows).drop("_gsize")
     hot = sized.where(F.col("_gsize") > max_rows).drop("_gsize")
     return small, hot
@@ -61,7 +65,8 @@ def rank_in_group(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence
     counts = numbered.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     offsets = counts.select("_pid", (F.sum("_n").over(Window.orderBy("_pid")) - F.col("_n")).alias("_off"))
     indexed = numbered.join(F.broadcast(offsets), "_pid").withColumn("_gidx", F.col("_off") + local)
-    first = indexed.groupBy(*group_cols).agg(F.min("_gidx").alias("_first"))
-    out = indexed.join(first, list(group_cols), "inner") \
+    keyed = with_group_key(indexed, group_cols)
+    first = keyed.groupBy(GROUP_KEY).agg(F.min("_gidx").alias("_first"))
+    out = keyed.join(first, GROUP_KEY, "inner").drop(GROUP_KEY) \
                  .withColumn(name, F.col("_gidx") - F.col("_first"))
     return out.drop("_pid", "_mid", "_off", "_gidx", "_first")

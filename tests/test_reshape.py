@@ -177,3 +177,15 @@ def test_landed_responses_to_records(spark):
     assert (race.horseOrder, race.prizeAmount, race.prizeCurrency, race.jockeyFirstName, race.jockeyLastName) == \
         (1, "700", None, None, "Nowak")
     assert (race.trackDistance, race.cityName, race.trackTypeName) == ("2400", None, "turf")
+
+
+def test_null_group_in_tabular_fold_and_rank(spark):
+    from tackroom.operators.skew import rank_in_group, split_by_group_size
+    tab = spark.createDataFrame([(None, 0, 2020, "a"), (None, 1, None, "b"), (1, 0, 2021, "c")],
+                                "g int, t long, raceYear int, prize string")
+    out = sorted((r.g or -1, r.prize) for r in fold_prize_rows(tab, ["g"], "t", "raceYear", "prize").collect())
+    assert out == [(-1, "a + b"), (1, "c")]
+    ranked = sorted((r.g or -1, r.t, r._rank) for r in rank_in_group(tab, ["g"], ["t"]).collect())
+    assert ranked == [(-1, 0, 0), (-1, 1, 1), (1, 0, 0)]
+    small, hot = split_by_group_size(tab, ["g"], 1)
+    assert small.count() == 1 and hot.count() == 2

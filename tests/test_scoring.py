@@ -86,3 +86,13 @@ def test_casts(spark):
     assert out.horse_id == "41910" and out.track_distance == 2400.0 and out.temperature == 10.5
     assert out.jockey_weight is None and out.jockey_weight_raw == "abc"
     assert out.career_prize is None and out.career_prize_raw is None
+
+
+def test_null_group_is_a_group(spark):
+    rows = [(None, 1, [0.5] + [0.0] * 7), (None, 2, [0.1] + [0.0] * 7), ("a", 3, [0.2] * 8)]
+    df = spark.createDataFrame(rows, "g string, idx long, scores array<double>") \
+              .withColumn("probs", class_probs(F.col("scores")))
+    rr = {r.idx: r.rel_rank for r in relative_rank(win_place_top3(df, "probs"), "win_prob", ["g"]).collect()}
+    assert rr == {1: 100, 2: 1, 3: 100}
+    picks = sorted((r.g or "-", r.position, r.idx) for r in greedy_top_k(df, "probs", "idx", ["g"], 2).collect())
+    assert picks == [("-", 1, 1), ("-", 2, 2), ("a", 1, 3)]
