@@ -193,3 +193,13 @@ def low_bits(minima: np.ndarray, bits: int = 2) -> np.ndarray:
         bit = (low >> _U(b)) & _U(1)
         planes.append((bit.reshape(len(minima), -1, 64) * weights).sum(axis=2, dtype=np.uint64))
     return np.concatenate(planes, axis=1).view(np.int64)
+
+
+def parity_bits(distinct: np.ndarray, bits: int) -> np.ndarray:
+    """Bitmap (int64 words) of the parities of a set's elements per bit.
+
+    The bits in which two sets' bitmaps differ are at most as many as the
+    elements that only one of the sets has: a bound that never errs.
+    """
+    odd = np.bincount((distinct >> _U(40)).astype(np.int64) % bits, minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)

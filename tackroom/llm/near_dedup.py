@@ -7,8 +7,9 @@
    a group of copies costs one grouped row, whatever its size.
 3. Band buckets are paired as stars: every member with the smallest id of its
    bucket. Bit counts of the xor-ed signatures, corrected for chance collisions,
-   drop pairs that are far below the threshold; the rest are confirmed on the
-   full shingle sets. Buckets that still hold several components afterwards are
+   drop pairs that are far below the threshold; a parity bitmap of the set drops
+   those with too many differing shingles; the rest are confirmed on the full
+   shingle sets. Buckets that still hold several components afterwards are
    completed: only pairs across components are compared, so a large group of
    near copies never expands into all its pairs, and no link is lost.
 4. Connected components of the confirmed links.
@@ -25,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tackroom.llm.components import components
-from tackroom.llm.hashing import MinHasher, band_keys, low_bits, shingle_hashes, word_hashes
+from tackroom.llm.hashing import MinHasher, band_keys, low_bits, parity_bits, shingle_hashes, word_hashes
 from tackroom.llm.storage import materialize
 
 PERMUTATIONS = 128   # 32 bands of 4 rows: a pair of similarity 0.8 shares no band once in 2 * 10**7
@@ -34,10 +35,12 @@ BITS = 2
 # Standard deviations below the threshold at which an estimate still goes on to
 # the exact comparison; the chance to lose a true pair is about 1e-9.
 MARGIN = 6.0
-_LONGS = BITS * PERMUTATIONS // 64
+PARITY = 1024        # bits of the bitmap that bounds how many shingles differ
+_SIGNATURE = [f"s{i}" for i in range(BITS * PERMUTATIONS // 64)]
+_PARITY = [f"p{i}" for i in range(PARITY // 64)]
 
 _SIGNATURE_SCHEMA = ("id long, n_shingles long, digest binary, bands array<long>, "
-                     + ", ".join(f"s{i} long" for i in range(_LONGS)))
+                     + ", ".join(f"{c} long" for c in _SIGNATURE + _PARITY))
 
 
 def _arrow_list(values: np.ndarray) -> pa.Array:
@@ -53,17 +56,18 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> Dat
             words, first = word_hashes(batch.column(1))
             sh, at = shingle_hashes(words, first, shingle)
             n = np.zeros(len(at) - 1, dtype=np.int64)
-            digests = []
+            digests, parity = [], np.zeros((len(n), len(_PARITY)), dtype=np.int64)
             for t in range(len(n)):
                 distinct = np.unique(sh[at[t]:at[t + 1]])
                 n[t] = len(distinct)
                 digests.append(blake2b(distinct.tobytes(), digest_size=16).digest())
+                parity[t] = parity_bits(distinct, PARITY)
             minima = hasher.minima(sh, at)
             low = low_bits(minima, BITS)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(n), pa.array(digests, pa.binary()),
-                 _arrow_list(band_keys(minima, ROWS)), *(pa.array(low[:, i].copy()) for i in range(_LONGS))],
-                names=["id", "n_shingles", "digest", "bands", *(f"s{i}" for i in range(_LONGS))])
+                 _arrow_list(band_keys(minima, ROWS)), *(pa.array(x.copy()) for x in low.T), *(pa.array(x.copy()) for x in parity.T)],
+                names=["id", "n_shingles", "digest", "bands", *_SIGNATURE, *_PARITY])
     return (docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
             .mapInArrow(run, _SIGNATURE_SCHEMA))
 
@@ -82,6 +86,17 @@ def _estimate(x: str, y: str):
     return (1.0 - differ / F.lit(float(PERMUTATIONS)) - chance) / (1.0 - chance)
 
 
+def _possible(x: str, y: str, num: int, den: int):
+    """False only for pairs that cannot reach the similarity (sizes, bound on differing shingles) or whose estimate
+    lies far below it."""
+    nx, ny = F.col(f"{x}.n_shingles"), F.col(f"{y}.n_shingles")
+    differ = F.lit(0)
+    for c in _PARITY:
+        differ = differ + F.bit_count(F.col(f"{x}.{c}").bitwiseXOR(F.col(f"{y}.{c}")))
+    return ((F.least(nx, ny) * den >= F.greatest(nx, ny) * num) & (differ * (num + den) <= (nx + ny) * (den - num))
+            & (_estimate(x, y) >= estimate_floor(num / den)))
+
+
 def estimate_floor(threshold: float) -> float:
     """The estimate below which a pair of similarity ``threshold`` practically never falls."""
     chance = 2.0 ** -BITS
@@ -136,12 +151,11 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     linked = sig.where("n_shingles > 0 and id is not null")
     # one representative per distinct set; partial aggregation absorbs the copies
     rep = linked.groupBy("digest").agg(F.min("id").alias("rep"))
-    longs = [f"s{i}" for i in range(_LONGS)]
+    longs = ["n_shingles", *_SIGNATURE, *_PARITY]
     own = materialize(linked.join(rep, (linked.id == rep.rep) & (linked.digest == rep.digest), "left_semi")
                       .select("id", "bands", *longs), "representatives")
-    member = own.select("id", *longs, F.explode("bands").alias("key"))
+    member = own.select("id", F.explode("bands").alias("key"))
     texts = base.join(own.select("id"), "id", "left_semi")
-    floor = estimate_floor(num / den)
 
     def confirm(pairs: DataFrame, name: str) -> DataFrame:
         return materialize(_confirmed(pairs, texts, shingle, num, den), name)
@@ -150,7 +164,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     pivot = member.groupBy("key").agg(F.min("id").alias("b"), F.count("*").alias("n")).where("n > 1").drop("n")
     star = member.select("key", F.col("id").alias("a")).join(pivot, "key").where("a <> b").select("a", "b").distinct()
     near = (star.join(bits.alias("x"), F.col("a") == F.col("x.id")).join(bits.alias("y"), F.col("b") == F.col("y.id"))
-            .where(_estimate("x", "y") >= floor).select("a", "b"))
+            .where(_possible("x", "y", num, den)).select("a", "b"))
     links = confirm(near, "star-links")
     found = components(links)
 
@@ -163,7 +177,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                        .select("key", "id", "component", *longs), "open-buckets")
     x, y = rest.alias("x"), rest.alias("y")
     across = (x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.component") < F.col("y.component"))
-                     & (_estimate("x", "y") >= floor))
+                     & _possible("x", "y", num, den))
               .select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct())
     more = confirm(across, "cross-links")
     if more.limit(1).count():
