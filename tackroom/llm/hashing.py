@@ -140,7 +140,7 @@ def shingle_hashes(words: np.ndarray, first: np.ndarray, k: int) -> tuple[np.nda
     for t in np.flatnonzero((count > 0) & (count < k)):
         w = words[first[t]:first[t + 1]]
         total_w = np.sum(w * _GRAM[32:32 + len(w)], dtype=np.uint64, keepdims=True)
-        out[out_first[t]] = mix(total_w + _GRAM[63] * _U(len(w)))[0]
+        out[out_first[t]] = mix(total_w + _GRAM[63:] * _U(len(w)))[0]
     return out, out_first
 
 
