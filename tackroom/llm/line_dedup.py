@@ -6,7 +6,7 @@
    to frequent. Lines with equal sets collapse to the first in document order.
 3. Candidates share one of the rarest words of both (prefix filter) and pass the
    positional and length filters and a bitmap bound on the number of words that
-   differ, all inside the join. Words that many lines have in their prefix are
+   differ, all inside the join, where one exchange of the prefixes serves both sides. Words that many lines have in their prefix are
    first paired as stars with their earliest line; lines that this settles are
    not probed again, so a large group of variants does not become all its pairs.
 4. Jaccard is verified on the words of both lines, and the later line goes.
@@ -18,20 +18,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tackroom.llm.storage import materialize
-from tackroom.llm.text import ascii_lower
 
 SIMILARITY = (4, 5)      # Jaccard of two lines' word sets, as a fraction
 COUNTERS = 1 << 16       # size of the rarity table, whatever the input
 STAR = 128               # prefix words of more lines than this are paired as stars first
-_BITMAP_ROWS = 1 << 16   # of 64 bits: the filter on lines that take part in a pair
-_SPACE = r"[\x20\x09-\x0D]+"
+_OTHER_SPACE = r"[\t\x0B\f\r]"
 _HASH_BITS = 47
 _LAST = (1 << 63) - 1
 
 
 def line_words(line: Column) -> Column:
-    """Words of a line, A-Z lower-cased; white space around them leaves no empty word."""
-    return F.filter(F.split(ascii_lower(line), _SPACE), lambda w: w != "")
+    """Words of a line: runs of anything but ASCII white space, case kept."""
+    plain = F.when(line.rlike(_OTHER_SPACE), F.regexp_replace(line, _OTHER_SPACE, " ")).otherwise(line)
+    return F.array_remove(F.split(plain, " "), "")
 
 
 def _counter(h: Column) -> Column:
@@ -44,7 +43,8 @@ def _lines(doc: DataFrame) -> DataFrame:
 
 def _rarity(doc: DataFrame) -> Column:
     """Array counter -> 16 * log2(words counted), as one constant of COUNTERS small numbers."""
-    counts = (doc.select(F.explode(line_words(F.col("text"))).alias("w"))
+    words = F.split(F.regexp_replace("text", "\n", " "), " ")
+    counts = (doc.select(F.explode(words).alias("w"))
               .groupBy(_counter(F.xxhash64("w")).alias("c")).count()
               .select("c", F.round(F.log2(F.col("count").cast("double")) * 16).cast("int").alias("r")).collect())
     table = [0] * COUNTERS  # the rows collected: COUNTERS at most, whatever the input
@@ -54,11 +54,13 @@ def _rarity(doc: DataFrame) -> Column:
 
 
 def _filters(x: str, y: str, num: int, den: int) -> Column:
-    """What two lines with a common prefix word must meet to reach the similarity."""
+    """What two lines must meet at their first common prefix word: the words before it are in one line only, those
+    behind it bound the overlap, and differing bitmaps bound how many words differ."""
     c = lambda side, name: F.col(f"{side}.{name}")
     both = c(x, "n") + c(y, "n")
     return ((F.least(c(x, "n"), c(y, "n")) * den >= F.greatest(c(x, "n"), c(y, "n")) * num)
             & (F.least(c(x, "n") - c(x, "p"), c(y, "n") - c(y, "p")) * (num + den) >= both * num)
+            & ((c(x, "p") + c(y, "p")) * (num + den) <= both * (den - num))
             & (F.bit_count(c(x, "bits").bitwiseXOR(c(y, "bits"))) * (num + den) <= both * (den - num)))
 
 
@@ -80,58 +82,63 @@ def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     n = F.size("t")
     bits = F.aggregate("t", F.lit(0).cast("long"), lambda acc, x: acc.bitwiseOR(
         F.call_function("shiftleft", F.lit(1).cast("long"), x.bitwiseAND(F.lit(63)).cast("int"))))
-    prefix = F.slice("t", 1, n - F.ceil(n * num / F.lit(float(den)) - 1e-9).cast("int") + 1)
+    # 32 bits of the hash are enough to meet by: what meets is compared word by word
+    low = F.transform(F.slice("t", 1, n - F.ceil(n * num / F.lit(float(den)) - 1e-9).cast("int") + 1),
+                      lambda x: F.shiftright(F.shiftleft(x, 32), 32).cast("int"))
     lines = materialize(toks.where(n > 0).select(
         "ord", "k", "line", F.xxhash64("t").alias("d1"), F.xxhash64(F.lit(7), "t").alias("d2"), n.alias("n"),
-        bits.alias("bits"), prefix.alias("prefix")), "line-sets")
+        bits.alias("bits"), low.alias("prefix")), "line-sets")
     order = F.struct("ord", "k", "line")
-    firsts = materialize(lines.groupBy("d1", "d2").agg(F.min(order).alias("f"), F.count("*").alias("copies"))
-                         .select("d1", "d2", "f.*", "copies"), "line-firsts")
-    # lines so short that only equal sets reach the similarity need no join;
-    # the range sort makes the running number an order-keeping id
-    reps = materialize(lines.where(F.col("n") * den >= (F.col("n") + 1) * num)
-                       .join(firsts.select("ord", "k", "line"), ["ord", "k", "line"], "left_semi")
-                       .select("ord", "k", "line", "n", "bits", "prefix").distinct().orderBy("ord", "k", "line")
-                       .withColumn("rid", F.monotonically_increasing_id()), "line-ids")
+    sets = materialize(lines.groupBy("d1", "d2").agg(F.min(F.struct("ord", "k", "line", "n", "bits", "prefix")).alias("f"),
+                                                     F.count("*").alias("copies"))
+                       .select("d1", "d2", "f.*", "copies", F.monotonically_increasing_id().alias("rid")), "line-firsts")
+    # lines so short that only equal sets reach the similarity need no join
+    reps = sets.where(F.col("n") * den >= (F.col("n") + 1) * num)
     index = reps.select("rid", "n", "bits", F.posexplode("prefix").alias("p", "tok"))
-    hot = materialize(index.groupBy("tok").agg(F.count("*").alias("lines"), F.min("rid").alias("first"))
-                      .where(F.col("lines") > STAR), "frequent-prefix-words")
-    hot_rows = index.join(hot.select("tok", "first"), "tok")
+    hot = materialize(index.groupBy("tok").agg(F.count("*").alias("lines")).where(F.col("lines") > STAR).select("tok"),
+                      "frequent-prefix-words")
 
     def verified(pairs: DataFrame, name: str) -> DataFrame:
-        """Later lines (rid) of the (rid, earlier) pairs that reach the similarity on their words."""
+        """The later line's (rid) of each of the (a, b) pairs that reach the similarity on their words."""
         pairs = materialize(pairs, name)
-        ids = pairs.select("rid").union(pairs.select("earlier")).distinct()
-        some = reps.join(ids, "rid", "left_semi").select("rid", "ord", "k", "line")
+        ids = pairs.select(F.col("a").alias("rid")).union(pairs.select("b")).distinct()
+        some = materialize(reps.select("rid", "ord", "k", "line").join(ids, "rid", "left_semi"), name + "-lines")
+        # a bitmap of fixed size lets most other lines go before the shuffle
         h = F.xxhash64("ord", "k", "line")
-        row, bit = F.shiftrightunsigned(h, 48).cast("int"), h.bitwiseAND(F.lit(63)).cast("int")
-        filter_rows = (some.select(row.alias("row"), F.call_function("shiftleft", F.lit(1).cast("long"), bit).alias("b"))
-                       .groupBy("row").agg(F.bit_or("b").alias("mask")))  # _BITMAP_ROWS rows at most
-        wanted = (_lines(doc).withColumn("row", row)
-                  .join(F.broadcast(filter_rows), "row")
-                  .where(F.getbit("mask", bit) == 1)
-                  .join(some, ["ord", "k", "line"])
-                  .select("rid", F.array_distinct(line_words(F.col("value"))).alias("w")).dropDuplicates(["rid"]))
-        wanted = materialize(wanted, name + "-words")
-        a, b = wanted.toDF("rid", "wa"), wanted.toDF("earlier", "wb")
+        slot, bit = F.shiftrightunsigned(h, 48).cast("int"), h.bitwiseAND(F.lit(63)).cast("int")
+        mask = (some.select(slot.alias("slot"), F.call_function("shiftleft", F.lit(1).cast("long"), bit).alias("b"))
+                .groupBy("slot").agg(F.bit_or("b").alias("mask")))  # 65,536 rows at most
+        words = (_lines(doc).withColumn("slot", slot).join(F.broadcast(mask), "slot").where(F.getbit("mask", bit) == 1)
+                 .select("ord", "k", "line", "value").join(some, ["ord", "k", "line"])
+                 .select("rid", F.struct("ord", "k", "line").alias("place"),
+                         F.array_distinct(line_words(F.col("value"))).alias("w")).dropDuplicates(["rid"]))
+        words = materialize(words, name + "-words")
+        x, y = words.toDF("a", "at", "wa"), words.toDF("b", "bt", "wb")
         both = F.size(F.array_intersect("wa", "wb"))
-        return (pairs.join(a, "rid").join(b, "earlier")
-                .where(both * den >= (F.size("wa") + F.size("wb") - both) * num).select("rid").distinct())
-
-    x, y = hot_rows.alias("x"), index.alias("y")
-    star = (x.where("x.rid <> x.first").join(y, (F.col("x.first") == F.col("y.rid")) & (F.col("x.tok") == F.col("y.tok"))
-                                             & _filters("x", "y", num, den))
-            .select("x.rid", F.col("y.rid").alias("earlier")).distinct())
+        return (pairs.join(x, "a").join(y, "b")
+                .where(both * den >= (F.size("wa") + F.size("wb") - both) * num)
+                .select(F.when(F.col("at") > F.col("bt"), F.col("a")).otherwise(F.col("b")).alias("rid")).distinct())
+
+    # frequent prefix words: first against the earliest line of each, then what that leaves
+    hot_rows = materialize(index.join(hot, "tok").join(reps.select("rid", order.alias("place")), "rid"), "frequent-rows")
+    first = hot_rows.groupBy("tok").agg(F.min(F.struct("place", "rid", "n", "p", "bits")).alias("f")).select("tok", "f.*")
+    x, y = hot_rows.alias("x"), first.alias("y")
+    star = (x.join(y, (F.col("x.tok") == F.col("y.tok")) & (F.col("x.rid") != F.col("y.rid")) & _filters("x", "y", num, den))
+            .select(F.col("x.rid").alias("a"), F.col("y.rid").alias("b")).distinct())
     settled = materialize(verified(star, "star-pairs"), "settled-lines")
-    x = index.join(settled, "rid", "left_anti").alias("x")
-    pairs = (x.join(index.alias("y"), (F.col("x.tok") == F.col("y.tok")) & (F.col("y.rid") < F.col("x.rid"))
-                    & _filters("x", "y", num, den))
-             .select("x.rid", F.col("y.rid").alias("earlier")).distinct())
-    near = settled.union(verified(pairs, "line-pairs"))
+    x, y = hot_rows.join(settled, "rid", "left_anti").alias("x"), hot_rows.alias("y")
+    left = (x.join(y, (F.col("x.tok") == F.col("y.tok")) & (F.col("y.place") < F.col("x.place")) & _filters("x", "y", num, den))
+            .select(F.col("x.rid").alias("a"), F.col("y.rid").alias("b")))
+    # all other prefix words: one exchange serves both sides
+    rows = index.join(hot, "tok", "left_anti").repartition("tok")
+    x, y = rows.alias("x"), rows.alias("y")
+    pairs = (x.join(y, (F.col("x.tok") == F.col("y.tok")) & (F.col("y.rid") < F.col("x.rid")) & _filters("x", "y", num, den))
+             .select(F.col("x.rid").alias("a"), F.col("y.rid").alias("b")))
+    near = settled.union(verified(pairs.union(left).distinct(), "line-pairs")).distinct()
     near = reps.join(near, "rid", "left_semi").select("ord", "k", "line")
     # all copies but the first of a set; and the firsts that resemble an earlier line
     repeated = (lines.select("ord", "k", "line", "d1", "d2")
-                .join(firsts.where("copies > 1").select("d1", "d2", F.struct("ord", "k", "line").alias("f")), ["d1", "d2"])
+                .join(sets.where("copies > 1").select("d1", "d2", order.alias("f")), ["d1", "d2"])
                 .where(order != F.col("f")).select("ord", "k", "line"))
     return repeated.union(near)
 

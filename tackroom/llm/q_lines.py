@@ -12,8 +12,7 @@ WITH l AS (
   SELECT doc_id, generate_subscripts(v, 1) - 1 AS line, unnest(v) AS value
   FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS v FROM documents)
 ), t AS (
-  SELECT doc_id, line, list_sort(list_distinct(list_filter(string_split_regex(translate(value,
-         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> ''))) AS s FROM l
+  SELECT doc_id, line, list_sort(list_distinct(list_filter(string_split_regex(value, '[\x20\x09-\x0D]+'), lambda x: x <> ''))) AS s FROM l
 ), g AS (
   SELECT s, min((doc_id, line)) AS f, len(s) AS n FROM t WHERE len(s) > 0 GROUP BY s
 ), r AS (
