@@ -151,9 +151,10 @@ def read_archives(spark: SparkSession, path: str, payloads: bool = False) -> Dat
 
     # records that hold the magic: their pieces, read again and put together in order
     broken = record.where("not whole").select("file", "start", F.col("n").alias("first"), "next", "hlen", "clen")
-    parts = (info.select("file", "n", "begin", "block", "row").join(broken, "file")
-             .where((F.col("n") >= F.col("first")) & (F.col("begin") - m < F.col("next")))
-             .select("file", "block", (F.col("row")).alias("row"), "start", "n", "hlen", "clen"))
+    # written out, so that the reading join below plans with its size: mostly it is small, and no page is shuffled
+    parts = materialize(info.select("file", "n", "begin", "block", "row").join(broken, "file")
+                        .where((F.col("n") >= F.col("first")) & (F.col("begin") - m < F.col("next")))
+                        .select("file", "block", "row", "start", "n", "hlen", "clen"), "warc-parts")
     joined = (pieces.join(parts, ["file", "block", "row"])
               .groupBy("file", "start", "hlen", "clen").agg(F.array_sort(F.collect_list(F.struct("n", F.hex("bytes").alias("x")))).alias("p"))
               .select("file", "start", F.substring(F.unhex(F.array_join(F.transform("p", lambda q: q["x"]), MAGIC.encode().hex())),
