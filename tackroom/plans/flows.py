@@ -8,13 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tackroom.functions.records import load_records
 from tackroom.operators.clean import clean, clean_report, kept_lines
 from tackroom.operators.upsert import assert_unique_source, reconcile_counts, upsert
 from tackroom.session import scratch_dir
 from tackroom.sources.shards import (
     ORDER_COLS, read_consumed, read_shard_lines, record_consumed, write_cleaned,
 )
-from tackroom.sources.tables import read_target, write_target
+from tackroom.sources.tables import bucket_spec, read_target, write_target
 
 
 def clean_job(lines: DataFrame, out: str, order_cols: Sequence[str] = ORDER_COLS,
@@ -36,23 +37,33 @@ def clean_job(lines: DataFrame, out: str, order_cols: Sequence[str] = ORDER_COLS
 def merge_clean_upsert(spark: SparkSession, shards_root: str, target_root: str, schema: StructType | str,
                        key: str, run_ts: str, layout: str = "files", ledger: str | None = None,
                        reshape: Callable[[DataFrame], DataFrame] | None = None,
-                       buckets: int | None = None, range_width: int | None = None) -> DataFrame:
+                       buckets: int | None = None, range_width: int | None = None,
+                       rejects: str | None = None) -> DataFrame:
     """New shards -> clean -> parse -> (reshape) -> unique check -> upsert ->
     new target version -> ledger -> reconciliation row. With ``buckets`` the
     target is bucketed on ``key`` and each upsert shuffles only the new rows;
     with ``range_width`` it is partitioned by key range and a run rewrites
-    only the ranges it touches (see ``upsert_ranged``)."""
+    only the ranges it touches (see ``upsert_ranged``). A kept record whose value
+    does not fit ``schema`` fails the run, or goes to the ``rejects`` table. An
+    existing target keeps the bucket count it was written with."""
     consumed = read_consumed(spark, ledger) if ledger else None
     lines = read_shard_lines(spark, shards_root, layout=layout, consumed=consumed)
     grouped_path = scratch_dir(spark, "flow-grouped")
     clean(lines, ORDER_COLS).write.mode("errorifexists").parquet(grouped_path)
     kept = kept_lines(spark.read.parquet(grouped_path))
-    source = kept.select(F.from_json("line", schema).alias("r")).select("r.*")
+    source = load_records(kept, schema, rejects=rejects)
     if reshape is not None:
         source = reshape(source)
+    # parsed and typed once: the unique check, the upsert and the reconciliation read it back
+    source_path = scratch_dir(spark, "flow-source")
+    source.write.mode("errorifexists").parquet(source_path)
+    source = spark.read.parquet(source_path)
     if range_width:
         return _merge_ranged(spark, lines, source, target_root, key, run_ts, range_width, ledger)
-    before = read_target(spark, target_root, key=key, buckets=buckets)
+    spec = bucket_spec(spark, target_root)
+    if spec is not None:
+        buckets = spec[1]
+    before = read_target(spark, target_root)
     assert_unique_source(source, key)
     if before is None:
         after = source.withColumn("updated_at", F.lit(run_ts).cast("timestamp"))
@@ -62,7 +73,7 @@ def merge_clean_upsert(spark: SparkSession, shards_root: str, target_root: str,
     write_target(after, target_root, key=key, buckets=buckets)
     if ledger:
         record_consumed(lines, ledger)
-    return reconcile_counts(before, source, read_target(spark, target_root, key=key, buckets=buckets), key)
+    return reconcile_counts(before, source, read_target(spark, target_root), key)
 
 
 def _merge_ranged(spark, lines, source, target_root, key, run_ts, width, ledger):
@@ -92,19 +103,20 @@ def merge_job(spark: SparkSession, shards_root: str, out_dir: str, master_name:
     ``merged_count = 0`` and ``status = 'nothing_to_merge'``, and nothing is
     written. The ledger is appended only after the master is committed.
     """
-    from tackroom.sources.shards import merge_summary, write_master
+    from tackroom.sources.shards import list_shards, merge_summary, retire_files, write_master
     consumed = read_consumed(spark, ledger) if ledger else None
-    lines = read_shard_lines(spark, shards_root, layout=layout, consumed=consumed)
-    if lines.select("file_path").isEmpty():
+    files = list_shards(spark, shards_root, layout=layout, consumed=consumed)
+    if files.isEmpty():
         return spark.createDataFrame([(0, 0, None, "nothing_to_merge")],
                                      "merged_count long, line_count long, master_file string, status string")
+    lines = read_shard_lines(spark, shards_root, layout=layout, consumed=consumed)
     master = f"{out_dir.rstrip('/')}/{master_name}"
     write_master(lines, master)
     # one summary row, taken now: once shards are removed the listing is gone
-    summary = merge_summary(lines, master_name).withColumn("status", F.lit("merged")).collect()
+    summary = merge_summary(files, spark.read.text(master), master_name).withColumn("status", F.lit("merged")).collect()
+    listed = [r["file_path"] for r in files.select("file_path").collect()] if remove_merged else []  # one row per file
     if ledger:
-        record_consumed(lines, ledger)
+        record_consumed(files, ledger)
     if remove_merged:
-        from tackroom.sources.shards import retire_files
-        retire_files(spark, lines)
+        retire_files(spark, listed)
     return spark.createDataFrame(summary, "merged_count long, line_count long, master_file string, status string")

@@ -112,7 +112,29 @@ def flow_merge_clean_upsert(spark, sf_dir):
     b = int(spark.conf.get("spark.sql.shuffle.partitions"))
     merge_clean_upsert(spark, root, target, "id long, user long, type string", "id", RUN_TS,
                        layout="partitioned", ledger=scratch_dir(spark, "flow-ledger"), buckets=b)
-    return read_target(spark, target, key="id", buckets=b).select("id", "user", "type")
+    return read_target(spark, target).select("id", "user", "type")
+
+
+@query("flow_typed_ids", "E2 S8 S9", sql="""
+SELECT event_id AS id, user_id AS "user", event_type AS type FROM events
+WHERE event_id <> 0  -- rendered as the number 0, which is falsy: the clean step drops it as id-less
+""")
+def flow_typed_ids(spark, sf_dir):
+    """``events`` as lines whose ids are whole numbers, decimals (``5.0``) or text, landed, merged, cleaned
+    and upserted twice into one target: both runs find every id, and the second inserts none again."""
+    e = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type")
+    text = F.col("event_id").cast("string")
+    shown = (F.when(F.col("event_id") % 3 == 1, F.concat(text, F.lit(".0")))
+             .when(F.col("event_id") % 3 == 2, F.concat(F.lit('"'), text, F.lit('"'))).otherwise(text))
+    line = F.concat(F.lit('{"id":'), shown, F.lit(',"user":"'), F.col("user_id").cast("string"), F.lit('","type":"'),
+                    F.col("event_type"), F.lit('"}'))
+    root, target = scratch_dir(spark, "typed-src"), scratch_dir(spark, "typed-target")
+    write_line_shards(e.select("event_id", line.alias("line")), root, "event_id", 0, 10_000, STAMP_MILLIS)
+    b = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    for run_ts, buckets in ((RUN_TS, b), ("2024-06-02 00:00:00", b + 1)):  # the target keeps its own bucket count
+        merge_clean_upsert(spark, root, target, "id long, user long, type string", "id", run_ts,
+                           layout="partitioned", buckets=buckets)
+    return read_target(spark, target).select("id", "user", "type")
 
 
 @query("train_and_rank", "E3")

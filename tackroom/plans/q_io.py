@@ -10,7 +10,7 @@ from tackroom.operators.batches import batch_of, batch_outcomes, id_batches, mis
 from tackroom.operators.upsert import assert_unique_source, reconcile_counts, upsert
 from tackroom.plans.registry import query, table
 from tackroom.session import scratch_dir
-from tackroom.sources.shards import merge_summary, read_shard_lines, write_batch_shards
+from tackroom.sources.shards import list_shards, merge_summary, read_shard_lines, write_batch_shards
 from tackroom.sources.tables import (
     load_staging, read_snapshot, read_target, write_snapshot, write_target,
 )
@@ -21,7 +21,7 @@ STAMP_MILLIS = 1717200000000        # RUN_TS in epoch milliseconds
 MASTER_NAME = "master_horse_data_2024-06-01_00-00-00.ndjson"
 
 
-@query("shard_union_summary", "S1 S2 S3 S5 S6 U1 W3", sql=f"""
+@query("shard_union_summary", "S1 S2 S5 S6 U1", sql=f"""
 SELECT CAST(count(DISTINCT o_orderkey // 1000) AS BIGINT) AS merged_count,
   CAST(count(*) AS BIGINT) AS line_count, '{MASTER_NAME}' AS master_file
 FROM orders
@@ -31,8 +31,8 @@ def shard_union_summary(spark, sf_dir):
     shard-name pattern and unioned back in merge order."""
     root = scratch_dir(spark, "shards")
     write_batch_shards(table(spark, sf_dir, "orders"), root, "o_orderkey", 0, 1000, STAMP_MILLIS)
-    lines = read_shard_lines(spark, root, layout="partitioned")
-    return merge_summary(lines, MASTER_NAME)
+    files = list_shards(spark, root, layout="partitioned")
+    return merge_summary(files, read_shard_lines(spark, root, layout="partitioned"), MASTER_NAME)
 
 
 @query("batch_shards", "S6 U2", sql="""
@@ -164,10 +164,10 @@ def _run_upsert(spark, sf_dir):
     k = "o_orderkey"
     target, source = _upsert_inputs(spark, sf_dir)
     write_target(target, root, key=k, buckets=b)
-    before = read_target(spark, root, key=k, buckets=b)
+    before = read_target(spark, root)
     assert_unique_source(source, k)
     write_target(upsert(before, source, k, RUN_TS, buckets=b), root, key=k, buckets=b)
-    return before, source, read_target(spark, root, key=k, buckets=b)
+    return before, source, read_target(spark, root)
 
 
 @query("upsert_orders", "J2 J3 S9 F13", sql=UPSERT_SQL)

@@ -74,12 +74,15 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster the submitter sets it to shared storage and we only read it.
-    When it is unset (local tests and benches) we create one folder per
-    application and register it as the checkpoint directory.
+    When it is unset on a local master (tests and benches) we create one folder
+    per application and register it; on a cluster that is an error, since the
+    driver's disk is not the executors'.
     """
     sc = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         app = sc.applicationId
         if app not in _LOCAL_ROOT:
             _LOCAL_ROOT[app] = tempfile.mkdtemp(prefix="tackroom-ckpt-")

@@ -65,16 +65,42 @@ def read_shard_lines(spark: SparkSession, root: str, pattern: str = SHARD_NAME_P
     return lines
 
 
-def discover_shards(lines: DataFrame) -> DataFrame:
-    """Distinct shard names in merge order (lexicographic), one row each."""
-    return lines.select("shard").distinct().orderBy("shard")
+def list_shards(spark: SparkSession, root: str, pattern: str = SHARD_NAME_PATTERN, glob: str = SHARD_NAME_GLOB,
+                layout: str = "files", consumed: DataFrame | None = None) -> DataFrame:
+    """Every matching shard file, empty ones too (S1): (shard, file_path, file_name, length).
 
+    Only names and lengths are listed, one row per file; no content is read.
+    """
+    if layout not in ("files", "partitioned"):
+        raise ValueError(layout)
+    jvm = spark.sparkContext._jvm
+    inner = glob if layout == "files" else "shard=*/part-*"
+    # file listing is the driver's work in Spark too, but its readers skip files of length 0
+    found = jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{inner}")
+    status = found.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(found) or []
+    rows = [(st.getPath().getParent().getName() if layout == "partitioned" else st.getPath().getName(),
+             st.getPath().toUri().toString(), st.getPath().getName(), st.getLen()) for st in status if st.isFile()]
+    raw = spark.createDataFrame(rows, "shard string, file_path string, file_name string, length long")
+    shard = F.col("shard") if layout == "files" else F.expr("substring(shard, 7)")
+    # the spelling of paths that the readers' metadata column has
+    path = F.regexp_replace("file_path", "^file:/+", "file:///")
+    files = raw.select(shard.alias("shard"), path.alias("file_path"), "file_name", "length").where(F.col("shard").rlike(pattern))
+    if consumed is not None:
+        files = files.join(consumed.select("file_path").distinct(), "file_path", "left_anti") \
+                     .select("shard", "file_path", "file_name", "length")
+    return files
 
-def merge_summary(lines: DataFrame, master_name: str) -> DataFrame:
-    """``mergedCount`` and ``masterFile`` of one merge."""
-    return lines.agg(F.count_distinct("file_path").alias("merged_count"),
-                     F.count(F.lit(1)).alias("line_count")) \
-                .withColumn("master_file", F.lit(master_name))
+
+def discover_shards(files: DataFrame) -> DataFrame:
+    """Distinct shard names of a listing in merge order (lexicographic), one row each."""
+    return files.select("shard").distinct().orderBy("shard")
+
+
+def merge_summary(files: DataFrame, lines: DataFrame, master_name: str) -> DataFrame:
+    """``mergedCount`` and ``masterFile`` of one merge (S5): every listed file counts, empty ones too."""
+    n_files = files.agg(F.count_distinct("file_path").alias("merged_count"))
+    n_lines = lines.agg(F.count(F.lit(1)).alias("line_count"))
+    return n_files.crossJoin(F.broadcast(n_lines)).withColumn("master_file", F.lit(master_name))
 
 
 def write_master(lines: DataFrame, out: str) -> None:
@@ -82,29 +108,27 @@ def write_master(lines: DataFrame, out: str) -> None:
     lines.orderBy(*ORDER_COLS).select("line").write.mode("errorifexists").text(out)
 
 
-def record_consumed(lines: DataFrame, ledger: str) -> None:
+def record_consumed(files: DataFrame, ledger: str) -> None:
     """Append merged file names to the ledger, only after the master committed."""
-    lines.select("file_path").distinct().write.mode("append").parquet(ledger)
+    files.select("file_path").distinct().write.mode("append").parquet(ledger)
 
 
-def retire_files(spark: SparkSession, lines: DataFrame) -> list[str]:
+def retire_files(spark: SparkSession, paths: list[str]) -> list[str]:
     """Delete the merged shard files (S4), only ever called after the master is
     committed. A file that cannot be removed is reported, not raised: the
     ledger already keeps it out of the next merge. Returns the failures.
-
-    The list of paths is one row per file (not per line), so it is small.
     """
     import logging
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     failed = []
-    for row in lines.select("file_path").distinct().collect():
-        path = jvm.org.apache.hadoop.fs.Path(row.file_path)
+    for name in paths:
+        path = jvm.org.apache.hadoop.fs.Path(name)
         try:
             if not path.getFileSystem(conf).delete(path, False):
-                failed.append(row.file_path)
+                failed.append(name)
         except Exception:  # noqa: BLE001 - a failed removal is a warning
-            failed.append(row.file_path)
+            failed.append(name)
     for f in failed:
         logging.getLogger("tackroom").warning("could not remove merged shard %s", f)
     return failed

@@ -6,14 +6,19 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tackroom.functions.records import load_records
+
 
 def load_staging(spark: SparkSession, path: str, schema: StructType | str | None = None,
-                 view: str | None = None) -> DataFrame:
-    """NDJSON to a table (S8). An explicit schema avoids an inference pass."""
-    reader = spark.read
+                 view: str | None = None, rejects: str | None = None) -> DataFrame:
+    """NDJSON to a table (S8). With a schema, values are read as its types and one that does
+    not fit fails the load (or goes to the ``rejects`` table); without one the schema is inferred
+    in an extra pass, and a line that is no JSON fails the load."""
     if schema is not None:
-        reader = reader.schema(schema)
-    df = reader.json(path)
+        lines = spark.read.text(path).where(F.trim("value") != "")
+        df = load_records(lines, schema, "value", rejects)
+    else:
+        df = spark.read.option("mode", "FAILFAST").json(path)
     if view:
         df.createOrReplaceTempView(view)
     return df
@@ -45,25 +50,46 @@ def _table_name(root: str, version: int) -> str:
     return f"tackroom_target_{hashlib.md5(root.rstrip('/').encode()).hexdigest()[:12]}_v{version}"
 
 
+def _spec_path(root: str, version: int) -> str:
+    return f"{root.rstrip('/')}/_bucketing/v={version}"
+
+
+def bucket_spec(spark: SparkSession, root: str, version: int | None = None) -> tuple[str, int] | None:
+    """(key, buckets) that a version was written with; None for an unbucketed one."""
+    version = latest_version(spark, root) if version is None else version
+    if version is None:
+        return None
+    fs, p = _fs(spark, _spec_path(root, version))
+    if not fs.exists(p):
+        return None
+    row = spark.read.schema("key string, buckets int").json(_spec_path(root, version)).first()
+    return row["key"], row["buckets"]
+
+
 def read_target(spark: SparkSession, root: str, schema: StructType | str | None = None,
                 key: str | None = None, buckets: int | None = None) -> DataFrame | None:
     """The current version of the keyed table (S9); None when nothing is committed.
 
-    With ``key`` and ``buckets`` the version is registered as a table bucketed
-    on the key (the bucket id is in each file name), so a join on the key reads
-    it in place: only the other side is shuffled.
+    A version written with buckets is registered as a table bucketed the way
+    that is stored with it (the bucket id is in each file name), so a join on
+    the key reads it in place: only the other side is shuffled. ``key`` and
+    ``buckets`` need not be given; other values than the stored ones are an
+    error, as files would be left out.
     """
     v = latest_version(spark, root)
     if v is None:
         return spark.createDataFrame([], schema) if schema is not None else None
     path = f"{root.rstrip('/')}/v={v}"
-    if not (key and buckets):
+    spec = bucket_spec(spark, root, v)
+    if spec is None:
         return spark.read.parquet(path)
+    if (key is not None and key != spec[0]) or (buckets is not None and int(buckets) != spec[1]):
+        raise ValueError(f"{path} is bucketed by {spec[0]} into {spec[1]}, not by {key} into {buckets}")
     name = _table_name(root, v)
     if not spark.catalog.tableExists(name):
         ddl = spark.read.parquet(path).schema.toDDL()
         spark.sql(f"CREATE TABLE IF NOT EXISTS `{name}` ({ddl}) USING parquet "
-                  f"CLUSTERED BY (`{key}`) SORTED BY (`{key}`) INTO {int(buckets)} BUCKETS LOCATION '{path}'")
+                  f"CLUSTERED BY (`{spec[0]}`) SORTED BY (`{spec[0]}`) INTO {spec[1]} BUCKETS LOCATION '{path}'")
     return spark.table(name)
 
 
@@ -87,6 +113,9 @@ def write_target(df: DataFrame, root: str, key: str | None = None, buckets: int
             raise FileExistsError(f"version {v} is already committed under {root}")
         fs.delete(p, True)  # leftovers of a failed attempt; no reader ever used them
     if key and buckets:
+        # stored before the data commits, so that no reader meets the files without it
+        spark.range(1).select(F.lit(key).alias("key"), F.lit(int(buckets)).alias("buckets")) \
+            .coalesce(1).write.mode("overwrite").json(_spec_path(root, v))
         (df.write.mode("errorifexists").format("parquet").bucketBy(int(buckets), key).sortBy(key)
          .option("path", path).saveAsTable(_table_name(root, v)))
     else:
@@ -113,21 +142,30 @@ def read_snapshot(spark: SparkSession, root: str, yyyymmdd: str) -> DataFrame:
 
 
 def read_instances(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
-    """Scoring request (S11): a bare JSON array, or an object with ``instances``
-    (absent means no rows). ``idx`` is the 0-based position in the request."""
-    reader = spark.read.option("multiLine", True)
-    if schema is not None:
-        reader = reader.schema(schema)
-    raw = reader.json(path)
-    if "instances" in raw.columns:
-        return raw.select(F.col("_metadata.file_name").alias("file_name"),
-                          F.posexplode("instances").alias("idx", "inst")).select("file_name", "idx", "inst.*")
-    cols = [c for c in raw.columns if c != "_corrupt_record"]
-    w = Window.partitionBy("file_name").orderBy("_row")
-    # A multi-line JSON file is never split, so one task reads it in order.
-    return (raw.select(*cols, F.col("_metadata.file_name").alias("file_name"),
-                       F.monotonically_increasing_id().alias("_row"))
-            .withColumn("idx", F.row_number().over(w) - 1).drop("_row"))
+    """Scoring requests (S11): each file holds a bare JSON array, or an object with ``instances``
+    (absent or null: no rows); a folder may hold both kinds. ``schema`` is that of one instance, and is
+    inferred over all instances if not given. Columns: file_path, file_name, idx (the 0-based position
+    in its file) and the instance's fields. A file that is not JSON fails the read.
+    """
+    doc = (spark.read.text(path, wholetext=True)
+           .select(F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_name").alias("file_name"),
+                   F.parse_json("value").alias("doc")))
+    bare = F.schema_of_variant("doc").startswith("ARRAY")
+    listed = F.when(bare, F.col("doc")).otherwise(F.try_variant_get("doc", "$.instances", "variant"))
+    rows = doc.select("file_path", "file_name", listed.alias("list")).where(F.schema_of_variant("list").startswith("ARRAY")) \
+              .select("file_path", "file_name", F.posexplode(F.col("list").cast("array<variant>")).alias("idx", "inst"))
+    if schema is None:
+        shape = rows.agg(F.schema_of_variant_agg("inst")).first()[0]
+        if not shape or not shape.startswith("OBJECT<"):
+            return rows.select("file_path", "file_name", "idx")
+        ddl = shape.replace("OBJECT<", "STRUCT<")
+    else:
+        kind = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
+        if kind.names == ["instances"]:  # the schema of the whole request object
+            kind = kind["instances"].dataType.elementType
+        ddl = kind.simpleString()
+    return rows.select("file_path", "file_name", "idx", F.variant_get("inst", "$", ddl).alias("r")) \
+               .select("file_path", "file_name", "idx", "r.*")
 
 
 RANGE_COL = "_range"
@@ -138,10 +176,11 @@ def key_range(key: F.Column, width: int) -> F.Column:
     return F.floor(key / F.lit(width)).cast("long")
 
 
-def _by_range(df: DataFrame, key: str, null_salt: int = 64) -> DataFrame:
+def _by_range(df: DataFrame, key: str) -> DataFrame:
     """One write task per key range (so one file per range); rows with a NULL
-    key, which always insert and share one range, are spread by a row hash."""
-    salt = F.when(F.col(key).isNull(), F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(null_salt)))
+    key, which always insert and share one range, are spread by a row hash
+    over the whole shuffle width."""
+    salt = F.when(F.col(key).isNull(), F.xxhash64(*[F.col(c) for c in df.columns]))
     return df.repartition(F.col(RANGE_COL), salt.otherwise(F.lit(0)))
 
 
@@ -152,16 +191,14 @@ def read_ranged(spark: SparkSession, root: str) -> DataFrame | None:
     return spark.read.parquet(root)
 
 
-def upsert_ranged(source: DataFrame, root: str, key: str, run_ts: str, width: int, scratch: str,
-                  max_listed_ranges: int = 100_000) -> None:
+def upsert_ranged(source: DataFrame, root: str, key: str, run_ts: str, width: int, scratch: str) -> None:
     """Incremental J2 on a target partitioned by key range (``_range=<n>``).
 
-    Only the ranges present in the source are read (partition pruning on the
-    list of touched ranges) and rewritten (dynamic partition overwrite), so a
-    run costs O(delta + touched ranges), not O(target). Ids arriving in
-    contiguous batches touch one range each. Above ``max_listed_ranges``
-    touched ranges the read falls back to the whole target, with the same
-    result. The merged ranges are first written to ``scratch`` because a job
+    Only the ranges present in the source are rewritten (dynamic partition
+    overwrite). The read is pruned to the span between the smallest and the
+    largest of them, and a semi-join on the distinct ranges, at every size,
+    leaves the others out. Ids arriving in contiguous batches touch one range
+    each. The merged ranges are first written to ``scratch`` because a job
     cannot overwrite partitions it is reading; a failure before the swap
     leaves the target as it was, and a rerun of the same source is idempotent
     apart from ``updated_at``.
@@ -179,13 +216,17 @@ def upsert_ranged(source: DataFrame, root: str, key: str, run_ts: str, width: in
         first = src.withColumn("updated_at", F.lit(run_ts).cast("timestamp"))
         _by_range(first, key).write.mode("errorifexists").partitionBy(RANGE_COL).parquet(root)
         return
-    touched = [r[0] for r in src.select(RANGE_COL).distinct().limit(max_listed_ranges + 1).collect()]
-    if len(touched) <= max_listed_ranges:
-        known = [t for t in touched if t is not None]
-        cond = F.col(RANGE_COL).isin(known)
-        if len(known) < len(touched):
-            cond = cond | F.col(RANGE_COL).isNull()
-        current = current.where(cond)
+    span = src.agg(F.min(RANGE_COL).alias("lo"), F.max(RANGE_COL).alias("hi"),
+                   F.count_if(F.col(RANGE_COL).isNull()).alias("nulls")).first()
+    without = current.where(F.col(RANGE_COL).isNull()) if span["nulls"] else None
+    if span["lo"] is None:
+        current = current.limit(0)
+    else:
+        within = F.col(RANGE_COL).between(span["lo"], span["hi"])
+        current = current.where(within).join(src.where(within).select(RANGE_COL).distinct(), RANGE_COL, "left_semi") \
+                         .select(*current.columns)
+    if without is not None:
+        current = current.union(without)
     merged = upsert(current, src, key, run_ts)
     _by_range(merged, key).write.mode("errorifexists").parquet(f"{scratch}/merged")
     (spark.read.parquet(f"{scratch}/merged").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")

@@ -3,9 +3,8 @@
 The file source's checkpoint records which files were consumed, so each run
 (``trigger(availableNow=True)``) sees only shards that landed since the last
 one. ``cleanSource`` archives or deletes consumed files (lazily: files of the
-last batch go on the next run). The upsert sink is ``foreachBatch`` and is
-idempotent per batch id: the target version written for batch ``b`` is
-``v=b+1``, and a replayed batch whose version is already committed is skipped.
+last batch go on the next run). The upsert sink is ``foreachBatch``; a ledger
+keyed by (stream, batch id), written after the data commits, skips replays.
 """
 
 from __future__ import annotations
@@ -15,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tackroom.constants import SHARD_NAME_GLOB, SHARD_NAME_PATTERN
+from tackroom.functions.records import load_records
 from tackroom.operators.clean import clean, kept_lines
 from tackroom.operators.upsert import upsert
 from tackroom.sources.shards import ORDER_COLS
@@ -57,54 +57,73 @@ def incremental_shards(lines: DataFrame, sink: str, checkpoint: str) -> None:
     q.awaitTermination()
 
 
-def upsert_batch(batch: DataFrame, batch_id: int, target_root: str, schema: StructType | str, key: str,
-                 run_ts: str, transform=None, buckets: int | None = None) -> bool:
-    """One micro-batch of T2; returns False when it is a replay and was skipped.
+def _applied(spark: SparkSession, target_root: str, stream: str, batch_id: int):
+    """Folder of the ledger that marks one micro-batch of one stream as applied, and whether it is there."""
+    from tackroom.sources.tables import _fs
+
+    path = f"{target_root.rstrip('/')}_batches/stream={stream}/batch_id={batch_id}"
+    fs, p = _fs(spark, path)
+    return path, fs.exists(p)
+
+
+def _mark(spark: SparkSession, path: str, run_ts: str) -> None:
+    spark.range(1).select(F.lit(run_ts).alias("run_ts")).coalesce(1).write.mode("overwrite").parquet(path)
+
+
+def _stream_of(spark: SparkSession) -> str:
+    """The running query's id, which its checkpoint keeps across restarts."""
+    return spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "direct"
+
 
-    Batch ``b`` writes version ``b + 1``; if that version (or a later one) is
-    already committed the batch was applied before and nothing happens.
+def _records(batch: DataFrame, schema: StructType | str, transform, rejects: str | None) -> DataFrame:
+    ordered = batch.withColumn("row_id", F.monotonically_increasing_id())
+    rec = load_records(kept_lines(clean(ordered, ORDER_COLS)), schema, rejects=rejects)
+    return transform(rec) if transform is not None else rec
+
+
+def upsert_batch(batch: DataFrame, batch_id: int, target_root: str, schema: StructType | str, key: str,
+                 run_ts: str, transform=None, buckets: int | None = None, stream: str | None = None,
+                 rejects: str | None = None) -> bool:
+    """One micro-batch of T2 as a new target version; False when it was applied before.
+
+    A batch is known by its stream and number, in a ledger written after the
+    version commits, so other streams, other checkpoints and batch loads of the
+    same target never hide it. A failure between the two applies the batch once
+    more, which replaces the same rows by themselves.
     """
-    from tackroom.sources.tables import latest_version, read_target, write_target
+    from tackroom.sources.tables import bucket_spec, read_target, write_target
 
     spark = batch.sparkSession
-    version = batch_id + 1
-    current = latest_version(spark, target_root)
-    if current is not None and current >= version:
+    ledger, done = _applied(spark, target_root, stream or _stream_of(spark), batch_id)
+    if done:
         return False
-    ordered = batch.withColumn("row_id", F.monotonically_increasing_id())
-    kept = kept_lines(clean(ordered, ORDER_COLS))
-    rec = kept.select(F.from_json("line", schema).alias("r")).select("r.*")
-    if transform is not None:
-        rec = transform(rec)
-    if current is None:
+    rec = _records(batch, schema, transform, rejects)
+    before = read_target(spark, target_root)
+    if before is None:
         merged = rec.withColumn("updated_at", F.lit(run_ts).cast("timestamp"))
     else:
-        before = read_target(spark, target_root, key=key, buckets=buckets)
+        spec = bucket_spec(spark, target_root)
+        buckets = spec[1] if spec else None
         merged = upsert(before, rec, key, run_ts, buckets=buckets)
-    write_target(merged, target_root, key=key, buckets=buckets, version=version)
+    write_target(merged, target_root, key=key, buckets=buckets)
+    _mark(spark, ledger, run_ts)
     return True
 
 
 def upsert_batch_ranged(batch: DataFrame, batch_id: int, target_root: str, schema: StructType | str, key: str,
-                        run_ts: str, width: int, transform=None) -> bool:
+                        run_ts: str, width: int, transform=None, stream: str | None = None,
+                        rejects: str | None = None) -> bool:
     """One micro-batch of T2 on a range-partitioned target: only the key
-    ranges in the batch are read and rewritten. A ledger of applied batch ids
-    (appended after the data commit) makes a replay a no-op."""
+    ranges in the batch are rewritten. Replays are known as in ``upsert_batch``."""
     from tackroom.session import scratch_dir
-    from tackroom.sources.tables import _fs, upsert_ranged
+    from tackroom.sources.tables import upsert_ranged
 
     spark = batch.sparkSession
-    ledger = f"{target_root.rstrip('/')}_batches"
-    fs, p = _fs(spark, f"{ledger}/batch_id={batch_id}")
-    if fs.exists(p):
+    ledger, done = _applied(spark, target_root, stream or _stream_of(spark), batch_id)
+    if done:
         return False
-    ordered = batch.withColumn("row_id", F.monotonically_increasing_id())
-    rec = kept_lines(clean(ordered, ORDER_COLS)).select(F.from_json("line", schema).alias("r")).select("r.*")
-    if transform is not None:
-        rec = transform(rec)
-    upsert_ranged(rec, target_root, key, run_ts, width, scratch_dir(spark, "ranged-merge"))
-    spark.range(1).select(F.lit(batch_id).alias("batch_id"), F.lit(run_ts).alias("run_ts")) \
-        .write.mode("append").partitionBy("batch_id").parquet(ledger)
+    upsert_ranged(_records(batch, schema, transform, rejects), target_root, key, run_ts, width, scratch_dir(spark, "ranged-merge"))
+    _mark(spark, ledger, run_ts)
     return True
 
 

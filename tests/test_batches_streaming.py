@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tackroom.operators.batches import batch_of, batch_outcomes, id_batches, missing_ids
-from tackroom.sources.shards import merge_summary, read_shard_lines, write_batch_shards
+from tackroom.sources.shards import list_shards, merge_summary, read_shard_lines, write_batch_shards
 from tackroom.streaming.incremental import incremental_shards, incremental_upsert, shard_stream
 from tackroom.sources.tables import read_target
 
@@ -36,7 +36,7 @@ def test_write_and_read_batch_shards(spark, tmp_dir):
     assert names == ["horse_data_0_to_99_42.ndjson", "horse_data_100_to_199_42.ndjson",
                      "horse_data_200_to_299_42.ndjson"]
     assert '"x":null' in lines.first().line  # nulls are written, not omitted
-    s = merge_summary(lines, "m").first()
+    s = merge_summary(list_shards(spark, tmp_dir, layout="partitioned"), lines, "m").first()
     assert s.merged_count == 3 and s.line_count == 250
     write_batch_shards(df, tmp_dir, "k", 0, 100, 42)  # a retried landing replaces, never duplicates
     write_batch_shards(df.where("k < 100"), tmp_dir, "k", 0, 100, 43)  # a new stamp adds a shard

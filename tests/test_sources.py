@@ -30,8 +30,13 @@ def test_instances_object_bare_and_missing(spark, tmp_dir):
     bare = read_instances(spark, f"{tmp_dir}/bare", SCHEMA)
     assert [(r.idx, r.horse_id, r.jockey_weight) for r in bare.orderBy("idx").collect()] == \
         [(0, "7", None), (1, "8", 55.5)]
-    none = read_instances(spark, f"{tmp_dir}/none")
-    assert "instances" not in none.columns or none.where(F.col("instances").isNotNull()).count() == 0
+    assert read_instances(spark, f"{tmp_dir}/none").count() == 0
+    assert read_instances(spark, f"{tmp_dir}/none", SCHEMA).count() == 0
+    whole = "instances array<struct<horse_id:string,temperature:string,jockey_weight:double>>"
+    assert read_instances(spark, f"{tmp_dir}/bare", whole).count() == 2  # a bare array under the request's schema
+    assert read_instances(spark, f"{tmp_dir}/*/", SCHEMA).count() == 4   # both kinds in one read
+    two = read_instances(spark, f"{tmp_dir}/*/")                           # inferred; same names, numbered apart
+    assert sorted((r.idx, r.horse_id) for r in two.collect()) == [(0, "7"), (0, "7"), (1, "8"), (1, "8")]
 
 
 def test_snapshot_prunes_to_one_day(spark, tmp_dir):
