@@ -8,8 +8,8 @@ Rules, element by element in array order:
 3. anything else (null-year rows before the first anchor, falsy prizes) is
    dropped; a NULL array folds to an empty one.
 
-``fold_prizes`` is the nested form: one ``aggregate`` higher-order function
-per record, so it is row-local (no shuffle) and runs in the JVM.
+``fold_prizes`` is the nested form: higher-order functions within the record, so
+it is row-local (no shuffle) and runs in the JVM.
 """
 
 from __future__ import annotations
@@ -25,24 +25,25 @@ def prize_truthy(p: Column) -> Column:
 
 
 def fold_prizes(arr: Column, year: str = "raceYear", prize: str = "prize") -> Column:
-    """Fold an ``array<struct>`` per the rules above; ``prize`` must be a string."""
-    empty = F.filter(arr, lambda x: F.lit(False))
-    init = F.struct(empty.alias("out"), F.lit(False).alias("has"))
-
-    def step(acc, x):
-        last = F.element_at(acc["out"], -1)
-        merged = F.when(prize_truthy(last[prize]),
-                        F.concat(last[prize], F.lit(PRIZE_SEPARATOR), x[prize])
-                        ).otherwise(x[prize])
-        replaced = F.concat(F.slice(acc["out"], 1, F.size(acc["out"]) - 1),
-                            F.array(last.withField(prize, merged)))
-        return (F.when(x[year].isNotNull(),
-                       F.struct(F.array_append(acc["out"], x).alias("out"), F.lit(True).alias("has")))
-                .when(acc["has"] & prize_truthy(x[prize]),
-                      F.struct(replaced.alias("out"), F.lit(True).alias("has")))
-                .otherwise(acc))
-
-    return F.coalesce(F.aggregate(arr, init, step, lambda acc: acc["out"]), F.array())
+    """Fold an ``array<struct>`` per the rules above; ``prize`` must be a string.
+
+    Linear in the array: the places of the anchors first, then each anchor takes
+    the slice of elements up to the next one.
+    """
+    def one(i: Column, following: Column) -> Column:
+        anchor = F.get(arr, i)
+        tail = F.filter(F.slice(arr, i + 2, following - i - 1), lambda x: prize_truthy(x[prize]))
+        text = F.array_join(F.transform(tail, lambda x: x[prize]), PRIZE_SEPARATOR)
+        folded = (F.when(F.size(tail) == 0, anchor[prize])
+                  .when(prize_truthy(anchor[prize]), F.concat(anchor[prize], F.lit(PRIZE_SEPARATOR), text))
+                  .otherwise(text))
+        return anchor.withField(prize, folded)
+
+    anchors = F.array_compact(F.transform(arr, lambda x, i: F.when(x[year].isNotNull(), i)))
+    # the outer transform evaluates the places once
+    out = F.element_at(F.transform(F.array(anchors), lambda places: F.transform(
+        places, lambda i, j: one(i, F.coalesce(F.get(places, j + 1), F.size(arr))))), 1)
+    return F.coalesce(out, F.array())
 
 
 def fold_prize_rows(df, group_cols, order_col: str, year_col: str, prize_col: str,

@@ -25,9 +25,42 @@ def _groups(df: DataFrame, group: Sequence[str]):
     return [GROUP_KEY], with_group_key(df, list(group)), not group
 
 
+# Python's float() on text: digits with single underscores between them, an optional exponent, or a special value.
+_DIGITS = "[0-9]+(_[0-9]+)*"
+FLOAT_TEXT = (rf"(?i)^[+-]?(({_DIGITS}([.]({_DIGITS})?)?|[.]{_DIGITS})(e[+-]?{_DIGITS})?|inf|infinity|nan)$")
+
+
+def python_float(c: Column) -> Column:
+    """Text as the double that Python's float() gives; NULL where that would fail."""
+    text = F.trim(c)
+    return F.when(text.rlike(FLOAT_TEXT), F.replace(text, F.lit("_"), F.lit("")).try_cast("double"))
+
+
+def python_text(c: Column, kind: str) -> Column:
+    """A scalar as Python's str() writes it: ``True``, ``1e+16``, ``10000000.0``."""
+    if kind == "boolean":
+        return F.initcap(c.cast("string"))
+    if kind not in ("double", "float"):
+        return c.cast("string")
+    s = c.cast("string")
+    part = lambda i: F.regexp_extract(s, r"^(-?)([0-9])[.]([0-9]+)E(-?[0-9]+)$", i)
+    e = part(4).try_cast("int")
+    rest = F.regexp_replace(part(3), "0+$", "")
+    digits = F.concat(part(2), rest)
+    whole = F.rpad(F.substring(digits, F.lit(1), e + 1), e + 1, F.lit("0"))
+    behind = F.substring(digits, e + 2, F.length(digits))
+    plain = (F.when(e >= 0, F.concat(part(1), whole, F.lit("."), F.when(behind == "", F.lit("0")).otherwise(behind)))
+             .otherwise(F.concat(part(1), F.lit("0."), F.repeat(F.lit("0"), -e - 1), digits)))
+    power = F.concat(F.when(e < 0, F.lit("e-")).otherwise(F.lit("e+")), F.lpad(F.abs(e).cast("string"), F.greatest(F.lit(2), F.length(F.abs(e).cast("string"))), F.lit("0")))
+    short = F.concat(part(1), part(2), F.when(rest == "", F.lit("")).otherwise(F.concat(F.lit("."), rest)), power)
+    return (F.when(F.isnan(c), F.lit("nan")).when(s == "Infinity", F.lit("inf")).when(s == "-Infinity", F.lit("-inf"))
+            .when(e.isNull(), s).when((e >= -4) & (e < 16), plain).otherwise(short))
+
+
 def cast_string_fields(df: DataFrame, fields: Sequence[str]) -> DataFrame:
-    """P10: listed fields that exist become text (NULL stays NULL)."""
-    return df.select(*[F.col(c).cast("string").alias(c) if c in fields else F.col(c) for c in df.columns])
+    """P10: listed fields that exist become text as Python writes it (NULL stays NULL)."""
+    kinds = dict(df.dtypes)
+    return df.select(*[python_text(F.col(c), kinds[c]).alias(c) if c in fields else F.col(c) for c in df.columns])
 
 
 def cast_numeric_fields(df: DataFrame, fields: Sequence[str]) -> DataFrame:
@@ -38,7 +71,7 @@ def cast_numeric_fields(df: DataFrame, fields: Sequence[str]) -> DataFrame:
         if c in fields:
             dt = df.schema[c].dataType.simpleString()
             if dt == "string":
-                num = F.trim(F.col(c)).try_cast("double")
+                num = python_float(F.col(c))
                 out += [num.alias(c), F.when(num.isNull() & F.col(c).isNotNull(), F.col(c)).alias(c + "_raw")]
             else:
                 out += [F.col(c).cast("double").alias(c), F.lit(None).cast("string").alias(c + "_raw")]

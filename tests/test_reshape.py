@@ -189,3 +189,15 @@ def test_null_group_in_tabular_fold_and_rank(spark):
     assert ranked == [(-1, 0, 0), (-1, 1, 1), (1, 0, 0)]
     small, hot = split_by_group_size(tab, ["g"], 1)
     assert small.count() == 1 and hot.count() == 2
+
+
+def test_nested_fold_is_linear(spark):
+    import time
+    n = 20_000
+    df = spark.range(1).select(F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: F.struct(
+        F.when(i % 4 == 0, i).alias("raceYear"), i.cast("string").alias("prize"))).alias("a"))
+    from tackroom.functions.fold import fold_prizes
+    began = time.time()
+    out = df.select(fold_prizes(F.col("a")).alias("f")).select(F.size("f").alias("n"), F.element_at("f", -1)["prize"].alias("p")).first()
+    assert (out.n, out.p) == (n // 4, f"{n - 4} + {n - 3} + {n - 2} + {n - 1}")
+    assert time.time() - began < 10

@@ -96,3 +96,21 @@ def test_null_group_is_a_group(spark):
     assert rr == {1: 100, 2: 1, 3: 100}
     picks = sorted((r.g or "-", r.position, r.idx) for r in greedy_top_k(df, "probs", "idx", ["g"], 2).collect())
     assert picks == [("-", 1, 1), ("-", 2, 2), ("a", 1, 3)]
+
+
+def test_casts_follow_python(spark):
+    from tackroom.operators.scoring import python_float, python_text
+    numbers = [0.0, 1.5, 1e7, 12345678.9, 1e16, 1.5e16, 1e15, 1e-4, 1e-5, -2.5e-7, 1e100, 123456789012345.0, float("inf"), -1e22, 0.001]
+    rows = spark.createDataFrame([(x,) for x in numbers], "x double").select("x", python_text(F.col("x"), "double").alias("t")).collect()
+    assert [r.t for r in rows] == [str(r.x) for r in rows]
+    assert [r[0] for r in spark.createDataFrame([(True,), (False,), (None,)], "b boolean")
+            .select(python_text(F.col("b"), "boolean")).collect()] == ["True", "False", None]
+    texts = ["5d", "5f", "1_000", "1__0", "_1", " 7.5 ", ".5", "5.", "1e5", "1_0e1_0", "inf", "-Infinity", "nan", "", "0x10", "1e", "+3"]
+
+    def python(t):
+        try:
+            return str(float(t))
+        except ValueError:
+            return None
+    got = spark.createDataFrame([(t,) for t in texts], "t string").select("t", python_float(F.col("t")).alias("v")).collect()
+    assert [None if r.v is None else str(r.v) for r in got] == [python(r.t) for r in got]
