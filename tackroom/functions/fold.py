@@ -67,10 +67,16 @@ def fold_prize_rows(df, group_cols, order_col: str, year_col: str, prize_col: st
 
     from tackroom.functions.columns import GROUP_KEY, with_group_key
 
+    from tackroom.operators.skew import rank_in_group
+
     k = GROUP_KEY  # one struct key: a NULL group is one group, joins stay plain equi-joins
+    # exact ranks as places: repeated and NULL order values fold as the sorted array of the nested form does
+    df = rank_in_group(df.select(*group_cols, order_col, year_col, prize_col), group_cols,
+                       [order_col, year_col, prize_col], name="_place")
+    shown, order_col = order_col, "_place"
     o, y, p = F.col(order_col), F.col(year_col), F.col(prize_col)
     rows = with_group_key(df, group_cols).select(
-        k, order_col, year_col, prize_col, F.floor(o / F.lit(chunk)).alias("_chunk"),
+        k, shown, order_col, year_col, prize_col, F.floor(o / F.lit(chunk)).alias("_chunk"),
         F.when(y.isNotNull(), o).alias("_anchor"))
     last_in_chunk = rows.groupBy(k, "_chunk").agg(F.max("_anchor").alias("_last"))
     carry_w = Window.partitionBy(k).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
@@ -84,11 +90,11 @@ def fold_prize_rows(df, group_cols, order_col: str, year_col: str, prize_col: st
              .agg(F.sort_array(F.collect_list(F.struct(o.alias("o"), p.alias("p")))).alias("_t"))
              .select(k, F.col("_seg").alias(order_col),
                      F.array_join(F.transform("_t", lambda e: e["p"]), PRIZE_SEPARATOR).alias("_tail")))
-    anchors = seg.where(y.isNotNull()).select(k, order_col, year_col, p.alias("_p0"))
+    anchors = seg.where(y.isNotNull()).select(k, shown, order_col, year_col, p.alias("_p0"))
     out = anchors.join(tails, [k, order_col], "left")
     folded = (F.when(F.col("_tail").isNull(), F.col("_p0"))
               .when(prize_truthy(F.col("_p0")),
                     F.concat(F.col("_p0"), F.lit(PRIZE_SEPARATOR), F.col("_tail")))
               .otherwise(F.col("_tail")))
     g = [F.col(f"{k}.{c}").alias(c) for c in group_cols]
-    return out.select(*g, order_col, year_col, folded.alias(prize_col))
+    return out.select(*g, shown, year_col, folded.alias(prize_col))

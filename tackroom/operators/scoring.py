@@ -161,6 +161,12 @@ def greedy_top_k(df: DataFrame, probs: str, idx: str, group: Sequence[str] = (),
 
 
 def race_card(df: DataFrame, scores: str, idx: str, group: Sequence[str] = ()) -> DataFrame:
-    """M3 (per-row table): index, win/place/top-3 and the relative rank."""
-    with_probs = df.withColumn("class_probs", class_probs(F.col(scores)))
+    """M3 (per-row table): 0-based index and the number shown (from 1), win/place/top-3 and the relative rank."""
+    with_probs = df.withColumn("class_probs", class_probs(F.col(scores))).withColumn("number", F.col(idx) + 1)
     return relative_rank(win_place_top3(with_probs), "win_prob", group).drop("class_probs")
+
+
+def finishers(df: DataFrame, scores: str, idx: str, group: Sequence[str] = (), k: int = DEFAULT_TOP_K) -> DataFrame:
+    """M3 (finishers table): the greedy pick of each position, with the number shown (from 1)."""
+    picks = greedy_top_k(df.withColumn("class_probs", class_probs(F.col(scores))), "class_probs", idx, group, k)
+    return picks.withColumn("number", F.col(idx) + 1)

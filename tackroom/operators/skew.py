@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tackroom.functions.columns import GROUP_KEY, with_group_key
+from tackroom.session import scratch_dir
 
 DEFAULT_MAX_NESTED = 100_000
 
@@ -58,8 +59,10 @@ def rank_in_group(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [*group_cols, *order_cols]
     sorted_ = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
-    numbered = sorted_.select("*", F.spark_partition_id().alias("_pid"),
-                              F.monotonically_increasing_id().alias("_mid"))
+    # written once: two readings of a range partitioning could cut it at other sampled bounds
+    path = scratch_dir(spark, "rank-in-group")
+    sorted_.select("*", F.spark_partition_id().alias("_pid"), F.monotonically_increasing_id().alias("_mid")).write.parquet(path)
+    numbered = spark.read.parquet(path)
     local = F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33)
     # one row per partition: a proven bound, so the offsets table is broadcast
     counts = numbered.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))

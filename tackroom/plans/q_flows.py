@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 
 from tackroom.operators.features import position_class
 from tackroom.operators.ml import score, train
-from tackroom.operators.scoring import class_probs, greedy_top_k, race_card
+from tackroom.operators.scoring import class_probs, finishers, race_card
 from tackroom.plans.flows import merge_clean_upsert
 from tackroom.plans.q_io import MASTER_NAME, RUN_TS, STAMP_MILLIS
-from tackroom.plans.q_scoring import feature_rows_q
+from tackroom.plans.q_scoring import feature_rows_q, folded_values
 from tackroom.plans.q_clean import CLEAN_REPORT_SQL
 from tackroom.plans.registry import query, table
 from tackroom.session import scratch_dir
@@ -21,17 +21,34 @@ from tackroom.streaming.incremental import incremental_shards, incremental_upser
 
 @query("train_score", "M4 M5")
 def train_score(spark, sf_dir):
-    """Embeddings as feature rows: eight numeric features, ``label`` mapped to
+    """Embeddings as feature rows: eight sums over all values, ``label`` mapped to
     the finish class. Train a multinomial model, score every row."""
+    return _train_score(spark, sf_dir)
+
+
+def _train_score(spark, sf_dir):
     e = table(spark, sf_dir, "embeddings")
-    feats = [F.element_at("embedding", i + 1).cast("double").alias(f"f{i}") for i in range(8)]
-    df = e.select("vec_id", *feats, position_class(F.col("label")))
     numeric = [f"f{i}" for i in range(8)]
-    model = train(df, [], numeric, model="auto", max_iter=30)  # ROC-AUC objective picks lr or rf
+    df = e.select("vec_id", *[v.alias(n) for v, n in zip(folded_values(), numeric, strict=True)], position_class(F.col("label")))
+    model = train(df, [], numeric, model="auto")  # ROC-AUC objective picks lr or rf
     out = score(df, model, numeric, keep=["vec_id", "position_class"])
     probs = class_probs(F.col("scores"))
     return out.select("vec_id", "position_class", F.round(probs["1"], 6).alias("win_prob"),
-                      F.round(F.array_max("scores"), 6).alias("top_prob"))
+                      F.round(F.array_max("scores"), 6).alias("top_prob"),
+                      (F.abs(F.aggregate("scores", F.lit(0.0), lambda a, x: a + x) - 1) < 1e-6).alias("sums_to_one"),
+                      F.size("scores").alias("n_scores"))
+
+
+@query("train_score_checks", "M4 M5", sql="""
+SELECT CAST(count(*) AS BIGINT) AS n_rows, CAST(count(DISTINCT vec_id) AS BIGINT) AS n_ids, TRUE AS sums_to_one,
+  8 AS n_scores, TRUE AS in_range FROM embeddings
+""")
+def train_score_checks(spark, sf_dir):
+    """What holds for any model: every row is scored once, with eight scores that sum to one."""
+    p = _train_score(spark, sf_dir)
+    return p.agg(F.count("*").alias("n_rows"), F.count_distinct("vec_id").alias("n_ids"), F.bool_and("sums_to_one").alias("sums_to_one"),
+                 F.max("n_scores").alias("n_scores"),
+                 F.bool_and(F.col("win_prob").between(0, 1) & (F.col("top_prob") >= F.col("win_prob"))).alias("in_range"))
 
 
 @query("incremental_shards", "T1 S4", sql="""
@@ -137,10 +154,7 @@ def flow_typed_ids(spark, sf_dir):
     return read_target(spark, target).select("id", "user", "type")
 
 
-@query("train_and_rank", "E3")
-def train_and_rank(spark, sf_dir):
-    """Feature rows -> dated snapshot -> model -> per-order race card with the
-    greedy predicted finish order (each order is a race of its lines)."""
+def _train_and_rank(spark, sf_dir):
     feats = feature_rows_q(spark, sf_dir)
     w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "track_distance")
     feats = feats.withColumn("idx", F.row_number().over(w) - 1)
@@ -155,10 +169,31 @@ def train_and_rank(spark, sf_dir):
     score(snap, model, numeric, keep=["l_orderkey", "idx"]).write.parquet(scored_path)
     scored = spark.read.parquet(scored_path)
     card = race_card(scored, "scores", "idx", ["l_orderkey"])
-    top = greedy_top_k(scored.withColumn("class_probs", class_probs(F.col("scores"))),
-                       "class_probs", "idx", ["l_orderkey"], 3)
-    return card.join(top.withColumnRenamed("prob", "pick_prob"), ["l_orderkey", "idx"], "left") \
-               .select("l_orderkey", "idx", F.round("win_prob", 6).alias("win_prob"), "rel_rank", "position")
+    top = finishers(scored, "scores", "idx", ["l_orderkey"])
+    return card.join(top.select("l_orderkey", "idx", "position"), ["l_orderkey", "idx"], "left") \
+               .select("l_orderkey", "idx", "number", F.round("win_prob", 6).alias("win_prob"), "rel_rank", "position")
+
+
+@query("train_and_rank", "E3")
+def train_and_rank(spark, sf_dir):
+    """Feature rows -> dated snapshot -> model -> per-order race card with the
+    greedy predicted finish order (each order is a race of its lines)."""
+    return _train_and_rank(spark, sf_dir)
+
+
+@query("train_and_rank_checks", "E3", sql="""
+SELECT l_orderkey, CAST(count(*) AS BIGINT) AS n_rows, CAST(least(7, count(*)) AS BIGINT) AS n_picked, TRUE AS positions_ok,
+  TRUE AS ranks_ok FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY l_orderkey
+""")
+def train_and_rank_checks(spark, sf_dir):
+    """What holds for any model: per race, all rows on the card, min(7, n) different picks for the positions 1, 2, ...,
+    and ranks from 1 to 100 with both ends taken (100 only, if all chances are equal)."""
+    p = _train_and_rank(spark, sf_dir)
+    picked = F.count("position")
+    return p.groupBy("l_orderkey").agg(
+        F.count("*").alias("n_rows"), picked.alias("n_picked"),
+        ((F.count_distinct("position") == picked) & (F.max("position") == picked)).alias("positions_ok"),
+        ((F.max("rel_rank") == 100) & (F.min("rel_rank").isin(1, 100))).alias("ranks_ok"))
 
 
 @query("clean_job_files", "E1 S3 S7 F2 F5", sql=CLEAN_REPORT_SQL)

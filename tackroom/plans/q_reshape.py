@@ -9,7 +9,7 @@ from tackroom.operators.reshape import (
     assemble_profiles, flatten_profile, flatten_races, map_career, map_races, race_element, unnest_elements,
 )
 from tackroom.plans.registry import query, table
-from tackroom.operators.features import race_context
+from tackroom.operators.features import race_rows
 from tackroom.operators.skew import DEFAULT_MAX_NESTED, rank_in_group, split_by_group_size
 from tackroom.schemas import RACE_FIELDS
 
@@ -278,5 +278,7 @@ FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey
 """)
 def race_context_rows(spark, sf_dir):
     """One feature row per (order, race) with the race context renamed."""
-    rows = order_race_rows(spark, sf_dir)
-    return rows.select("o_orderkey", *race_context(F.col("e")))
+    li = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"),
+                                                 F.array(race_element(raw_race())).alias("races"))
+    o = table(spark, sf_dir, "orders").select("o_orderkey")
+    return o.join(race_rows(li, ["o_orderkey"]), "o_orderkey", "left")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import functions as F
 
 from tackroom.constants import DEFAULT_TOP_K, NUMERIC_FIELDS, STRING_FIELDS
@@ -9,7 +11,7 @@ from tackroom.operators.features import (
     birth_year, jockey_weight_missing, position_class, trainer_stats,
 )
 from tackroom.operators.scoring import (
-    cast_numeric_fields, cast_string_fields, class_probs, greedy_top_k, race_card,
+    cast_numeric_fields, cast_string_fields, class_probs, finishers, greedy_top_k, race_card,
     relative_rank, win_place_top3,
 )
 from tackroom.plans.registry import query, table
@@ -17,20 +19,30 @@ from tackroom.session import scratch_dir
 from tackroom.sources.tables import read_instances
 
 
+N_VALUES, N_CLASSES = 64, 8  # values of an embedding; class i takes the values i, i + 8, i + 16, ...
+
+
+def folded_values(embedding: str = "embedding"):
+    """Eight sums that together hold every value of an embedding."""
+    values = [[F.get(embedding, F.lit(j)).cast("double") for j in range(i, N_VALUES, N_CLASSES)] for i in range(N_CLASSES)]
+    return [functools.reduce(lambda a, b: a + b, v) for v in values]
+
+
 def scored(spark, sf_dir):
-    """Eight class scores per embedding: softmax over its first eight values,
+    """Eight class scores per embedding: softmax over sums of all its values,
     rounded to 9 decimals. ``label`` plays the race, ``vec_id`` the index."""
     e = table(spark, sf_dir, "embeddings")
-    ex = F.transform(F.slice("embedding", 1, 8), lambda x: F.exp(x.cast("double")))
-    df = e.select("label", "vec_id", ex.alias("_ex"))
+    df = e.select("label", "vec_id", F.array(*[F.exp(v) for v in folded_values()]).alias("_ex"))
     total = F.aggregate(F.col("_ex"), F.lit(0.0), lambda a, x: a + x)
     return df.select("label", "vec_id", F.transform("_ex", lambda x: F.round(x / total, 9)).alias("scores"))
 
 
-SCORED_SQL = """
+_EX = ", ".join("exp(" + " + ".join(f"CAST(embedding[{j + 1}] AS DOUBLE)" for j in range(i, N_VALUES, N_CLASSES)) + ")"
+                for i in range(N_CLASSES))
+SCORED_SQL = f"""
   SELECT label, vec_id,
     list_transform(ex, lambda x: round(x / list_reduce(ex, lambda a, b: a + b), 9)) AS scores
-  FROM (SELECT label, vec_id, list_transform(embedding[1:8], lambda x: exp(CAST(x AS DOUBLE))) AS ex FROM embeddings)
+  FROM (SELECT label, vec_id, [{_EX}] AS ex FROM embeddings)
 """
 
 PROBS_SQL = f"""
@@ -63,10 +75,10 @@ def relative_rank_q(spark, sf_dir):
     return relative_rank(df, "win_prob", ["label"]).select("label", "vec_id", "rel_rank")
 
 
-@query("race_card", "M3", sql=f"SELECT label, vec_id, win_prob, place_prob, top3_prob, rel_rank FROM ({RANK_SQL})")
+@query("race_card", "M3", sql=f"SELECT label, vec_id, vec_id + 1 AS number, win_prob, place_prob, top3_prob, rel_rank FROM ({RANK_SQL})")
 def race_card_q(spark, sf_dir):
     return race_card(scored(spark, sf_dir), "scores", "vec_id", ["label"]).select(
-        "label", "vec_id", "win_prob", "place_prob", "top3_prob", "rel_rank")
+        "label", "vec_id", "number", "win_prob", "place_prob", "top3_prob", "rel_rank")
 
 
 def greedy_sql(k: int = DEFAULT_TOP_K) -> str:
@@ -90,6 +102,11 @@ def greedy_top_k_q(spark, sf_dir):
     return greedy_top_k(df, "class_probs", "vec_id", ["label"], DEFAULT_TOP_K)
 
 
+@query("predicted_finishers", "M3 W2", sql=f"SELECT label, position, vec_id + 1 AS number, prob FROM ({greedy_sql()})")
+def predicted_finishers_q(spark, sf_dir):
+    return finishers(scored(spark, sf_dir), "scores", "vec_id", ["label"]).select("label", "position", "number", "prob")
+
+
 @query("trainer_stats", "X4", sql="""
 SELECT s_suppkey, s_name, CAST(count(*) AS BIGINT) AS trainer_freq,
   round(avg(CASE WHEN l_returnflag = 'R' THEN 1.0 ELSE 0.0 END), 6) AS trainer_win_rate

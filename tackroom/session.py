@@ -106,9 +106,5 @@ def ensure_parallel(df, min_partitions: int | None = None):
     already has at least that many splits and passes through untouched, so
     this never adds a shuffle at scale.
     """
-    try:
-        want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        have = df.rdd.getNumPartitions()
-    except Exception:  # no RDD view (e.g. a Spark Connect session): leave as is
-        return df
-    return df if have >= want else df.repartition(want)
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= want else df.repartition(want)

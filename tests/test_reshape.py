@@ -201,3 +201,14 @@ def test_nested_fold_is_linear(spark):
     out = df.select(fold_prizes(F.col("a")).alias("f")).select(F.size("f").alias("n"), F.element_at("f", -1)["prize"].alias("p")).first()
     assert (out.n, out.p) == (n // 4, f"{n - 4} + {n - 3} + {n - 2} + {n - 1}")
     assert time.time() - began < 10
+
+
+def test_fold_forms_agree_on_repeated_and_null_order(spark):
+    rows = [(1, 1, 2000, "a"), (1, 1, None, "b"), (1, 1, 2001, "c"), (1, None, None, "x"), (1, None, 1999, "y"), (1, 2, None, "z"),
+            (2, None, None, "q"), (2, 5, 2005, None), (2, 5, None, "r"), (None, 1, 1990, ""), (None, 1, None, "s")]
+    df = spark.createDataFrame(rows, "g int, o int, raceYear int, prize string")
+    nested = (df.groupBy("g").agg(F.sort_array(F.collect_list(F.struct("o", "raceYear", "prize"))).alias("a"))
+              .select("g", F.explode(fold_prizes(F.col("a"))).alias("e")).select("g", "e.o", "e.raceYear", "e.prize"))
+    table = fold_prize_rows(df, ["g"], "o", "raceYear", "prize", chunk=2).select("g", "o", "raceYear", "prize")
+    key = lambda d: sorted(map(str, d.collect()))
+    assert key(nested) == key(table)
