@@ -31,6 +31,16 @@ def strict_parse(line: Column) -> Column:
                   F.variant_get(as_array, "$[0]", "variant"))
 
 
+# Spark's JSON parser refuses longer texts, longer numbers and deeper nesting.
+MAX_TEXT, MAX_NUMBER, MAX_DEPTH = 20_000_000, 1000, 1000
+
+
+def beyond_parser(line: Column) -> Column:
+    """True for a line that may be valid JSON beyond the parser's limits (it need not be valid)."""
+    opening = F.length(line) - F.length(F.translate(line, "[{", ""))
+    return ((F.length(line) > MAX_TEXT) | (opening > MAX_DEPTH) | line.rlike(f"[0-9]{{{MAX_NUMBER}}}"))
+
+
 def record_id(rec: Column, field: str = "id") -> Column:
     """The ``field`` member of an object variant (NULL for non-objects)."""
     return F.try_variant_get(rec, f"$.{field}", "variant")

@@ -16,15 +16,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tackroom.constants import BLANK, DUPE, KEPT, MALFORMED, MISSING_ID
-from tackroom.functions.jsonline import id_identity, is_blank, js_truthy_id, record_id, strict_parse
+from tackroom.functions.jsonline import beyond_parser, id_identity, is_blank, js_truthy_id, record_id, strict_parse
 
 CANDIDATE = "candidate"
 
 
 def classify_lines(lines: DataFrame, order_cols: Sequence[str], line_col: str = "line",
-                   id_field: str = "id") -> DataFrame:
+                   id_field: str = "id", over_limits: str = "fail") -> DataFrame:
     """Add ``status`` (blank / malformed / missing_id / candidate) and ``key``.
 
+    A line that fails to parse and lies beyond the parser's own limits (text of
+    20 million characters, numbers of 1,000 digits, 1,000 opening brackets) may
+    be valid: it fails the job, or counts as malformed with
+    ``over_limits='malformed'``.
+
     ``key`` is the JS identity of the id (see ``id_identity``); it is NULL for
     anything but candidates.
     """
@@ -36,8 +41,13 @@ def classify_lines(lines: DataFrame, order_cols: Sequence[str], line_col: str =
     rec = F.col("_rec")
     token = F.to_json(F.struct(*[F.col(c) for c in order_cols]))
     key = id_identity(record_id(rec, id_field), token)
+    if over_limits not in ("fail", "malformed"):
+        raise ValueError(over_limits)
+    malformed = F.lit(MALFORMED) if over_limits == "malformed" else F.when(
+        beyond_parser(line), F.raise_error(F.concat(F.lit("line beyond the JSON parser's limits: "), F.substring(line, 1, 80)))
+    ).otherwise(F.lit(MALFORMED))
     status = (F.when(is_blank(line), F.lit(BLANK))
-              .when(rec.isNull(), F.lit(MALFORMED))
+              .when(rec.isNull(), malformed)
               .when(~js_truthy_id(F.col("_key")), F.lit(MISSING_ID))
               .otherwise(F.lit(CANDIDATE)))
     keyed = parsed.select(*order_cols, line_col, "_rec", key.alias("_key"))
@@ -104,6 +114,6 @@ def dedupe_first(df: DataFrame, key_cols: Sequence[str], order_cols: Sequence[st
 
 
 def clean(lines: DataFrame, order_cols: Sequence[str], line_col: str = "line",
-          id_field: str = "id", keep: str = "first") -> DataFrame:
+          id_field: str = "id", keep: str = "first", over_limits: str = "fail") -> DataFrame:
     """Classification + grouping in one go; feed to ``kept_lines`` / ``clean_report``."""
-    return group_lines(classify_lines(lines, order_cols, line_col, id_field), order_cols, line_col, keep)
+    return group_lines(classify_lines(lines, order_cols, line_col, id_field, over_limits), order_cols, line_col, keep)

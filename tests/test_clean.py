@@ -158,3 +158,12 @@ def test_parse_is_not_inlined_into_classification(spark):
     # one projection computes the variant (array wrapper used 3x, object wrapper 1x);
     # status and key read that column instead of parsing again
     assert len(nodes) == 1 and nodes[0].count("parseJson") == 4, nodes
+
+
+@pytest.mark.parametrize("line", ['{"id":1,"n":' + "9" * 1100 + "}", '{"id":1,"n":' + "[" * 1200 + "]" * 1200 + "}"])
+def test_lines_beyond_the_parser_fail_or_count(spark, line):
+    df = spark.createDataFrame([(0, line), (1, '{"id":2}')], "o int, line string")
+    with pytest.raises(Exception, match="limits"):
+        clean_report(clean(df, ["o"])).collect()
+    r = clean_report(clean(df, ["o"], over_limits="malformed")).first()
+    assert (r.total, r.malformed, r.kept) == (2, 1, 1)
