@@ -16,14 +16,14 @@ from tackroom.plans import catalog  # noqa: E402,F401
 from tackroom.plans.registry import REGISTRY  # noqa: E402
 
 IMPL = {
-    "S1": ("sources.shards.read_shard_lines (glob + name regex), plans.flows.merge_job (nothing to merge)", "test_clean::test_shards_order_and_pattern, test_sources::test_merge_job_nothing_then_merged"),
+    "S1": ("sources.shards.list_shards (empty files too), read_shard_lines (glob + name regex), plans.flows.merge_job (nothing to merge)", "test_typed_loads::test_empty_shards_are_listed_counted_and_retired, test_clean::test_shards_order_and_pattern, test_sources::test_merge_job_nothing_then_merged"),
     "S2": ("sources.shards.read_shard_lines (order key shard/file/block/row)", "test_clean::test_order_invariant_under_small_splits"),
     "S3": ("sources.shards.write_master", "test_sources::test_merge_job_nothing_then_merged"),
     "S4": ("sources.shards.record_consumed/read_consumed, retire_files; streaming cleanSource", "test_sources::test_ledger_skips_consumed, test_merge_job_removes_after_commit"),
-    "S5": ("sources.shards.merge_summary", "test_batches_streaming::test_write_and_read_batch_shards"),
+    "S5": ("sources.shards.merge_summary (over the listing)", "test_batches_streaming::test_write_and_read_batch_shards, test_typed_loads::test_empty_shards_are_listed_counted_and_retired"),
     "S6": ("sources.shards.write_batch_shards, write_line_shards", "test_batches_streaming::test_write_and_read_batch_shards"),
     "S7": ("sources.shards.write_cleaned, cleaned_name; plans.flows.clean_job", "test_sources::test_names_and_percent"),
-    "S8": ("sources.tables.load_staging", "test_flow_racing"),
+    "S8": ("sources.tables.load_staging, functions.records.load_records", "test_typed_loads, test_flow_racing"),
     "S9": ("sources.tables.read_target/write_target (versioned, bucketed), upsert_ranged", "test_upsert::test_versioned_target, test_bucketed_upsert_shuffles_only_source"),
     "S10": ("sources.tables.write_snapshot/read_snapshot, snapshot_suffix", "test_sources::test_snapshot_prunes_to_one_day"),
     "S11": ("sources.tables.read_instances", "test_sources::test_instances_object_bare_and_missing, test_request_value_cases"),

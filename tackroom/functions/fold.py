@@ -24,26 +24,53 @@ def prize_truthy(p: Column) -> Column:
     return p.isNotNull() & (p != "")
 
 
-def fold_prizes(arr: Column, year: str = "raceYear", prize: str = "prize") -> Column:
-    """Fold an ``array<struct>`` per the rules above; ``prize`` must be a string.
+def variant_truthy(v: Column) -> Column:
+    """JavaScript truthiness of a variant: not null, false, 0, NaN or the empty text."""
+    shape = F.schema_of_variant(v)
+    number = F.try_variant_get(v, "$", "double")
+    return (F.when(v.isNull() | F.is_variant_null(v), F.lit(False))
+            .when(shape == "STRING", F.try_variant_get(v, "$", "string") != "")
+            .when(shape == "BOOLEAN", F.try_variant_get(v, "$", "boolean"))
+            .when(number.isNotNull(), (number != 0) & ~F.isnan(number))
+            .otherwise(F.lit(True)))
+
+
+def variant_text(v: Column) -> Column:
+    """A variant as JavaScript writes it in a text: ``1200.0`` is ``1200``; NULL stays NULL."""
+    shape = F.schema_of_variant(v)
+    number = F.when(shape.isin("DOUBLE", "FLOAT") | shape.startswith("DECIMAL"), F.try_variant_get(v, "$", "double"))
+    return F.when((number == F.floor(number)) & (F.abs(number) < 1e18), number.cast("long").cast("string")) \
+            .otherwise(F.try_variant_get(v, "$", "string"))
+
+
+def fold_prizes(arr: Column, year: str = "raceYear", prize: str = "prize", variant: bool = False) -> Column:
+    """Fold an ``array<struct>`` per the rules above; ``prize`` is text, or with ``variant`` a variant whose
+    numbers count as falsy when zero and are written as JavaScript does. The result's prize is text.
 
     Linear in the array: the places of the anchors first, then each anchor takes
     the slice of elements up to the next one.
     """
-    def one(i: Column, following: Column) -> Column:
+    if variant:
+        arr = F.transform(arr, lambda x: x.withField("_truthy", variant_truthy(x[prize])).withField(prize, variant_text(x[prize])))
+    truthy = (lambda x: x["_truthy"]) if variant else (lambda x: prize_truthy(x[prize]))
+
+    def one(arr: Column, i: Column, following: Column) -> Column:
         anchor = F.get(arr, i)
-        tail = F.filter(F.slice(arr, i + 2, following - i - 1), lambda x: prize_truthy(x[prize]))
+        tail = F.filter(F.slice(arr, i + 2, following - i - 1), truthy)
         text = F.array_join(F.transform(tail, lambda x: x[prize]), PRIZE_SEPARATOR)
         folded = (F.when(F.size(tail) == 0, anchor[prize])
-                  .when(prize_truthy(anchor[prize]), F.concat(anchor[prize], F.lit(PRIZE_SEPARATOR), text))
+                  .when(truthy(anchor), F.concat(anchor[prize], F.lit(PRIZE_SEPARATOR), text))
                   .otherwise(text))
-        return anchor.withField(prize, folded)
+        anchor = anchor.withField(prize, folded)
+        return anchor.dropFields("_truthy") if variant else anchor
+
+    def fold(arr: Column) -> Column:
+        anchors = F.array_compact(F.transform(arr, lambda x, i: F.when(x[year].isNotNull(), i)))
+        return F.element_at(F.transform(F.array(anchors), lambda places: F.transform(
+            places, lambda i, j: one(arr, i, F.coalesce(F.get(places, j + 1), F.size(arr))))), 1)
 
-    anchors = F.array_compact(F.transform(arr, lambda x, i: F.when(x[year].isNotNull(), i)))
-    # the outer transform evaluates the places once
-    out = F.element_at(F.transform(F.array(anchors), lambda places: F.transform(
-        places, lambda i, j: one(i, F.coalesce(F.get(places, j + 1), F.size(arr))))), 1)
-    return F.coalesce(out, F.array())
+    # the outer transforms evaluate the array and the places once
+    return F.coalesce(F.element_at(F.transform(F.array(arr), fold), 1), F.array())
 
 
 def fold_prize_rows(df, group_cols, order_col: str, year_col: str, prize_col: str,

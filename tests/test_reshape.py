@@ -212,3 +212,13 @@ def test_fold_forms_agree_on_repeated_and_null_order(spark):
     table = fold_prize_rows(df, ["g"], "o", "raceYear", "prize", chunk=2).select("g", "o", "raceYear", "prize")
     key = lambda d: sorted(map(str, d.collect()))
     assert key(nested) == key(table)
+
+
+@pytest.mark.parametrize(("prizes", "want"), [
+    ('[0, 500]', "500"), ('[10, 0]', "10"), ('[1200.0, 300.5, "x", "", null, false]', "1200 + 300.5 + x"), ('["0", 5]', "0 + 5"),
+    ('[null, 7]', "7"), ('["", ""]', ""), ('[0]', "0"), ('[0, 0]', "0")])
+def test_fold_of_number_or_text_prizes(spark, prizes, want):
+    df = spark.sql(f"""SELECT transform(cast(parse_json('{prizes}') AS array<variant>),
+                       (v, i) -> named_struct('raceYear', if(i = 0, 2000, null), 'prize', v)) AS a""")
+    out = df.select(fold_prizes(F.col("a"), variant=True).alias("f")).first().f
+    assert [(r.raceYear, r.prize) for r in out] == [(2000, want)] and not hasattr(out[0], "_truthy")
