@@ -6,14 +6,18 @@
    to frequent. Lines with equal sets collapse to the first in document order.
 3. Candidates share one of the rarest words of both (prefix filter) and pass the
    positional and length filters and a bitmap bound on the number of words that
-   differ, all inside the join, where one exchange of the prefixes serves both sides. Words that many lines have in their prefix are
-   first paired as stars with their earliest line; lines that this settles are
-   not probed again, so a large group of variants does not become all its pairs.
+   differ, all inside the join, where one exchange of the prefixes serves both
+   sides. Each line is first compared with its likeliest partner only, and for
+   words that many lines have in their prefix with the earliest of these; only
+   lines that this leaves unsettled meet all their partners, so a large group of
+   variants does not become all its pairs.
 4. Jaccard is verified on the words of both lines, and the later line goes.
 """
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,15 +26,21 @@ from tackroom.llm.storage import materialize
 SIMILARITY = (4, 5)      # Jaccard of two lines' word sets, as a fraction
 COUNTERS = 1 << 16       # size of the rarity table, whatever the input
 STAR = 128               # prefix words of more lines than this are paired as stars first
-_OTHER_SPACE = r"[\t\x0B\f\r]"
+_OTHER_SPACE = "\t\x0b\f\r"
 _HASH_BITS = 47
 _LAST = (1 << 63) - 1
+_RID_BITS = 56
+
+
+def _spaced(line: Column) -> Column:
+    """The line with all its ASCII white space as spaces."""
+    odd = functools.reduce(lambda x, y: x | y, [F.contains(line, F.lit(c)) for c in _OTHER_SPACE])
+    return F.when(odd, F.translate(line, _OTHER_SPACE, " " * len(_OTHER_SPACE))).otherwise(line)
 
 
 def line_words(line: Column) -> Column:
     """Words of a line: runs of anything but ASCII white space, case kept."""
-    plain = F.when(line.rlike(_OTHER_SPACE), F.regexp_replace(line, _OTHER_SPACE, " ")).otherwise(line)
-    return F.array_remove(F.split(plain, " "), "")
+    return F.array_remove(F.split(_spaced(line), " "), "")
 
 
 def _counter(h: Column) -> Column:
@@ -54,11 +64,13 @@ def _rarity(doc: DataFrame) -> Column:
 
 
 def _filters(x: str, y: str, num: int, den: int) -> Column:
-    """What two lines must meet at their first common prefix word: the words before it are in one line only, those
-    behind it bound the overlap, and differing bitmaps bound how many words differ."""
+    """What a line x and an earlier line y must meet at their first common prefix word: the words before it are in one
+    line only, those behind it bound the overlap, and differing bitmaps bound how many words differ."""
     c = lambda side, name: F.col(f"{side}.{name}")
     both = c(x, "n") + c(y, "n")
-    return ((F.least(c(x, "n"), c(y, "n")) * den >= F.greatest(c(x, "n"), c(y, "n")) * num)
+    before = (c(y, "ord") < c(x, "ord")) | ((c(y, "ord") == c(x, "ord")) & (c(y, "line") <= c(x, "line")))
+    return (before & (c(x, "rid") != c(y, "rid"))
+            & (F.least(c(x, "n"), c(y, "n")) * den >= F.greatest(c(x, "n"), c(y, "n")) * num)
             & (F.least(c(x, "n") - c(x, "p"), c(y, "n") - c(y, "p")) * (num + den) >= both * num)
             & ((c(x, "p") + c(y, "p")) * (num + den) <= both * (den - num))
             & (F.bit_count(c(x, "bits").bitwiseXOR(c(y, "bits"))) * (num + den) <= both * (den - num)))
@@ -68,17 +80,21 @@ def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     similarity: tuple[int, int] = SIMILARITY) -> DataFrame:
     """(ord, k, line): the lines to remove, ``line`` counted from 0; ``k`` tells apart texts that share an id.
 
-    A line goes if an earlier line, in the order (id, text hash, line number),
+    A line goes if an earlier line, in the order (id, line number, text hash),
     has a word set of Jaccard similarity num/den or more, whether that earlier
     line goes itself or not. Lines without words never match.
     """
     num, den = similarity
     doc = _documents(docs, id_col, text_col)
     rank = _rarity(doc)
-    # the rank in the upper 16 bits, then the hash: one long per word, sortable by rarity
-    tokens = F.transform(F.transform(line_words(F.col("value")), lambda w: F.xxhash64(w)), lambda h: F.shiftleft(
-        F.get(rank, _counter(h)).cast("long"), _HASH_BITS).bitwiseOR(F.shiftrightunsigned(h, 64 - _HASH_BITS)))
-    toks = _lines(doc).select("ord", "k", "line", F.sort_array(F.array_distinct(tokens)).alias("t"))
+
+    def key(h: Column) -> Column:
+        """The rank in the upper 16 bits, then the hash: one long per word, sortable by rarity."""
+        return F.shiftleft(F.get(rank, _counter(h)).cast("long"), _HASH_BITS).bitwiseOR(F.shiftrightunsigned(h, 64 - _HASH_BITS))
+
+    tokens = F.transform(F.transform(F.split(_spaced(F.col("value")), " "), lambda w: F.xxhash64(w)), key)
+    words = F.array_remove(F.sort_array(F.array_distinct(tokens)), key(F.xxhash64(F.lit(""))))
+    toks = _lines(doc).select("ord", "k", "line", words.alias("t"))
     n = F.size("t")
     bits = F.aggregate("t", F.lit(0).cast("long"), lambda acc, x: acc.bitwiseOR(
         F.call_function("shiftleft", F.lit(1).cast("long"), x.bitwiseAND(F.lit(63)).cast("int"))))
@@ -88,19 +104,18 @@ def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     lines = materialize(toks.where(n > 0).select(
         "ord", "k", "line", F.xxhash64("t").alias("d1"), F.xxhash64(F.lit(7), "t").alias("d2"), n.alias("n"),
         bits.alias("bits"), low.alias("prefix")), "line-sets")
-    order = F.struct("ord", "k", "line")
-    sets = materialize(lines.groupBy("d1", "d2").agg(F.min(F.struct("ord", "k", "line", "n", "bits", "prefix")).alias("f"),
+    place = F.struct("ord", "line", "k")
+    sets = materialize(lines.groupBy("d1", "d2").agg(F.min(F.struct("ord", "line", "k", "n", "bits", "prefix")).alias("f"),
                                                      F.count("*").alias("copies"))
                        .select("d1", "d2", "f.*", "copies", F.monotonically_increasing_id().alias("rid")), "line-firsts")
     # lines so short that only equal sets reach the similarity need no join
     reps = sets.where(F.col("n") * den >= (F.col("n") + 1) * num)
-    index = reps.select("rid", "n", "bits", F.posexplode("prefix").alias("p", "tok"))
+    index = reps.select("rid", "ord", "line", "n", "bits", F.posexplode("prefix").alias("p", "tok"))
     hot = materialize(index.groupBy("tok").agg(F.count("*").alias("lines")).where(F.col("lines") > STAR).select("tok"),
                       "frequent-prefix-words")
 
     def verified(pairs: DataFrame, name: str) -> DataFrame:
         """The later line's (rid) of each of the (a, b) pairs that reach the similarity on their words."""
-        pairs = materialize(pairs, name)
         ids = pairs.select(F.col("a").alias("rid")).union(pairs.select("b")).distinct()
         some = materialize(reps.select("rid", "ord", "k", "line").join(ids, "rid", "left_semi"), name + "-lines")
         # a bitmap of fixed size lets most other lines go before the shuffle
@@ -108,38 +123,48 @@ def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         slot, bit = F.shiftrightunsigned(h, 48).cast("int"), h.bitwiseAND(F.lit(63)).cast("int")
         mask = (some.select(slot.alias("slot"), F.call_function("shiftleft", F.lit(1).cast("long"), bit).alias("b"))
                 .groupBy("slot").agg(F.bit_or("b").alias("mask")))  # 65,536 rows at most
-        words = (_lines(doc).withColumn("slot", slot).join(F.broadcast(mask), "slot").where(F.getbit("mask", bit) == 1)
+        texts = (_lines(doc).withColumn("slot", slot).join(F.broadcast(mask), "slot").where(F.getbit("mask", bit) == 1)
                  .select("ord", "k", "line", "value").join(some, ["ord", "k", "line"])
-                 .select("rid", F.struct("ord", "k", "line").alias("place"),
-                         F.array_distinct(line_words(F.col("value"))).alias("w")).dropDuplicates(["rid"]))
-        words = materialize(words, name + "-words")
-        x, y = words.toDF("a", "at", "wa"), words.toDF("b", "bt", "wb")
-        both = F.size(F.array_intersect("wa", "wb"))
-        return (pairs.join(x, "a").join(y, "b")
-                .where(both * den >= (F.size("wa") + F.size("wb") - both) * num)
-                .select(F.when(F.col("at") > F.col("bt"), F.col("a")).otherwise(F.col("b")).alias("rid")).distinct())
-
-    # frequent prefix words: first against the earliest line of each, then what that leaves
-    hot_rows = materialize(index.join(hot, "tok").join(reps.select("rid", order.alias("place")), "rid"), "frequent-rows")
-    first = hot_rows.groupBy("tok").agg(F.min(F.struct("place", "rid", "n", "p", "bits")).alias("f")).select("tok", "f.*")
-    x, y = hot_rows.alias("x"), first.alias("y")
-    star = (x.join(y, (F.col("x.tok") == F.col("y.tok")) & (F.col("x.rid") != F.col("y.rid")) & _filters("x", "y", num, den))
-            .select(F.col("x.rid").alias("a"), F.col("y.rid").alias("b")).distinct())
-    settled = materialize(verified(star, "star-pairs"), "settled-lines")
-    x, y = hot_rows.join(settled, "rid", "left_anti").alias("x"), hot_rows.alias("y")
-    left = (x.join(y, (F.col("x.tok") == F.col("y.tok")) & (F.col("y.place") < F.col("x.place")) & _filters("x", "y", num, den))
-            .select(F.col("x.rid").alias("a"), F.col("y.rid").alias("b")))
-    # all other prefix words: one exchange serves both sides
+                 .select("rid", place.alias("place"), "value"))
+        texts = materialize(texts, name + "-texts")  # whole lines: their words, as arrays, take three times the room
+        x, y = texts.toDF("a", "at", "ta"), texts.toDF("b", "bt", "tb")
+        wa, wb = F.array_distinct(line_words(F.col("ta"))), F.array_distinct(line_words(F.col("tb")))
+        both = F.size(F.array_intersect(wa, wb))
+        return materialize(pairs.join(x, "a").join(y, "b")
+                           .where(both * den >= (F.size(wa) + F.size(wb) - both) * num)
+                           .select(F.when(F.col("at") > F.col("bt"), F.col("a")).otherwise(F.col("b")).alias("rid")).distinct(),
+                           name + "-found")
+
+    # Each line's likeliest earlier partner: of the words that few lines have, by the bitmaps (one exchange serves both
+    # sides of the join); of a frequent word, its earliest line.
     rows = index.join(hot, "tok", "left_anti").repartition("tok")
-    x, y = rows.alias("x"), rows.alias("y")
-    pairs = (x.join(y, (F.col("x.tok") == F.col("y.tok")) & (F.col("y.rid") < F.col("x.rid")) & _filters("x", "y", num, den))
-             .select(F.col("x.rid").alias("a"), F.col("y.rid").alias("b")))
-    near = settled.union(verified(pairs.union(left).distinct(), "line-pairs")).distinct()
+    differ = F.bit_count(F.col("x.bits").bitwiseXOR(F.col("y.bits"))).cast("long")
+    met = rows.alias("x").join(rows.alias("y"), (F.col("x.tok") == F.col("y.tok")) & _filters("x", "y", num, den))
+    best = materialize(met.groupBy(F.col("x.rid").alias("a")).agg(
+        F.min(F.shiftleft(differ, _RID_BITS).bitwiseOR(F.col("y.rid"))).alias("best"),
+        F.count("*").alias("met"), F.max(F.col("y.rid")).alias("last"), F.min(F.col("y.rid")).alias("first")), "best-partners")
+    likeliest = best.select("a", F.col("best").bitwiseAND(F.lit((1 << _RID_BITS) - 1)).alias("b"))
+    hot_rows = materialize(index.join(hot, "tok"), "frequent-rows")
+    earliest = (hot_rows.groupBy("tok").agg(F.min(F.struct("ord", "line", "rid", "n", "p", "bits")).alias("f"))
+                .select("tok", "f.*"))
+    star = (hot_rows.alias("x").join(earliest.alias("y"), (F.col("x.tok") == F.col("y.tok")) & _filters("x", "y", num, den))
+            .select(F.col("x.rid").alias("a"), F.col("y.rid").alias("b")))
+    tried = materialize(likeliest.union(star).distinct(), "first-pairs")
+    settled = verified(tried, "first")
+
+    # Lines that this left unsettled meet all their earlier partners.
+    rest = best.where("first < last").select(F.col("a").alias("rid")).union(hot_rows.select("rid")).distinct()
+    rest = materialize(rest.join(settled, "rid", "left_anti"), "unsettled-lines")
+    own = materialize(index.join(rest, "rid", "left_semi"), "unsettled-rows")
+    others = index.join(own.select("tok").distinct(), "tok", "left_semi")
+    again = (own.alias("x").join(others.alias("y"), (F.col("x.tok") == F.col("y.tok")) & _filters("x", "y", num, den))
+             .select(F.col("x.rid").alias("a"), F.col("y.rid").alias("b")).distinct().join(tried, ["a", "b"], "left_anti"))
+    near = settled.union(verified(materialize(again, "other-pairs"), "other")).distinct()
     near = reps.join(near, "rid", "left_semi").select("ord", "k", "line")
     # all copies but the first of a set; and the firsts that resemble an earlier line
     repeated = (lines.select("ord", "k", "line", "d1", "d2")
-                .join(sets.where("copies > 1").select("d1", "d2", order.alias("f")), ["d1", "d2"])
-                .where(order != F.col("f")).select("ord", "k", "line"))
+                .join(sets.where("copies > 1").select("d1", "d2", place.alias("f")), ["d1", "d2"])
+                .where(place != F.col("f")).select("ord", "k", "line"))
     return repeated.union(near)
 
 
