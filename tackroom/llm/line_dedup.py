@@ -76,6 +76,20 @@ def _filters(x: str, y: str, num: int, den: int) -> Column:
             & (F.bit_count(c(x, "bits").bitwiseXOR(c(y, "bits"))) * (num + den) <= both * (den - num)))
 
 
+def _maybe_in(df: DataFrame, wanted: DataFrame, keys: list[str]) -> DataFrame:
+    """``df`` with ``maybe``: false for rows whose keys are not among ``wanted``'s.
+
+    The filter is a bitmap of fixed size (65,536 rows of 64 bits), so that it
+    can be broadcast whatever the input; where it is full it lets all rows pass.
+    """
+    h = F.xxhash64(*keys)
+    slot, bit = F.shiftrightunsigned(h, 48).cast("int"), h.bitwiseAND(F.lit(63)).cast("int")
+    mask = (wanted.select(slot.alias("slot"), F.call_function("shiftleft", F.lit(1).cast("long"), bit).alias("b"))
+            .groupBy("slot").agg(F.bit_or("b").alias("mask")))
+    return (df.withColumn("slot", slot).join(F.broadcast(mask), "slot", "left")
+            .withColumn("maybe", F.coalesce(F.getbit("mask", bit) == 1, F.lit(False))).drop("slot", "mask"))
+
+
 def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     similarity: tuple[int, int] = SIMILARITY) -> DataFrame:
     """(ord, k, line): the lines to remove, ``line`` counted from 0; ``k`` tells apart texts that share an id.
@@ -118,12 +132,7 @@ def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         """The later line's (rid) of each of the (a, b) pairs that reach the similarity on their words."""
         ids = pairs.select(F.col("a").alias("rid")).union(pairs.select("b")).distinct()
         some = materialize(reps.select("rid", "ord", "k", "line").join(ids, "rid", "left_semi"), name + "-lines")
-        # a bitmap of fixed size lets most other lines go before the shuffle
-        h = F.xxhash64("ord", "k", "line")
-        slot, bit = F.shiftrightunsigned(h, 48).cast("int"), h.bitwiseAND(F.lit(63)).cast("int")
-        mask = (some.select(slot.alias("slot"), F.call_function("shiftleft", F.lit(1).cast("long"), bit).alias("b"))
-                .groupBy("slot").agg(F.bit_or("b").alias("mask")))  # 65,536 rows at most
-        texts = (_lines(doc).withColumn("slot", slot).join(F.broadcast(mask), "slot").where(F.getbit("mask", bit) == 1)
+        texts = (_maybe_in(_lines(doc), some, ["ord", "k", "line"]).where("maybe")
                  .select("ord", "k", "line", "value").join(some, ["ord", "k", "line"])
                  .select("rid", place.alias("place"), "value"))
         texts = materialize(texts, name + "-texts")  # whole lines: their words, as arrays, take three times the room
@@ -199,12 +208,16 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     number beyond the texts of other rows touches nothing: the join is by id and
     text. Repeated rows (same id and text) are cut alike. Empty tables give none.
     """
-    gone = removed_by_document(docs, id_col, text_col, **options).toDF("__ord", "__k", "__removed")
+    gone = materialize(removed_by_document(docs, id_col, text_col, **options), "removed-lines")
     text = F.coalesce(F.col(text_col), F.lit(""))
-    keyed = docs.withColumns({"__o": F.coalesce(F.col(id_col).cast("long"), F.lit(_LAST)), "__h": F.xxhash64(text)})
-    lines = F.split(F.col(text_col), "\n")
-    kept = F.array_join(F.filter(F.transform(lines, lambda v, i: F.when(~F.array_contains("__removed", i), v)),
+    keyed = docs.select(F.struct(*docs.columns).alias("row"), F.coalesce(F.col(id_col).cast("long"), F.lit(_LAST)).alias("ord"),
+                        F.xxhash64(text).alias("k"))
+    # texts that lose no line need not move
+    keyed = _maybe_in(keyed, gone, ["ord", "k"])
+    lines = F.split(F.col("row")[text_col], "\n")
+    kept = F.array_join(F.filter(F.transform(lines, lambda v, i: F.when(~F.array_contains("removed", i), v)),
                                  lambda v: v.isNotNull()), "\n")
-    out = keyed.join(gone, (F.col("__o") == F.col("__ord")) & (F.col("__h") == F.col("__k")), "left")
-    return out.select(*(F.when(F.col("__removed").isNull(), F.col(c)).otherwise(kept).alias(c) if c == text_col else F.col(c)
-                        for c in docs.columns))
+    cut = (keyed.where("maybe").join(gone, ["ord", "k"], "left")
+           .select(*(F.when(F.col("removed").isNull(), F.col("row")[c]).otherwise(kept).alias(c) if c == text_col
+                     else F.col("row")[c].alias(c) for c in docs.columns)))
+    return keyed.where(~F.col("maybe")).select("row.*").union(cut)
