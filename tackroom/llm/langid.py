@@ -20,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tackroom.llm.storage import materialize
+
 FEATURES = 4096         # hashed letter 1- to 3-grams
 PER_LANGUAGE = 400      # labelled texts of a language to fit on, at most
 MAX_LANGUAGES = 200     # languages to learn, at most; more are refused
@@ -186,8 +188,9 @@ def train(docs: DataFrame, id_col: str, text_col: str, lang_col: str, usable: Co
     """
     rows = docs.where(usable & F.col(lang_col).isNotNull() & F.col(id_col).isNotNull())
     rank = F.row_number().over(Window.partitionBy(lang_col).orderBy(F.xxhash64(id_col), id_col))
-    chosen = (rows.select(id_col, lang_col).withColumn("__rank", rank).where(F.col("__rank") <= per_language)
-              .select(F.col(id_col).alias("__id"), F.col(lang_col).alias("__lang")).distinct())
+    # written out: a small table, so that the join below needs no shuffle of the texts
+    chosen = materialize(rows.select(id_col, lang_col).withColumn("__rank", rank).where(F.col("__rank") <= per_language)
+                         .select(F.col(id_col).alias("__id"), F.col(lang_col).alias("__lang")).distinct(), "language-sample")
     sample = (rows.join(chosen, (F.col(id_col) == F.col("__id")) & (F.col(lang_col) == F.col("__lang")), "left_semi")
               .select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text")))
     found = _feature_rows(sample).orderBy("lang", "v").limit(MAX_LANGUAGES * per_language + 1).collect()
