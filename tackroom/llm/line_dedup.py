@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tackroom.llm.storage import materialize
+from tackroom.llm.text import let
 
 SIMILARITY = (4, 5)      # Jaccard of two lines' word sets, as a fraction
 COUNTERS = 1 << 16       # size of the rarity table, whatever the input
@@ -137,12 +138,14 @@ def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                  .select("rid", place.alias("place"), "value"))
         texts = materialize(texts, name + "-texts")  # whole lines: their words, as arrays, take three times the room
         x, y = texts.toDF("a", "at", "ta"), texts.toDF("b", "bt", "tb")
-        wa, wb = F.array_distinct(line_words(F.col("ta"))), F.array_distinct(line_words(F.col("tb")))
-        both = F.size(F.array_intersect(wa, wb))
-        return materialize(pairs.join(x, "a").join(y, "b")
-                           .where(both * den >= (F.size(wa) + F.size(wb) - both) * num)
-                           .select(F.when(F.col("at") > F.col("bt"), F.col("a")).otherwise(F.col("b")).alias("rid")).distinct(),
-                           name + "-found")
+        both = (pairs.join(x, "a").join(y, "b")
+                .select(F.when(F.col("at") > F.col("bt"), F.col("a")).otherwise(F.col("b")).alias("rid"), let(
+                    F.struct(F.array_distinct(line_words(F.col("ta"))).alias("wa"),
+                             F.array_distinct(line_words(F.col("tb"))).alias("wb")),
+                    lambda w: F.struct(F.size(F.array_intersect(w["wa"], w["wb"])).alias("common"),
+                                       (F.size(w["wa"]) + F.size(w["wb"])).alias("all"))).alias("n")))
+        near = both.where(F.col("n.common") * den >= (F.col("n.all") - F.col("n.common")) * num)
+        return materialize(near.select("rid").distinct(), name + "-found")
 
     # Each line's likeliest earlier partner: of the words that few lines have, by the bitmaps (one exchange serves both
     # sides of the join); of a frequent word, its earliest line.
@@ -165,7 +168,7 @@ def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rest = best.where("first < last").select(F.col("a").alias("rid")).union(hot_rows.select("rid")).distinct()
     rest = materialize(rest.join(settled, "rid", "left_anti"), "unsettled-lines")
     own = materialize(index.join(rest, "rid", "left_semi"), "unsettled-rows")
-    others = index.join(own.select("tok").distinct(), "tok", "left_semi")
+    others = _maybe_in(index, own, ["tok"]).where("maybe").drop("maybe")
     again = (own.alias("x").join(others.alias("y"), (F.col("x.tok") == F.col("y.tok")) & _filters("x", "y", num, den))
              .select(F.col("x.rid").alias("a"), F.col("y.rid").alias("b")).distinct().join(tried, ["a", "b"], "left_anti"))
     near = settled.union(verified(materialize(again, "other-pairs"), "other")).distinct()
