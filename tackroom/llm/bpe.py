@@ -7,12 +7,13 @@ these back-pointers from the end gives the ids. Two tokens are a stable pair if
 no merge across their border comes before the merges that build them.
 
 The vocabulary file is named by a path that every executor can read (a library
-installed there), and is loaded once per Python worker. Per-worker caches are
-bounded; texts are streamed in Arrow batches, whole, one row at a time.
+installed there), and is loaded once per task, with bounded caches that end
+with it; texts are streamed in Arrow batches, whole, one row at a time.
 """
 
 from __future__ import annotations
 
+import gc
 import json
 import unicodedata
 from collections.abc import Iterator, Sequence
@@ -193,12 +194,18 @@ _LOADED: dict[str, PrefixEncoder] = {}
 
 
 def encoder(path: str) -> PrefixEncoder:
-    """The encoder of a vocabulary file, loaded once per process."""
+    """The encoder of a vocabulary file, loaded once until it is released."""
     if path not in _LOADED:
         _LOADED[path] = PrefixEncoder(path)
     return _LOADED[path]
 
 
+def release(path: str) -> None:
+    """Forget an encoder and its caches: Spark reuses Python workers, and later stages need their memory."""
+    _LOADED.pop(path, None)
+    gc.collect()
+
+
 OUTPUTS = {"n_tokens": pa.int64(), "ids": pa.list_(pa.int32()), "decoded": pa.string(),
            "ids_sha256": pa.string(), "decoded_sha256": pa.string()}
 _SQL = {"n_tokens": "long", "ids": "array<int>", "decoded": "string", "ids_sha256": "string", "decoded_sha256": "string"}
@@ -239,6 +246,8 @@ def tokenize(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col:
                         out.append(sha256(decoded.encode()).hexdigest())
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(cols[c], OUTPUTS[c]) for c in want)],
                                              names=["id", *want])
+        del enc
+        release(tokenizer)
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     return (rows.mapInArrow(run, "id long, " + ", ".join(f"{c} {_SQL[c]}" for c in want))
