@@ -5,10 +5,11 @@
    the same form an equivalence class; the vectors themselves are never built,
    only an order-free digest of (page, count), which pre-aggregates.
 2. The class of the page's root, tokens found exactly once on each of its pages,
-   is the outer template. Its tokens nest; from the root, the descent follows
-   the one that holds most of the text that varies from page to page, to the
-   slot of the article. Classes nested in it that are link lists, constant text
-   or carry the name of a menu, notice, advert and so on are template too.
+   is the outer template. Its tokens nest; the slot of the article is its
+   <article> or <main>, or else the deepest token outside of which no text but
+   links varies from page to page. Classes nested in it that are link lists,
+   constant text or carry the name of a menu, notice, advert and so on are
+   template too.
 3. A second pass extracts what remains in the article's slot, block by block.
 """
 
@@ -17,7 +18,7 @@ from __future__ import annotations
 import re
 from collections import defaultdict
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from hashlib import blake2b
 from html import unescape
 
@@ -29,7 +30,6 @@ from pyspark.sql import functions as F
 from tackroom.llm.storage import materialize
 
 SUPPORT = 0.2     # share of a host's pages on which a token of the template must be found
-DESCEND = 0.6     # share of its parent's varying text that a slot must hold to go on into it
 LINKS = 0.6       # share of link text from which a slot is a menu
 
 # Element names of HTML by their role here.
@@ -63,6 +63,7 @@ _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>"
 _ATTR = re.compile(r"(class|id|role|hidden|style|aria-hidden)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?(?=[\s/]|$)", re.I)
 _WORD = re.compile(r"[A-Za-z][a-z]*|[A-Z]+")
 _DIGITS = re.compile(r"\d+")
+_NAMED = re.compile(r"(article|main)(?![^#.])")   # last part of the path of an <article> or <main>
 
 
 @dataclass
@@ -146,8 +147,8 @@ class Page:
             noise = (bool(words & NOISE_WORDS) or (bool(names) and NOISE_STEM.search(names.lower()) is not None) or (not article and (tag == "header" or bool(words & HEADER_WORDS))))
         path = parent.path
         if tag not in INLINE and tag not in LEAF:
-            label = _DIGITS.sub("0", found.get("id", "") + "." + found.get("class", "") if found else ".")
-            path = f"{parent.path}/{tag}{label if label != '.' else ''}"
+            label = "".join(sign + found[k] for sign, k in (("#", "id"), (".", "class")) if found.get(k))
+            path = f"{parent.path}/{tag}{_DIGITS.sub('0', label)}"
         return Node(tag, path, noise, article, parent.link or tag == "a")
 
 
@@ -159,8 +160,9 @@ def _ancestors(path: str) -> Iterator[str]:
 
 
 def page_tokens(html: str) -> dict[str, list]:
-    """Per structural token: occurrences, characters of text, of link text, and a digest of the text, without noise."""
-    stats: dict[str, list] = defaultdict(lambda: [0, 0, 0, blake2b(digest_size=8)])
+    """Per structural token, without noise: occurrences, characters of text, of link text, a digest of the text, and
+    the characters and a digest of the text outside links that lies in no container within it."""
+    stats: dict[str, list] = defaultdict(lambda: [0, 0, 0, blake2b(digest_size=8), 0, blake2b(digest_size=8)])
     own: dict[str, bool] = {}
     for kind, node, text in Page(html).events():
         if kind == "open":
@@ -173,8 +175,12 @@ def page_tokens(html: str) -> dict[str, list]:
                 s[1] += len(value)
                 s[2] += len(value) * node.link
                 s[3].update(value.encode("utf-8", "surrogatepass"))
-    return {p: [s[0], s[1], s[2], int.from_bytes(s[3].digest(), "big", signed=True)] for p, s in stats.items()
-            if s[0] and not own.get(p, False)}
+            if not node.link:
+                s = stats[node.path]
+                s[4] += len(value)
+                s[5].update(value.encode("utf-8", "surrogatepass"))
+    return {p: [x if isinstance(x, int) else int.from_bytes(x.digest(), "big", signed=True) for x in s]
+            for p, s in stats.items() if s[0] and not own.get(p, False)}
 
 
 def extract_text(html: str, slot: str | None, template: frozenset[str]) -> str:
@@ -233,8 +239,9 @@ class _Token:
     chars: int
     links: int
     constant: bool
+    own: int             # characters outside links and nested containers
+    own_constant: bool
     sig: int
-    children: list = field(default_factory=list)
 
 
 def host_template(tokens: list[_Token]) -> tuple[str | None, list[str]]:
@@ -249,17 +256,34 @@ def host_template(tokens: list[_Token]) -> tuple[str | None, list[str]]:
     if not single:
         return None, []
     outer = {t.path: t for t in max(single, key=lambda x: (x[0], x[1], min(t.path for t in x[2])))[2]}
-    varying = {p: (t.chars - t.links) * (not t.constant or t.pages < 3) for p, t in outer.items()}
+    known = {t.path: t for t in tokens}
+    nested: dict[str, list[str]] = defaultdict(list)   # tokens directly within a token
+    for p in known:
+        above = next((a for a in _ancestors(p) if a != p and a in known), None)
+        if above is not None:
+            nested[above].append(p)
+
+    def varying(t: _Token) -> int:
+        return (t.chars - t.links) * (not t.constant or t.pages < 3)
+
+    def alone(p: str, step: str) -> bool:
+        """No text that varies, but for links, stands in ``p`` outside ``step``; that of rare tokens counts as varying."""
+        t = known[p]
+        rare = t.chars - t.links - t.own - sum(known[c].chars - known[c].links for c in nested[p])
+        return rare <= 0 and (t.own == 0 or (t.own_constant and t.pages >= 3)) and not any(
+            varying(known[c]) for c in nested[p] if c != step)
+
     roots = [p for p in outer if not any(a in outer for a in _ancestors(p) if a != p)]
-    slot = max(roots, key=lambda p: (varying[p], p))
-    while True:
-        inner = [p for p in outer if p != slot and p.startswith(slot + "/")]
-        direct = [p for p in inner if not any(a in inner for a in _ancestors(p) if a != p)]
-        named = [p for p in inner if re.match(r"(article|main)\b", p.rsplit("/", 1)[-1]) and varying[p] > 0]
-        step = max(named or direct, key=lambda p: (varying[p], p), default=None)
-        if step is None or not (named or varying[step] >= DESCEND * varying[slot]) or varying[step] <= 0:
-            break
-        slot = step
+    slot = max(roots, key=lambda p: (varying(outer[p]), p))
+    named = [p for p in outer if _NAMED.match(p.rsplit("/", 1)[-1]) and varying(outer[p]) > 0]
+    if named:
+        slot = max(named, key=lambda p: (varying(outer[p]), -len(p), p))
+    else:
+        while True:
+            step = max((c for c in nested[slot] if c in outer), key=lambda p: (varying(outer[p]), p), default=None)
+            if step is None or varying(outer[step]) <= 0 or not alone(slot, step):
+                break
+            slot = step
     drop = []
     for t in tokens:
         if t.path.startswith(slot + "/") and t.pages >= 3 and t.chars > 0:
@@ -268,24 +292,24 @@ def host_template(tokens: list[_Token]) -> tuple[str | None, list[str]]:
     return slot, sorted(drop)
 
 
-_TOKENS = "host string, path string, page long, n long, chars long, links long, digest long"
+_TOKENS = "host string, path string, page long, n long, chars long, links long, digest long, own long, own_digest long"
 
 
 def templates(pages: DataFrame) -> DataFrame:
     """(host, slot, template) for the rows (host, page, html)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows: list[list] = [[] for _ in range(7)]
+            rows: list[list] = [[] for _ in range(9)]
             for host, page, html in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-                for path, (n, chars, links, digest) in page_tokens(html).items():
-                    for column, value in zip(rows, (host, path, page, n, chars, links, digest), strict=True):
+                for path, stats in page_tokens(html).items():
+                    for column, value in zip(rows, (host, path, page, *stats), strict=True):
                         column.append(value)
-            types = (pa.string(), pa.string(), *[pa.int64()] * 5)
+            types = (pa.string(), pa.string(), *[pa.int64()] * 7)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(rows, types, strict=True)],
-                                             names=["host", "path", "page", "n", "chars", "links", "digest"])
+                                             names=["host", "path", "page", "n", "chars", "links", "digest", "own", "own_digest"])
 
     def decide(pdf: pd.DataFrame) -> pd.DataFrame:
-        slot, drop = host_template([_Token(r.path, r.pages, r.total, r.chars, r.links, r.constant, r.sig)
+        slot, drop = host_template([_Token(r.path, r.pages, r.total, r.chars, r.links, r.constant, r.own, r.own_constant, r.sig)
                                     for r in pdf.itertuples()])
         return pd.DataFrame({"host": [pdf.host.iloc[0]], "slot": [slot], "template": ["\n".join(drop)]})
 
@@ -293,7 +317,8 @@ def templates(pages: DataFrame) -> DataFrame:
     # one row for each host and token; the digest of the occurrence vector needs no order
     vectors = materialize(tokens.groupBy("host", "path").agg(
         F.count("*").alias("pages"), F.sum("n").alias("total"), F.sum("chars").alias("chars"), F.sum("links").alias("links"),
-        (F.min("digest") == F.max("digest")).alias("constant"), F.bit_xor(F.xxhash64("page", "n")).alias("sig")), "page-tokens")
+        (F.min("digest") == F.max("digest")).alias("constant"), F.sum("own").alias("own"),
+        (F.min("own_digest") == F.max("own_digest")).alias("own_constant"), F.bit_xor(F.xxhash64("page", "n")).alias("sig")), "page-tokens")
     most = vectors.groupBy("host").agg(F.max("pages").alias("most"))
     # a share of 1 / SUPPORT of the tokens of an average page, at most, is left per host
     frequent = vectors.join(most, "host").where(F.col("pages") >= F.col("most") * SUPPORT).drop("most")

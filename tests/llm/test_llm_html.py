@@ -65,3 +65,28 @@ def test_given_pages(spark):
         inner = re.sub(r"</?(b|i|em|a|span)\b[^>]*>", "", re.search(r"<article>(.*?)</article>", html[r.page_id], re.S)[1])
         blocks = [" ".join(unescape(x).split()) for x in re.split(r"<[^>]*>", inner)]
         assert r.text == " ".join(b for b in blocks if b)
+
+
+def host(n, page):
+    return [(i, f"http://h.example/{i}", page(i)) for i in range(n)]
+
+
+def texts(spark, rows):
+    d = spark.createDataFrame(rows, "page_id long, url string, html string")
+    return [r.text for r in extract(d).orderBy("page_id").collect()]
+
+
+def long(i, n=12):
+    return " ".join(f"w{i * 31 + k}" for k in range(n))
+
+
+@pytest.mark.parametrize(("html", "text"), [
+    ("<article><h1>T {a}</h1><div class=entry><p>{b}</p></div></article>", "T {a} {b}"),
+    ("<main id=content><h1>T {a}</h1><div class=lead>{a}</div><div class=entry><p>{b}</p></div></main>", "T {a} {a} {b}"),
+    ("<div class=page><div class=first>{a}</div><div class=second>{b}</div></div>", "{a} {b}"),
+    ("<div class=page>lead {a}<div class=second>{b}</div></div>", "lead {a} {b}"),
+])
+def test_text_beside_the_largest_part_is_kept(spark, html, text):
+    menu = "<body><div class=top><a href=/>Home</a> <a href=/x>All</a></div>"
+    rows = host(6, lambda i: menu + html.format(a=long(i, 5), b=long(i + 50)) + "<div class=low>fixed words</div></body>")
+    assert texts(spark, rows) == [text.format(a=long(i, 5), b=long(i + 50)) for i in range(6)]
