@@ -31,6 +31,8 @@ from tackroom.llm.storage import materialize
 
 SUPPORT = 0.2     # share of a host's pages on which a token of the template must be found
 LINKS = 0.6       # share of link text from which a slot is a menu
+BLOCK = 0.1       # share of a page's longest block from which a block counts for telling pages apart
+TEXTS = 3         # different articles that must agree for their common text to be template
 
 # Element names of HTML by their role here.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -183,12 +185,30 @@ def page_tokens(html: str) -> dict[str, list]:
             for p, s in stats.items() if s[0] and not own.get(p, False)}
 
 
-def extract_text(html: str, slot: str | None, template: frozenset[str]) -> str:
+def page_text(tokens: dict[str, list]) -> int:
+    """A key that copies of an article share: of the texts of the page's larger blocks, in its <article> or <main> if it has one."""
+    blocks = {p: s for p, s in tokens.items() if s[4]}
+    named = {p: s for p, s in blocks.items() if any(_NAMED.match(part) for part in p.split("/"))}
+    least = BLOCK * max((s[4] for s in blocks.values()), default=0)
+    if any(s[4] >= least for s in named.values()):
+        blocks, least = named, BLOCK * max(s[4] for s in named.values())
+    key = blake2b(digest_size=8)
+    for p in sorted(blocks):
+        if blocks[p][4] >= least:
+            key.update(blocks[p][5].to_bytes(8, "big", signed=True))
+    return int.from_bytes(key.digest(), "big", signed=True)
+
+
+def extract_text(html: str, slot: str | None, template: frozenset[str], lists: frozenset[str] = frozenset()) -> str:
     """Blocks in the article's slot that belong to no template token, joined by one space.
 
     ``slot`` is the path of the host's article; a page without it uses its
-    <article> or <main>, or the whole body.
+    <article> or <main>, or the whole body. Tokens in ``lists`` are left out if
+    they are link lists on this page.
     """
+    if lists:
+        stats = page_tokens(html)
+        template = template | {p for p in lists if p in stats and _is_list(stats[p][1], stats[p][2])}
     inside: list[str] = []
     article: list[str] = []
     body: list[str] = []
@@ -226,6 +246,10 @@ def extract_text(html: str, slot: str | None, template: frozenset[str]) -> str:
     return " ".join(inside if found_slot else article if found_article else body)
 
 
+def _is_list(chars: int, links: int) -> bool:
+    return chars > 0 and links >= LINKS * chars
+
+
 def host_of(url: Column) -> Column:
     """Host part of an address, lower-case; the empty text if there is none."""
     return F.lower(F.coalesce(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1), F.lit("")))
@@ -242,19 +266,22 @@ class _Token:
     own: int             # characters outside links and nested containers
     own_constant: bool
     sig: int
+    texts: int           # different articles among its pages
+    lists: int           # pages on which it is a link list
 
 
-def host_template(tokens: list[_Token]) -> tuple[str | None, list[str]]:
-    """(article's slot, template tokens in it to leave out) from a host's frequent tokens."""
+def host_template(tokens: list[_Token]) -> tuple[str | None, list[str], list[str]]:
+    """(article's slot, template tokens in it to leave out, tokens in it to leave out where they are link lists) from a
+    host's frequent tokens. Text is constant if different articles have it; copies of one article tell nothing."""
     if not tokens:
-        return None, []
+        return None, [], []
     classes: dict[tuple, list[_Token]] = defaultdict(list)
     for t in tokens:
         classes[t.pages, t.total, t.sig].append(t)
     # the outer template: of the classes with one occurrence a page, that on most pages (the largest of these)
     single = [(k[0], len(v), v) for k, v in classes.items() if k[0] == k[1]]
     if not single:
-        return None, []
+        return None, [], []
     outer = {t.path: t for t in max(single, key=lambda x: (x[0], x[1], min(t.path for t in x[2])))[2]}
     known = {t.path: t for t in tokens}
     nested: dict[str, list[str]] = defaultdict(list)   # tokens directly within a token
@@ -264,65 +291,81 @@ def host_template(tokens: list[_Token]) -> tuple[str | None, list[str]]:
             nested[above].append(p)
 
     def varying(t: _Token) -> int:
-        return (t.chars - t.links) * (not t.constant or t.pages < 3)
+        return (t.chars - t.links) * (not t.constant or t.texts < TEXTS)
 
     def alone(p: str, step: str) -> bool:
         """No text that varies, but for links, stands in ``p`` outside ``step``; that of rare tokens counts as varying."""
         t = known[p]
         rare = t.chars - t.links - t.own - sum(known[c].chars - known[c].links for c in nested[p])
-        return rare <= 0 and (t.own == 0 or (t.own_constant and t.pages >= 3)) and not any(
+        return rare <= 0 and (t.own == 0 or (t.own_constant and t.texts >= TEXTS)) and not any(
             varying(known[c]) for c in nested[p] if c != step)
 
     roots = [p for p in outer if not any(a in outer for a in _ancestors(p) if a != p)]
     slot = max(roots, key=lambda p: (varying(outer[p]), p))
-    named = [p for p in outer if _NAMED.match(p.rsplit("/", 1)[-1]) and varying(outer[p]) > 0]
+    named = [p for p, t in outer.items() if _NAMED.match(p.rsplit("/", 1)[-1]) and t.chars > 0 and (not t.constant or t.texts < TEXTS)]
     if named:
-        slot = max(named, key=lambda p: (varying(outer[p]), -len(p), p))
+        slot = max(named, key=lambda p: (varying(outer[p]), outer[p].chars, -len(p), p))
     else:
         while True:
             step = max((c for c in nested[slot] if c in outer), key=lambda p: (varying(outer[p]), p), default=None)
             if step is None or varying(outer[step]) <= 0 or not alone(slot, step):
                 break
             slot = step
-    drop = []
-    for t in tokens:
-        if t.path.startswith(slot + "/") and t.pages >= 3 and t.chars > 0:
-            if t.links >= LINKS * t.chars or (t.constant and t.pages == t.total):
-                drop.append(t.path)
-    return slot, sorted(drop)
+    inside = [t for t in tokens if t.path.startswith(slot + "/") and t.chars > 0]
+    drop = {t.path for t in inside if t.texts >= TEXTS and t.constant and t.pages == t.total}
+    # outside <article> and <main> a link list is a menu, however few pages have it
+    lists = {t.path for t in inside if 2 * t.lists > t.pages and (t.texts >= TEXTS or not named)} - drop
+
+    def left(p: str) -> int:
+        """Characters of a token outside of what is left out."""
+        return 0 if p in drop or p in lists else known[p].chars - sum(known[c].chars - left(c) for c in nested[p])
+
+    while left(slot) <= 0 and (drop or lists):   # what holds the slot's only text is the article
+        gone = lists or drop
+        gone.remove(max(gone, key=lambda p: (known[p].chars, -len(p), p)))
+    return slot, sorted(drop), sorted(lists)
 
 
-_TOKENS = "host string, path string, page long, n long, chars long, links long, digest long, own long, own_digest long"
+_TOKENS = "host string, path string, page long, n long, chars long, links long, digest long, own long, own_digest long, text long"
 
 
 def templates(pages: DataFrame) -> DataFrame:
-    """(host, slot, template) for the rows (host, page, html)."""
+    """(host, slot, template, lists) for the rows (host, page, html)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows: list[list] = [[] for _ in range(9)]
+            rows: list[list] = [[] for _ in range(10)]
             for host, page, html in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-                for path, stats in page_tokens(html).items():
-                    for column, value in zip(rows, (host, path, page, *stats), strict=True):
+                tokens = page_tokens(html)
+                text = page_text(tokens)
+                for path, stats in tokens.items():
+                    for column, value in zip(rows, (host, path, page, *stats, text), strict=True):
                         column.append(value)
-            types = (pa.string(), pa.string(), *[pa.int64()] * 7)
+            types = (pa.string(), pa.string(), *[pa.int64()] * 8)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(rows, types, strict=True)],
-                                             names=["host", "path", "page", "n", "chars", "links", "digest", "own", "own_digest"])
+                                             names=["host", "path", "page", "n", "chars", "links", "digest", "own", "own_digest", "text"])
 
     def decide(pdf: pd.DataFrame) -> pd.DataFrame:
-        slot, drop = host_template([_Token(r.path, r.pages, r.total, r.chars, r.links, r.constant, r.own, r.own_constant, r.sig)
-                                    for r in pdf.itertuples()])
-        return pd.DataFrame({"host": [pdf.host.iloc[0]], "slot": [slot], "template": ["\n".join(drop)]})
+        slot, drop, lists = host_template([_Token(r.path, r.pages, r.total, r.chars, r.links, r.constant, r.own, r.own_constant,
+                                                  r.sig, r.texts, r.lists) for r in pdf.itertuples()])
+        return pd.DataFrame({"host": [pdf.host.iloc[0]], "slot": [slot], "template": ["\n".join(drop)],
+                             "lists": ["\n".join(lists)]})
 
     tokens = pages.select("host", "page", "html").mapInArrow(run, _TOKENS)
-    # one row for each host and token; the digest of the occurrence vector needs no order
-    vectors = materialize(tokens.groupBy("host", "path").agg(
+    # copies of an article become one row first; then one row for each host and token: the digest of the occurrence
+    # vector needs no order
+    by_text = tokens.groupBy("host", "path", "text").agg(
         F.count("*").alias("pages"), F.sum("n").alias("total"), F.sum("chars").alias("chars"), F.sum("links").alias("links"),
-        (F.min("digest") == F.max("digest")).alias("constant"), F.sum("own").alias("own"),
-        (F.min("own_digest") == F.max("own_digest")).alias("own_constant"), F.bit_xor(F.xxhash64("page", "n")).alias("sig")), "page-tokens")
+        F.sum("own").alias("own"), *(f(c).alias(f"{f.__name__}_{c}") for c in ("digest", "own_digest") for f in (F.min, F.max)),
+        F.bit_xor(F.xxhash64("page", "n")).alias("sig"),
+        F.count_if((F.col("chars") > 0) & (F.col("links") >= LINKS * F.col("chars"))).alias("lists"))
+    vectors = materialize(by_text.groupBy("host", "path").agg(
+        *(F.sum(c).alias(c) for c in ("pages", "total", "chars", "links", "own", "lists")),
+        *((F.min(f"min_{c}") == F.max(f"max_{c}")).alias(name) for c, name in (("digest", "constant"), ("own_digest", "own_constant"))),
+        F.bit_xor("sig").alias("sig"), F.count("*").alias("texts")), "page-tokens")
     most = vectors.groupBy("host").agg(F.max("pages").alias("most"))
     # a share of 1 / SUPPORT of the tokens of an average page, at most, is left per host
     frequent = vectors.join(most, "host").where(F.col("pages") >= F.col("most") * SUPPORT).drop("most")
-    return frequent.groupBy("host").applyInPandas(decide, "host string, slot string, template string")
+    return frequent.groupBy("host").applyInPandas(decide, "host string, slot string, template string, lists string")
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -339,12 +382,12 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     page = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), host_of(F.col(url_col)).alias("host"),
                         F.coalesce(html_col, F.lit("")).alias("html"))
     found = materialize(templates(page.select("host", F.xxhash64("id", "url").alias("page"), "html")), "templates")
-    known = page.join(found, "host", "left").select("id", "url", "html", "slot", "template")
+    known = page.join(found, "host", "left").select("id", "url", "html", "slot", "template", "lists")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [extract_text(html, slot, frozenset(t.split("\n")) if t else frozenset())
-                     for html, slot, t in zip(*(batch.column(i).to_pylist() for i in (2, 3, 4)), strict=True)]
+            texts = [extract_text(html, slot, *(frozenset(t.split("\n")) if t else frozenset() for t in (drop, lists)))
+                     for html, slot, drop, lists in zip(*(batch.column(i).to_pylist() for i in (2, 3, 4, 5)), strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
                 names=["id", "url", "text", "n_chars"])

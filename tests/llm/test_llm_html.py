@@ -90,3 +90,37 @@ def test_text_beside_the_largest_part_is_kept(spark, html, text):
     menu = "<body><div class=top><a href=/>Home</a> <a href=/x>All</a></div>"
     rows = host(6, lambda i: menu + html.format(a=long(i, 5), b=long(i + 50)) + "<div class=low>fixed words</div></body>")
     assert texts(spark, rows) == [text.format(a=long(i, 5), b=long(i + 50)) for i in range(6)]
+
+
+MENU = "<html><body><div class=top><a href=/>Home</a> <a href=/x>All</a></div>"
+
+
+@pytest.mark.parametrize("n", [2, 3, 1000])
+def test_copies_of_one_article_are_no_template(spark, n):
+    for article in (f"<article><h1>T</h1><div class=entry><p>{long(1)}</p></div></article>",
+                    f"<div class=story><h1>T</h1><p>{long(1)}</p></div>"):
+        page = MENU + article + "</body></html>"
+        assert set(texts(spark, host(n, lambda i: page))) == {"T " + long(1)}
+        dated = texts(spark, host(n, lambda i: page.replace("</body>", f"<div class=stamp>{i}</div></body>")))
+        assert all(t.startswith("T " + long(1)) for t in dated)
+
+
+def test_parts_that_only_copies_of_one_article_have_are_kept(spark):
+    story = "<article><p>{}</p>{}<div class=box>Call now</div></article></body></html>"
+    extra = "<ul><li>first point</li></ul><table><tr><td>cell</td></tr></table><section><p>part</p></section>"
+    rows = host(12, lambda i: MENU + story.format(long(max(i, 3)), extra if i <= 3 else ""))
+    got = texts(spark, rows)
+    assert got[:4] == [long(3) + " first point cell part"] * 4
+    assert got[4:] == [long(i) for i in range(4, 12)]
+
+
+def test_link_lists_are_judged_page_by_page(spark):
+    def page(i):
+        body = f"<p>{long(i)}</p>" if i % 4 == 0 else "".join(f"<a href=/{k}>see page {i} and {k}</a> " for k in range(30))
+        return MENU + f"<article><p>{long(i + 40)}</p><div class=extra>{body}</div></article></body></html>"
+    assert texts(spark, host(12, page)) == [long(i + 40) + (" " + long(i) if i % 4 == 0 else "") for i in range(12)]
+
+
+def test_linked_article_is_kept(spark):
+    got = texts(spark, host(6, lambda i: MENU + f"<article><div class=entry><a href=/{i}>{long(i)}</a></div></article></body></html>"))
+    assert got == [long(i) for i in range(6)]
