@@ -32,6 +32,7 @@ from tackroom.llm.storage import materialize
 SUPPORT = 0.2     # share of a host's pages on which a token of the template must be found
 LINKS = 0.6       # share of link text from which a slot is a menu
 BLOCK = 0.1       # share of a page's longest block from which a block counts for telling pages apart
+MOST = 2 / 3      # share of the text outside links from which an element is the page's content, whatever its name
 TEXTS = 3         # different articles that must agree for their common text to be template
 
 # Element names of HTML by their role here.
@@ -40,8 +41,9 @@ RAW = frozenset("script style textarea title iframe xmp noembed noframes".split(
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp "
                    "small span strike strong sub sup time tt u var".split())
 LEAF = frozenset("p li dt dd h1 h2 h3 h4 h5 h6 td th tr caption pre blockquote figcaption address option".split())
-NEVER = frozenset("script style noscript template head title nav footer aside form button select textarea iframe object "
-                  "svg canvas audio video dialog menu datalist fieldset input map math".split())
+NEVER = frozenset("script style noscript template head title nav footer aside button select textarea iframe object "
+                  "svg canvas audio video dialog menu datalist input map math".split())
+FORM = frozenset(["form", "fieldset"])   # left out as elements with such a name are
 CLOSED_BY = {  # an open element (key) ends where one of these begins
     "p": frozenset("address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
                    "header hgroup hr main menu nav ol p pre section table ul".split()),
@@ -58,6 +60,8 @@ NOISE_WORDS = frozenset(
     "complementary skip".split())
 NOISE_STEM = re.compile("comment|cookie|sidebar|advert|newsletter|footer|breadcrumb|disqus|sponsor|popup|subscri")
 HEADER_WORDS = frozenset(["header", "banner"])
+# the only ones that count in classes of headings, paragraphs, cells, list items and inline elements
+ADVERT_WORDS = frozenset("ad ads advert adverts advertisement advertising adsense sponsor sponsored promo promotion".split())
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>"
                     r"|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*+)>"
@@ -68,6 +72,17 @@ _DIGITS = re.compile(r"\d+")
 _NAMED = re.compile(r"(article|main)(?![^#.])")   # last part of the path of an <article> or <main>
 
 
+@dataclass
+class Named:
+    """An element whose name says that it is not the article."""
+    above: Named | None  # the one around it
+    article: bool        # inside <article> or <main>
+    chars: int = 0       # of text outside links
+    main: int = 0        # of these in an <article> or <main> within it
+    free: int = 0        # of these in no other such element
+    out: bool = True
+
+
 @dataclass
 class Node:
     name: str
@@ -75,6 +90,7 @@ class Node:
     noise: bool          # inside something that is never the article
     article: bool        # inside <article> or <main>
     link: bool
+    named: Named | None = None
 
 
 class Page:
@@ -83,8 +99,62 @@ class Page:
     def __init__(self, html: str):
         self.html = html
 
-    def events(self) -> Iterator[tuple[str, Node | None, str]]:
-        """('open', node, name), ('text', node, raw text), ('break', node, '')."""
+    def events(self) -> list[tuple[str, Node, str]]:
+        """('open', node, name), ('text', node, raw text), ('break', node, '').
+
+        A name does not leave out an element that has the <article> or <main> in it (if none with text stands outside
+        of such elements), or MOST of the text of the article, or of a page that has none.
+        """
+        found = list(self._read())
+        total = main = free = 0
+        for kind, node, text in found:
+            if node.noise:
+                continue
+            if kind == "text" and not node.link and not text.isspace():
+                n = len(text.strip())
+                total += n
+                main += n * node.article
+                at, inner = node.named, None   # inner: the innermost around the article
+                while at is not None:
+                    at.chars += n
+                    if node.article and not at.article:
+                        at.main += n
+                        inner = inner or at
+                    at = at.above
+                if inner is not None:
+                    inner.free += n
+                else:
+                    free += n * node.article
+        self._settle(found, total, main, free)
+        return found
+
+    @staticmethod
+    def _settle(found: list[tuple[str, Node, str]], total: int, main: int, free: int) -> None:
+        settled: set[int] = set()
+        for _, node, _ in found:
+            chain = []
+            at = node.named
+            while at is not None and id(at) not in settled:
+                chain.append(at)
+                at = at.above
+            for x in reversed(chain):
+                settled.add(id(x))
+                if x.above is not None and x.above.out:
+                    x.out = True
+                elif x.article:
+                    x.out = x.chars < MOST * main or not x.chars
+                elif main:
+                    beside, at = free, x.above
+                    while at is not None:
+                        beside += at.free
+                        at = at.above
+                    x.out = not x.main or beside > 0
+                else:
+                    x.out = x.chars < MOST * total or not x.chars
+        for _, node, _ in found:
+            node.noise = node.noise or (node.named is not None and node.named.out)
+
+    def _read(self) -> Iterator[tuple[str, Node, str]]:
         html, at = self.html, 0
         stack = [Node("", "", False, False, False)]
         while True:
@@ -140,18 +210,28 @@ class Page:
         found: dict[str, str] = {}
         if attrs and ("=" in attrs or "hidden" in attrs):
             found = {a.lower(): (v or "").strip("\"'") for a, v in _ATTR.findall(attrs)}
-        names = " ".join(found[k] for k in ("class", "id", "role") if k in found)
-        words = {w.lower() for w in _WORD.findall(names)} if names else frozenset()
         article = parent.article or tag in ARTICLE
         noise = (parent.noise or tag in NEVER or "hidden" in found or found.get("aria-hidden") == "true"
                  or "display:none" in found.get("style", "").replace(" ", "").lower())
+        named = parent.named
         if not noise and tag not in ("html", "body") and tag not in ARTICLE:
-            noise = (bool(words & NOISE_WORDS) or (bool(names) and NOISE_STEM.search(names.lower()) is not None) or (not article and (tag == "header" or bool(words & HEADER_WORDS))))
+            small = tag in INLINE or tag in LEAF
+            names = " ".join(found[k] for k in (("class",) if small else ("class", "id")) if k in found)
+            words = {w.lower() for w in _WORD.findall(names)} if names else frozenset()
+            role = {w.lower() for w in _WORD.findall(found["role"])} if "role" in found else frozenset()
+            if small:
+                is_named = bool(words & ADVERT_WORDS or role & NOISE_WORDS)
+            else:
+                is_named = (tag in FORM or bool((words | role) & NOISE_WORDS)
+                            or (bool(names) and NOISE_STEM.search(names.lower()) is not None)
+                            or (not article and (tag == "header" or bool((words | role) & HEADER_WORDS))))
+            if is_named:
+                named = Named(parent.named, article)
         path = parent.path
         if tag not in INLINE and tag not in LEAF:
             label = "".join(sign + found[k] for sign, k in (("#", "id"), (".", "class")) if found.get(k))
             path = f"{parent.path}/{tag}{_DIGITS.sub('0', label)}"
-        return Node(tag, path, noise, article, parent.link or tag == "a")
+        return Node(tag, path, noise, article, parent.link or tag == "a", named)
 
 
 def _ancestors(path: str) -> Iterator[str]:
@@ -234,7 +314,7 @@ def extract_text(html: str, slot: str | None, template: frozenset[str], lists: f
             chain = set(_ancestors(node.path))
             place = under[node.path] = (slot is not None and slot in chain, not template.isdisjoint(chain))
         found_slot = found_slot or place[0]
-        found_article = found_article or node.article
+        found_article = found_article or (node.article and not node.noise)
         if kind == "text" and not node.noise and not place[1]:
             value = unescape(text)
             buffers[2].append(value)

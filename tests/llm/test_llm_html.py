@@ -124,3 +124,25 @@ def test_link_lists_are_judged_page_by_page(spark):
 def test_linked_article_is_kept(spark):
     got = texts(spark, host(6, lambda i: MENU + f"<article><div class=entry><a href=/{i}>{long(i)}</a></div></article></body></html>"))
     assert got == [long(i) for i in range(6)]
+
+
+@pytest.mark.parametrize(("html", "text"), [
+    ("<div class='layout has-sidebar'><article>a text</article><div class=sidebar>side</div></div>", "a text"),
+    ("<div class='layout has-sidebar'><main>a text</main><div class=related><article>card</article></div></div>", "a text"),
+    ("<div class='no-comments'><main><p>a text</p></main></div>", "a text"),
+    ("<main><div class='no-comments'><p>a longer text</p></div><p>end</p></main>", "a longer text end"),
+    ("<body><form id=aspnet><div class=top><a href=/>Home</a></div><article>a text</article></form></body>", "a text"),
+    ("<body><form id=aspnet><p>a text <input value=x></p></form></body>", "a text"),
+    ("<article>a<h2 id='social-life'>b</h2><p id='search'>c</p><span class='form'> d</span></article>", "a b c d"),
+    ("<article>text<section class=comments><article>c</article></section></article>", "text"),
+    ("<article>text</article><div class=comments><article>reader with a much longer text</article></div>", "text"),
+    ("<main><nav>menu</nav></main>", ""),
+])
+def test_names_do_not_leave_out_the_article(html, text):
+    assert extract_text(html, None, NONE) == text
+
+
+def test_names_of_a_host(spark):
+    rows = host(6, lambda i: f"<body><div class='page has-sidebar'><div class=story><p>{long(i)}</p></div>"
+                             f"<div class=sidebar><p>side {i}</p></div></div></body>")
+    assert texts(spark, rows) == [long(i) for i in range(6)]
