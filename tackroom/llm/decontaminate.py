@@ -78,6 +78,12 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     equal hashes are settled by exact comparison. Empty tables are fine on
     either side. Other columns are ignored, whatever their names.
     """
+    return _judged(docs, benchmark, id_col, text_col, item_col, item_text_col, window, gram, share).drop("__k")
+
+
+def _judged(docs: DataFrame, benchmark: DataFrame, id_col: str, text_col: str = "text", item_col: str = "item_id",
+            item_text_col: str = "text", window: int = WINDOW, gram: int = GRAM, share: int = 20) -> DataFrame:
+    """The rows of :func:`contamination` with the hash ``__k`` of id and text."""
     if not 1 <= gram <= window:
         raise ValueError("gram must be between 1 and window")
     doc = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
@@ -131,13 +137,17 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     items_of = F.coalesce("items", F.array().cast("array<string>"))
     return (doc.select("id", "k", F.size(words(F.col("text"))).cast("long").alias("n_words"))
             .join(both, F.col("id").eqNullSafe(F.col("hit_id")) & (F.col("k") == F.col("hit_k")), "left")
-            .select(F.col("id").alias(id_col), "n_words", n_hit.alias("n_hit"),
+            .select(F.col("id").alias(id_col), F.col("k").alias("__k"), "n_words", n_hit.alias("n_hit"),
                     F.size(items_of).cast("long").alias("n_items"),
                     F.sha2(F.array_join(items_of, ","), 256).alias("items_sha256"),
                     ((n_hit > 0) & (n_hit * share >= F.col("n_words"))).alias("contaminated")))
 
 
-def clean_documents(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """The rows of ``docs`` whose document is not contaminated; rows without an id stay unless contaminated themselves."""
-    gone = contamination(docs, benchmark, id_col, **options).where("contaminated").select(F.col(id_col).alias("__gone"))
-    return docs.join(gone.distinct(), F.col(id_col).eqNullSafe(F.col("__gone")), "left_anti")
+def clean_documents(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                    **options) -> DataFrame:
+    """The rows of ``docs`` that are not contaminated. Each is judged by its own text: rows without an id, and rows that
+    share an id with a contaminated one, stay unless contaminated themselves."""
+    gone = (_judged(docs, benchmark, id_col, text_col, **options).where("contaminated")
+            .select(F.col(id_col).alias("__gone"), "__k").distinct())
+    same = F.col(id_col).eqNullSafe(F.col("__gone")) & (F.xxhash64(F.col(id_col), F.col(text_col)) == F.col("__k"))
+    return docs.join(gone, same, "left_anti")

@@ -68,3 +68,12 @@ def test_empty_tables_and_filter(spark):
     kept = clean_documents(d, spark.createDataFrame([(1, passage)], "item_id long, text string"))
     assert kept.columns == d.columns
     assert sorted(str(r.doc_id) for r in kept.collect()) == ["2", "3", "4"]  # 20 of 520 words are no twentieth
+
+
+def test_rows_that_share_an_id_are_removed_one_by_one(spark):
+    passage = " ".join(f"p{i}" for i in range(20))
+    texts = [(None, passage), (None, "clean without an id"), (None, None), (7, passage), (7, "clean with the id"), (7, passage)]
+    d = fx.docs(spark, [t for _, t in texts], [i for i, _ in texts])
+    kept = clean_documents(d, spark.createDataFrame([(1, passage)], "item_id long, text string"))
+    assert sorted((str(r.doc_id), str(r.text)) for r in kept.collect()) == [
+        ("7", "clean with the id"), ("None", "None"), ("None", "clean without an id")]
