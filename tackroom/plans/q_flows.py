@@ -5,12 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tackroom.operators.features import position_class
+from tackroom.operators.features import (
+    birth_year, career_totals, jockey_weight_missing, position_class, race_context, trainer_stats,
+)
 from tackroom.operators.ml import score, train
+from tackroom.operators.reshape import map_career
 from tackroom.operators.scoring import class_probs, finishers, race_card
 from tackroom.plans.flows import merge_clean_upsert
 from tackroom.plans.q_io import MASTER_NAME, RUN_TS, STAMP_MILLIS
-from tackroom.plans.q_scoring import feature_rows_q, folded_values
+from tackroom.plans.q_reshape import yearly_career
+from tackroom.plans.q_scoring import folded_values
 from tackroom.plans.q_clean import CLEAN_REPORT_SQL
 from tackroom.plans.registry import query, table
 from tackroom.session import scratch_dir
@@ -154,15 +158,49 @@ def flow_typed_ids(spark, sf_dir):
     return read_target(spark, target).select("id", "user", "type")
 
 
+CAREER = ["total_races", "total_wins", "total_prize_count", "career_win_rate", "career_prize"]
+TRAINER = ["trainer_freq", "trainer_win_rate"]
+CATEGORICAL = ["race_group", "race_subtype", "race_category", "city", "track_type", "weather", "jockey_weight_missing"]
+NUMERIC = ["birth_year", *CAREER, *TRAINER, "temperature", "track_distance", "jockey_weight"]
+
+
+def model_rows(spark, sf_dir):
+    """The whole feature row (X1-X8) of every line of an order: the customer is the horse, its orders by year the career,
+    the supplier the trainer, and columns of the order, customer and line are the race's context."""
+    li = table(spark, sf_dir, "lineitem", spread=True)
+    o = table(spark, sf_dir, "orders")
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
+    career = career_totals(yearly_career(spark, sf_dir).select("c_custkey", map_career(F.col("career_raw")).alias("career")))
+    horses = c.join(career.select("c_custkey", *CAREER), "c_custkey", "left")
+    trainers = trainer_stats(li, "l_suppkey", F.col("l_returnflag") == "R").withColumnRenamed("l_suppkey", "trainer")
+    rows = (li.join(o, li.l_orderkey == o.o_orderkey).join(horses, F.col("o_custkey") == F.col("c_custkey"), "left")
+            .join(trainers, F.col("l_suppkey") == F.col("trainer"), "left"))
+    weight = F.nullif(F.col("l_tax"), F.lit(0.0))
+    race = F.struct(
+        F.col("o_orderpriority").alias("raceGroup"), F.col("l_linestatus").alias("raceSubtype"),
+        F.col("o_orderstatus").alias("raceCategoryName"), F.col("c_nationkey").cast("string").alias("cityName"),
+        F.col("c_mktsegment").alias("trackTypeName"), F.col("l_returnflag").alias("weather"),
+        (F.col("l_discount") * 100).alias("temperature"), F.col("l_quantity").alias("trackDistance"),
+        weight.alias("jockeyWeight"), F.col("l_linenumber").alias("horseFinalPlace"))
+    # no career: no races; the trainer of a line has at least this line, unless it is NULL
+    return rows.select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.col("o_custkey").alias("horse_id"),
+        birth_year(F.date_format("o_orderdate", "yyyy-MM-dd")).alias("birth_year"),
+        *(F.coalesce(F.col(n), F.lit(0)).alias(n) for n in CAREER), *TRAINER, race.alias("_race")) \
+        .select("*", *race_context(F.col("_race"))).drop("_race") \
+        .select("*", jockey_weight_missing(F.col("jockey_weight")).alias("jockey_weight_missing"),
+                position_class(F.col("final_place"))).drop("final_place")
+
+
 def _train_and_rank(spark, sf_dir):
-    feats = feature_rows_q(spark, sf_dir)
+    feats = model_rows(spark, sf_dir)
     w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "track_distance")
     feats = feats.withColumn("idx", F.row_number().over(w) - 1)
     root = scratch_dir(spark, "snapshot")
     write_snapshot(feats, root, "20240601")
     snap = read_snapshot(spark, root, "20240601")
-    numeric = ["track_distance", "jockey_weight"]
-    model = train(snap, ["jockey_weight_missing"], numeric, max_iter=20)
+    numeric = NUMERIC
+    model = train(snap, CATEGORICAL, numeric)
     # scores feed two rankings: write them once to the shared folder (cuts the
     # lineage too, so a lost executor does not re-run the model)
     scored_path = scratch_dir(spark, "scored")
@@ -176,7 +214,7 @@ def _train_and_rank(spark, sf_dir):
 
 @query("train_and_rank", "E3")
 def train_and_rank(spark, sf_dir):
-    """Feature rows -> dated snapshot -> model -> per-order race card with the
+    """Whole feature rows (X1-X8) -> dated snapshot -> model -> per-order race card with the
     greedy predicted finish order (each order is a race of its lines)."""
     return _train_and_rank(spark, sf_dir)
 
