@@ -148,19 +148,27 @@ def shard_file_name(lo: F.Column, hi: F.Column, stamp_millis: int,
                     F.lit(f"_{stamp_millis}.ndjson"))
 
 
+def _shard_of(key: str, start: int, size: int, stamp_millis: int, prefix: str) -> F.Column:
+    """Shard name of an id's batch. An id that is NULL, NaN or below ``start``, or a batch below 0, fails the write: no
+    reader matches such a shard, so its rows would be lost."""
+    b = F.floor((F.col(key) - F.lit(start)) / F.lit(size))
+    lo = F.lit(start) + b * F.lit(size)
+    name = shard_file_name(lo, lo + F.lit(size - 1), stamp_millis, prefix)
+    fits = (F.col(key) >= F.lit(max(start, 0))) & ~F.isnan(F.col(key).cast("double")) & (lo >= 0)
+    says = F.concat(F.lit(f"id in {key} out of range, from {start}: "), F.coalesce(F.col(key).cast("string"), F.lit("NULL")))
+    return F.when(fits, name).otherwise(F.raise_error(says).cast("string"))
+
+
 def write_batch_shards(df: DataFrame, out: str, key: str, start: int, size: int,
                        stamp_millis: int, prefix: str = SHARD_PREFIX) -> DataFrame:
     """One NDJSON shard per id batch (S6); nulls are written, not omitted.
 
     Batch ``b`` covers ids ``start + (b-1)*size .. start + b*size - 1``. Rows are
     hash-partitioned by shard so each batch lands as one file; a batch holds at
-    most ``size`` distinct ids, which bounds the task when ids are unique.
-    Returns the frame that was written (with its ``shard`` column).
+    most ``size`` distinct ids, which bounds the task when ids are unique. An id
+    that is NULL or below ``start`` fails the write, and nothing is landed. Returns the frame that was written (with its ``shard`` column).
     """
-    b = F.floor((F.col(key) - F.lit(start)) / F.lit(size))
-    lo = F.lit(start) + b * F.lit(size)
-    hi = lo + F.lit(size - 1)
-    tagged = df.withColumn("shard", shard_file_name(lo, hi, stamp_millis, prefix))
+    tagged = df.withColumn("shard", _shard_of(key, start, size, stamp_millis, prefix))
     # dynamic overwrite: a landing replaces exactly its own shard folders, so
     # a retried landing does not duplicate lines and other shards stay as they are
     (tagged.repartition("shard").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -170,10 +178,9 @@ def write_batch_shards(df: DataFrame, out: str, key: str, start: int, size: int,
 
 def write_line_shards(lines: DataFrame, out: str, key: str, start: int, size: int,
                       stamp_millis: int, line_col: str = "line", prefix: str = SHARD_PREFIX) -> None:
-    """Raw text lines (already serialised) as one shard per key batch, in key order."""
-    b = F.floor((F.col(key) - F.lit(start)) / F.lit(size))
-    lo = F.lit(start) + b * F.lit(size)
-    tagged = lines.select(key, line_col, shard_file_name(lo, lo + F.lit(size - 1), stamp_millis, prefix).alias("shard"))
+    """Raw text lines (already serialised) as one shard per key batch, in key order. A key that is NULL or below
+    ``start`` fails the write, and nothing is landed."""
+    tagged = lines.select(key, line_col, _shard_of(key, start, size, stamp_millis, prefix).alias("shard"))
     (tagged.repartition("shard").sortWithinPartitions("shard", key).select("shard", line_col)
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("shard").text(out))
 

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tackroom.operators.batches import batch_of, batch_outcomes, id_batches, missing_ids
-from tackroom.sources.shards import list_shards, merge_summary, read_shard_lines, write_batch_shards
+from tackroom.sources.shards import list_shards, merge_summary, read_shard_lines, write_batch_shards, write_line_shards
 from tackroom.streaming.incremental import incremental_shards, incremental_upsert, shard_stream
 from tackroom.sources.tables import read_target
 
@@ -115,3 +115,14 @@ def test_ranged_streaming_replay(spark, tmp_dir):
     assert upsert_batch_ranged(b1, 1, tgt, "id long, v string", "id", "2024-01-02 00:00:00", 10)
     assert not upsert_batch_ranged(b0, 0, tgt, "id long, v string", "id", "2024-01-03 00:00:00", 10)
     assert sorted((r.id, r.v) for r in read_ranged(spark, tgt).collect()) == [(1, "a"), (21, "B")]
+
+
+@pytest.mark.parametrize(("bad", "start"), [(None, 0), (-1, 0), (99, 100), (-150, -200)])
+def test_ids_that_no_shard_can_hold_fail_the_landing(spark, tmp_dir, bad, start):
+    df = spark.createDataFrame([(i, "x") for i in (100, 150, bad)], "k long, line string")
+    for n, write in enumerate((write_batch_shards, write_line_shards)):
+        with pytest.raises(Exception, match="out of range"):
+            write(df, f"{tmp_dir}/{n}", "k", start, 100, 42)
+        assert read_shard_lines(spark, f"{tmp_dir}/{n}", layout="partitioned").count() == 0
+        write(df.where("k >= 100"), f"{tmp_dir}/{n}", "k", start, 100, 42)
+        assert read_shard_lines(spark, f"{tmp_dir}/{n}", layout="partitioned").count() == 2
