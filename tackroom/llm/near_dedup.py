@@ -165,7 +165,12 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     star = member.select("key", F.col("id").alias("a")).join(pivot, "key").where("a <> b").select("a", "b").distinct()
     near = (star.join(bits.alias("x"), F.col("a") == F.col("x.id")).join(bits.alias("y"), F.col("b") == F.col("y.id"))
             .where(_possible("x", "y", num, den)).select("a", "b"))
-    links = confirm(near, "star-links")
+    # rows that share an id are one document: the representatives of its texts are linked
+    several = linked.groupBy("id").agg(F.min("digest").alias("lo"), F.max("digest").alias("hi")).where("lo < hi").select("id")
+    sets = linked.select("id", "digest").join(several, "id", "left_semi").join(rep, "digest").select("id", "rep").distinct()
+    first = sets.groupBy("id").agg(F.min("rep").alias("b"))
+    shared = materialize(sets.join(first, "id").where("rep <> b").select(F.col("rep").alias("a"), "b").distinct(), "shared-ids")
+    links = confirm(near, "star-links").union(shared)
     found = components(links)
 
     # Buckets in which the stars left more than one component: the pairs across components.

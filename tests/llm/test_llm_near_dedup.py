@@ -70,3 +70,12 @@ def test_null_and_repeated_ids_and_empty_table(spark):
     assert kept.columns == d.columns
     assert sorted(str(r.doc_id) for r in kept.collect()) == ["3", "9", "None"]
     assert near_groups(d.limit(0)).count() == 0
+
+
+def test_rows_that_share_an_id_are_one_document(spark):
+    a, b = ("one two three four five six", "other words that are not like it")
+    rows = [(3, a), (5, a), (5, b), (9, b), (11, "something else again here now"), (None, b)]
+    d = fx.docs(spark, [t for _, t in rows], [i for i, _ in rows])
+    got = sorted((r.doc_id, r.component_id, r.kept) for r in near_groups(d).where("doc_id is not null").collect())
+    assert got == [(3, 3, True), (5, 3, False), (5, 3, False), (9, 3, False), (11, 11, True)]
+    assert sorted(str(r.doc_id) for r in keep_first(d).collect()) == ["11", "3", "None"]
