@@ -17,7 +17,8 @@ def db():
     return con
 
 
-@pytest.mark.parametrize("name", ["op1_decontamination", "op3_near_dedup", "op7_sharding", "op9_line_dedup", "op10_warc"])
+@pytest.mark.parametrize("name", ["op1_decontamination", "op3_near_dedup", "op7_sharding", "op9_line_dedup", "op10_warc",
+                                  "op11_fill_in_middle"])
 def test_query_equals_sql(spark, db, name):
     import __spark_entry__ as entry
     got = entry.queries()[name](spark, SMALL)
