@@ -23,11 +23,13 @@ takes the same number fails.
 
 from __future__ import annotations
 
+import json
 import re
 import uuid
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, StructType
 
 from tackroom.operators.upsert import assert_unique_source
 from tackroom.sources.tables import _fs
@@ -55,6 +57,12 @@ def latest_commit(spark: SparkSession, root: str) -> int | None:
     return max(done, default=None)
 
 
+def _manifest_schema(key_type: DataType) -> StructType:
+    fields = StructType.fromDDL("commit long, kind string, file string, rows long, nulls long")
+    fields = fields.add("lo", key_type).add("hi", key_type)
+    return StructType([*fields.fields, *StructType.fromDDL("op string, txn string, run_ts string, " + ", ".join(f"{c} long" for c in _COUNTS)).fields])
+
+
 def manifest(spark: SparkSession, root: str, commit: int | None = None) -> DataFrame | None:
     """All rows of one manifest (the newest): live files, and with ``kind`` commit one row for each commit so far."""
     commit = latest_commit(spark, root) if commit is None else commit
@@ -66,10 +74,11 @@ def history(spark: SparkSession, root: str) -> DataFrame:
     return manifest(spark, root).where(F.col("kind") == LOG).select("commit", "op", "txn", "run_ts", *_COUNTS)
 
 
-def _files(spark: SparkSession, root: str) -> list:
-    """Live files of the newest manifest: metadata, one row a file."""
-    m = manifest(spark, root)
-    return [] if m is None else m.where(F.col("kind") != LOG).orderBy("commit", "file").collect()
+def _state(spark: SparkSession, root: str) -> tuple[int | None, list, list]:
+    """(newest commit, its live files, rows of all commits): metadata, one row a file or commit."""
+    commit = latest_commit(spark, root)
+    rows = [] if commit is None else manifest(spark, root, commit).collect()
+    return commit, sorted((r for r in rows if r["kind"] != LOG), key=lambda r: (r["commit"], r["file"])), [r for r in rows if r["kind"] == LOG]
 
 
 def _overlaps(f, spans: list[tuple]) -> bool:
@@ -117,7 +126,7 @@ def _spread(df: DataFrame, key: str, files: int | None) -> DataFrame:
     return by_range.sortWithinPartitions(key)
 
 
-def _write(df: DataFrame, root: str, key: str, commit: int, kind: str, files: int | None, **counts: Column) -> tuple[DataFrame, dict]:
+def _write(df: DataFrame, root: str, key: str, commit: int, kind: str, files: int | None, **counts: Column) -> tuple[list, dict]:
     """Write the rows as files of one folder. Returns their manifest rows, and the ``counts`` taken while they were written;
     a count of rows that differs from what the files hold is an error."""
     spark = df.sparkSession
@@ -129,42 +138,28 @@ def _write(df: DataFrame, root: str, key: str, commit: int, kind: str, files: in
         .drop(*tags).write.mode("errorifexists").parquet(f"{root.rstrip('/')}/{folder}")
     got = seen.get
     stored = spark.read.schema(df.drop(*tags).schema).parquet(f"{root.rstrip('/')}/{folder}")
-    name = F.concat(F.lit(f"{folder}/"), F.element_at(F.split("_metadata.file_path", "/"), -1))
-    per_file = stored.groupBy(name.alias("file")).agg(
-        F.count(F.lit(1)).alias("rows"), F.count_if(F.col(key).isNull()).alias("nulls"), F.min(key).alias("lo"), F.max(key).alias("hi")) \
-        .select(F.lit(commit).cast("long").alias("commit"), F.lit(kind).alias("kind"), "file", "rows", "nulls", "lo", "hi")
-    listed = spark.createDataFrame(per_file.collect(), per_file.schema)  # one row a file
-    held = listed.agg(F.sum("rows")).first()[0] or 0
+    per_file = stored.groupBy(F.element_at(F.split("_metadata.file_path", "/"), -1).alias("file")).agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(F.col(key).isNull()).alias("nulls"), F.min(key).alias("lo"), F.max(key).alias("hi"))
+    listed = [Row(commit=commit, kind=kind, file=f"{folder}/{r['file']}", rows=r["rows"], nulls=r["nulls"], lo=r["lo"], hi=r["hi"])
+              for r in per_file.collect()]  # one row a file
+    held = sum(f["rows"] for f in listed)
     if held != got["rows"]:
         raise RuntimeError(f"{got['rows']} rows were written to {folder}, which holds {held}")
     return listed, got
 
 
-def _commit(spark: SparkSession, root: str, commit: int, files: DataFrame, op: str, txn: str | None, run_ts: str | None,
-            counts: dict, before: DataFrame | None) -> None:
-    """Write the manifest of a commit: ``files`` are all that live from now on."""
-    entry = spark.createDataFrame([(commit, LOG, op, txn, run_ts, *[counts.get(c) for c in _COUNTS])],
-                                  "commit long, kind string, op string, txn string, run_ts string, " + ", ".join(f"{c} long" for c in _COUNTS))
-    rows = files.unionByName(entry, allowMissingColumns=True)
-    if before is not None:
-        rows = rows.unionByName(before.where(F.col("kind") == LOG), allowMissingColumns=True)
-    rows.coalesce(1).write.mode("errorifexists").parquet(_manifest_dir(root, commit))
-
-
-def _carry(before: DataFrame | None, files: DataFrame, keep: list[str] | None = None) -> DataFrame:
-    """``files`` and those of the manifest before (of which ``keep`` names some)."""
-    if before is None:
-        return files
-    old = before.where(F.col("kind") != LOG).select(*files.columns)
-    if keep is not None:
-        old = old.join(old.sparkSession.createDataFrame([(f,) for f in keep], "file string"), "file", "left_semi").select(*files.columns)
-    return files.unionByName(old)
+def _commit(spark: SparkSession, root: str, key_type: DataType, commit: int, files: list, op: str, txn: str | None,
+            run_ts: str | None, counts: dict, before: list) -> None:
+    """Write the manifest of a commit: ``files`` are all that live from now on, ``before`` the commits so far."""
+    entry = {"commit": commit, "kind": LOG, "op": op, "txn": txn, "run_ts": run_ts, **counts}
+    schema = _manifest_schema(key_type)
+    rows = [tuple(r.get(c) for c in schema.names) for r in [*(f.asDict() for f in [*files, *before]), entry]]
+    spark.createDataFrame(rows, schema).coalesce(1).write.mode("errorifexists").parquet(_manifest_dir(root, commit))
 
 
 def applied(spark: SparkSession, root: str, txn: str) -> bool:
     """Whether a commit with this ``txn`` is in the table."""
-    m = manifest(spark, root)
-    return m is not None and not m.where((F.col("kind") == LOG) & (F.col("txn") == txn)).isEmpty()
+    return any(r["txn"] == txn for r in _state(spark, root)[2])
 
 
 def upsert_delta(source: DataFrame, root: str, key: str, run_ts: str, txn: str | None = None, files: int | None = None,
@@ -177,15 +172,14 @@ def upsert_delta(source: DataFrame, root: str, key: str, run_ts: str, txn: str |
     fixes the number of files (otherwise Spark sizes them).
     """
     spark = source.sparkSession
-    if txn is not None and applied(spark, root, txn):
+    before, live, log = _state(spark, root)
+    if txn is not None and any(r["txn"] == txn for r in log):
         return None
-    before = latest_commit(spark, root)
     commit = 0 if before is None else before + 1
     rows = source.withColumn(ts_col, F.lit(run_ts).cast("timestamp")).withColumn(COMMIT_COL, F.lit(commit).cast("long"))
-    old = manifest(spark, root, before) if before is not None else None
     if before is not None:
         want = _schema(spark, root)
-        if sorted((f.name, f.dataType) for f in want) != sorted((f.name, f.dataType) for f in rows.schema):
+        if sorted((f.name, f.dataType.simpleString()) for f in want) != sorted((f.name, f.dataType.simpleString()) for f in rows.schema):
             raise ValueError(f"the target has {want.simpleString()}, the source {rows.schema.simpleString()}")
         rows = rows.select(*want.names)
     assert_unique_source(source, key)
@@ -194,32 +188,33 @@ def upsert_delta(source: DataFrame, root: str, key: str, run_ts: str, txn: str |
     if before is None:
         counts |= {"rows_before": 0, "rows_replaced": 0, "rows_inserted": got["rows"], "rows_after": got["rows"]}
         _store_schema(spark, root, rows)
-    _commit(spark, root, commit, _carry(old, listed), "upsert", txn, run_ts, counts, old)
+    _commit(spark, root, rows.schema[key].dataType, commit, [*live, *listed], "upsert", txn, run_ts, counts, log)
     return commit
 
 
 def _store_schema(spark: SparkSession, root: str, rows: DataFrame) -> None:
-    """The table's columns as an empty table (a commit may have no files at all)."""
-    rows.limit(0).coalesce(1).write.mode("overwrite").parquet(f"{root.rstrip('/')}/_schema")
+    """The table's columns, kept by themselves, since a commit may have no files at all."""
+    spark.createDataFrame([(rows.schema.json(),)], "schema string").coalesce(1).write.mode("overwrite").text(f"{root.rstrip('/')}/_schema")
 
 
-def _schema(spark: SparkSession, root: str):
-    return spark.read.parquet(f"{root.rstrip('/')}/_schema").schema
+def _schema(spark: SparkSession, root: str) -> StructType:
+    return StructType.fromJson(json.loads(spark.read.text(f"{root.rstrip('/')}/_schema").first()[0]))
 
 
 def files_read(spark: SparkSession, root: str, lo=None, hi=None) -> tuple[int, int]:
     """(files that a read between two keys opens, live files)."""
-    files = _files(spark, root)
+    files = _state(spark, root)[1]
     return len(_within(files, lo, hi)), len(files)
 
 
 def read_merged(spark: SparkSession, root: str, key: str, lo=None, hi=None) -> DataFrame | None:
     """The table: the newest row of every key, and every row without one. With ``lo`` or ``hi``, the rows with a key between
     them (both inclusive), from the files that can hold one. None when nothing is committed."""
-    if latest_commit(spark, root) is None:
+    commit, files, _ = _state(spark, root)
+    if commit is None:
         return None
     schema = _schema(spark, root)
-    files = _within(_files(spark, root), lo, hi)
+    files = _within(files, lo, hi)
     deltas = [f for f in files if f["kind"] == DELTA]
     base = [f for f in files if f["kind"] == BASE]
     spans = _spans(deltas)
@@ -244,12 +239,11 @@ def compact(spark: SparkSession, root: str, key: str, files: int | None = None)
     the base before it are in the manifest, those kept and added are counted as
     they are written.
     """
-    current = latest_commit(spark, root)
-    live = _files(spark, root) if current is not None else []
+    current, live, log = _state(spark, root)
     deltas = [f for f in live if f["kind"] == DELTA]
     if not deltas:
         return None
-    schema, old, commit = _schema(spark, root), manifest(spark, root, current), current + 1
+    schema, commit = _schema(spark, root), current + 1
     base = [f for f in live if f["kind"] == BASE]
     spans = _spans(deltas)
     alone = [f for f in base if not _overlaps(f, spans)]
@@ -263,7 +257,7 @@ def compact(spark: SparkSession, root: str, key: str, files: int | None = None)
     added, replaced = got["rows"] - got["kept"], rows(shared) - got["kept"]
     counts = {"rows_source": rows(deltas), "rows_before": rows(base), "rows_replaced": replaced, "rows_inserted": added - replaced,
               "rows_after": rows(alone) + got["rows"]}
-    _commit(spark, root, commit, _carry(old, listed, [f["file"] for f in alone]), "compact", None, None, counts, old)
+    _commit(spark, root, schema[key].dataType, commit, [*alone, *listed], "compact", None, None, counts, log)
     return commit
 
 
@@ -283,7 +277,7 @@ def reconcile_log(spark: SparkSession, root: str) -> DataFrame:
 def unused_files(spark: SparkSession, root: str) -> list[str]:
     """Data folders that no live file is in, by path: of compacted deltas and of runs that failed."""
     fs, p = _fs(spark, f"{root.rstrip('/')}/data")
-    used = {re.sub(r"/[^/]*$", "", f["file"]) for f in _files(spark, root)}
+    used = {re.sub(r"/[^/]*$", "", f["file"]) for f in _state(spark, root)[1]}
     return [f"{root.rstrip('/')}/data/{st.getPath().getName()}" for st in fs.listStatus(p)
             if f"data/{st.getPath().getName()}" not in used] if fs.exists(p) else []
 
