@@ -37,3 +37,5 @@ JS_WHITESPACE_CLASS = (r"\t\n\x0B\f\r \x{00A0}\x{1680}\x{2000}-\x{200A}"
 
 # Line classes produced by the clean step.
 KEPT, DUPE, MALFORMED, BLANK, MISSING_ID = "kept", "dupe", "malformed", "blank", "missing_id"
+# Further classes of a quarantine table: lines that the parser cannot judge, and records with a value of another type.
+BEYOND_LIMITS, MISFIT = "beyond_limits", "misfit"

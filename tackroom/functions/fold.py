@@ -18,6 +18,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tackroom.constants import PRIZE_SEPARATOR
+from tackroom.functions.columns import js_number_text
 
 
 def prize_truthy(p: Column) -> Column:
@@ -36,11 +37,11 @@ def variant_truthy(v: Column) -> Column:
 
 
 def variant_text(v: Column) -> Column:
-    """A variant as JavaScript writes it in a text: ``1200.0`` is ``1200``; NULL stays NULL."""
+    """A variant as JavaScript writes it in a text: ``1200.0`` and ``1.2e3`` are ``1200``; NULL stays NULL. Whole
+    numbers written without point or exponent keep all their digits."""
     shape = F.schema_of_variant(v)
     number = F.when(shape.isin("DOUBLE", "FLOAT") | shape.startswith("DECIMAL"), F.try_variant_get(v, "$", "double"))
-    return F.when((number == F.floor(number)) & (F.abs(number) < 1e18), number.cast("long").cast("string")) \
-            .otherwise(F.try_variant_get(v, "$", "string"))
+    return F.when(number.isNotNull(), js_number_text(number)).otherwise(F.try_variant_get(v, "$", "string"))
 
 
 def fold_prizes(arr: Column, year: str = "raceYear", prize: str = "prize", variant: bool = False) -> Column:

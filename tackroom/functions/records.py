@@ -8,12 +8,16 @@ load fails, or the record goes to a reject table with the names of the fields.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
-    BooleanType, ByteType, DataType, DecimalType, DoubleType, FloatType, IntegerType, LongType, ShortType, StringType, StructType,
+    ArrayType, BooleanType, ByteType, DataType, DecimalType, DoubleType, FloatType, IntegerType, LongType, ShortType, StringType, StructType,
 )
 
+from tackroom.functions.fold import variant_text
+
 _INTEGERS = (LongType, IntegerType, ShortType, ByteType)
 _NUMBER_TEXT = r"^[+-]?([0-9]+([.][0-9]*)?|[.][0-9]+)([eE][+-]?[0-9]+)?$"
 
@@ -26,50 +30,107 @@ def _path(name: str) -> str:
     return "$['" + name.replace("\\", "\\\\").replace("'", "\\'") + "']"
 
 
-def _typed(v: Column, kind: DataType) -> Column:
-    """The member variant as ``kind``; NULL if it is missing, null or does not fit."""
+def _shape(v: Column) -> tuple[Column, Column, Column]:
+    """(schema, whether it is a number, its text if it is one) of a variant."""
     shape = F.schema_of_variant(v)
-    text = F.when(shape == "STRING", F.try_variant_get(v, "$", "string"))
     number = shape.isin("BIGINT", "INT", "SMALLINT", "TINYINT", "DOUBLE", "FLOAT") | shape.startswith("DECIMAL")
-    numeric_text = F.when(text.rlike(_NUMBER_TEXT), text)
+    return shape, number, F.when(shape == "STRING", F.try_variant_get(v, "$", "string"))
+
+
+def _whole(v: Column, number: Column, numeric_text: Column, name: str) -> Column:
+    """An integer from a number or its text; a fraction, however small, does not fit."""
+    digits = F.when(number, F.try_variant_get(v, "$", "string")).otherwise(numeric_text)
+    head = F.regexp_extract(digits, r"^([+-]?[0-9]*)", 1)
+    head = F.when(head.isin("", "+", "-"), F.concat(head, F.lit("0"))).otherwise(head)
+    power = digits.try_cast("double")   # written with an exponent: a double, so whole if it equals its floor
+    limit = F.when(number, F.lit(9.2e18)).otherwise(F.lit(float(1 << 53)))
+    whole = (power == F.floor(power)) & (F.abs(power) < limit)
+    return F.when(digits.rlike(r"^[+-]?([0-9]+([.]0*)?|[.]0+)$"), head.try_cast(name)) \
+            .when(digits.rlike("[eE]") & whole, power.try_cast("long").try_cast(name))
+
+
+def _listed(v: Column) -> Column:
+    """The elements of an array variant, NULL for anything else."""
+    return F.when(F.schema_of_variant(v).startswith("ARRAY"), F.try_variant_get(v, "$", "array<variant>"))
+
+
+def _member(v: Column, name: str) -> Column:
+    return F.try_variant_get(v, _path(name), "variant")
+
+
+def _typed(v: Column, kind: DataType) -> Column:
+    """The variant as ``kind``; NULL if it is missing, null or does not fit (a member of an object or array by itself)."""
+    if isinstance(kind, StructType):
+        fields = [_typed(_member(v, f.name), f.dataType).alias(f.name) for f in kind.fields]
+        return F.when(F.schema_of_variant(v).startswith("OBJECT"), F.struct(*fields))
+    if isinstance(kind, ArrayType):
+        return F.transform(_listed(v), lambda e: _typed(e, kind.elementType))
+    shape, number, text = _shape(v)
+    numeric_text, name = F.when(text.rlike(_NUMBER_TEXT), text), kind.simpleString()
     if isinstance(kind, _INTEGERS):
-        exact = F.when(number, F.try_variant_get(v, "$", "decimal(38,9)")).otherwise(numeric_text.try_cast("decimal(38,9)"))
-        return F.when(exact == F.floor(exact), exact).try_cast(kind.simpleString())
+        return _whole(v, number, numeric_text, name)
     if isinstance(kind, (DoubleType, FloatType, DecimalType)):
-        name = kind.simpleString()
         return F.when(number, F.try_variant_get(v, "$", name)).otherwise(numeric_text.try_cast(name))
     if isinstance(kind, BooleanType):
         return F.when(shape == "BOOLEAN", F.try_variant_get(v, "$", "boolean")) \
                 .when(F.lower(text).isin("true", "false"), F.lower(text) == "true")
     if isinstance(kind, StringType):
-        scalar = number | shape.isin("STRING", "BOOLEAN")
-        return F.when(scalar, F.try_variant_get(v, "$", "string"))
-    # arrays and objects: a member that does not fit fails the job, with a reject table too
-    return F.when(~F.is_variant_null(v), F.variant_get(v, "$", kind.simpleString()))
+        return F.when(number | shape.isin("STRING", "BOOLEAN"), variant_text(v))
+    return F.try_variant_get(v, "$", name)
+
+
+_MISFIT = "array<struct<field:string,value:string>>"
 
 
-def typed_records(lines: DataFrame, schema: StructType | str, line_col: str = "line") -> DataFrame:
-    """The fields of ``schema`` from JSON object lines, and ``_bad``: the fields whose value does not fit."""
+def _misfits(v: Column, kind: DataType, path: Column) -> Column:
+    """(field, value) of everything in the variant that is there, not null and does not fit."""
+    there = v.isNotNull() & ~F.is_variant_null(v)
+    none = F.array().cast(_MISFIT)
+    wrong = F.array(F.struct(path.alias("field"), F.to_json(v).alias("value"))).cast(_MISFIT)
+    if isinstance(kind, StructType):
+        inner = F.concat(none, *[_misfits(_member(v, f.name), f.dataType, F.concat(path, F.lit(f".{f.name}"))) for f in kind.fields])
+        return F.when(~there, none).when(F.schema_of_variant(v).startswith("OBJECT"), inner).otherwise(wrong)
+    if isinstance(kind, ArrayType):
+        inner = F.flatten(F.transform(_listed(v), lambda e, i: _misfits(
+            e, kind.elementType, F.concat(path, F.lit("["), i.cast("string"), F.lit("]")))))
+        return F.when(~there, none).when(F.schema_of_variant(v).startswith("ARRAY"), inner).otherwise(wrong)
+    return F.when(there & _typed(v, kind).isNull(), wrong).otherwise(none)
+
+
+def typed_records(lines: DataFrame, schema: StructType | str, line_col: str = "line", keep: Sequence[str] = ()) -> DataFrame:
+    """The fields of ``schema`` from JSON object lines; ``_misfits``: (field, value) of all that does not fit, members of
+    objects and arrays as ``a.b`` and ``a[0]``; ``_bad``: the top-level fields among them; and the columns ``keep``."""
     fields = _schema(lines.sparkSession, schema).fields
-    rec = lines.select(line_col, F.try_parse_json(line_col).alias("_rec"))
-    members = rec.select(line_col, "_rec", *[F.try_variant_get("_rec", _path(f.name), "variant").alias(f"_v{i}")
-                                             for i, f in enumerate(fields)])
-    typed = members.select(line_col, "_rec", *[F.col(f"_v{i}") for i in range(len(fields))],
+    rec = lines.select(*keep, line_col, F.try_parse_json(line_col).alias("_rec"))
+    members = rec.select(*keep, line_col, "_rec", *[_member(F.col("_rec"), f.name).alias(f"_v{i}") for i, f in enumerate(fields)])
+    typed = members.select(*keep, line_col, "_rec", *[F.col(f"_v{i}") for i in range(len(fields))],
                            *[_typed(F.col(f"_v{i}"), f.dataType).alias(f.name) for i, f in enumerate(fields)])
-    misfit = [F.when(F.col(f"_v{i}").isNotNull() & ~F.is_variant_null(F.col(f"_v{i}")) & F.col(f"`{f.name}`").isNull(), F.lit(f.name))
-              for i, f in enumerate(fields)]
-    bad = F.when(F.col("_rec").isNull() | ~F.schema_of_variant("_rec").startswith("OBJECT"), F.array(F.lit("(record)"))) \
-           .otherwise(F.array_compact(F.array(*misfit)))
-    return typed.select(F.col(line_col).alias("_line"), *[F.col(f"`{f.name}`") for f in fields], bad.alias("_bad"))
+
+    def judged(i: int, f) -> Column:
+        if isinstance(f.dataType, (StructType, ArrayType)):
+            return _misfits(F.col(f"_v{i}"), f.dataType, F.lit(f.name))
+        there = F.col(f"_v{i}").isNotNull() & ~F.is_variant_null(F.col(f"_v{i}"))
+        wrong = F.array(F.struct(F.lit(f.name).alias("field"), F.to_json(F.col(f"_v{i}")).alias("value"))).cast(_MISFIT)
+        return F.when(there & F.col(f"`{f.name}`").isNull(), wrong).otherwise(F.array().cast(_MISFIT))
+
+    each = [judged(i, f) for i, f in enumerate(fields)]
+    no_object = F.col("_rec").isNull() | ~F.schema_of_variant("_rec").startswith("OBJECT")
+    whole = F.array(F.struct(F.lit("(record)").alias("field"), F.col(line_col).alias("value"))).cast(_MISFIT)
+    out = typed.select(*keep, line_col, "_rec", *[F.col(f"`{f.name}`") for f in fields], *[e.alias(f"_m{i}") for i, e in enumerate(each)])
+    bad = F.array_compact(F.array(*[F.when(F.size(f"_m{i}") > 0, F.lit(f.name)) for i, f in enumerate(fields)]))
+    return out.select(*keep, F.col(line_col).alias("_line"), *[F.col(f"`{f.name}`") for f in fields],
+                      F.when(no_object, F.array(F.lit("(record)"))).otherwise(bad).alias("_bad"),
+                      F.when(no_object, whole).otherwise(F.concat(*[F.col(f"_m{i}") for i in range(len(fields))])).alias("_misfits"))
 
 
-def load_records(lines: DataFrame, schema: StructType | str, line_col: str = "line", rejects: str | None = None) -> DataFrame:
+def load_records(lines: DataFrame, schema: StructType | str, line_col: str = "line", rejects: str | None = None,
+                 keep: Sequence[str] = ()) -> DataFrame:
     """Typed rows of ``lines``. A value that does not fit its field fails the job; with ``rejects`` the
-    record is appended to that table (``line``, ``fields``) and the rest is returned."""
-    typed = typed_records(lines, schema, line_col)
-    names = [f"`{f.name}`" for f in _schema(lines.sparkSession, schema).fields]
+    record is appended to that table (``line``, ``fields``, ``misfits``) and the rest is returned."""
+    typed = typed_records(lines, schema, line_col, keep)
+    names = [*keep, *[f"`{f.name}`" for f in _schema(lines.sparkSession, schema).fields]]
     if rejects is not None:
-        typed.where(F.size("_bad") > 0).select(F.col("_line").alias("line"), F.col("_bad").alias("fields")) \
+        typed.where(F.size("_bad") > 0).select(F.col("_line").alias("line"), F.col("_bad").alias("fields"), F.col("_misfits").alias("misfits")) \
              .write.mode("append").parquet(rejects)
         return typed.where(F.size("_bad") == 0).select(*names)
     # a filter is not pruned, whichever columns are read later

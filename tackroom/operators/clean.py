@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tackroom.constants import BLANK, DUPE, KEPT, MALFORMED, MISSING_ID
+from tackroom.constants import BEYOND_LIMITS, BLANK, DUPE, KEPT, MALFORMED, MISSING_ID
 from tackroom.functions.jsonline import beyond_parser, id_identity, is_blank, js_truthy_id, record_id, strict_parse
 
 CANDIDATE = "candidate"
@@ -27,8 +27,8 @@ def classify_lines(lines: DataFrame, order_cols: Sequence[str], line_col: str =
 
     A line that fails to parse and lies beyond the parser's own limits (text of
     20 million characters, numbers of 1,000 digits, 1,000 opening brackets) may
-    be valid: it fails the job, or counts as malformed with
-    ``over_limits='malformed'``.
+    be valid: it fails the job, counts as malformed with
+    ``over_limits='malformed'``, or gets a status of its own with ``'separate'``.
 
     ``key`` is the JS identity of the id (see ``id_identity``); it is NULL for
     anything but candidates.
@@ -41,11 +41,11 @@ def classify_lines(lines: DataFrame, order_cols: Sequence[str], line_col: str =
     rec = F.col("_rec")
     token = F.to_json(F.struct(*[F.col(c) for c in order_cols]))
     key = id_identity(record_id(rec, id_field), token)
-    if over_limits not in ("fail", "malformed"):
+    if over_limits not in ("fail", "malformed", "separate"):
         raise ValueError(over_limits)
-    malformed = F.lit(MALFORMED) if over_limits == "malformed" else F.when(
-        beyond_parser(line), F.raise_error(F.concat(F.lit("line beyond the JSON parser's limits: "), F.substring(line, 1, 80)))
-    ).otherwise(F.lit(MALFORMED))
+    beyond = {"fail": F.raise_error(F.concat(F.lit("line beyond the JSON parser's limits: "), F.substring(line, 1, 80))).cast("string"),
+              "malformed": F.lit(MALFORMED), "separate": F.lit(BEYOND_LIMITS)}[over_limits]
+    malformed = F.when(beyond_parser(line), beyond).otherwise(F.lit(MALFORMED))
     status = (F.when(is_blank(line), F.lit(BLANK))
               .when(rec.isNull(), malformed)
               .when(~js_truthy_id(F.col("_key")), F.lit(MISSING_ID))

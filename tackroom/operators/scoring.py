@@ -17,7 +17,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tackroom.constants import CLASS_LABELS, DEFAULT_TOP_K, RANK_ALL_EQUAL, RANK_MAX, RANK_MIN
-from tackroom.functions.columns import GROUP_KEY, with_group_key
+from tackroom.functions.columns import GROUP_KEY, number_text, with_group_key
 
 
 def _groups(df: DataFrame, group: Sequence[str]):
@@ -30,9 +30,13 @@ _DIGITS = "[0-9]+(_[0-9]+)*"
 FLOAT_TEXT = (rf"(?i)^[+-]?(({_DIGITS}([.]({_DIGITS})?)?|[.]{_DIGITS})(e[+-]?{_DIGITS})?|inf|infinity|nan)$")
 
 
+# White space to Python's str.strip().
+_SPACE = r"[\t-\r\x1C-\x1F \x85\xA0\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+"
+
+
 def python_float(c: Column) -> Column:
     """Text as the double that Python's float() gives; NULL where that would fail."""
-    text = F.trim(c)
+    text = F.regexp_replace(c, f"^{_SPACE}|{_SPACE}$", "")
     return F.when(text.rlike(FLOAT_TEXT), F.replace(text, F.lit("_"), F.lit("")).try_cast("double"))
 
 
@@ -42,19 +46,8 @@ def python_text(c: Column, kind: str) -> Column:
         return F.initcap(c.cast("string"))
     if kind not in ("double", "float"):
         return c.cast("string")
-    s = c.cast("string")
-    part = lambda i: F.regexp_extract(s, r"^(-?)([0-9])[.]([0-9]+)E(-?[0-9]+)$", i)
-    e = part(4).try_cast("int")
-    rest = F.regexp_replace(part(3), "0+$", "")
-    digits = F.concat(part(2), rest)
-    whole = F.rpad(F.substring(digits, F.lit(1), e + 1), e + 1, F.lit("0"))
-    behind = F.substring(digits, e + 2, F.length(digits))
-    plain = (F.when(e >= 0, F.concat(part(1), whole, F.lit("."), F.when(behind == "", F.lit("0")).otherwise(behind)))
-             .otherwise(F.concat(part(1), F.lit("0."), F.repeat(F.lit("0"), -e - 1), digits)))
-    power = F.concat(F.when(e < 0, F.lit("e-")).otherwise(F.lit("e+")), F.lpad(F.abs(e).cast("string"), F.greatest(F.lit(2), F.length(F.abs(e).cast("string"))), F.lit("0")))
-    short = F.concat(part(1), part(2), F.when(rest == "", F.lit("")).otherwise(F.concat(F.lit("."), rest)), power)
-    return (F.when(F.isnan(c), F.lit("nan")).when(s == "Infinity", F.lit("inf")).when(s == "-Infinity", F.lit("-inf"))
-            .when(e.isNull(), s).when((e >= -4) & (e < 16), plain).otherwise(short))
+    shown = number_text(c, lowest=-4, beyond=16, exponent_digits=2, whole_suffix=".0")
+    return F.when(F.isnan(c), F.lit("nan")).when(c == float("inf"), F.lit("inf")).when(c == float("-inf"), F.lit("-inf")).otherwise(shown)
 
 
 def cast_string_fields(df: DataFrame, fields: Sequence[str]) -> DataFrame:

@@ -162,6 +162,11 @@ def applied(spark: SparkSession, root: str, txn: str) -> bool:
     return any(r["txn"] == txn for r in _state(spark, root)[2])
 
 
+def pending_deltas(spark: SparkSession, root: str) -> int:
+    """Number of commits that wait to be folded into the base."""
+    return len({f["commit"] for f in _state(spark, root)[1] if f["kind"] == DELTA})
+
+
 def upsert_delta(source: DataFrame, root: str, key: str, run_ts: str, txn: str | None = None, files: int | None = None,
                  ts_col: str = "updated_at") -> int | None:
     """J2 in O(source): matched rows are replaced and others inserted when the table is read.

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from tackroom.constants import CLEANED_SUFFIX, SHARD_NAME_GLOB, SHARD_NAME_PATTERN, SHARD_PREFIX
+from tackroom.sources.ledger import among
 
 ORDER_COLS = ["shard", "file_path", "block_start", "row_id"]
 LINE_SCHEMA = ("shard string, file_path string, block_start long, row_id long, line string, "
@@ -60,8 +61,7 @@ def read_shard_lines(spark: SparkSession, root: str, pattern: str = SHARD_NAME_P
         raise ValueError(layout)
     lines = meta.select(*ORDER_COLS, F.col("value").alias("line"), "file_name")
     if consumed is not None:
-        lines = lines.join(consumed.select("file_path").distinct(), "file_path", "left_anti") \
-                     .select(*ORDER_COLS, "line", "file_name")
+        lines = among(lines, consumed, "left_anti")
     return lines
 
 
@@ -82,12 +82,9 @@ def list_shards(spark: SparkSession, root: str, pattern: str = SHARD_NAME_PATTER
              st.getPath().toUri().toString(), st.getPath().getName(), st.getLen()) for st in status if st.isFile()]
     raw = spark.createDataFrame(rows, "shard string, file_path string, file_name string, length long")
     shard = F.col("shard") if layout == "files" else F.expr("substring(shard, 7)")
-    # the spelling of paths that the readers' metadata column has
-    path = F.regexp_replace("file_path", "^file:/+", "file:///")
-    files = raw.select(shard.alias("shard"), path.alias("file_path"), "file_name", "length").where(F.col("shard").rlike(pattern))
+    files = raw.select(shard.alias("shard"), "file_path", "file_name", "length").where(F.col("shard").rlike(pattern))
     if consumed is not None:
-        files = files.join(consumed.select("file_path").distinct(), "file_path", "left_anti") \
-                     .select("shard", "file_path", "file_name", "length")
+        files = among(files, consumed, "left_anti")
     return files
 
 
@@ -108,11 +105,6 @@ def write_master(lines: DataFrame, out: str) -> None:
     lines.orderBy(*ORDER_COLS).select("line").write.mode("errorifexists").text(out)
 
 
-def record_consumed(files: DataFrame, ledger: str) -> None:
-    """Append merged file names to the ledger, only after the master committed."""
-    files.select("file_path").distinct().write.mode("append").parquet(ledger)
-
-
 def retire_files(spark: SparkSession, paths: list[str]) -> list[str]:
     """Delete the merged shard files (S4), only ever called after the master is
     committed. A file that cannot be removed is reported, not raised: the
@@ -134,13 +126,6 @@ def retire_files(spark: SparkSession, paths: list[str]) -> list[str]:
     return failed
 
 
-def read_consumed(spark: SparkSession, ledger: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(ledger)
-    except AnalysisException:
-        return None
-
-
 def shard_file_name(lo: F.Column, hi: F.Column, stamp_millis: int,
                     prefix: str = SHARD_PREFIX) -> F.Column:
     """``<prefix>_<lo>_to_<hi>_<millis>.ndjson``."""

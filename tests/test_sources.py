@@ -6,7 +6,8 @@ import os
 from pyspark.sql import functions as F
 
 from tackroom.functions.columns import percent_text
-from tackroom.sources.shards import read_shard_lines, record_consumed, read_consumed, cleaned_name
+from tackroom.sources.ledger import consume, read_ledger
+from tackroom.sources.shards import read_shard_lines, cleaned_name
 from tackroom.sources.tables import read_instances, read_snapshot, snapshot_suffix, write_snapshot
 
 SCHEMA = "horse_id string, temperature string, jockey_weight double"
@@ -59,10 +60,10 @@ def test_ledger_skips_consumed(spark, tmp_dir):
     ledger = f"{tmp_dir}/ledger"
     lines = read_shard_lines(spark, src)
     assert lines.count() == 2
-    record_consumed(lines, ledger)
+    consume(lines, ledger)
     with open(f"{src}/horse_data_5_to_6_3.ndjson", "w") as f:
         f.write('{"id":5}\n')
-    again = read_shard_lines(spark, src, consumed=read_consumed(spark, ledger))
+    again = read_shard_lines(spark, src, consumed=read_ledger(spark, ledger))
     assert [r.file_name for r in again.collect()] == ["horse_data_5_to_6_3.ndjson"]
 
 

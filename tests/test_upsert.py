@@ -75,8 +75,45 @@ def test_bucketed_upsert_shuffles_only_source(spark, tmp_dir):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     scan = [ln for ln in plan.splitlines() if "tackroom_target_" in ln]
     assert scan and "Bucketed: true" in scan[0]
-    # exchanges only over the source scans (key-only for the join, full rows for the union)
-    assert plan.count("Exchange hashpartitioning") == 2
+    # the bucketed scan is joined in place; what is exchanged besides the source are the target's rows beside its buckets
+    join = plan[plan.index("SortMergeJoin"):plan.index("Bucketed: true")]
+    assert "Exchange" not in join and join.count("FileScan") == 1
     assert write_target(out, root, key="id", buckets=4) == 2
     assert sorted((r.id or -1, r.v) for r in read_target(spark, root, key="id", buckets=4).collect()) == \
         [(-1, "N"), (-1, "n"), (1, "a"), (2, "B"), (3, "C")]
+
+
+def test_many_null_keys_are_spread_and_the_rest_joins_in_place(spark, tmp_dir):
+    from tackroom.sources.tables import _parts, upsert_version
+    root = f"{tmp_dir}/t"
+    df = spark.range(100_000).select(F.when(F.col("id") < 200, F.col("id")).alias("id"), F.col("id").cast("string").alias("v"))
+    r = upsert_version(df, root, "id", "2024-01-01 00:00:00", buckets=4).first()
+    assert (r.rows_before, r.rows_source, r.rows_matched, r.rows_after, r.rows_inserted, r.balanced) == (0, 100_000, 0, 100_000, 100_000, True)
+    keyed, free = _parts(spark, root, 1)
+    assert keyed.count() == 200
+    per_file = [x["count"] for x in free.groupBy("_metadata.file_path").count().collect()]
+    assert len(per_file) == 4 and max(per_file) < 30_000     # no task wrote them all
+    src = spark.createDataFrame([(5, "x"), (None, "y"), (1000, "z")], "id long, v string")
+    r = upsert_version(src, root, "id", "2024-01-02 00:00:00").first()
+    assert (r.rows_before, r.rows_source, r.rows_matched, r.rows_after, r.rows_inserted, r.balanced) == (100_000, 3, 1, 100_002, 2, True)
+    after = read_target(spark, root)
+    assert after.where("id is null").count() == 99_801
+    assert [(x.id, x.v) for x in after.where("id in (5, 6, 1000)").orderBy("id").collect()] == [(5, "x"), (6, "6"), (1000, "z")]
+
+
+def test_counts_taken_while_writing_equal_those_of_whole_tables(spark, tmp_dir):
+    from tackroom.sources.tables import read_ranged, upsert_ranged, upsert_version
+    runs = [[(1, "a"), (25, "b"), (None, "n")], [(1, "c"), (40, "d"), (None, "m"), (None, "m")], [(25, "e")]]
+    for kind in ("bucketed", "ranged"):
+        root, before = f"{tmp_dir}/{kind}", spark.createDataFrame([], "id long, v string, updated_at timestamp")
+        for n, rows in enumerate(runs):
+            src = spark.createDataFrame(rows, "id long, v string")
+            if kind == "ranged":
+                got = upsert_ranged(src, root, "id", f"2024-01-0{n + 1} 00:00:00", 10, f"{tmp_dir}/scratch{n}").first()
+                after = read_ranged(spark, root).drop("_range")
+            else:
+                got = upsert_version(src, root, "id", f"2024-01-0{n + 1} 00:00:00", 3 if kind == "bucketed" else None).first()
+                after = read_target(spark, root)
+            after = spark.createDataFrame(after.collect(), after.schema)
+            assert got.asDict() == reconcile_counts(before, src, after, "id").first().asDict() and got.balanced, (kind, n)
+            before = after
