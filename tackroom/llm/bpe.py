@@ -7,13 +7,12 @@ these back-pointers from the end gives the ids. Two tokens are a stable pair if
 no merge across their border comes before the merges that build them.
 
 The vocabulary file is named by a path that every executor can read (a library
-installed there), and is loaded once per task, with bounded caches that end
-with it; texts are streamed in Arrow batches, whole, one row at a time.
+installed there), and is loaded once a Python worker, with bounded caches;
+texts are streamed in Arrow batches, whole, one row at a time.
 """
 
 from __future__ import annotations
 
-import gc
 import json
 import unicodedata
 from collections.abc import Iterator, Sequence
@@ -32,7 +31,8 @@ _WORD_END = "</w>"
 _WHITE = regex.compile(r"\s+")
 _NOT_WHITE = ("\x1c", "\x1d", "\x1e", "\x1f")   # white space to str.split, not to the tokenizer
 
-_PIECES, _CHUNKS, _PAIRS = 100_000, 200_000, 400_000   # entries of the per-worker caches; emptied when full
+_PIECES, _CHUNKS, _PAIRS = 60_000, 100_000, 300_000   # entries of a generation of the per-worker caches
+_LONG = 64             # letters of a piece or chunk that is worth keeping
 _NEVER = 1 << 30
 
 
@@ -46,6 +46,29 @@ def _byte_letters() -> list[str]:
     return [letters[b] for b in range(256)]
 
 
+class Cache:
+    """A bounded map of two generations: what was not asked for while a whole generation was added is forgotten, so
+    frequent words stay whatever passes by."""
+
+    def __init__(self, size: int):
+        self.size, self.young, self.old = size, {}, {}
+
+    def __len__(self) -> int:
+        return len(self.young) + len(self.old)
+
+    def missed(self, key):
+        """The value of a key that is not in ``young``, if the older generation has it."""
+        value = self.old.get(key)
+        if value is not None:
+            self.put(key, value)
+        return value
+
+    def put(self, key, value) -> None:
+        if len(self.young) >= self.size:
+            self.old, self.young = self.young, {}
+        self.young[key] = value
+
+
 class PrefixEncoder:
     """Encoder and decoder for a word-level BPE vocabulary file with word ends."""
 
@@ -60,6 +83,7 @@ class PrefixEncoder:
         self.tokens = [""] * (1 + max([*self.vocab.values(), *self.special.values()]))
         for text, i in [*self.vocab.items(), *self.special.items()]:
             self.tokens[i] = text
+        self.decimal = [str(i) for i in range(len(self.tokens))]
         self.rank: dict[tuple[int, int], int] = {}
         self.birth, self.parts = [-1] * len(self.tokens), [None] * len(self.tokens)
         for r, pair in enumerate(model["merges"]):
@@ -77,11 +101,11 @@ class PrefixEncoder:
             else:
                 self.inner.add_word(text, (i, len(text)))
         self.inner.make_automaton()
+        self.longest = max(map(len, self.final), default=0)   # of the tokens that end a piece
         self.split_special = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special))) + ")") if self.special else None
         self.spines: tuple[dict, dict] = ({}, {})
         self.pairs: dict[tuple[int, int], bool] = {}
-        self.pieces: dict[str, tuple[int, ...]] = {}
-        self.chunks: dict[str, tuple[str, str]] = {}
+        self.pieces, self.chunks = Cache(_PIECES), Cache(_CHUNKS)
 
     def _spine(self, token: int, side: int) -> list[int]:
         """The tokens on one border of a token, from its first symbol up to itself."""
@@ -122,51 +146,60 @@ class PrefixEncoder:
 
     def encode_piece(self, piece: str) -> tuple[int, ...]:
         """Ids of one pre-tokenized piece."""
-        s = "".join([self.letters[b] for b in piece.encode()])
-        n = len(s)
-        last: list[tuple[int, int] | None] = [None] * n  # per prefix length: its last token, and that token's start
-        stable = self.stable
-        if n > 1:
-            for end, (token, length) in self.inner.iter(s[:-1]):
-                if last[end + 1] is None:
-                    start = end + 1 - length
-                    if start == 0 or stable(last[start][0], token):
-                        last[end + 1] = (token, start)
-        for start in range(n):
-            token = self.final.get(s[start:])
-            if token is not None and (start == 0 or stable(last[start][0], token)):
+        # printable ASCII stands for itself
+        s = piece if piece.isascii() and piece.isprintable() else "".join([self.letters[b] for b in piece.encode()])
+        n, final, known = len(s), self.final, self.pairs.get
+        token = final.get(s)
+        if token is not None:
+            return (token,)
+        # per prefix length: its last token, and where that starts
+        last, begin = [0] * n, [-1] * n     # -1: not found yet
+        for end, (token, length) in self.inner.iter(s, 0, n - 1):
+            end += 1
+            if begin[end] < 0:
+                start = end - length
+                if start:
+                    pair = (last[start], token)
+                    ok = known(pair)
+                    if not (self.stable(*pair) if ok is None else ok):
+                        continue
+                last[end], begin[end] = token, start
+        for start in range(max(1, n - self.longest), n):
+            token = final.get(s[start:])
+            if token is not None and self.stable(last[start], token):
                 out = [token]
                 while start:
-                    token, start = last[start]
-                    out.append(token)
+                    out.append(last[start])
+                    start = begin[start]
                 return tuple(reversed(out))
         raise ValueError(f"no encoding of {piece!r}")
 
     def _chunk(self, chunk: str) -> tuple[str, str]:
-        text = unicodedata.normalize("NFC", chunk)
-        text = text.lower() if text.isascii() else "".join([c.lower() for c in text])
+        if chunk.isascii():
+            text = chunk.lower()
+            pieces = [text] if text.isalpha() else _PIECE.findall(text)
+        else:
+            text = unicodedata.normalize("NFC", chunk)
+            pieces = _PIECE.findall("".join([c.lower() for c in text]))
         ids: list[int] = []
-        for piece in _PIECE.findall(text):
-            got = self.pieces.get(piece)
+        for piece in pieces:
+            got = self.pieces.young.get(piece) or self.pieces.missed(piece)
             if got is None:
                 got = self.encode_piece(piece)
-                if len(self.pieces) >= _PIECES:
-                    self.pieces.clear()
-                self.pieces[piece] = got
+                if len(piece) <= _LONG:
+                    self.pieces.put(piece, got)
             ids.extend(got)
-        return " ".join(map(str, ids)), " ".join([self.tokens[i] for i in ids])
+        return " ".join([self.decimal[i] for i in ids]), " ".join([self.tokens[i] for i in ids])
 
     def _plain(self, text: str, ids: list[str], decoded: list[str]) -> None:
         chunks = self.chunks
         odd = any(c in text for c in _NOT_WHITE)
         for chunk in _WHITE.split(text) if odd else text.split():
-            got = chunks.get(chunk)
+            got = chunks.young.get(chunk) or chunks.missed(chunk)
             if got is None:
                 got = self._chunk(chunk)
-                if len(chunk) <= 64:
-                    if len(chunks) >= _CHUNKS:
-                        chunks.clear()
-                    chunks[chunk] = got
+                if len(chunk) <= _LONG:
+                    chunks.put(chunk, got)
             if got[0]:
                 ids.append(got[0])
                 decoded.append(got[1])
@@ -194,18 +227,12 @@ _LOADED: dict[str, PrefixEncoder] = {}
 
 
 def encoder(path: str) -> PrefixEncoder:
-    """The encoder of a vocabulary file, loaded once until it is released."""
+    """The encoder of a vocabulary file, loaded once a Python worker."""
     if path not in _LOADED:
         _LOADED[path] = PrefixEncoder(path)
     return _LOADED[path]
 
 
-def release(path: str) -> None:
-    """Forget an encoder and its caches: Spark reuses Python workers, and later stages need their memory."""
-    _LOADED.pop(path, None)
-    gc.collect()
-
-
 OUTPUTS = {"n_tokens": pa.int64(), "ids": pa.list_(pa.int32()), "decoded": pa.string(),
            "ids_sha256": pa.string(), "decoded_sha256": pa.string()}
 _SQL = {"n_tokens": "long", "ids": "array<int>", "decoded": "string", "ids_sha256": "string", "decoded_sha256": "string"}
@@ -246,8 +273,6 @@ def tokenize(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col:
                         out.append(sha256(decoded.encode()).hexdigest())
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(cols[c], OUTPUTS[c]) for c in want)],
                                              names=["id", *want])
-        del enc
-        release(tokenizer)
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     return (rows.mapInArrow(run, "id long, " + ", ".join(f"{c} {_SQL[c]}" for c in want))
