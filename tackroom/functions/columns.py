@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,28 +32,40 @@ def prize_total(prize: Column) -> Column:
                        lambda acc, x: acc + x.cast("double"))
 
 
+def once(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` evaluated once, however often ``body`` names it: keeps long expressions small."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def number_text(c: Column, lowest: int, beyond: int, exponent_digits: int, whole_suffix: str) -> Column:
     """A finite double by its fewest digits: plain while its power of ten is from ``lowest`` to below ``beyond``, else
     with an exponent of at least ``exponent_digits`` digits. A plain whole number ends in ``whole_suffix``."""
-    s = c.cast("string")  # 123.5, 10000.0 or 1.25E10
-    sign = F.when(s.startswith("-"), F.lit("-")).otherwise(F.lit(""))
-    split = F.regexp_extract(s, r"E(-?[0-9]+)$", 1).try_cast("int")
-    before, behind = F.regexp_extract(s, r"^-?([0-9]+)[.]", 1), F.regexp_extract(s, r"[.]([0-9]+)", 1)
-    joined = F.concat(before, F.regexp_replace(behind, "0+$", ""))
-    digits = F.regexp_replace(joined, "^0+", "")     # no leading zeros; empty for zero
-    e = F.coalesce(split, F.lit(0)) + F.length(before) - 1 - (F.length(joined) - F.length(digits))
-    whole = F.rpad(F.substring(digits, F.lit(1), e + 1), F.greatest(e + 1, F.lit(0)), F.lit("0"))
-    rest = F.regexp_replace(F.substring(digits, e + 2, F.length(digits)), "0+$", "")
-    plain = F.when(e >= 0, F.concat(whole, F.when(rest == "", F.lit(whole_suffix)).otherwise(F.concat(F.lit("."), rest)))) \
-             .otherwise(F.concat(F.lit("0."), F.repeat(F.lit("0"), -e - 1), F.regexp_replace(digits, "0+$", "")))
-    tail = F.regexp_replace(F.substring(digits, F.lit(2), F.length(digits)), "0+$", "")
-    power = F.abs(e).cast("string")
-    padded = F.lpad(power, F.greatest(F.lit(exponent_digits), F.length(power)), F.lit("0"))
-    short = F.concat(F.substring(digits, 1, 1), F.when(tail == "", F.lit("")).otherwise(F.concat(F.lit("."), tail)),
-                     F.when(e < 0, F.lit("e-")).otherwise(F.lit("e+")), padded)
-    zero = F.lit("0" + whole_suffix)
-    return F.when(s.isNull(), F.lit(None)).otherwise(F.concat(
-        sign, F.when(digits == "", zero).when((e >= lowest) & (e < beyond), plain).otherwise(short)))
+    def parts(s: Column) -> Column:   # 123.5, 10000.0 or 1.25E10
+        return F.struct(F.when(s.startswith("-"), F.lit("-")).otherwise(F.lit("")).alias("sign"),
+                        F.regexp_extract(s, r"^-?([0-9]+)[.]", 1).alias("before"),
+                        F.regexp_replace(F.regexp_extract(s, r"[.]([0-9]+)", 1), "0+$", "").alias("behind"),
+                        F.coalesce(F.regexp_extract(s, r"E(-?[0-9]+)$", 1).try_cast("int"), F.lit(0)).alias("power"))
+
+    def scaled(p: Column) -> Column:  # without leading zeros: the digits, and the power of ten of the first
+        joined = F.concat(p["before"], p["behind"])
+        digits = F.regexp_replace(joined, "^0+", "")
+        return F.struct(p["sign"].alias("sign"), digits.alias("digits"),
+                        (p["power"] + F.length(p["before"]) - 1 - (F.length(joined) - F.length(digits))).alias("e"))
+
+    def shown(p: Column) -> Column:
+        digits, e = p["digits"], p["e"]
+        whole = F.rpad(F.substring(digits, F.lit(1), e + 1), e + 1, F.lit("0"))
+        rest = F.regexp_replace(F.substring(digits, e + 2, F.length(digits)), "0+$", "")
+        plain = F.when(e >= 0, F.concat(whole, F.when(rest == "", F.lit(whole_suffix)).otherwise(F.concat(F.lit("."), rest)))) \
+                 .otherwise(F.concat(F.lit("0."), F.repeat(F.lit("0"), -e - 1), F.regexp_replace(digits, "0+$", "")))
+        tail = F.regexp_replace(F.substring(digits, F.lit(2), F.length(digits)), "0+$", "")
+        power = F.abs(e).cast("string")
+        short = F.concat(F.substring(digits, 1, 1), F.when(tail == "", F.lit("")).otherwise(F.concat(F.lit("."), tail)),
+                         F.when(e < 0, F.lit("e-")).otherwise(F.lit("e+")),
+                         F.lpad(power, F.greatest(F.lit(exponent_digits), F.length(power)), F.lit("0")))
+        return F.concat(p["sign"], F.when(digits == "", F.lit("0" + whole_suffix)).when((e >= lowest) & (e < beyond), plain).otherwise(short))
+
+    return once(c.cast("string"), lambda s: once(parts(s), lambda p: once(scaled(p), shown)))
 
 
 def js_number_text(c: Column) -> Column:

@@ -40,8 +40,8 @@ def variant_text(v: Column) -> Column:
     """A variant as JavaScript writes it in a text: ``1200.0`` and ``1.2e3`` are ``1200``; NULL stays NULL. Whole
     numbers written without point or exponent keep all their digits."""
     shape = F.schema_of_variant(v)
-    number = F.when(shape.isin("DOUBLE", "FLOAT") | shape.startswith("DECIMAL"), F.try_variant_get(v, "$", "double"))
-    return F.when(number.isNotNull(), js_number_text(number)).otherwise(F.try_variant_get(v, "$", "string"))
+    return F.when(shape.isin("DOUBLE", "FLOAT") | shape.startswith("DECIMAL"), js_number_text(F.try_variant_get(v, "$", "double"))) \
+            .otherwise(F.try_variant_get(v, "$", "string"))
 
 
 def fold_prizes(arr: Column, year: str = "raceYear", prize: str = "prize", variant: bool = False) -> Column:

@@ -16,6 +16,7 @@ from pyspark.sql.types import (
     ArrayType, BooleanType, ByteType, DataType, DecimalType, DoubleType, FloatType, IntegerType, LongType, ShortType, StringType, StructType,
 )
 
+from tackroom.functions.columns import once
 from tackroom.functions.fold import variant_text
 
 _INTEGERS = (LongType, IntegerType, ShortType, ByteType)
@@ -39,14 +40,16 @@ def _shape(v: Column) -> tuple[Column, Column, Column]:
 
 def _whole(v: Column, number: Column, numeric_text: Column, name: str) -> Column:
     """An integer from a number or its text; a fraction, however small, does not fit."""
-    digits = F.when(number, F.try_variant_get(v, "$", "string")).otherwise(numeric_text)
-    head = F.regexp_extract(digits, r"^([+-]?[0-9]*)", 1)
-    head = F.when(head.isin("", "+", "-"), F.concat(head, F.lit("0"))).otherwise(head)
-    power = digits.try_cast("double")   # written with an exponent: a double, so whole if it equals its floor
-    limit = F.when(number, F.lit(9.2e18)).otherwise(F.lit(float(1 << 53)))
-    whole = (power == F.floor(power)) & (F.abs(power) < limit)
-    return F.when(digits.rlike(r"^[+-]?([0-9]+([.]0*)?|[.]0+)$"), head.try_cast(name)) \
-            .when(digits.rlike("[eE]") & whole, power.try_cast("long").try_cast(name))
+    def read(digits: Column) -> Column:
+        head = F.regexp_extract(digits, r"^([+-]?[0-9]*)", 1)
+        head = F.when(head.isin("", "+", "-"), F.concat(head, F.lit("0"))).otherwise(head)
+        # written with an exponent: a double, so whole if it equals its floor
+        limit = F.when(number, F.lit(9.2e18)).otherwise(F.lit(float(1 << 53)))
+        power = once(digits.try_cast("double"), lambda d: F.when((d == F.floor(d)) & (F.abs(d) < limit), d.try_cast("long")))
+        return F.when(digits.rlike(r"^[+-]?([0-9]+([.]0*)?|[.]0+)$"), head.try_cast(name)) \
+                .when(digits.rlike("[eE]"), power.try_cast(name))
+
+    return once(F.when(number, F.try_variant_get(v, "$", "string")).otherwise(numeric_text), read)
 
 
 def _listed(v: Column) -> Column:

@@ -11,13 +11,13 @@ from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import Imputer, OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tackroom.constants import CLASS_LABELS, POSITION_LABEL
+from tackroom.operators.auc import one_vs_rest
 
 
 def build_pipeline(categorical: Sequence[str], numeric: Sequence[str], label: str = POSITION_LABEL,
@@ -101,15 +101,6 @@ def score(df: DataFrame, model: PipelineModel, numeric: Sequence[str],
 
 
 def macro_auc(scored: DataFrame, label: str = POSITION_LABEL, labels: Sequence[str] = CLASS_LABELS) -> float:
-    """Mean one-vs-rest ROC AUC over classes present, each computed by Spark's
-    binned binary evaluator (distributed; no global sort)."""
-    ev = BinaryClassificationEvaluator(rawPredictionCol="_s", labelCol="_y", metricName="areaUnderROC")
-    present = {r[0] for r in scored.select(label).distinct().collect()}
-    aucs = []
-    for i, lbl in enumerate(labels):
-        if lbl not in present:
-            continue
-        d = scored.select(F.element_at("scores", i + 1).alias("_s"),
-                          (F.col(label) == lbl).cast("double").alias("_y"))
-        aucs.append(ev.evaluate(d))
+    """Mean exact one-vs-rest ROC AUC over the classes that are present (see ``operators.auc``)."""
+    aucs = [r["auc"] for r in one_vs_rest(scored, label, "scores", labels).collect() if r["auc"] is not None]  # a row a class
     return sum(aucs) / len(aucs) if aucs else float("nan")
