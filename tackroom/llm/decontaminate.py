@@ -21,6 +21,7 @@ from tackroom.llm.storage import materialize
 from tackroom.llm.text import ascii_lower, let, positions
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+ANY_CASE = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"   # the same words before A-Z are lower-cased
 WINDOW = 13
 GRAM = 5
 _HIGH = -(1 << 32)          # the hash half of a fingerprint; the low half is its position
@@ -31,6 +32,11 @@ def words(text: Column) -> Column:
     return F.regexp_extract_all(ascii_lower(F.coalesce(text, F.lit(""))), F.lit(WORD), F.lit(0))
 
 
+def count_words(text: Column) -> Column:
+    """The number of ``words``, without building them."""
+    return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(ANY_CASE)).cast("long")
+
+
 def _grams(hashes: Column, k: int) -> Column:
     """Per position a long: 32 bits of the k-gram's hash, then the position."""
     return F.transform(positions(F.size(hashes) - (k - 1)), lambda i: F.xxhash64(
@@ -135,7 +141,7 @@ def _judged(docs: DataFrame, benchmark: DataFrame, id_col: str, text_col: str =
         .select("hit_id", "hit_k", "n_hit", "items"), "hit-documents")
     n_hit = F.coalesce("n_hit", F.lit(0).cast("long"))
     items_of = F.coalesce("items", F.array().cast("array<string>"))
-    return (doc.select("id", "k", F.size(words(F.col("text"))).cast("long").alias("n_words"))
+    return (doc.select("id", "k", count_words(F.col("text")).alias("n_words"))
             .join(both, F.col("id").eqNullSafe(F.col("hit_id")) & (F.col("k") == F.col("hit_k")), "left")
             .select(F.col("id").alias(id_col), F.col("k").alias("__k"), "n_words", n_hit.alias("n_hit"),
                     F.size(items_of).cast("long").alias("n_items"),
