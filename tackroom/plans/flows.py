@@ -13,6 +13,7 @@ from tackroom.operators.clean import clean, clean_report, kept_lines
 from tackroom.operators.quarantine import hold_back, split_lines, split_records
 from tackroom.operators.upsert import assert_unique_source
 from tackroom.session import scratch_dir
+from tackroom.sources.landing import list_landed, read_landed
 from tackroom.sources.ledger import among, consume, not_consumed, read_ledger
 from tackroom.sources.merge_on_read import compact, pending_deltas, reconcile_log, upsert_delta
 from tackroom.sources.shards import ORDER_COLS, list_shards, read_shard_lines, write_cleaned
@@ -44,6 +45,8 @@ def merge_clean_upsert(spark: SparkSession, shards_root: str, target_root: str,
                        merge_on_read: bool = False, compact_after: int | None = None) -> DataFrame:
     """New shards -> clean -> parse -> (reshape) -> unique check -> upsert -> ledger -> reconciliation row.
 
+    ``layout`` is files or partitioned (see ``sources.shards``) or manifest (``sources.landing``).
+
     The target is one of three kinds. By default each run writes a new version, with
     ``buckets`` bucketed on ``key`` so that only the new rows are shuffled (an existing
     target keeps the bucket count it was written with). With ``range_width`` it is
@@ -56,8 +59,10 @@ def merge_clean_upsert(spark: SparkSession, shards_root: str, target_root: str,
     ``rejects`` table. With ``quarantine`` all defects go to that table instead, by
     class (see ``operators.quarantine``), and nothing in a line fails the run.
     """
-    files = list_shards(spark, shards_root, layout=layout)
-    lines = read_shard_lines(spark, shards_root, layout=layout)
+    if layout == "manifest":
+        files, lines = list_landed(spark, shards_root), read_landed(spark, shards_root)
+    else:
+        files, lines = list_shards(spark, shards_root, layout=layout), read_shard_lines(spark, shards_root, layout=layout)
     if ledger:
         files, lines = not_consumed(files, ledger), not_consumed(lines, ledger)
     # the listing is taken now: a shard that lands during the run is not in the ledger after it

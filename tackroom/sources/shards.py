@@ -133,7 +133,7 @@ def shard_file_name(lo: F.Column, hi: F.Column, stamp_millis: int,
                     F.lit(f"_{stamp_millis}.ndjson"))
 
 
-def _shard_of(key: str, start: int, size: int, stamp_millis: int, prefix: str) -> F.Column:
+def shard_of(key: str, start: int, size: int, stamp_millis: int, prefix: str) -> F.Column:
     """Shard name of an id's batch. An id that is NULL, NaN or below ``start``, or a batch below 0, fails the write: no
     reader matches such a shard, so its rows would be lost."""
     b = F.floor((F.col(key) - F.lit(start)) / F.lit(size))
@@ -153,7 +153,7 @@ def write_batch_shards(df: DataFrame, out: str, key: str, start: int, size: int,
     most ``size`` distinct ids, which bounds the task when ids are unique. An id
     that is NULL or below ``start`` fails the write, and nothing is landed. Returns the frame that was written (with its ``shard`` column).
     """
-    tagged = df.withColumn("shard", _shard_of(key, start, size, stamp_millis, prefix))
+    tagged = df.withColumn("shard", shard_of(key, start, size, stamp_millis, prefix))
     # dynamic overwrite: a landing replaces exactly its own shard folders, so
     # a retried landing does not duplicate lines and other shards stay as they are
     (tagged.repartition("shard").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -165,7 +165,7 @@ def write_line_shards(lines: DataFrame, out: str, key: str, start: int, size: in
                       stamp_millis: int, line_col: str = "line", prefix: str = SHARD_PREFIX) -> None:
     """Raw text lines (already serialised) as one shard per key batch, in key order. A key that is NULL or below
     ``start`` fails the write, and nothing is landed."""
-    tagged = lines.select(key, line_col, _shard_of(key, start, size, stamp_millis, prefix).alias("shard"))
+    tagged = lines.select(key, line_col, shard_of(key, start, size, stamp_millis, prefix).alias("shard"))
     (tagged.repartition("shard").sortWithinPartitions("shard", key).select("shard", line_col)
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("shard").text(out))
 

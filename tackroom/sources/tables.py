@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tackroom.functions.inference import load_inferred
 from tackroom.functions.jsonline import is_blank
 from tackroom.functions.records import load_records
 
@@ -13,13 +14,14 @@ from tackroom.functions.records import load_records
 def load_staging(spark: SparkSession, path: str, schema: StructType | str | None = None,
                  view: str | None = None, rejects: str | None = None) -> DataFrame:
     """NDJSON to a table (S8). With a schema, values are read as its types and one that does
-    not fit fails the load (or goes to the ``rejects`` table); without one the schema is inferred
-    in an extra pass, and a line that is no JSON fails the load."""
+    not fit fails the load (or goes to the ``rejects`` table); without one the types are found
+    in an extra pass (see ``functions.inference``), and only a line that is no JSON object is a misfit.
+    Blank lines are no records."""
+    lines = spark.read.text(path)
     if schema is not None:
-        lines = spark.read.text(path).where(~is_blank(F.col("value")))
-        df = load_records(lines, schema, "value", rejects)
+        df = load_records(lines.where(~is_blank(F.col("value"))), schema, "value", rejects)
     else:
-        df = spark.read.option("mode", "FAILFAST").json(path)
+        df = load_inferred(lines, "value", rejects)
     if view:
         df.createOrReplaceTempView(view)
     return df
