@@ -60,13 +60,22 @@ NOISE_WORDS = frozenset(
     "complementary skip".split())
 NOISE_STEM = re.compile("comment|cookie|sidebar|advert|newsletter|footer|breadcrumb|disqus|sponsor|popup|subscri")
 HEADER_WORDS = frozenset(["header", "banner"])
+# words that say nothing of the content: inside an article, a name counts only if it has no others beside the above
+NEUTRAL_WORDS = frozenset(
+    "area articles bar block blocks body box button buttons card container content count feed footer frame group header holder "
+    "icon icons inner item items label link links list main media module outer panel post posts row section slot stories story "
+    "text thread title top unit user users wrap wrapper".split())
+_DEPTH = 64      # containers that a path spells out; one below them ends in a digest of all that is above it
 # the only ones that count in classes of headings, paragraphs, cells, list items and inline elements
 ADVERT_WORDS = frozenset("ad ads advert adverts advertisement advertising adsense sponsor sponsored promo promotion".split())
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>"
                     r"|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*+)>"
                     r"|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>", re.S)
-_ATTR = re.compile(r"(class|id|role|hidden|style|aria-hidden)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?(?=[\s/]|$)", re.I)
+# one attribute after the other, so that nothing inside a value is taken for a name
+_ATTR = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
+_READ = frozenset(["class", "id", "role", "hidden", "style", "aria-hidden"])
+_OPENED = ("<!--", "<![CDATA[")
 _WORD = re.compile(r"[A-Za-z][a-z]*|[A-Z]+")
 _DIGITS = re.compile(r"\d+")
 _NAMED = re.compile(r"(article|main)(?![^#.])")   # last part of the path of an <article> or <main>
@@ -156,15 +165,18 @@ class Page:
 
     def _read(self) -> Iterator[tuple[str, Node, str]]:
         html, at = self.html, 0
+        last = html.rfind(">") + 1      # no tag ends behind it, so none is looked for there
         stack = [Node("", "", False, False, False)]
         while True:
-            m = _TOKEN.search(html, at)
-            stop = m.start() if m else len(html)
+            m = _TOKEN.search(html, at, last) if at < last else None
+            stop = m.start() if m else min((x for x in (html.find(o, at) for o in _OPENED) if x >= 0), default=len(html))
             if stop > at:
                 yield "text", stack[-1], html[at:stop]
             if not m:
                 return
             at = m.end()
+            if at == last and m[0].startswith(_OPENED) and not m[0].endswith(("-->", "]]>")):
+                return  # a comment that is never closed
             tag = m[2] or m[5]
             if tag is None:
                 continue
@@ -205,11 +217,19 @@ class Page:
             if tag in INLINE and stack[i].name not in INLINE:
                 return  # an inline end tag does not close blocks
 
+    @staticmethod
+    def _only_noise(name: str) -> bool:
+        """Whether a class or id inside an article names something beside it and nothing else: related-posts, not related-work."""
+        words = [w.lower() for w in _WORD.findall(name)]
+        return all(w in NOISE_WORDS or w in NEUTRAL_WORDS or w in HEADER_WORDS or NOISE_STEM.search(w) for w in words)
+
     @staticmethod
     def _node(parent: Node, tag: str, attrs: str) -> Node:
         found: dict[str, str] = {}
         if attrs and ("=" in attrs or "hidden" in attrs):
-            found = {a.lower(): (v or "").strip("\"'") for a, v in _ATTR.findall(attrs)}
+            for a, v in _ATTR.findall(attrs):
+                if a.lower() in _READ:
+                    found.setdefault(a.lower(), v.strip("\"'"))
         article = parent.article or tag in ARTICLE
         noise = (parent.noise or tag in NEVER or "hidden" in found or found.get("aria-hidden") == "true"
                  or "display:none" in found.get("style", "").replace(" ", "").lower())
@@ -217,6 +237,8 @@ class Page:
         if not noise and tag not in ("html", "body") and tag not in ARTICLE:
             small = tag in INLINE or tag in LEAF
             names = " ".join(found[k] for k in (("class",) if small else ("class", "id")) if k in found)
+            if article and names and not small:
+                names = " ".join(t for t in names.split() if Page._only_noise(t))
             words = {w.lower() for w in _WORD.findall(names)} if names else frozenset()
             role = {w.lower() for w in _WORD.findall(found["role"])} if "role" in found else frozenset()
             if small:
@@ -231,6 +253,9 @@ class Page:
         if tag not in INLINE and tag not in LEAF:
             label = "".join(sign + found[k] for sign, k in (("#", "id"), (".", "class")) if found.get(k))
             path = f"{parent.path}/{tag}{_DIGITS.sub('0', label)}"
+            if path.count("/") > _DEPTH:
+                top = path.split("/", _DEPTH)
+                path = "/".join(top[:_DEPTH]) + "/~" + blake2b(path.encode(), digest_size=8).hexdigest()
         return Node(tag, path, noise, article, parent.link or tag == "a", named)
 
 

@@ -26,6 +26,33 @@ def test_one_page(html, text):
     assert extract_text(html, None, NONE) == text
 
 
+@pytest.mark.parametrize("attrs", [
+    'title="the hidden valley"', 'title="a hidden gem"', 'data-hidden="false"', 'data-style="display:none"', 'data-id="comment-study"',
+    'id="related-work"', 'class="search-algorithms"', 'class="share-price"', 'class="form-factor"', 'class="widget-theory"',
+    "title='class=ad'", 'alt=x data-class="advert"', 'data-aria-hidden="true"', 'class="cookie-recipes"', 'class="intro" class="ad"'])
+@pytest.mark.parametrize("tag", ["div", "section", "p"])
+def test_ordinary_attributes_keep_the_text(tag, attrs):
+    assert extract_text(f"<article><p>before</p><{tag} {attrs}>kept text</{tag}><p>after</p></article>", None, NONE) == "before kept text after"
+
+
+@pytest.mark.parametrize("attrs", [
+    "hidden", 'HIDDEN=""', "aria-hidden='true'", 'style="color:red; display : none"', 'class="related-posts"', 'id="comments"',
+    'class="x share-buttons"', 'class="newsletter-box"', 'class="comment-list"', 'role="navigation"'])
+def test_names_of_what_is_beside_the_article_leave_it_out(attrs):
+    assert extract_text(f"<article><p>before</p><div {attrs}>gone</div><p>after</p></article>", None, NONE) == "before after"
+
+
+def test_long_pages_of_unclosed_tags_and_deep_containers():
+    import time
+    start = time.process_time()
+    assert extract_text("<article>x" + "<a " * 400_000, None, NONE).startswith("x")
+    assert extract_text("<article>x</article>" + "<!-- <p>" * 200_000, None, NONE) == "x"
+    assert extract_text("<article>" + "<div class=k>" * 30_000 + "deep" + "</div>" * 30_000 + "</article>", None, NONE) == "deep"
+    assert extract_text("<p>a</p> 1 < 2 <!-- open <p>no", None, NONE) == "a 1 < 2"
+    assert extract_text("<p>a</p><!-- open <p>no</p> b", None, NONE) == "a"
+    assert time.process_time() - start < 60
+
+
 def site(i, body):
     return (f"<html><head><title>{i}</title></head><body><div class='top'><a href=/>Home</a> <a href=/x>All {i}</a></div>"
             f"<div class='w{i}'><div class='story'><p>{body}</p></div><div class='box'>Call now</div>"
