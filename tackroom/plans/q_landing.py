@@ -7,11 +7,14 @@ from pyspark.sql import functions as F
 from tackroom.functions.inference import infer_types, load_inferred
 from tackroom.operators.clean import clean, kept_lines
 from tackroom.operators.skew import rank_in_group
+from tackroom.plans.flows import clean_job, merge_job
+from tackroom.plans.q_clean import RANKED_EVENTS_SQL, event_lines
 from tackroom.plans.q_io import STAMP_MILLIS
 from tackroom.plans.registry import query, table
 from tackroom.session import scratch_dir
 from tackroom.sources.landing import land, landed_files, read_landed
-from tackroom.sources.shards import ORDER_COLS, read_shard_lines, write_master
+from tackroom.sources.ledger import read_ledger
+from tackroom.sources.shards import ORDER_COLS, cleaned_name, list_shards, read_shard_lines, write_batch_shards, write_master
 from tackroom.sources.tables import _fs
 
 
@@ -138,3 +141,38 @@ def inferred_load(spark, sf_dir):
     path = scratch_dir(spark, "mixed")
     _mixed_lines(spark, sf_dir).write.text(path)
     return load_inferred(spark.read.text(path), "value").select("id", "who", "rate", "flag")
+
+
+@query("cleaned_text", "E1 S3 S7 F2", sql=f"""
+SELECT line, CAST(row_number() OVER (ORDER BY line_no) - 1 AS BIGINT) AS place FROM ({RANKED_EVENTS_SQL}) WHERE rn = 1
+""")
+def cleaned_text(spark, sf_dir):
+    """The cleaned file of the clean job as it is read back: its lines, byte for byte, and their places in it."""
+    lines = event_lines(spark, sf_dir).select(F.lit("m").alias("shard"), F.lit("m").alias("file_path"), F.col("line_no").alias("block_start"),
+                                              F.lit(0).cast("long").alias("row_id"), "line")
+    out = cleaned_name(f"{scratch_dir(spark, 'cleaned')}/master.ndjson", "2024-06-01T00:00:00.000Z")
+    clean_job(lines, out)
+    stored = spark.read.text(out).select(F.lit("m").alias("shard"), F.col("_metadata.file_path").alias("file_path"),
+                                         F.col("_metadata.file_block_start").alias("block_start"),
+                                         F.monotonically_increasing_id().alias("row_id"), F.col("value").alias("line"))
+    path = scratch_dir(spark, "cleaned-numbered")
+    stored.write.parquet(path)
+    return rank_in_group(spark.read.parquet(path), ["shard"], ["file_path", "block_start", "row_id"], "place") \
+        .select("line", F.col("place").cast("long").alias("place"))
+
+
+@query("merge_and_retire", "S3 S4 S5", sql="""
+SELECT CAST(count(DISTINCT event_id // 1000) AS BIGINT) AS merged_count, CAST(count(*) AS BIGINT) AS line_count,
+  CAST(count(DISTINCT event_id // 1000) AS BIGINT) AS in_ledger, CAST(0 AS BIGINT) AS files_left, 'nothing_to_merge' AS second_run
+FROM events
+""")
+def merge_and_retire(spark, sf_dir):
+    """``events`` landed as shards, merged and removed: what was merged, the ledger's files, the files that are left, and what a second
+    run finds."""
+    root, out, ledger = (scratch_dir(spark, n) for n in ("retire-src", "retire-out", "retire-ledger"))
+    write_batch_shards(table(spark, sf_dir, "events").select("event_id", "event_type"), root, "event_id", 0, 1000, STAMP_MILLIS)
+    first = merge_job(spark, root, out, "master-1", layout="partitioned", ledger=ledger, remove_merged=True)
+    second = merge_job(spark, root, out, "master-2", layout="partitioned", ledger=ledger)
+    left, noted = list_shards(spark, root, layout="partitioned").count(), read_ledger(spark, ledger).count()
+    return first.select("merged_count", "line_count", F.lit(noted).cast("long").alias("in_ledger"), F.lit(left).cast("long").alias("files_left"),
+                        F.lit(second.first()["status"]).alias("second_run"))
