@@ -18,12 +18,12 @@ from tackroom.sources.shards import ORDER_COLS, cleaned_name, list_shards, read_
 from tackroom.sources.tables import _fs
 
 
-def _landed(spark, sf_dir):
-    """``orders`` in two landings, the odd and the even thousands of their keys."""
+def _landed(spark, sf_dir, size):
+    """``orders`` as shards of ``size`` keys in two landings, the odd and the even ones."""
     root, o = scratch_dir(spark, "landed"), table(spark, sf_dir, "orders")
-    odd = F.floor(F.col("o_orderkey") / 1000) % 2 == 1
-    land(o.where(odd), root, "o_orderkey", 0, 1000, STAMP_MILLIS, "first")
-    land(o.where(~odd), root, "o_orderkey", 0, 1000, STAMP_MILLIS + 1, "second")
+    odd = F.floor(F.col("o_orderkey") / size) % 2 == 1
+    land(o.where(odd), root, "o_orderkey", 0, size, STAMP_MILLIS, "first")
+    land(o.where(~odd), root, "o_orderkey", 0, size, STAMP_MILLIS + 1, "second")
     return root
 
 
@@ -34,7 +34,7 @@ SELECT CAST(o_orderkey // 1000 * 1000 AS BIGINT) AS shard_lo, CASE WHEN o_orderk
 """)
 def landed_shards(spark, sf_dir):
     """What the manifest says of each shard, beside the sum over its lines as they are read back."""
-    root = _landed(spark, sf_dir)
+    root = _landed(spark, sf_dir, 1000)
     lo = F.regexp_extract("shard", r"_(\d+)_to_", 1).cast("long").alias("shard_lo")
     told = landed_files(spark, root).groupBy(lo, "landing").agg(F.min("min_id").alias("min_id"), F.max("max_id").alias("max_id"),
                                                                 F.sum("n_lines").alias("n_lines"))
@@ -45,16 +45,16 @@ def landed_shards(spark, sf_dir):
 
 @query("landed_range", "S6 S9", sql="""
 SELECT o_orderkey, o_totalprice, TRUE AS skipped_files FROM orders
-WHERE o_orderkey BETWEEN (SELECT max(o_orderkey) // 2 FROM orders) AND (SELECT max(o_orderkey) // 2 + 1500 FROM orders)
+WHERE o_orderkey BETWEEN (SELECT max(o_orderkey) // 2 FROM orders) AND (SELECT max(o_orderkey) // 2 + 100 FROM orders)
 """)
 def landed_range(spark, sf_dir):
-    """The lines of 1,501 ids in the middle, from the files that can hold them; the others are not opened."""
-    root = _landed(spark, sf_dir)
+    """The lines of 101 ids in the middle, from the files that can hold them; the others are not opened."""
+    root = _landed(spark, sf_dir, 500)
     lo = table(spark, sf_dir, "orders").agg(F.max("o_orderkey")).first()[0] // 2
-    lines = read_landed(spark, root, lo, lo + 1500)
+    lines = read_landed(spark, root, lo, lo + 100)
     fewer = len(lines.inputFiles()) < landed_files(spark, root).count()
     rec = lines.select(F.from_json("line", "o_orderkey long, o_totalprice double").alias("r")).select("r.*")
-    return rec.where(F.col("o_orderkey").between(lo, lo + 1500)).withColumn("skipped_files", F.lit(fewer))
+    return rec.where(F.col("o_orderkey").between(lo, lo + 100)).withColumn("skipped_files", F.lit(fewer))
 
 
 FLAT = ["1_to_10", "1001_to_2000", "20_to_30", "3_to_9", "100_to_200", "9_to_9", "50_to_60"]   # not in the order of their names

@@ -142,5 +142,5 @@ def shared_ledger(spark, sf_dir):
     merge_clean_upsert(spark, root, target, "id long, " + schema, "id", SECOND_TS, **opts)  # nothing is left
     files = read_ledger(spark, ledger).groupBy("consumer").agg(F.count(F.lit(1)).alias("n_files"))
     lines = mor.read_merged(spark, target, "id").select(F.lit("batch").alias("consumer")) \
-        .unionAll(spark.read.parquet(sink).select(F.lit("stream").alias("consumer"))).groupBy("consumer").agg(F.count(F.lit(1)).alias("n_lines"))
+        .unionAll(spark.read.schema("line string").parquet(sink).select(F.lit("stream").alias("consumer"))).groupBy("consumer").agg(F.count(F.lit(1)).alias("n_lines"))
     return files.join(lines, "consumer").select("consumer", "n_files", "n_lines")
