@@ -5,8 +5,8 @@
 2. A line's distinct words become longs, rank first, then hash, sorted from rare
    to frequent. Lines with equal sets collapse to the first in document order.
 3. Candidates share one of the rarest words of both (prefix filter) and pass the
-   positional and length filters and a bitmap bound on the number of words that
-   differ, all inside the join, where one exchange of the prefixes serves both
+   positional and length filters and a bound on the number of words that differ
+   (parities of the words' hashes, which never err), all inside the join, where one exchange of the prefixes serves both
    sides. Each line is first compared with its likeliest partner only, and for
    words that many lines have in their prefix with the earliest of these; only
    lines that this leaves unsettled meet all their partners, so a large group of
@@ -17,6 +17,7 @@
 from __future__ import annotations
 
 import functools
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,6 +27,7 @@ from tackroom.llm.text import let
 
 SIMILARITY = (4, 5)      # Jaccard of two lines' word sets, as a fraction
 COUNTERS = 1 << 16       # size of the rarity table, whatever the input
+LONG = 64                # lines of so many words or more have 128 parity bits instead of 64
 STAR = 128               # prefix words of more lines than this are paired as stars first
 _OTHER_SPACE = "\t\x0b\f\r"
 _HASH_BITS = 47
@@ -74,7 +76,18 @@ def _filters(x: str, y: str, num: int, den: int) -> Column:
             & (F.least(c(x, "n"), c(y, "n")) * den >= F.greatest(c(x, "n"), c(y, "n")) * num)
             & (F.least(c(x, "n") - c(x, "p"), c(y, "n") - c(y, "p")) * (num + den) >= both * num)
             & ((c(x, "p") + c(y, "p")) * (num + den) <= both * (den - num))
-            & (F.bit_count(c(x, "bits").bitwiseXOR(c(y, "bits"))) * (num + den) <= both * (den - num)))
+            & (_differ(x, y) * (num + den) <= both * (den - num)))
+
+
+def _differ(x: str, y: str) -> Column:
+    """At least so many words are in one of the two lines only: bits in which the parities of their words differ.
+
+    ``bits`` has all words of a line on 64 bits; ``odd``, of long lines, those of an odd group, so that two long lines
+    are compared on 128 bits, the even group's parities being the difference of both.
+    """
+    every = F.col(f"{x}.bits").bitwiseXOR(F.col(f"{y}.bits"))
+    odd = F.col(f"{x}.odd").bitwiseXOR(F.col(f"{y}.odd"))
+    return F.coalesce(F.bit_count(odd) + F.bit_count(every.bitwiseXOR(odd)), F.bit_count(every))
 
 
 def _maybe_in(df: DataFrame, wanted: DataFrame, keys: list[str]) -> DataFrame:
@@ -111,39 +124,31 @@ def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     words = F.array_remove(F.sort_array(F.array_distinct(tokens)), key(F.xxhash64(F.lit(""))))
     toks = _lines(doc).select("ord", "k", "line", words.alias("t"))
     n = F.size("t")
-    bits = F.aggregate("t", F.lit(0).cast("long"), lambda acc, x: acc.bitwiseOR(
-        F.call_function("shiftleft", F.lit(1).cast("long"), x.bitwiseAND(F.lit(63)).cast("int"))))
+
+    def parity(one: Callable[[Column], Column]) -> Column:
+        return F.aggregate("t", F.lit(0).cast("long"), lambda acc, x: acc.bitwiseXOR(
+            F.call_function("shiftleft", one(x), x.bitwiseAND(F.lit(63)).cast("int"))))
+
+    bits = parity(lambda x: F.lit(1).cast("long"))
+    odd = F.when(n >= LONG, parity(lambda x: F.shiftright(x, 6).bitwiseAND(F.lit(1).cast("long"))))
     # 32 bits of the hash are enough to meet by: what meets is compared word by word
     low = F.transform(F.slice("t", 1, n - F.ceil(n * num / F.lit(float(den)) - 1e-9).cast("int") + 1),
                       lambda x: F.shiftright(F.shiftleft(x, 32), 32).cast("int"))
     lines = materialize(toks.where(n > 0).select(
         "ord", "k", "line", F.xxhash64("t").alias("d1"), F.xxhash64(F.lit(7), "t").alias("d2"), n.alias("n"),
-        bits.alias("bits"), low.alias("prefix")), "line-sets")
+        bits.alias("bits"), odd.alias("odd"), low.alias("prefix")), "line-sets")
     place = F.struct("ord", "line", "k")
-    sets = materialize(lines.groupBy("d1", "d2").agg(F.min(F.struct("ord", "line", "k", "n", "bits", "prefix")).alias("f"),
+    sets = materialize(lines.groupBy("d1", "d2").agg(F.min(F.struct("ord", "line", "k", "n", "bits", "odd", "prefix")).alias("f"),
                                                      F.count("*").alias("copies"))
                        .select("d1", "d2", "f.*", "copies", F.monotonically_increasing_id().alias("rid")), "line-firsts")
     # lines so short that only equal sets reach the similarity need no join
     reps = sets.where(F.col("n") * den >= (F.col("n") + 1) * num)
-    index = reps.select("rid", "ord", "line", "n", "bits", F.posexplode("prefix").alias("p", "tok"))
+    index = reps.select("rid", "ord", "line", "n", "bits", "odd", F.posexplode("prefix").alias("p", "tok"))
     hot = materialize(index.groupBy("tok").agg(F.count("*").alias("lines")).where(F.col("lines") > STAR).select("tok"),
                       "frequent-prefix-words")
 
     def verified(pairs: DataFrame, name: str) -> DataFrame:
-        """The later line's (rid) of each of the (a, b) pairs that reach the similarity on their words.
-
-        Words that stand before the last common word of two prefixes, and are not common, are in one line only: this
-        bound on the differing words goes first, and spares most pairs the fetching of their lines. It knows words by 32
-        bits of their hash: a pair can only be lost if two different words of its prefixes share these (2 in 10**8 pairs).
-        """
-        ids = pairs.select(F.col("a").alias("rid")).union(pairs.select("b")).distinct()
-        known = _maybe_in(reps.select("rid", "n", "prefix"), ids, ["rid"]).where("maybe").select("rid", "n", "prefix")
-        common = F.array_intersect("pa", "pb")
-        last = F.element_at(common, -1)
-        apart = F.array_position("pa", last) + F.array_position("pb", last) - 2 * F.size(common)
-        pairs = materialize(pairs.join(known.toDF("a", "na", "pa"), "a").join(known.toDF("b", "nb", "pb"), "b")
-                            .where((F.size(common) > 0) & (apart * (num + den) <= (F.col("na") + F.col("nb")) * (den - num)))
-                            .select("a", "b"), name + "-pairs")
+        """The later line's (rid) of each of the (a, b) pairs that reach the similarity on their words."""
         ids = pairs.select(F.col("a").alias("rid")).union(pairs.select("b")).distinct()
         some = materialize(reps.select("rid", "ord", "k", "line").join(ids, "rid", "left_semi"), name + "-lines")
         texts = (_maybe_in(_lines(doc), some, ["ord", "k", "line"]).where("maybe")
@@ -163,14 +168,14 @@ def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # Each line's likeliest earlier partner: of the words that few lines have, by the bitmaps (one exchange serves both
     # sides of the join); of a frequent word, its earliest line.
     rows = index.join(hot, "tok", "left_anti").repartition("tok")
-    differ = F.bit_count(F.col("x.bits").bitwiseXOR(F.col("y.bits"))).cast("long")
+    differ = _differ("x", "y").cast("long")
     met = rows.alias("x").join(rows.alias("y"), (F.col("x.tok") == F.col("y.tok")) & _filters("x", "y", num, den))
     best = materialize(met.groupBy(F.col("x.rid").alias("a")).agg(
         F.min(F.shiftleft(differ, _RID_BITS).bitwiseOR(F.col("y.rid"))).alias("best"),
         F.count("*").alias("met"), F.max(F.col("y.rid")).alias("last"), F.min(F.col("y.rid")).alias("first")), "best-partners")
     likeliest = best.select("a", F.col("best").bitwiseAND(F.lit((1 << _RID_BITS) - 1)).alias("b"))
     hot_rows = materialize(index.join(hot, "tok"), "frequent-rows")
-    earliest = (hot_rows.groupBy("tok").agg(F.min(F.struct("ord", "line", "rid", "n", "p", "bits")).alias("f"))
+    earliest = (hot_rows.groupBy("tok").agg(F.min(F.struct("ord", "line", "rid", "n", "p", "bits", "odd")).alias("f"))
                 .select("tok", "f.*"))
     star = (hot_rows.alias("x").join(earliest.alias("y"), (F.col("x.tok") == F.col("y.tok")) & _filters("x", "y", num, den))
             .select(F.col("x.rid").alias("a"), F.col("y.rid").alias("b")))

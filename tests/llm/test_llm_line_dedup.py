@@ -66,3 +66,16 @@ def test_null_and_repeated_ids_and_empty_table(spark):
     got = sorted((str(r.doc_id), r.n_removed) for r in removals(d).collect())
     assert got == [("1", 0), ("1", 0), ("1", 0), ("None", 1)]  # repeated rows alike; a null id comes last
     assert removals(d.limit(0)).count() == 0
+
+
+def test_long_lines_against_brute_force(spark):
+    """Lines of 64 words and more have more parity bits; their partners may have fewer."""
+    rng = random.Random(5)
+    base = [[f"w{rng.randrange(400)}" for _ in range(rng.choice([58, 64, 66, 90, 200, 300]))] for _ in range(6)]
+    texts = []
+    for _ in range(70):
+        line = list(rng.choice(base))
+        for _ in range(rng.randrange(0, len(line) // 7)):
+            line[rng.randrange(len(line))] = f"e{rng.randrange(900)}"
+        texts.append(" ".join(line[rng.randrange(3):]) + "\nshort tail")
+    check(spark, texts)
