@@ -143,7 +143,11 @@ def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                        .select("d1", "d2", "f.*", "copies", F.monotonically_increasing_id().alias("rid")), "line-firsts")
     # lines so short that only equal sets reach the similarity need no join
     reps = sets.where(F.col("n") * den >= (F.col("n") + 1) * num)
-    index = reps.select("rid", "ord", "line", "n", "bits", "odd", F.posexplode("prefix").alias("p", "tok"))
+
+    def prefixes(some: DataFrame) -> DataFrame:
+        return some.select("rid", "ord", "line", "n", "bits", "odd", F.posexplode("prefix").alias("p", "tok"))
+
+    index = prefixes(reps)
     hot = materialize(index.groupBy("tok").agg(F.count("*").alias("lines")).where(F.col("lines") > STAR).select("tok"),
                       "frequent-prefix-words")
 
@@ -182,13 +186,19 @@ def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     tried = materialize(likeliest.union(star).distinct(), "first-pairs")
     settled = verified(tried, "first")
 
-    # Lines that this left unsettled meet all their earlier partners.
-    rest = best.where("first < last").select(F.col("a").alias("rid")).union(hot_rows.select("rid")).distinct()
-    rest = materialize(rest.join(settled, "rid", "left_anti"), "unsettled-lines")
-    own = materialize(index.join(rest, "rid", "left_semi"), "unsettled-rows")
+    # Lines that this left unsettled meet all their earlier partners: by the words that few lines have, if they met more
+    # than one partner there; by frequent words, if they have any.
+    rest = materialize(best.where("first < last").select(F.col("a").alias("rid")).join(settled, "rid", "left_anti"),
+                       "unsettled-lines")
+    own = materialize(prefixes(reps.join(rest, "rid", "left_semi")).join(hot, "tok", "left_anti"), "unsettled-rows")
     others = _maybe_in(index, own, ["tok"]).where("maybe").drop("maybe")
-    again = (own.alias("x").join(others.alias("y"), (F.col("x.tok") == F.col("y.tok")) & _filters("x", "y", num, den))
-             .select(F.col("x.rid").alias("a"), F.col("y.rid").alias("b")).distinct().join(tried, ["a", "b"], "left_anti"))
+
+    def partners(x: DataFrame, y: DataFrame) -> DataFrame:
+        return (x.alias("x").join(y.alias("y"), (F.col("x.tok") == F.col("y.tok")) & _filters("x", "y", num, den))
+                .select(F.col("x.rid").alias("a"), F.col("y.rid").alias("b")))
+
+    again = (partners(own, others).union(partners(hot_rows.join(settled, "rid", "left_anti"), hot_rows))
+             .distinct().join(tried, ["a", "b"], "left_anti"))
     near = settled.union(verified(materialize(again, "remaining-pairs"), "other")).distinct()
     near = reps.join(near, "rid", "left_semi").select("ord", "k", "line")
     # all copies but the first of a set; and the firsts that resemble an earlier line
