@@ -129,7 +129,9 @@ def _records(batch: DataFrame, schema: StructType | str, transform, rejects: str
     ordered = batch if "row_id" in batch.columns else batch.withColumn("row_id", F.monotonically_increasing_id())
     rec = load_records(kept_lines(clean(ordered, ORDER_COLS)), schema, rejects=rejects, keep=ORDER_COLS)
     if on_dup == "first" and key in rec.columns:
-        rec = dedupe_first(rec.where(F.col(key).isNotNull()), [key], ORDER_COLS).unionByName(rec.where(F.col(key).isNull()))
+        # a row without a key is a group of its own, known by its place: one pass types and groups all rows
+        place = F.when(F.col(key).isNull(), F.struct(*ORDER_COLS))
+        rec = dedupe_first(rec.withColumn("_place", place), [key, "_place"], ORDER_COLS).drop("_place")
     rec = rec.drop(*ORDER_COLS)
     if transform is not None:
         rec = transform(rec)
