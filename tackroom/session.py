@@ -22,6 +22,9 @@ SESSION_DEFAULTS = {
     # JS objects keep the last duplicate key; variant parsing does too with this.
     "spark.sql.variant.allowDuplicateKeys": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # a listing of many shard or range folders takes some hundred tasks, not one a folder (up to 10,000):
+    # a folder is listed in less time than a task is started in
+    "spark.sql.sources.parallelPartitionDiscovery.parallelism": "200",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
