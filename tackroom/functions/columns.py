@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,6 +37,12 @@ def once(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+def settled(df: DataFrame) -> DataFrame:
+    """The same rows, their columns computed before anything later reads them: neither a filter on them nor a column made of
+    them is pushed into their expressions, which would evaluate those once for each use."""
+    return df.select(F.inline(F.array(F.struct(*[F.col(f"`{c}`") for c in df.columns]))))
+
+
 def number_text(c: Column, lowest: int, beyond: int, exponent_digits: int, whole_suffix: str) -> Column:
     """A finite double by its fewest digits: plain while its power of ten is from ``lowest`` to below ``beyond``, else
     with an exponent of at least ``exponent_digits`` digits. A plain whole number ends in ``whole_suffix``."""
