@@ -2,7 +2,7 @@
 
 ``write_batch_shards`` makes a folder for every batch of ids, which at many batches
 is a listing of as many folders. A landing is one folder of NDJSON files, one or
-more a batch, and one small Parquet table beside it that names each file with its
+more a batch (each under its number), and one small Parquet table beside it that names each file with its
 shard, line count and smallest and largest id. It is written after the lines, so a
 landing that failed is not there for readers. Readers list nothing: they take the
 files from the manifest, and leave out those that cannot hold the ids asked for.
@@ -18,6 +18,7 @@ from tackroom.constants import SHARD_NAME_PATTERN, SHARD_PREFIX
 from tackroom.sources.ledger import among, file_key
 from tackroom.sources.shards import LINE_SCHEMA, ORDER_COLS, shard_of
 
+FILES_A_TASK = 64
 MANIFEST = "shard string, file string, n_lines long, min_id long, max_id long, landing string"
 
 
@@ -37,19 +38,22 @@ def land(rows: DataFrame, root: str, key: str, start: int, size: int, stamp_mill
     files = F.ceil(F.col("n") / max_lines)
     shards = tagged.groupBy("shard").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("lo")).withColumn("files", files) \
         .withColumn("first", F.sum("files").over(Window.orderBy("lo", "shard").rowsBetween(Window.unboundedPreceding, -1)))
-    shards = spark.createDataFrame(shards.select("shard", "files", F.coalesce("first", F.lit(0)).alias("first")).collect(),
-                                   "shard string, files long, first long")
-    total = shards.agg(F.sum("files")).first()[0] or 0
+    shards = spark.createDataFrame(shards.select("shard", "files", F.coalesce("first", F.lit(0)).alias("first"), "n").collect(),
+                                   "shard string, files long, first long, n long")
+    total, most = shards.agg(F.coalesce(F.sum("files"), F.lit(0)), F.coalesce(F.sum("n"), F.lit(0))).first()
     dealt = tagged.join(shards, "shard").withColumn(
         "file", (F.col("first") + F.pmod(F.xxhash64("id", "line"), F.col("files"))).cast("int"))
-    (dealt.repartitionById(max(1, total), F.col("file")).sortWithinPartitions("file", "id")
-     .select("line").write.mode("overwrite").text(base))
-    # the n-th file's name holds its number; its shard is the one that numbers were given to
-    stored = spark.read.text(base).groupBy(F.col("_metadata.file_name").alias("name")).agg(F.count(F.lit(1)).alias("n_lines"))
-    number = F.regexp_extract("name", r"^part-(\d+)-", 1).cast("long")
+    # a task writes several files one after the other, as starting one takes longer than writing a small file
+    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    tasks = max(1, min(total, max(width, -(-total // FILES_A_TASK), -(-most // max_lines))))
+    (dealt.drop("n").repartitionById(tasks, F.pmod(F.col("file"), F.lit(tasks)).cast("int")).sortWithinPartitions("file", "id")
+     .select("file", "line").write.mode("overwrite").partitionBy("file").text(base))
+    # the n-th file is in the folder of its number; its shard is the one that numbers were given to
+    stored = spark.read.schema("value string, file long").text(base).groupBy("file", F.col("_metadata.file_name").alias("part")).agg(F.count(F.lit(1)).alias("n_lines"))
+    name = F.concat(F.lit("file="), F.col("number").cast("string"), F.lit("/"), F.col("part"))
     ids = dealt.groupBy(F.col("file").alias("number")).agg(
         F.first("shard").alias("shard"), F.count(F.lit(1)).alias("n"), F.min("id").alias("min_id"), F.max("id").alias("max_id"))
-    listed = stored.withColumn("number", number).join(ids, "number")
+    listed = stored.withColumnRenamed("file", "number").join(ids, "number").withColumn("name", name)
     wrong = F.raise_error(F.concat(F.lit("lines were lost or repeated in "), F.col("name"))).cast("long")
     (listed.select("shard", F.concat(F.lit(f"landing={landing}/"), F.col("name")).alias("file"),
                    F.when(F.col("n") == F.col("n_lines"), F.col("n")).otherwise(wrong).alias("n_lines"), "min_id", "max_id")
@@ -76,11 +80,12 @@ def read_landed(spark: SparkSession, root: str, lo: int | None = None, hi: int |
         F.concat(F.lit(f"{root.rstrip('/')}/"), F.col("file")).alias("path"), "shard").collect()  # one row a file
     if not files:
         return spark.createDataFrame([], LINE_SCHEMA)
-    shards = spark.createDataFrame([(f["path"].rsplit("/", 1)[1], f["shard"]) for f in files], "file_name string, shard string")
+    # a file is known by its folder and name: all files that one task wrote have the same name
+    shards = spark.createDataFrame([("/".join(f["path"].rsplit("/", 2)[1:]), f["shard"]) for f in files], "_place string, shard string")
     raw = spark.read.text([f["path"] for f in files]).select(
-        F.col("_metadata.file_name").alias("file_name"), F.col("_metadata.file_path").alias("file_path"),
+        F.substring_index(F.col("_metadata.file_path"), "/", -2).alias("_place"), F.col("_metadata.file_name").alias("file_name"), F.col("_metadata.file_path").alias("file_path"),
         F.col("_metadata.file_block_start").alias("block_start"), F.monotonically_increasing_id().alias("row_id"), F.col("value").alias("line"))
-    lines = raw.join(shards, "file_name").select(*ORDER_COLS, "line", "file_name")
+    lines = raw.join(shards, "_place").select(*ORDER_COLS, "line", "file_name")
     return lines if consumed is None else among(lines, consumed, "left_anti")
 
 

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from tackroom.functions.records import load_records
+from tackroom.sources.landing import land, landed_files, read_landed
 from tackroom.streaming.incremental import _records
 
 
@@ -44,3 +45,14 @@ def test_many_folders_are_listed_by_few_tasks(spark, tmp_dir):
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
         spark.conf.set("spark.sql.sources.parallelPartitionDiscovery.threshold", "4096")
     assert tasks and max(tasks) <= 200
+
+
+def test_a_landing_of_many_shards_is_written_by_few_tasks(spark, tmp_dir):
+    """Every shard has a file of its own, and a task writes several of them."""
+    land(spark.range(2000).select("id", F.lit("x").alias("v")), tmp_dir, "id", 0, 10, 7, "a")
+    files = landed_files(spark, tmp_dir).collect()
+    assert len(files) == len({f.file for f in files}) == 200 and all(f.n_lines == 10 for f in files)
+    assert len({f.file.rsplit("/", 1)[1].split(".")[0] for f in files}) <= 8
+    got = read_landed(spark, tmp_dir).select("shard", F.from_json("line", "id long")["id"].alias("id")).collect()
+    assert sorted(r.id for r in got) == list(range(2000))
+    assert all(r.shard == f"horse_data_{r.id // 10 * 10}_to_{r.id // 10 * 10 + 9}_7.ndjson" for r in got)
