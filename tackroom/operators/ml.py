@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from tackroom.constants import CLASS_LABELS, POSITION_LABEL
 from tackroom.operators.auc import one_vs_rest
+from tackroom.session import scratch_dir
 
 
 def build_pipeline(categorical: Sequence[str], numeric: Sequence[str], label: str = POSITION_LABEL,
@@ -48,6 +49,18 @@ def prepare_numeric(df: DataFrame, numeric: Sequence[str]) -> DataFrame:
     return df.select(*[F.col(c).cast("double").alias(c) if c in numeric else F.col(c) for c in df.columns])
 
 
+def _fit(pipeline: Pipeline, data: DataFrame) -> PipelineModel:
+    """The fitted pipeline. The training summary of a two-class model holds the session, which cannot be sent to tasks once it
+    has observed anything, so such a classifier is stored and read back without its summary."""
+    model = pipeline.fit(data)
+    clf = model.stages[-1]
+    if clf.numClasses != 2 or not clf.hasSummary:
+        return model
+    path = scratch_dir(data.sparkSession, "model")
+    clf.write().save(path)
+    return PipelineModel([*model.stages[:-1], type(clf).load(path)])
+
+
 def train(snapshot: DataFrame, categorical: Sequence[str], numeric: Sequence[str],
           label: str = POSITION_LABEL, model: str = "lr", dry_run: bool = False,
           holdout: float = 0.2, seed: int = 7, **kw):
@@ -62,16 +75,16 @@ def train(snapshot: DataFrame, categorical: Sequence[str], numeric: Sequence[str
                 f"{len(numeric)} numeric features, label {label}")
     data = prepare_numeric(snapshot, numeric)
     if model != "auto":
-        return build_pipeline(categorical, numeric, label, model, **kw).fit(data)
+        return _fit(build_pipeline(categorical, numeric, label, model, **kw), data)
     fit_part, held = data.randomSplit([1 - holdout, holdout], seed=seed)
     scores = {}
     for kind in ("lr", "rf"):
         opts = {k: v for k, v in kw.items() if kind == "lr" or k != "max_iter"}
-        m = build_pipeline(categorical, numeric, label, kind, seed=seed, **opts).fit(fit_part)
+        m = _fit(build_pipeline(categorical, numeric, label, kind, seed=seed, **opts), fit_part)
         scores[kind] = macro_auc(score(held, m, numeric, keep=[label]), label)
     best = max(scores, key=lambda k: (scores[k] if scores[k] == scores[k] else -1.0))
     opts = {k: v for k, v in kw.items() if best == "lr" or k != "max_iter"}
-    return build_pipeline(categorical, numeric, label, best, seed=seed, **opts).fit(data)
+    return _fit(build_pipeline(categorical, numeric, label, best, seed=seed, **opts), data)
 
 
 def _label_order(model: PipelineModel) -> list[str]:

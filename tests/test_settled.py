@@ -1,8 +1,10 @@
 """Steps that are computed once: typed records, the records of a micro-batch, folder listings."""
 
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from tackroom.functions.records import load_records
+from tackroom.operators.ml import score, train
 from tackroom.sources.landing import land, landed_files, read_landed
 from tackroom.streaming.incremental import _records
 
@@ -56,3 +58,12 @@ def test_a_landing_of_many_shards_is_written_by_few_tasks(spark, tmp_dir):
     got = read_landed(spark, tmp_dir).select("shard", F.from_json("line", "id long")["id"].alias("id")).collect()
     assert sorted(r.id for r in got) == list(range(2000))
     assert all(r.shard == f"horse_data_{r.id // 10 * 10}_to_{r.id // 10 * 10 + 9}_7.ndjson" for r in got)
+
+
+def test_a_two_class_model_scores_after_the_session_observed(spark):
+    seen = Observation()
+    spark.range(3).observe(seen, F.count(F.lit(1)).alias("n")).write.format("noop").mode("overwrite").save()
+    assert seen.get["n"] == 3
+    df = spark.createDataFrame([(float(i % 2), "12"[i % 2]) for i in range(40)], "x double, position_class string")
+    got = score(df, train(df, [], ["x"]), ["x"], keep=["x"]).collect()
+    assert all((r.scores[0] > 0.5) == (r.x == 0.0) for r in got)
