@@ -1,23 +1,27 @@
 """Scoring and ranking.
 
-Greedy top-K without collecting a group: at position p the pick is the best
-row by P(p) among rows not already picked, and fewer than K rows are ever
-picked. So the pick is always among the K best rows for P(p) (ties to the
-lowest index). Per (group, position) only those K candidates are kept, with
-a partial ``WindowGroupLimit`` that runs before the shuffle; the greedy pass
-then walks at most K*K candidates per group, however large the group is.
+Greedy top-K: at position p the pick is the best row by P(p) among rows not
+already picked, ties to the lowest index. A group of up to ``MAX_RACE`` rows is
+one array: its rows are shuffled once, and the greedy pass walks the array.
+A larger group is never collected: fewer than K rows are ever picked, so the
+pick is always among the K best rows for P(p), and per (group, position) only
+those K candidates are kept, with a partial ``WindowGroupLimit`` that runs
+before the shuffle; the greedy pass then walks at most K*K candidates.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tackroom.constants import CLASS_LABELS, DEFAULT_TOP_K, RANK_ALL_EQUAL, RANK_MAX, RANK_MIN
-from tackroom.functions.columns import GROUP_KEY, number_text, with_group_key
+from tackroom.functions.columns import GROUP_KEY, number_text, once, with_group_key
+from tackroom.operators.skew import split_by_group_size
+
+MAX_RACE = 10_000  # rows of a group that is ranked as one array
 
 
 def _groups(df: DataFrame, group: Sequence[str]):
@@ -114,16 +118,39 @@ def relative_rank(df: DataFrame, prob: str, group: Sequence[str] = ()) -> DataFr
 
 
 def greedy_top_k(df: DataFrame, probs: str, idx: str, group: Sequence[str] = (),
-                 k: int = DEFAULT_TOP_K) -> DataFrame:
+                 k: int = DEFAULT_TOP_K, max_rows: int = MAX_RACE) -> DataFrame:
     """(group..., position, idx, prob) for positions 1..min(k, n).
 
     ``probs`` is the label->probability map; a position without a class
-    scores 0.0, which leaves the lowest remaining index.
+    scores 0.0, which leaves the lowest remaining index. Groups of more than
+    ``max_rows`` rows, and the whole of an ungrouped input, are pruned to
+    their candidates first.
     """
     if k < 1:
         return df.select(*group, F.lit(None).cast("int").alias("position"), F.col(idx),
                          F.lit(None).cast("double").alias("prob")).limit(0)
-    g, df, whole = _groups(df, group)
+    small, hot = split_by_group_size(df, group, max_rows) if group else (None, df)
+    parts = [picked(part, probs, idx, group, k) for part, picked in ((small, _picks_of_rows), (hot, _picks_of_candidates))
+             if part is not None]
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+
+
+def _picks_of_rows(df: DataFrame, probs: str, idx: str, group: Sequence[str], k: int) -> DataFrame:
+    """Greedy picks of groups that fit an array: one shuffle, in which a row is itself and not one row a position."""
+    g, df, _ = _groups(df, group)
+    by_pos = F.array(*[prob_of(F.col(probs), str(i)) for i in range(1, k + 1)])
+    per_group = df.groupBy(*g).agg(F.collect_list(F.struct(F.col(idx).alias("_idx"), by_pos.alias("by_pos"))).alias("_c"))
+
+    def best(chosen, pos):
+        left = F.filter(F.col("_c"), lambda c: ~F.array_contains(chosen, c["_idx"]))
+        return F.array_min(F.transform(left, lambda c: F.struct((-F.element_at(c["by_pos"], pos)).alias("neg"), c["_idx"].alias("_idx"))))
+
+    return _greedy(per_group.withColumn("_n", F.size("_c")), best, idx, group, k)
+
+
+def _picks_of_candidates(df: DataFrame, probs: str, idx: str, group: Sequence[str], k: int) -> DataFrame:
+    """Greedy picks of groups of any size, from the K best rows of each position."""
+    g, df, _ = _groups(df, group)
     p = F.col(probs)
     pos_probs = F.array(*[F.struct(F.lit(i).alias("pos"), prob_of(p, str(i)).alias("prob"))
                           for i in range(1, k + 1)])
@@ -133,14 +160,20 @@ def greedy_top_k(df: DataFrame, probs: str, idx: str, group: Sequence[str] = (),
     sizes = df.groupBy(*g).agg(F.count(F.lit(1)).alias("_n"))
     per_group = cands.groupBy(*g).agg(F.sort_array(F.collect_list(
         F.struct("pos", (-F.col("prob")).alias("neg"), "_idx"))).alias("_c"))
-    per_group = per_group.join(sizes, g, "inner")
 
+    def best(chosen, pos):
+        return F.element_at(F.filter(F.col("_c"), lambda c: (c["pos"] == pos) & ~F.array_contains(chosen, c["_idx"])), 1)
+
+    return _greedy(per_group.join(sizes, g, "inner"), best, idx, group, k)
+
+
+def _greedy(per_group: DataFrame, best: Callable[[Column, Column], Column], idx: str, group: Sequence[str], k: int) -> DataFrame:
+    """One row a pick: ``best(chosen, position)`` is the struct (neg, _idx) of the best row that is not among the chosen."""
     def step(acc, pos):
-        best = F.element_at(F.filter(F.col("_c"), lambda c: (c["pos"] == pos) &
-                                     ~F.array_contains(acc["chosen"], c["_idx"])), 1)
-        return F.struct(F.array_append(acc["chosen"], best["_idx"]).alias("chosen"),
-                        F.array_append(acc["picks"], F.struct(pos.alias("position"), best["_idx"].alias("idx"),
-                                                              (-best["neg"]).alias("prob"))).alias("picks"))
+        pick = best(acc["chosen"], pos)
+        return once(pick, lambda b: F.struct(
+            F.array_append(acc["chosen"], b["_idx"]).alias("chosen"),
+            F.array_append(acc["picks"], F.struct(pos.alias("position"), b["_idx"].alias("idx"), (-b["neg"]).alias("prob"))).alias("picks")))
 
     empty_long = F.filter(F.array(F.lit(0).cast("long")), lambda x: F.lit(False))
     empty_pick = F.filter(F.array(F.struct(F.lit(0).alias("position"), F.lit(0).cast("long").alias("idx"),
@@ -148,7 +181,7 @@ def greedy_top_k(df: DataFrame, probs: str, idx: str, group: Sequence[str] = (),
     init = F.struct(empty_long.alias("chosen"), empty_pick.alias("picks"))
     steps = F.sequence(F.lit(1), F.least(F.lit(k), F.col("_n").cast("int")))
     picks = F.aggregate(steps, init, step, lambda acc: acc["picks"])
-    out = per_group.select(*g, F.inline(picks))
+    out = per_group.select(GROUP_KEY, F.inline(picks))
     return out.select(*[F.col(f"{GROUP_KEY}.{c}").alias(c) for c in group],
                       "position", F.col("idx").alias(idx), "prob")
 

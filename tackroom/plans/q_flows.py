@@ -172,9 +172,13 @@ def model_rows(spark, sf_dir):
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
     career = career_totals(yearly_career(spark, sf_dir).select("c_custkey", map_career(F.col("career_raw")).alias("career")))
     horses = c.join(career.select("c_custkey", *CAREER), "c_custkey", "left")
-    trainers = trainer_stats(li, "l_suppkey", F.col("l_returnflag") == "R").withColumnRenamed("l_suppkey", "trainer")
-    rows = (li.join(o, li.l_orderkey == o.o_orderkey).join(horses, F.col("o_custkey") == F.col("c_custkey"), "left")
-            .join(trainers, F.col("l_suppkey") == F.col("trainer"), "left"))
+    # a row a trainer, written once: read back, its size is known, so that lines need not move by trainer to meet a small table
+    path = scratch_dir(spark, "trainers")
+    trainer_stats(li, "l_suppkey", F.col("l_returnflag") == "R").withColumnRenamed("l_suppkey", "trainer").write.parquet(path)
+    trainers = spark.read.parquet(path)
+    # orders meet their horse before the lines meet their order: the last move of the lines is by order, as the ranking needs it
+    races = o.join(horses, F.col("o_custkey") == F.col("c_custkey"), "left")
+    rows = li.join(trainers, F.col("l_suppkey") == F.col("trainer"), "left").join(races, li.l_orderkey == o.o_orderkey)
     weight = F.nullif(F.col("l_tax"), F.lit(0.0))
     race = F.struct(
         F.col("o_orderpriority").alias("raceGroup"), F.col("l_linestatus").alias("raceSubtype"),

@@ -47,6 +47,19 @@ def test_greedy_matches_brute_force(spark, k):
     assert got == sorted(exp)
 
 
+def test_greedy_moves_each_row_once_and_large_groups_agree(spark, tmp_dir):
+    rnd = random.Random(3)
+    data = [(g, i, [rnd.choice([0.1, 0.2, rnd.random()]) for _ in range(8)]) for g in [None, 1, 2, 3] for i in range(1 + 9 * (g or 0))]
+    spark.createDataFrame(data, "g int, idx long, scores array<double>").write.parquet(f"{tmp_dir}/rows")
+    df = spark.read.parquet(f"{tmp_dir}/rows").withColumn("probs", class_probs(F.col("scores")))
+    exp = sorted((str(g), p, i, pr) for g in [None, 1, 2, 3] for p, i, pr in greedy_ref([(i, s) for gg, i, s in data if gg == g], 7))
+    for max_rows in (1, 10, 1000):  # all but one group, two groups, and no group too large for an array
+        out = greedy_top_k(df, "probs", "idx", ["g"], 7, max_rows)
+        assert sorted((str(r.g), r.position, r.idx, r.prob) for r in out.collect()) == exp
+    plan = greedy_top_k(df, "probs", "idx", ["g"], 7)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Window" not in plan
+
+
 def test_greedy_ungrouped_and_distinct(spark):
     df = spark.createDataFrame([(i, [1.0 / (i + 1)] * 8) for i in range(12)], "idx long, scores array<double>") \
               .withColumn("probs", class_probs(F.col("scores")))
