@@ -50,15 +50,32 @@ def prepare_numeric(df: DataFrame, numeric: Sequence[str]) -> DataFrame:
 
 
 def _fit(pipeline: Pipeline, data: DataFrame) -> PipelineModel:
-    """The fitted pipeline. The training summary of a two-class model holds the session, which cannot be sent to tasks once it
-    has observed anything, so such a classifier is stored and read back without its summary."""
-    model = pipeline.fit(data)
-    clf = model.stages[-1]
-    if clf.numClasses != 2 or not clf.hasSummary:
-        return model
-    path = scratch_dir(data.sparkSession, "model")
-    clf.write().save(path)
-    return PipelineModel([*model.stages[:-1], type(clf).load(path)])
+    *features, clf = pipeline.getStages()
+    prepared = Pipeline(stages=features).fit(data)
+    return _fit_classifier(prepared, clf, prepared.transform(data))
+
+
+def _fit_classifier(features: PipelineModel, clf, data: DataFrame) -> PipelineModel:
+    """The fitted feature stages and the classifier, fitted on the rows that they gave. The training summary of a two-class model
+    holds the session, which cannot be sent to tasks once it has observed anything, so such a classifier is stored and read back
+    without its summary."""
+    model = clf.fit(data)
+    if model.numClasses == 2 and model.hasSummary:
+        path = scratch_dir(data.sparkSession, "model")
+        model.write().save(path)
+        model = type(model).load(path)
+    return PipelineModel([*features.stages, model])
+
+
+def _split(data: DataFrame, holdout: float, seed: int) -> list[DataFrame]:
+    """The rows to fit on and those held out, written once: a random split sorts its input in every pass over it, and a training
+    makes many."""
+    spark, parts = data.sparkSession, []
+    for part in data.randomSplit([1 - holdout, holdout], seed=seed):
+        path = scratch_dir(spark, "split")
+        part.write.parquet(path)
+        parts.append(spark.read.parquet(path))
+    return parts
 
 
 def train(snapshot: DataFrame, categorical: Sequence[str], numeric: Sequence[str],
@@ -76,11 +93,13 @@ def train(snapshot: DataFrame, categorical: Sequence[str], numeric: Sequence[str
     data = prepare_numeric(snapshot, numeric)
     if model != "auto":
         return _fit(build_pipeline(categorical, numeric, label, model, **kw), data)
-    fit_part, held = data.randomSplit([1 - holdout, holdout], seed=seed)
-    scores = {}
+    fit_part, held = _split(data, holdout, seed)
+    scores, prepared = {}, None
     for kind in ("lr", "rf"):
         opts = {k: v for k, v in kw.items() if kind == "lr" or k != "max_iter"}
-        m = _fit(build_pipeline(categorical, numeric, label, kind, seed=seed, **opts), fit_part)
+        *features, clf = build_pipeline(categorical, numeric, label, kind, seed=seed, **opts).getStages()
+        prepared = prepared or Pipeline(stages=features).fit(fit_part)  # the same stages on the same rows for both kinds
+        m = _fit_classifier(prepared, clf, prepared.transform(fit_part))
         scores[kind] = macro_auc(score(held, m, numeric, keep=[label]), label)
     best = max(scores, key=lambda k: (scores[k] if scores[k] == scores[k] else -1.0))
     opts = {k: v for k, v in kw.items() if best == "lr" or k != "max_iter"}
