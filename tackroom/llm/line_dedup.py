@@ -6,11 +6,12 @@
    to frequent. Lines with equal sets collapse to the first in document order.
 3. Candidates share one of the rarest words of both (prefix filter) and pass the
    positional and length filters and a bound on the number of words that differ
-   (parities of the words' hashes, which never err), all inside the join, where one exchange of the prefixes serves both
-   sides. Each line is first compared with its likeliest partner only, and for
-   words that many lines have in their prefix with the earliest of these; only
-   lines that this leaves unsettled meet all their partners, so a large group of
-   variants does not become all its pairs.
+   (parities of the words' hashes, which never err), all inside one join, where one
+   exchange of the prefixes serves both sides. Before it, lines are compared with the
+   earliest line of each word that many lines have in their prefix, and those that
+   this settles ask for no partners, so a large group of variants does not become
+   all its pairs. Of the candidates, a line's likeliest is verified first, the
+   others only if that leaves the line unsettled.
 4. Jaccard is verified on the words of both lines, and the later line goes.
 """
 
@@ -56,7 +57,7 @@ def _lines(doc: DataFrame) -> DataFrame:
 
 def _rarity(doc: DataFrame) -> Column:
     """Array counter -> 16 * log2(words counted), as one constant of COUNTERS small numbers."""
-    words = F.split(F.regexp_replace("text", "\n", " "), " ")
+    words = F.split(F.replace("text", F.lit("\n"), F.lit(" ")), " ")
     counts = (doc.select(F.explode(words).alias("w"))
               .groupBy(_counter(F.xxhash64("w")).alias("c")).count()
               .select("c", F.round(F.log2(F.col("count").cast("double")) * 16).cast("int").alias("r")).collect())
@@ -72,8 +73,8 @@ def _filters(x: str, y: str, num: int, den: int) -> Column:
     c = lambda side, name: F.col(f"{side}.{name}")
     both = c(x, "n") + c(y, "n")
     before = (c(y, "ord") < c(x, "ord")) | ((c(y, "ord") == c(x, "ord")) & (c(y, "line") <= c(x, "line")))
-    return (before & (c(x, "rid") != c(y, "rid"))
-            & (F.least(c(x, "n"), c(y, "n")) * den >= F.greatest(c(x, "n"), c(y, "n")) * num)
+    return ((F.least(c(x, "n"), c(y, "n")) * den >= F.greatest(c(x, "n"), c(y, "n")) * num)
+            & before & (c(x, "rid") != c(y, "rid"))
             & (F.least(c(x, "n") - c(x, "p"), c(y, "n") - c(y, "p")) * (num + den) >= both * num)
             & ((c(x, "p") + c(y, "p")) * (num + den) <= both * (den - num))
             & (_differ(x, y) * (num + den) <= both * (den - num)))
@@ -134,9 +135,10 @@ def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # 32 bits of the hash are enough to meet by: what meets is compared word by word
     low = F.transform(F.slice("t", 1, n - F.ceil(n * num / F.lit(float(den)) - 1e-9).cast("int") + 1),
                       lambda x: F.shiftright(F.shiftleft(x, 32), 32).cast("int"))
-    lines = materialize(toks.where(n > 0).select(
+    # lines without words go as they are read: a filter before would make the words a second time
+    lines = materialize(toks.select(
         "ord", "k", "line", F.xxhash64("t").alias("d1"), F.xxhash64(F.lit(7), "t").alias("d2"), n.alias("n"),
-        bits.alias("bits"), odd.alias("odd"), low.alias("prefix")), "line-sets")
+        bits.alias("bits"), odd.alias("odd"), low.alias("prefix")), "line-sets").where("n > 0")
     place = F.struct("ord", "line", "k")
     sets = materialize(lines.groupBy("d1", "d2").agg(F.min(F.struct("ord", "line", "k", "n", "bits", "odd", "prefix")).alias("f"),
                                                      F.count("*").alias("copies"))
@@ -148,8 +150,6 @@ def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         return some.select("rid", "ord", "line", "n", "bits", "odd", F.posexplode("prefix").alias("p", "tok"))
 
     index = prefixes(reps)
-    hot = materialize(index.groupBy("tok").agg(F.count("*").alias("lines")).where(F.col("lines") > STAR).select("tok"),
-                      "frequent-prefix-words")
 
     def verified(pairs: DataFrame, name: str) -> DataFrame:
         """The later line's (rid) of each of the (a, b) pairs that reach the similarity on their words."""
@@ -169,36 +169,35 @@ def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         near = both.where(F.col("n.common") * den >= (F.col("n.all") - F.col("n.common")) * num)
         return materialize(near.select("rid").distinct(), name + "-found")
 
-    # Each line's likeliest earlier partner: of the words that few lines have, by the bitmaps (one exchange serves both
-    # sides of the join); of a frequent word, its earliest line.
-    rows = index.join(hot, "tok", "left_anti").repartition("tok")
-    differ = _differ("x", "y").cast("long")
-    met = rows.alias("x").join(rows.alias("y"), (F.col("x.tok") == F.col("y.tok")) & _filters("x", "y", num, den))
-    best = materialize(met.groupBy(F.col("x.rid").alias("a")).agg(
-        F.min(F.shiftleft(differ, _RID_BITS).bitwiseOR(F.col("y.rid"))).alias("best"),
-        F.count("*").alias("met"), F.max(F.col("y.rid")).alias("last"), F.min(F.col("y.rid")).alias("first")), "best-partners")
-    likeliest = best.select("a", F.col("best").bitwiseAND(F.lit((1 << _RID_BITS) - 1)).alias("b"))
-    hot_rows = materialize(index.join(hot, "tok"), "frequent-rows")
-    earliest = (hot_rows.groupBy("tok").agg(F.min(F.struct("ord", "line", "rid", "n", "p", "bits", "odd")).alias("f"))
-                .select("tok", "f.*"))
+    # Words that many lines have in their prefix: every such line is compared with the earliest of these first, so that a
+    # large group of variants is settled before its lines would all meet each other.
+    hot = materialize(index.groupBy("tok").agg(F.count("*").alias("lines")).where(F.col("lines") > STAR).select("tok"), "frequent-prefix-words")
+    hot_rows = index.join(hot, "tok")
+    earliest = materialize(hot_rows.groupBy("tok").agg(F.min(F.struct("ord", "line", "rid", "n", "p", "bits", "odd")).alias("f"))
+                           .select("tok", "f.*"), "earliest-lines")
     star = (hot_rows.alias("x").join(earliest.alias("y"), (F.col("x.tok") == F.col("y.tok")) & _filters("x", "y", num, den))
             .select(F.col("x.rid").alias("a"), F.col("y.rid").alias("b")))
-    tried = materialize(likeliest.union(star).distinct(), "first-pairs")
+    tried = materialize(star.distinct(), "first-pairs")
     settled = verified(tried, "first")
 
-    # Lines that this left unsettled meet all their earlier partners: by the words that few lines have, if they met more
-    # than one partner there; by frequent words, if they have any.
-    rest = materialize(best.where("first < last").select(F.col("a").alias("rid")).join(settled, "rid", "left_anti"),
-                       "unsettled-lines")
-    own = materialize(prefixes(reps.join(rest, "rid", "left_semi")).join(hot, "tok", "left_anti"), "unsettled-rows")
-    others = _maybe_in(index, own, ["tok"]).where("maybe").drop("maybe")
-
-    def partners(x: DataFrame, y: DataFrame) -> DataFrame:
-        return (x.alias("x").join(y.alias("y"), (F.col("x.tok") == F.col("y.tok")) & _filters("x", "y", num, den))
-                .select(F.col("x.rid").alias("a"), F.col("y.rid").alias("b")))
-
-    again = (partners(own, others).union(partners(hot_rows.join(settled, "rid", "left_anti"), hot_rows))
-             .distinct().join(tried, ["a", "b"], "left_anti"))
+    # All others meet all their earlier partners. One exchange serves both sides of the join: the last bit of a line's number
+    # says whether it is settled, and is asked together with its partner's, as a filter of one side would be moved below
+    # the exchange.
+    done = settled.select("rid", F.lit(1).cast("long").alias("done"))
+    marked = reps.join(done, "rid", "left").withColumn("rid", F.shiftleft("rid", 1).bitwiseOR(F.coalesce("done", F.lit(0).cast("long"))))
+    rows = prefixes(marked).repartition("tok")
+    wanted = F.when(F.col("x.rid").bitwiseAND(F.lit(1)) == 1, F.col("y.rid")).otherwise(F.col("x.rid")) != F.col("y.rid")
+    met = rows.alias("x").join(rows.alias("y"), (F.col("x.tok") == F.col("y.tok")) & _filters("x", "y", num, den) & wanted)
+    # a pair has one bound of differing words, however many words it met by
+    pairs = materialize(met.groupBy(F.shiftright("x.rid", 1).alias("a"), F.shiftright("y.rid", 1).alias("b"))
+                        .agg(F.min(_differ("x", "y")).alias("differ")).join(tried, ["a", "b"], "left_anti"), "pairs")
+
+    # Its likeliest partner settles most lines that go; the rest of the pairs are those of lines that it leaves unsettled.
+    best = pairs.groupBy("a").agg(F.min(F.shiftleft(F.col("differ").cast("long"), _RID_BITS).bitwiseOR(F.col("b"))).alias("best"))
+    likeliest = materialize(best.select("a", F.col("best").bitwiseAND(F.lit((1 << _RID_BITS) - 1)).alias("b")), "likeliest-pairs")
+    settled = settled.union(verified(likeliest, "likeliest"))
+    again = (pairs.select("a", "b").join(likeliest, ["a", "b"], "left_anti")
+             .join(settled.select(F.col("rid").alias("a")), "a", "left_anti"))
     near = settled.union(verified(materialize(again, "remaining-pairs"), "other")).distinct()
     near = reps.join(near, "rid", "left_semi").select("ord", "k", "line")
     # all copies but the first of a set; and the firsts that resemble an earlier line

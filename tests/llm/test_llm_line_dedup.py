@@ -79,3 +79,24 @@ def test_long_lines_against_brute_force(spark):
             line[rng.randrange(len(line))] = f"e{rng.randrange(900)}"
         texts.append(" ".join(line[rng.randrange(3):]) + "\nshort tail")
     check(spark, texts)
+
+
+def test_words_are_made_once_and_one_exchange_serves_the_join(spark, monkeypatch):
+    """Per line, its words are made once; the prefixes are dealt out once for both sides of one join, and no later table is made
+    from them again, whatever the number of frequent words."""
+    monkeypatch.setattr(line_dedup, "STAR", 4)
+    plans, write = {}, line_dedup.materialize
+
+    def recorded(df, name):
+        df.collect()
+        plans[name] = (df._jdf.queryExecution().optimizedPlan().toString(), df._jdf.queryExecution().executedPlan().toString())
+        return write(df, name)
+    monkeypatch.setattr(line_dedup, "materialize", recorded)
+    spark.conf.set("spark.sql.maxPlanStringLength", 1 << 24)
+    check(spark, make(3, 80))
+    spark.conf.unset("spark.sql.maxPlanStringLength")
+    assert plans["line-sets"][0].count("array_distinct(") == 1
+    final = plans["pairs"][1].split("== Initial Plan ==")[0]
+    assert "ReusedExchange" in final and final.count("Generate posexplode(prefix") == 1
+    assert [name for name, (plan, _) in plans.items() if "posexplode(prefix" in plan] == [
+        "frequent-prefix-words", "earliest-lines", "first-pairs", "pairs"]
